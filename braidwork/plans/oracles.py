@@ -345,7 +345,7 @@ SELECT model, bundle, epochs, cumulative_epochs - epochs AS previous_epochs, cum
   coalesce((doc ->> '$.cumulative_epochs_completed')::BIGINT, -1) AS previous_epochs,
   CASE WHEN doc IS NULL THEN 'no_readable_metadata' ELSE 'ok' END AS status FROM parsed""",
         "assemble_metadata": f"""WITH {STEPS}, last AS (
-  SELECT run_id, round(arg_max(window_mean, g), 2) AS l FROM windows GROUP BY run_id),
+  SELECT run_id, round(arg_max(window_mean, g), 6) AS l FROM windows GROUP BY run_id),
 runs AS (SELECT DISTINCT run_id, run_id % 5 + 1 AS epochs FROM steps),
 summed AS (SELECT *, sum(epochs) OVER (PARTITION BY run_id // 4 ORDER BY run_id % 4
   ROWS UNBOUNDED PRECEDING)::BIGINT AS total FROM runs)

@@ -495,7 +495,7 @@ def assemble_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = summed.join(final, "run_id").select(
         F.format_string("run_%d", F.col("run_id")).alias("bundle"),
         F.col("cumulative_epochs").alias("cumulative_epochs_completed"),
-        F.round("final_loss", 2).alias("final_loss"),
+        rounded("final_loss", "final_loss"),
         catalog.config_struct(t.config_values(ModelConfig())).alias("model_config"),
         catalog.config_struct(t.config_values(TrainingConfig()), epochs=F.col("epochs")).alias(
             "training_config"
