@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 BYTE_VOCAB_SIZE = 257
 BYTE_DELIMITER_ID = 256
 _DELIMITER_CHAR = chr(BYTE_DELIMITER_ID)
+_TO_THE_END = 1 << 30
 
 
 def byte_token_string(text: Column, delimiter: str) -> Column:
@@ -26,8 +27,9 @@ def byte_token_string(text: Column, delimiter: str) -> Column:
 
 def token_string_ids(token_string: Column) -> Column:
     """Token string to ``array<int>``; an empty string gives an empty array."""
-    ids = F.transform(F.split(token_string, F.lit("")), lambda c: F.ascii(c))
-    return F.when(F.length(token_string) == 0, F.array().cast("array<int>")).otherwise(ids)
+    # Splitting an empty string gives one empty piece, which is no token.
+    chars = F.array_remove(F.split(token_string, F.lit("")), "")
+    return F.transform(chars, lambda c: F.ascii(c))
 
 
 def byte_tokens(text: Column, delimiter: str) -> Column:
@@ -36,42 +38,45 @@ def byte_tokens(text: Column, delimiter: str) -> Column:
 
 
 def byte_detokenize(tokens: Column, delimiter: str) -> Column:
-    """Byte-vocabulary ids back to text; malformed sequences become U+FFFD."""
+    """Byte-vocabulary ids back to text; malformed sequences become U+FFFD.
+
+    Each id picks its piece from a constant array, so no string is built per token.
+    """
     marker = delimiter.encode("utf-8").decode("latin-1")
-    chars = F.transform(
-        tokens, lambda t: F.when(t == BYTE_DELIMITER_ID, F.lit(marker)).otherwise(F.char(t))
-    )
+    pieces = F.array(*[F.lit(chr(i)) for i in range(256)], F.lit(marker))
+    chars = F.transform(tokens, lambda t: F.get(pieces, t))
     raw = F.encode(F.array_join(chars, ""), "ISO-8859-1")
     return F.make_valid_utf8(raw.cast("string"))
 
 
 def truncate_pad(tokens: Column, maxlen: int, pad_id: int) -> Column:
     """Keep the first ``maxlen`` ids, fill up on the right with ``pad_id``."""
-    kept = F.slice(tokens, 1, maxlen)
-    return F.concat(kept, F.array_repeat(F.lit(pad_id), F.lit(maxlen) - F.size(kept)))
+    padding = F.array_repeat(F.lit(pad_id), maxlen)
+    return F.slice(F.concat(F.slice(tokens, 1, maxlen), padding), 1, maxlen)
 
 
 def byte_example(text: Column, delimiter: str, maxlen: int, pad_id: int) -> Column:
-    """``truncate_pad(byte_tokens(text))`` with the cut made on the token string.
+    """``truncate_pad(byte_tokens(text))`` with cut and padding made on the token string.
 
     The whole text is encoded and searched for delimiters; the tokens past
     ``maxlen`` are dropped before they are turned into integers.
     """
-    kept = F.substring(byte_token_string(text, delimiter), 1, maxlen)
-    return truncate_pad(token_string_ids(kept), maxlen, pad_id)
+    token_string = byte_token_string(text, delimiter)
+    if pad_id < BYTE_VOCAB_SIZE:
+        fixed = F.rpad(token_string, maxlen, F.lit(chr(pad_id)))
+        return F.transform(F.split(fixed, F.lit("")), lambda c: F.ascii(c))
+    return truncate_pad(token_string_ids(F.substring(token_string, 1, maxlen)), maxlen, pad_id)
 
 
 def shift_left(tokens: Column) -> Column:
     """Next-token targets: drop the first id, append a literal 0."""
-    rest = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0)))
-    return F.when(F.size(tokens) == 0, tokens).otherwise(F.concat(rest, F.array(F.lit(0))))
+    return F.concat(F.slice(tokens, 2, _TO_THE_END), F.array(F.lit(0)))
 
 
 def context_window(tokens: Column, maxlen: int) -> Column:
     """The last ``maxlen`` ids, filled up on the right with 0."""
-    n = F.size(tokens)
-    start = F.greatest(n - maxlen, F.lit(0)) + 1
-    return truncate_pad(F.slice(tokens, start, F.lit(maxlen)), maxlen, 0)
+    last = F.reverse(F.slice(F.reverse(tokens), 1, maxlen))
+    return truncate_pad(last, maxlen, 0)
 
 
 def context_length(tokens: Column, maxlen: int) -> Column:
@@ -98,17 +103,25 @@ def causal_mask(seq_len: Column) -> Column:
 def causal_prefixes(tokens: Column) -> Column:
     """One struct per query position with aggregates over the keys it may see.
 
-    Runs inside the row, so no sequence is ever exploded, shuffled or paired
+    One pass inside the row: no sequence is ever exploded, shuffled or paired
     with itself.
     """
-    return F.transform(
-        tokens,
-        lambda token, pos: F.struct(
-            pos.alias("pos"),
-            token.alias("token"),
-            (pos + 1).cast("long").alias("n_visible"),
-            F.aggregate(
-                F.slice(tokens, F.lit(1), pos + 1), F.lit(0).cast("long"), lambda acc, t: acc + t
-            ).alias("visible_sum"),
+    start = F.struct(
+        F.lit(0).cast("long").alias("total"), F.array().cast("array<bigint>").alias("totals")
+    )
+
+    def visit(acc: Column, token: Column) -> Column:
+        total = acc["total"] + token
+        return F.struct(total.alias("total"), F.array_append(acc["totals"], total).alias("totals"))
+
+    sums = F.aggregate(tokens, start, visit, lambda acc: acc["totals"])
+    return F.zip_with(
+        F.transform(tokens, lambda token, pos: F.struct(pos.alias("pos"), token.alias("token"))),
+        sums,
+        lambda seen, total: F.struct(
+            seen["pos"].alias("pos"),
+            seen["token"].alias("token"),
+            (seen["pos"] + 1).cast("long").alias("n_visible"),
+            total.alias("visible_sum"),
         ),
     )

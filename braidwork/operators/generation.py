@@ -27,6 +27,12 @@ def prompt_problems(prompts: DataFrame, id_col: str = "prompt_id") -> DataFrame:
     )
 
 
+def _spread(state: DataFrame) -> DataFrame:
+    """Even out the prompts: the state is small, the work per row is not."""
+    n = int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return state.repartition(n, "prompt_id")
+
+
 def generate(
     prompts: DataFrame,
     logits: DataFrame,
@@ -65,9 +71,10 @@ def generate(
         )
 
     if logits.count() <= broadcast_rows:
-        candidates = F.broadcast(
-            logits.groupBy("ctx").agg(F.collect_list(F.struct("token", "logit")).alias("candidates"))
+        by_ctx = logits.groupBy("ctx").agg(
+            F.collect_list(F.struct("token", "logit")).alias("candidates")
         )
+        candidates = F.broadcast(materialize(by_ctx, "candidates"))
 
         def advance(state: DataFrame, step: int) -> DataFrame:
             best = F.array_max(
@@ -99,6 +106,7 @@ def generate(
         F.element_at("tokens", -1).alias("last"),
         F.array().cast("array<int>").alias("new_tokens"),
     )
+    state = _spread(state)
     for step in range(config.max_new_tokens):
         going_on = F.col("pick").isNotNull() & (F.col("pick") != end_token)
         state = advance(state, step).select(
@@ -109,7 +117,7 @@ def generate(
             .alias("new_tokens"),
         )
         if (step + 1) % ROUNDS_PER_STAGE == 0 and step + 1 < config.max_new_tokens:
-            state = materialize(state, "generation")
+            state = _spread(materialize(state, "generation"))
     return prompts.join(state.select("prompt_id", "new_tokens"), "prompt_id").select(
         "prompt_id", F.concat("tokens", "new_tokens").alias("tokens"), "new_tokens"
     )

@@ -124,10 +124,10 @@ def embed_lookup(
     position.
     """
     placed = sequences.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
-    tokens = token_table.select("token", F.col("vector").alias("_tv"))
-    positions = position_table.select("pos", F.col("vector").alias("_pv"))
+    tokens = token_table.select("token", F.col("vector").cast("array<double>").alias("_tv"))
+    positions = position_table.select("pos", F.col("vector").cast("array<double>").alias("_pv"))
     joined = salted_join(placed, tokens, ["token"], F.col("pos")).join(
         F.broadcast(positions), "pos"
     )
-    added = F.zip_with("_tv", "_pv", lambda t, p: t.cast("double") + p.cast("double"))
+    added = F.zip_with("_tv", "_pv", lambda t, p: t + p)
     return joined.select(id_col, "pos", "token", added.alias("vector"))
