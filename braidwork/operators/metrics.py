@@ -71,7 +71,7 @@ def lr_schedule(plans: DataFrame) -> DataFrame:
 
 def partial_windows(steps: DataFrame, every: int) -> DataFrame:
     """Loss sums per ``(run_id, epoch, w)`` where ``w`` counts ``every`` steps within the
-    epoch. Built-in aggregates only, so it runs on a stream as well."""
+    epoch, combined map-side."""
     return steps.groupBy("run_id", "epoch", _div(F.col("step"), every).alias("w")).agg(
         F.sum("loss").alias("loss_sum"),
         F.count(F.lit(1)).alias("n_losses"),

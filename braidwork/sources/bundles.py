@@ -133,7 +133,7 @@ def read_metadata(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame(
             [], T.StructType([schema["bundle"], T.StructField("metadata", METADATA_SCHEMA)])
         )
-    text = spark.read.schema(schema).option("wholetext", "true").text(f"{root}/metadata")
+    text = spark.read.schema(schema).text(f"{root}/metadata", wholetext=True)
     return text.select("bundle", parse_metadata(F.col("value")).alias("metadata"))
 
 

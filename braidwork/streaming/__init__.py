@@ -1 +1 @@
-"""The same projections and aggregates on unbounded inputs."""
+"""Unbounded inputs."""

@@ -1,18 +1,13 @@
-"""Delimited files as they arrive, and training metrics as they are reported.
-
-Both reuse the batch expressions; only the reader and the output mode differ.
-"""
+"""Delimited files as they arrive: the batch expressions behind a streaming reader."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.query import StreamingQuery
 
 from braidwork.configs import ModelConfig, TokenizerConfig
 from braidwork.functions.text import clean_decode, terminate_block
 from braidwork.functions.tokens import byte_example, shift_left
-from braidwork.operators.metrics import close_windows, partial_windows
 from braidwork.sources.blocks import check_delimiter
 
 
@@ -35,23 +30,3 @@ def follow_examples(
         raise ValueError("a stream can be tokenised with the byte tokenizer only")
     x = byte_example(F.col("text"), tokenizer.delimiter, model.maxlen, tokenizer.pad_token_id)
     return blocks.withColumn("x", x).withColumn("y", shift_left(F.col("x"))).drop("text")
-
-
-def follow_metrics(steps: DataFrame, every: int, table: str) -> StreamingQuery:
-    """Keep the partial loss windows of a step stream current in the in-memory table ``table``.
-
-    State is one row per unfinished or finished window, combined map-side, so
-    a busy run is not bound to one task. ``logged_windows`` reads the table.
-    """
-    return (
-        partial_windows(steps, every)
-        .writeStream.outputMode("complete")
-        .format("memory")
-        .queryName(table)
-        .start()
-    )
-
-
-def logged_windows(spark: SparkSession, table: str, every: int) -> DataFrame:
-    """The windows that have closed so far."""
-    return close_windows(spark.table(table), every)
