@@ -54,6 +54,7 @@ def generate(
     shuffle at all. A larger table is joined, with frequent contexts salted,
     and the best candidate is found by an aggregate.
     """
+    prompts = materialize(prompts.select("prompt_id", "tokens"), "prompts")
     if prompt_problems(prompts).limit(1).count():
         raise ValueError("every prompt must hold at least one token")
     seed = config.seed if config.seed is not None else random.SystemRandom().randrange(2**31)

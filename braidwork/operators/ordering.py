@@ -63,7 +63,10 @@ def range_bucket(
         F.lit("[" + ",".join(row[0] for row in limits) + "]"),
         T.ArrayType(keyed.schema["k"].dataType),
     )
-    return _search(literal, len(limits), _key(keys))
+    # Adding a partition-bound zero keeps the optimizer from rewriting joins on the
+    # bucket in terms of this expression: in a fresh session it can push a filter that
+    # names the key column to a side that does not have it.
+    return _search(literal, len(limits), _key(keys)) + F.spark_partition_id() * 0
 
 
 def _search(limits: Column, n: int, key: Column) -> Column:

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
@@ -30,3 +34,30 @@ def test_every_query_has_sql():
 def test_entry_has_a_stable_schema(spark):
     df = entry.entry(spark)
     assert df.columns == ["batch_id", "slot", "doc_id", "x", "y"] and df.count() > 0
+
+
+FRESH = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as entry
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("ROWS", {call})
+"""
+
+
+@pytest.mark.parametrize(
+    "call, rows",
+    [
+        ("entry.entry(spark).count()", 192),
+        ("entry.queries()['batch_rows_keep'](spark, '/root/testdata/sf0.001').count()", 200),
+        ("entry.queries()['cumulative_epochs'](spark, '/root/testdata/sf0.001').count()", 1500),
+    ],
+)
+def test_first_query_of_a_fresh_session(call, rows):
+    """Plans are also checked where column ids start at zero."""
+    repo = os.path.dirname(os.path.abspath(entry.__file__))
+    done = subprocess.run(
+        [sys.executable, "-c", FRESH.format(repo=repo, call=call)], capture_output=True, text=True, timeout=300
+    )
+    assert f"ROWS {rows}" in done.stdout, done.stderr[-2000:]
