@@ -27,7 +27,8 @@ def salted_join(
     key. The rows of a hot key go to ``salts`` tasks instead of one; the
     lookup side is replicated as often.
     """
-    left = big.withColumn("_salt", F.pmod(salt, F.lit(salts)).cast("int"))
+    own = F.coalesce(F.pmod(salt, F.lit(salts)), F.lit(0))
+    left = big.withColumn("_salt", own.cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 

@@ -103,7 +103,8 @@ def running_total(
     before = F.sum("_sum").over(
         by_bucket.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
-    columns = [*part, "_bucket", F.coalesce(before, F.lit(0)).alias("_before")]
+    columns = [F.col(c).alias(f"_of_{c}") for c in [*part, "_bucket"]]
+    columns.append(F.coalesce(before, F.lit(0)).alias("_before"))
     if grand_total is not None:
         columns.append(F.sum("_sum").over(by_bucket).alias(grand_total))
     offsets = sums.select(*columns)
@@ -116,11 +117,14 @@ def running_total(
         .orderBy(*keys)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # Null partition values form a group of their own, so they must meet in the join.
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in part]
+    same.append(F.col("_bucket") == F.col("_of__bucket"))
     return (
         base.withColumn("_local", F.sum("_value").over(in_bucket))
-        .join(offsets, [*part, "_bucket"])
+        .join(offsets, same)
         .withColumn(out, F.col("_before") + F.col("_local"))
-        .drop("_bucket", "_value", "_before", "_local")
+        .drop("_bucket", "_value", "_before", "_local", *[f"_of_{c}" for c in [*part, "_bucket"]])
     )
 
 

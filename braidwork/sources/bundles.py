@@ -35,6 +35,15 @@ def check_bundle_name(name: str) -> None:
         raise ValueError(f"bundle name may hold letters, digits, '_', '.', '-' only: {name!r}")
 
 
+def _checked_name() -> Column:
+    """The bundle column; a name that is no valid path part fails the write, before anything
+    is committed and without a pass of its own."""
+    name = F.col("bundle")
+    allowed = F.coalesce(name.rlike(f"^{_NAME.pattern}$"), F.lit(False))
+    refusal = F.raise_error(F.concat(F.lit("not a bundle name: "), F.coalesce(name, F.lit("null"))))
+    return F.when(allowed, name).otherwise(refusal.cast("string")).alias("bundle")
+
+
 def _missing(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -69,19 +78,16 @@ def write_bundles(
     bundles of the store are left alone.
     """
     spark = weights.sparkSession
-    allowed = F.col("bundle").rlike(f"^{_NAME.pattern}$")
-    bad = weights.select("bundle").where(~F.coalesce(allowed, F.lit(False))).limit(1).collect()
-    if bad:
-        raise ValueError(f"not a bundle name: {bad[0][0]!r}")
     if not force and _path_exists(spark, f"{root}/weights"):
         stored = list_bundles(spark, root).select("bundle")
         clash = weights.select("bundle").join(stored, "bundle", "left_semi").limit(1).collect()
         if clash:
             raise FileExistsError(f"bundle {clash[0][0]!r} is already stored under {root}")
     columns = [F.col(f.name).cast(f.dataType) for f in WEIGHTS_SCHEMA]
-    _write(weights.select(*columns, F.col("bundle")), f"{root}/weights", "parquet")
+    _write(weights.select(*columns, _checked_name()), f"{root}/weights", "parquet")
     if metadata is not None:
-        _write(metadata.select(F.col("json").alias("value"), "bundle"), f"{root}/metadata", "text")
+        sidecars = metadata.select(F.col("json").alias("value"), _checked_name())
+        _write(sidecars, f"{root}/metadata", "text")
 
 
 def list_bundles(spark: SparkSession, root: str) -> DataFrame:

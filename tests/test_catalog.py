@@ -4,6 +4,7 @@ import dataclasses
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from braidwork.configs import (
@@ -113,7 +114,7 @@ def test_saving_replaces_one_bundle_and_keeps_the_others(spark, store):
     assert [x["values"] for x in b.load_weights(spark, store, "b1").collect()] == [[9.0]]
     assert b.load_weights(spark, store, "b2").count() == 2
     b.write_bundles(new.withColumn("bundle", F.lit("b8")), store, force=False)
-    with pytest.raises(ValueError, match="not a bundle name"):
+    with pytest.raises(PySparkException, match="not a bundle name: a/b"):
         b.write_bundles(new.withColumn("bundle", F.lit("a/b")), store)
 
 

@@ -37,6 +37,13 @@ def test_dense_index_of_mixed_keys_per_partition_value(spark):
         assert [got[r[0]] for r in own] == list(range(len(own)))
 
 
+def test_null_partition_values_are_a_group(spark):
+    rows = [(1, None), (2, None), (3, "a"), (None, "a")]
+    df = spark.createDataFrame(rows, "id long, p string")
+    got = ordering.dense_index(df, [F.col("id")], partition_by=["p"]).collect()
+    assert sorted((str(r["p"]), r["ix"]) for r in got) == [("None", 0), ("None", 1), ("a", 0), ("a", 1)]
+
+
 def test_hot_partition_value_is_spread_over_buckets(spark):
     df = spark.range(2000).select(F.col("id"), F.lit("hot").alias("p"))
     bucket = ordering.range_bucket(df, [F.col("id")])
