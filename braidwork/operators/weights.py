@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from braidwork.functions.numbers import fixed_point, scientific
 from braidwork.operators.selection import SORT_LIMIT, Histogram, histogram, median_of
 from braidwork.session import materialize
 
@@ -136,10 +137,18 @@ def norm_verdict(summary: DataFrame) -> DataFrame:
     percent = F.abs(F.col("median_ratio") - 1.0) * 100
     return summary.withColumn("percent", percent).withColumn(
         "verdict",
-        F.when(percent < 1.0, F.format_string("very similar: %.2f%%", percent))
-        .when(percent < 5.0, F.format_string("moderately different: %.1f%%", percent))
-        .when(F.col("median_ratio") > 1.0, F.format_string("grown by %.1f%%", percent))
-        .otherwise(F.format_string("shrunk by %.1f%%", percent)),
+        F.when(percent < 1.0, F.concat(F.lit("very similar: "), fixed_point(percent, 2), F.lit("%")))
+        .when(
+            percent < 5.0,
+            F.concat(F.lit("moderately different: "), fixed_point(percent, 1), F.lit("%")),
+        )
+        .otherwise(
+            F.concat(
+                F.when(F.col("median_ratio") > 1.0, "grown by ").otherwise("shrunk by "),
+                fixed_point(percent, 1),
+                F.lit("%"),
+            )
+        ),
     )
 
 
@@ -217,18 +226,26 @@ def _state_row(spark, hist: Histogram, median: float, threshold: float) -> DataF
 def state_verdict(summary: DataFrame) -> DataFrame:
     """Add ``unchanged_params`` and ``verdict``."""
     percent, median = F.col("percent_changed"), F.col("median_change")
+    one_decimal = F.concat(fixed_point(percent, 1), F.lit("%"))
     return summary.withColumn(
         "unchanged_params", F.col("total_params") - F.col("changed_params")
     ).withColumn(
         "verdict",
-        F.when(percent < 1.0, F.format_string("nearly identical: %.2f%% changed", percent))
-        .when(percent < 50.0, F.format_string("minority changed: %.1f%%", percent))
+        F.when(
+            percent < 1.0, F.concat(F.lit("nearly identical: "), fixed_point(percent, 2), F.lit("% changed"))
+        )
+        .when(percent < 50.0, F.concat(F.lit("minority changed: "), one_decimal))
         .when(
             median < 1e-4,
-            F.format_string("subtly different: %.1f%% changed, median %.2e", percent, median),
+            F.concat(F.lit("subtly different: "), one_decimal, F.lit(" changed, median "), scientific(median)),
         )
         .otherwise(
-            F.format_string("substantially different: %.1f%% changed, median %.6f", percent, median)
+            F.concat(
+                F.lit("substantially different: "),
+                one_decimal,
+                F.lit(" changed, median "),
+                fixed_point(median, 6),
+            )
         ),
     )
 

@@ -133,7 +133,7 @@ def test_statistics_match_numpy_on_one_dominant_leaf(spark, sort_limit):
 
 @pytest.mark.parametrize(
     "median, text",
-    [(1.005, "very similar: 0.50%"), (0.97, "moderately different: 3.0%"), (1.5, "grown by 50.0%"), (0.5, "shrunk by 50.0%")],
+    [(1.005, "very similar: 0.50%"), (0.97, "moderately different: 3.0%"), (1.5, "grown by 50.0%"), (26.0, "grown by 2500.0%"), (0.5, "shrunk by 50.0%")],
 )
 def test_norm_verdicts(spark, median, text):
     df = spark.createDataFrame([(median,)], "median_ratio double")
@@ -145,6 +145,9 @@ def test_norm_verdicts(spark, median, text):
     [
         (0.5, 1.0, "nearly identical: 0.50% changed"),
         (20.0, 1.0, "minority changed: 20.0%"),
+        (40.05, 1.0, f"minority changed: {40.05:.1f}%"),
+        (90.05, 0.125, f"substantially different: {90.05:.1f}% changed, median {0.125:.6f}"),
+        (99.25, 3.456e-9, f"subtly different: {99.25:.1f}% changed, median {3.456e-9:.2e}"),
         (80.0, 2e-5, "subtly different: 80.0% changed, median 2.00e-05"),
         (80.0, 0.5, "substantially different: 80.0% changed, median 0.500000"),
     ],
