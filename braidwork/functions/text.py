@@ -24,15 +24,18 @@ def strip_whitespace(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def is_not_blank(text: Column) -> Column:
+    """Does anything but white space stand in the text? Reads up to the first such character."""
+    return F.ltrim(text, F.lit(WHITESPACE)) != ""
+
+
 def clean_decode(text: Column) -> Column:
-    """Replace malformed UTF-8 by U+FFFD and fold all newline styles to ``\\n``."""
-    return F.regexp_replace(F.make_valid_utf8(text), "\r\n?", "\n")
+    """Replace malformed UTF-8 by U+FFFD and fold all newline styles to ``\n``."""
+    valid = F.make_valid_utf8(text)
+    folded = F.regexp_replace(valid, "\r\n?", "\n")
+    return F.when(F.contains(valid, F.lit("\r")), folded).otherwise(valid)
 
 
 def terminate_block(text: Column, delimiter: str) -> Column:
-    """The stored form of a block: stripped, with the delimiter attached.
-
-    Blank blocks become null so that callers can drop them.
-    """
-    body = strip_whitespace(text)
-    return F.when(body != "", F.concat(body, F.lit(delimiter)))
+    """The stored form of a block: stripped, with the delimiter attached."""
+    return F.concat(strip_whitespace(text), F.lit(delimiter))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from braidwork.functions.schedule import warmup_cosine_rate
 from braidwork.operators.joins import salted_join
+from braidwork.session import materialize
 
 STEPS_PER_TASK_ROW = 10_000
 
@@ -122,10 +123,14 @@ def close_windows(partials: DataFrame, every: int) -> DataFrame:
 
 
 def loss_windows(steps: DataFrame, every: int) -> DataFrame:
-    """Mean loss of every logged window of ``run_id, epoch, step, loss``."""
+    """Mean loss of every logged window of ``run_id, epoch, step, loss``.
+
+    The partial windows are stored, because closing them needs their counts as
+    well as their sums: the steps are read and shuffled once.
+    """
     if every <= 0:
         raise ValueError(f"log_every_n_steps must be > 0, got {every}")
-    return close_windows(partial_windows(steps, every), every)
+    return close_windows(materialize(partial_windows(steps, every), "partial-windows"), every)
 
 
 def epoch_mean_loss(windows: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def words(text: Column, delimiter: str) -> Column:
     if any(c.isspace() for c in delimiter):
         raise ValueError("word tokenising needs a delimiter without white space")
     spaced = F.replace(text, F.lit(delimiter), F.lit(f" {delimiter} "))
-    return F.filter(F.split(spaced, _GAPS), lambda w: w != "")
+    return F.array_remove(F.split(spaced, _GAPS), "")
 
 
 def build_vocab(blocks: DataFrame, text_col: str, delimiter: str) -> DataFrame:

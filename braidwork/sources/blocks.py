@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from braidwork.functions.text import clean_decode, terminate_block
+from braidwork.functions.text import clean_decode, is_not_blank, terminate_block
 
 
 def check_delimiter(delimiter: str) -> None:
@@ -26,13 +26,11 @@ def scan_blocks(spark: SparkSession, path: str | list[str], delimiter: str) -> D
     """
     check_delimiter(delimiter)
     raw = spark.read.option("lineSep", delimiter).text(path)
-    blocks = raw.select(
+    return raw.where(is_not_blank(F.make_valid_utf8("value"))).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("split_start"),
+        F.monotonically_increasing_id().alias("row_in_scan"),
         terminate_block(clean_decode(F.col("value")), delimiter).alias("text"),
-    ).where(F.col("text").isNotNull())
-    return blocks.select(
-        "file_path", "split_start", F.monotonically_increasing_id().alias("row_in_scan"), "text"
     )
 
 
@@ -41,9 +39,10 @@ BLOCK_ORDER = ("file_path", "split_start", "row_in_scan")
 
 def normalize_blocks(df: DataFrame, text_col: str, delimiter: str) -> DataFrame:
     """The same clean-up for text that is already in a table: strip, drop blanks, terminate."""
-    return df.withColumn(text_col, terminate_block(F.col(text_col), delimiter)).where(
-        F.col(text_col).isNotNull()
-    )
+    # The blank test is separate from the strip, which the optimizer would otherwise repeat
+    # in the filter.
+    kept = df.where(is_not_blank(F.col(text_col)))
+    return kept.withColumn(text_col, terminate_block(F.col(text_col), delimiter))
 
 
 def write_delimited(df: DataFrame, text_col: str, path: str, delimiter: str) -> None:

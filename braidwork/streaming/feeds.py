@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from braidwork.configs import ModelConfig, TokenizerConfig
-from braidwork.functions.text import clean_decode, terminate_block
+from braidwork.functions.text import clean_decode, is_not_blank, terminate_block
 from braidwork.functions.tokens import byte_example, shift_left
 from braidwork.sources.blocks import check_delimiter
 
@@ -15,10 +15,10 @@ def follow_blocks(spark: SparkSession, folder: str, delimiter: str) -> DataFrame
     """Blocks of every file that lands in ``folder``: ``file_path, text``. Stateless."""
     check_delimiter(delimiter)
     raw = spark.readStream.option("lineSep", delimiter).text(folder)
-    return raw.select(
+    return raw.where(is_not_blank(F.make_valid_utf8("value"))).select(
         F.col("_metadata.file_path").alias("file_path"),
         terminate_block(clean_decode(F.col("value")), delimiter).alias("text"),
-    ).where(F.col("text").isNotNull())
+    )
 
 
 def follow_examples(

@@ -59,7 +59,7 @@ def test_window_size_must_be_positive(steps):
 
 
 def test_no_window_runs_over_the_steps(steps, plan_of):
-    plan = plan_of(m.loss_windows(steps, 2))
+    plan = plan_of(m.close_windows(m.partial_windows(steps, 2), 2))
     assert "SinglePartition" not in plan
     before_window = plan.split("Window")[0]
     assert before_window.count("HashAggregate") >= 2
