@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from braidwork.configs import InferenceConfig
-from braidwork.operators.joins import BROADCAST_ROWS, salted_join
+from braidwork.operators.joins import BROADCAST_ROWS, fits_broadcast, salted_join
 from braidwork.operators.scoring import sample_score
 from braidwork.session import materialize
 
@@ -71,7 +71,7 @@ def generate(
             keys=(F.col("prompt_id"), F.lit(step)),
         )
 
-    if logits.count() <= broadcast_rows:
+    if fits_broadcast(logits, max_rows=broadcast_rows):
         by_ctx = logits.groupBy("ctx").agg(
             F.collect_list(F.struct("token", "logit")).alias("candidates")
         )

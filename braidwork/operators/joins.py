@@ -8,8 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
-# A lookup side of at most this many rows is sent to every executor.
+# A lookup side within both bounds is sent to every executor.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_TEXT_BYTES = 128 * 1024 * 1024
+
+
+def fits_broadcast(
+    small: DataFrame, *, max_rows: int = BROADCAST_ROWS, max_text_bytes: int = BROADCAST_TEXT_BYTES
+) -> bool:
+    """Measure a stored lookup table: few enough rows, and not too much text in them?"""
+    text = [F.octet_length(name) for name, kind in small.dtypes if kind == "string"]
+    per_row = sum((F.coalesce(n, F.lit(0)) for n in text), F.lit(0)).cast("long")
+    n_rows, n_bytes = small.agg(F.count(F.lit(1)), F.sum(per_row)).collect()[0]
+    return n_rows <= max_rows and (n_bytes or 0) <= max_text_bytes
 
 
 def salted_join(
@@ -39,11 +50,10 @@ def lookup_join(
     on: Sequence[str],
     salt: Column,
     *,
-    small_rows: int,
+    broadcast: bool,
     how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Broadcast the lookup side when its known row count allows, else salt."""
-    if small_rows <= broadcast_rows:
+    """Broadcast the lookup side when it was measured to fit, else salt."""
+    if broadcast:
         return big.join(F.broadcast(small), list(on), how)
     return salted_join(big, small, on, salt, how=how)

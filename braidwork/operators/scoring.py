@@ -114,18 +114,19 @@ def embed_lookup(
     position_table: DataFrame,
     *,
     id_col: str,
+    maxlen: int,
     tokens_col: str = "tokens",
 ) -> DataFrame:
     """``id, pos, token, vector``: token vector plus position vector, element by element.
 
-    The position table has one row per position (at most maxlen) and the token
-    table one per vocabulary id; both sizes are set by the model's
-    configuration. Positions are broadcast; frequent tokens are salted by
-    position.
+    The ``maxlen`` rows of the position table that a sequence can use are
+    broadcast; for the token table, frequent tokens are salted by position.
     """
     placed = sequences.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
     tokens = token_table.select("token", F.col("vector").cast("array<double>").alias("_tv"))
-    positions = position_table.select("pos", F.col("vector").cast("array<double>").alias("_pv"))
+    positions = position_table.where(F.col("pos").between(0, maxlen - 1)).select(
+        "pos", F.col("vector").cast("array<double>").alias("_pv")
+    )
     joined = salted_join(placed, tokens, ["token"], F.col("pos")).join(
         F.broadcast(positions), "pos"
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from braidwork.configs import TokenizerConfig
 from braidwork.functions.tokens import BYTE_DELIMITER_ID, BYTE_VOCAB_SIZE, byte_tokens
-from braidwork.operators.joins import BROADCAST_ROWS, lookup_join
+from braidwork.operators.joins import fits_broadcast, lookup_join
 from braidwork.operators.ordering import dense_index
 from braidwork.session import materialize
 
@@ -54,26 +54,28 @@ def tokenize_words(
     id_col: str,
     text_col: str,
     delimiter: str,
-    vocab_rows: int,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast: bool,
 ) -> DataFrame:
     """``id, tokens`` with the ids of a vocabulary table; words outside it become 0.
 
-    The vocabulary is broadcast while its known size allows; beyond that the
-    frequent words of the text side are salted by their position.
+    ``broadcast`` says that the vocabulary was measured to fit on every
+    executor; otherwise the frequent words of the text side are salted by
+    their position.
     """
-    placed = blocks.select(id_col, F.posexplode(words(F.col(text_col), delimiter)).alias("pos", "token"))
+    # The outer form keeps blocks without any word, with an empty sequence.
+    pieces = words(F.col(text_col), delimiter)
+    placed = blocks.select(id_col, F.posexplode_outer(pieces).alias("pos", "token"))
     coded = lookup_join(
         placed,
         vocab.select("token", "token_id"),
         ["token"],
         F.col("pos"),
-        small_rows=vocab_rows,
+        broadcast=broadcast,
         how="left",
-        broadcast_rows=broadcast_rows,
     )
     # Position and id packed into one long: cheaper to collect and sort than a struct.
-    packed = F.shiftleft(F.col("pos").cast("long"), 32) + F.coalesce("token_id", F.lit(UNKNOWN_ID))
+    token_id = F.coalesce("token_id", F.lit(UNKNOWN_ID))
+    packed = F.shiftleft(F.col("pos").cast("long"), 32) + token_id
     ordered = F.sort_array(F.collect_list(packed))
     ids = F.transform(ordered, lambda p: p.bitwiseAND(F.lit(_ID_MASK)).cast("int"))
     return coded.groupBy(id_col).agg(ids.alias("tokens"))
@@ -84,19 +86,17 @@ def detokenize_words(
     vocab: DataFrame,
     *,
     id_col: str,
-    vocab_rows: int,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast: bool,
 ) -> DataFrame:
     """``id, text``: words joined by single spaces, ids outside the vocabulary left out."""
-    placed = sequences.select(id_col, F.posexplode("tokens").alias("pos", "token_id"))
+    placed = sequences.select(id_col, F.posexplode_outer("tokens").alias("pos", "token_id"))
     named = lookup_join(
         placed,
         vocab.select("token_id", "token"),
         ["token_id"],
         F.col("pos"),
-        small_rows=vocab_rows,
+        broadcast=broadcast,
         how="left",
-        broadcast_rows=broadcast_rows,
     )
     ordered = F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("pos", "token"))))
     joined = F.array_join(F.transform(ordered, lambda p: p["token"]), " ")
@@ -162,7 +162,7 @@ def tokenize(
             id_col=id_col,
             text_col=text_col,
             delimiter=config.delimiter,
-            vocab_rows=vocab.count(),
+            broadcast=fits_broadcast(vocab),
         )
     encoder = named_encoder(config.name)
     return blocks.select(id_col, bpe_tokens(text, config.delimiter, encoder).alias("tokens"))

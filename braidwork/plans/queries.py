@@ -592,11 +592,9 @@ def embed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = t.load(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     vocab = token_functions.BYTE_VOCAB_SIZE
     tokens = vectors.where(F.col("vec_id") < vocab).withColumn("token", F.col("vec_id").cast("int"))
-    positions = vectors.withColumn("pos", (F.col("vec_id") - vocab).cast("int")).where(
-        F.col("pos").between(0, 31)
-    )
+    positions = vectors.withColumn("pos", (F.col("vec_id") - vocab).cast("int"))
     rows = t.token_rows(spark, sf_dir, 32).select("doc_id", F.col("x").alias("tokens"))
-    embedded = scoring.embed_lookup(rows, tokens, positions, id_col="doc_id")
+    embedded = scoring.embed_lookup(rows, tokens, positions, id_col="doc_id", maxlen=32)
     total = F.aggregate("vector", F.lit(0.0), lambda acc, v: acc + v)
     return embedded.select(
         "doc_id",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from braidwork.operators import ordering
 from braidwork.operators.batching import assign_batches, batches_per_epoch, pack_batches, repeat_epochs
-from braidwork.operators.joins import lookup_join, salted_join
+from braidwork.operators.joins import fits_broadcast, lookup_join, salted_join
 
 
 def keyed(spark, ids, parts=3):
@@ -128,6 +128,8 @@ def test_salted_join_equals_plain_join(spark, how):
     small = spark.createDataFrame([(0, "zero"), (1, "one"), (4, "four")], "k long, name string")
     plain = sorted(map(tuple, big.join(small, "k", how).collect()), key=str)
     assert sorted(map(tuple, salted_join(big, small, ["k"], F.col("id"), how=how).collect()), key=str) == plain
-    for limit in (0, 10):
-        joined = lookup_join(big, small, ["k"], F.col("id"), small_rows=3, how=how, broadcast_rows=limit)
+    assert fits_broadcast(small) and not fits_broadcast(small, max_rows=2)
+    assert not fits_broadcast(small, max_text_bytes=10) and fits_broadcast(small, max_text_bytes=11)
+    for broadcast in (True, False):
+        joined = lookup_join(big, small, ["k"], F.col("id"), broadcast=broadcast, how=how)
         assert sorted(map(tuple, joined.collect()), key=str) == plain

@@ -90,7 +90,7 @@ def test_embedding_is_token_plus_position(spark):
     rows = spark.createDataFrame([("s", [1, 0, 1])], "id string, tokens array<int>")
     tokens = spark.createDataFrame([(0, [1.0, 2.0]), (1, [10.0, 20.0])], "token int, vector array<float>")
     positions = spark.createDataFrame([(i, [0.5 * i, 0.0]) for i in range(3)], "pos int, vector array<float>")
-    got = s.embed_lookup(rows, tokens, positions, id_col="id").orderBy("pos").collect()
+    got = s.embed_lookup(rows, tokens, positions, id_col="id", maxlen=3).orderBy("pos").collect()
     assert [r["vector"] for r in got] == [[10.0, 20.0], [1.5, 2.0], [11.0, 20.0]]
 
 

@@ -92,18 +92,19 @@ def test_vocab_ranks_by_count_then_token(word_blocks):
     ]
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 1])
-def test_word_tokens_and_back(spark, word_blocks, broadcast_rows):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_word_tokens_and_back(spark, word_blocks, broadcast):
     vocab = tz.build_vocab(word_blocks, "text", END)
-    more = word_blocks.union(spark.createDataFrame([(3, "the emu dog")], "id int, text string"))
+    more = word_blocks.union(spark.createDataFrame([(3, "the emu dog"), (4, " ")], "id int, text string"))
     coded = tz.tokenize_words(
-        more, vocab, id_col="id", text_col="text", delimiter=END, vocab_rows=5, broadcast_rows=broadcast_rows
+        more, vocab, id_col="id", text_col="text", delimiter=END, broadcast=broadcast
     )
     assert {r["id"]: r["tokens"] for r in coded.collect()} == {
-        0: [2, 5, 2, 3, 1], 1: [3, 1, 2, 4, 1], 2: [2, 1], 3: [2, 0, 3],
+        0: [2, 5, 2, 3, 1], 1: [3, 1, 2, 4, 1], 2: [2, 1], 3: [2, 0, 3], 4: [],
     }
-    back = tz.detokenize_words(coded, vocab, id_col="id", vocab_rows=5, broadcast_rows=broadcast_rows)
-    assert {r["id"]: r["text"] for r in back.collect()}[3] == "the dog"
+    back = tz.detokenize_words(coded, vocab, id_col="id", broadcast=broadcast)
+    texts = {r["id"]: r["text"] for r in back.collect()}
+    assert texts[3] == "the dog" and texts[4] == ""
 
 
 def test_word_delimiter_must_be_one_word():
