@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 from braidwork.operators import rules as R
 
 # The tokenizer names that can be configured.
-TOKENIZER_NAMES = ("byte", "word", "gpt2", "r50k_base", "p50k_base", "cl100k_base", "o200k_base")
+TOKENIZER_NAMES = (
+    "byte", "word", "gpt2", "r50k_base", "p50k_base", "p50k_edit", "cl100k_base", "o200k_base", "o200k_harmony",
+)
 DEFAULT_DELIMITER = "<|endoftext|>"
 
 

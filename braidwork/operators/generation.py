@@ -42,7 +42,7 @@ def generate(
     greedy: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """``prompt_id, tokens, new_tokens``: every prompt with its continuation.
+    """``prompt_id, tokens, new_tokens``: every prompt (ids are unique) with its continuation.
 
     Stops after ``max_new_tokens`` rounds, or earlier for a prompt that draws
     the end token (which is not appended) or whose last token has no

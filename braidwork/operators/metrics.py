@@ -2,22 +2,25 @@
 
 Steps are numbered from 0 without gaps within each ``(run_id, epoch)``; that
 makes the window of a step plain arithmetic plus an offset per epoch, so no
-window function ever runs over the steps of a run and a run with a large share
-of all steps is aggregated by as many tasks as any other data.
+window function ever runs over the steps of a run, and a run with a large
+share of all steps is aggregated by as many tasks as any other data. Only
+epoch and phase counts are put in order, in buckets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from braidwork.functions.schedule import warmup_cosine_rate
 from braidwork.operators.joins import salted_join
+from braidwork.operators.ordering import running_total
 from braidwork.session import materialize
 
 STEPS_PER_TASK_ROW = 10_000
+ORDINALS_PER_BUCKET = 4_096
 
 
 def _div(a: Column, n: int) -> Column:
@@ -70,6 +73,25 @@ def lr_schedule(plans: DataFrame) -> DataFrame:
     return steps.select("run_id", "step", _rate(F.col("step")).alias("learning_rate"))
 
 
+def _ordered_sums(
+    df: DataFrame, value: str, ordinal: str, partition: str, grand_total: str | None = None
+) -> DataFrame:
+    """Add ``_upto``: the running sum of ``value`` by an ordinal number within a partition.
+
+    Stretches of the ordinal are the buckets, so even a run with very many
+    epochs is summed by many tasks.
+    """
+    return running_total(
+        df,
+        F.col(value),
+        [F.col(ordinal)],
+        partition_by=[partition],
+        bucket=_div(F.col(ordinal), ORDINALS_PER_BUCKET),
+        out="_upto",
+        grand_total=grand_total,
+    )
+
+
 def partial_windows(steps: DataFrame, every: int) -> DataFrame:
     """Loss sums per ``(run_id, epoch, w)`` where ``w`` counts ``every`` steps within the
     epoch, combined map-side."""
@@ -91,15 +113,8 @@ def close_windows(partials: DataFrame, every: int) -> DataFrame:
     closes = partials.groupBy("run_id", "epoch").agg(
         _div(F.sum("n_losses"), every).alias("n_closed")
     )
-    by_run = Window.partitionBy("run_id")
-    before = F.sum("n_closed").over(
-        by_run.orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = closes.select(
-        "run_id",
-        "epoch",
-        F.coalesce(before, F.lit(0)).alias("first_g"),
-        F.sum("n_closed").over(by_run).alias("n_windows"),
+    offsets = _ordered_sums(closes, "n_closed", "epoch", "run_id", grand_total="n_windows").select(
+        "run_id", "epoch", (F.col("_upto") - F.col("n_closed")).alias("first_g"), "n_windows"
     )
     placed = salted_join(partials, offsets, ["run_id", "epoch"], F.col("w"))
     return (
@@ -107,15 +122,16 @@ def close_windows(partials: DataFrame, every: int) -> DataFrame:
         .where(F.col("g") < F.col("n_windows"))
         .groupBy("run_id", "g")
         .agg(
-            F.max(F.struct("epoch", "last_step")).alias("end"),
+            # Epoch and step in one long, which a hash aggregate can keep the maximum of.
+            F.max(F.shiftleft(F.col("epoch").cast("long"), 32) + F.col("last_step")).alias("end"),
             F.sum("n_losses").alias("n_losses"),
             (F.sum("loss_sum") / F.sum("n_losses")).alias("window_mean"),
         )
         .select(
             "run_id",
             "g",
-            F.col("end.epoch").alias("end_epoch"),
-            F.col("end.last_step").alias("end_step"),
+            F.shiftright("end", 32).cast("int").alias("end_epoch"),
+            F.col("end").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("end_step"),
             "n_losses",
             "window_mean",
         )
@@ -167,9 +183,8 @@ def loss_history(windows: DataFrame, phases: DataFrame) -> DataFrame:
     phases; only those counts are ordered.
     """
     counts = windows.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_windows")).join(phases, "run_id")
-    earlier = Window.partitionBy("lineage").orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "run_id", "lineage", "phase", F.coalesce(F.sum("n_windows").over(earlier), F.lit(0)).alias("_first")
+    offsets = _ordered_sums(counts, "n_windows", "phase", "lineage").select(
+        "run_id", "lineage", "phase", (F.col("_upto") - F.col("n_windows")).alias("_first")
     )
     placed = salted_join(windows, offsets, ["run_id"], F.col("g"))
     return placed.select(

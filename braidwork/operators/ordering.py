@@ -91,20 +91,24 @@ def running_total(
 ) -> DataFrame:
     """Add the inclusive running sum of ``value`` in key order.
 
-    A caller's own ``bucket`` must not decrease along the key order and must
-    have a bounded number of values (at most 65,536).
+    A caller's own ``bucket`` must not decrease along the key order and, unless
+    there is a partition, must have a bounded number of values (at most 65,536).
     """
-    part = list(partition_by)
     bucket = range_bucket(df, keys) if bucket is None else bucket
     base = df.withColumn("_bucket", bucket).withColumn("_value", value)
+    part = []
+    if partition_by:
+        # One struct: never null itself, so rows with null partition values meet in the
+        # join, on the same keys the window has already distributed them by.
+        base = base.withColumn("_part", F.struct(*partition_by))
+        part = ["_part"]
 
     sums = base.groupBy(*part, "_bucket").agg(F.sum("_value").alias("_sum"))
     by_bucket = Window.partitionBy(*part)
     before = F.sum("_sum").over(
         by_bucket.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
-    columns = [F.col(c).alias(f"_of_{c}") for c in [*part, "_bucket"]]
-    columns.append(F.coalesce(before, F.lit(0)).alias("_before"))
+    columns = [*part, "_bucket", F.coalesce(before, F.lit(0)).alias("_before")]
     if grand_total is not None:
         columns.append(F.sum("_sum").over(by_bucket).alias(grand_total))
     offsets = sums.select(*columns)
@@ -117,14 +121,11 @@ def running_total(
         .orderBy(*keys)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # Null partition values form a group of their own, so they must meet in the join.
-    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in part]
-    same.append(F.col("_bucket") == F.col("_of__bucket"))
     return (
         base.withColumn("_local", F.sum("_value").over(in_bucket))
-        .join(offsets, same)
+        .join(offsets, [*part, "_bucket"])
         .withColumn(out, F.col("_before") + F.col("_local"))
-        .drop("_bucket", "_value", "_before", "_local", *[f"_of_{c}" for c in [*part, "_bucket"]])
+        .drop(*part, "_bucket", "_value", "_before", "_local")
     )
 
 

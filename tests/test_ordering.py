@@ -68,6 +68,18 @@ def test_no_data_sized_single_partition_exchange(spark, plan_of):
     assert "_bucket" in plan.split("Arguments: SinglePartition")[0].rsplit("Input", 1)[1]
 
 
+def test_rows_move_once_even_without_a_broadcast(spark, plan_of):
+    df = spark.range(5000).select("id", (F.col("id") % 3).alias("p"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(ordering.dense_index(df, [F.col("id")], partition_by=["p"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = plan.split("\n\n")[0]
+    rows_side = [line for line in tree.splitlines() if line.lstrip().startswith(":")]
+    assert sum("Exchange" in line for line in rows_side) == 1
+
+
 def test_shuffled_order_depends_on_seed_only(spark):
     def order(seed, parts):
         df = keyed(spark, range(300), parts)
