@@ -7,6 +7,8 @@ of a model is many rows with different join keys.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -211,7 +213,7 @@ def _state_row(spark, hist: Histogram, median: float, threshold: float) -> DataF
         changed,
         changed / hist.n * 100.0,
         median,
-        nan if nan is not None else sum(b["total"] for b in hist.bins) / hist.n,
+        nan if nan is not None else math.fsum(b["total"] for b in hist.bins) / hist.n,
         nan if nan is not None else max(b["hi"] for b in hist.bins),
         nan if nan is not None else min(b["lo"] for b in hist.bins),
         threshold,

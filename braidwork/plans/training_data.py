@@ -11,7 +11,7 @@ from braidwork.operators.batching import assign_batches
 from braidwork.operators.ordering import dense_index, first_rows, visit_order
 from braidwork.operators.tokenizers import tokenize
 from braidwork.session import materialize
-from braidwork.sources.blocks import BLOCK_ORDER, normalize_blocks, scan_blocks
+from braidwork.sources.blocks import BLOCK_ORDER, normalize_blocks, scan_first_blocks
 
 
 def _fixed_length_tokens(
@@ -84,14 +84,12 @@ def indexed_file_tokens(
     The number depends on the files only, not on how the scan was split, so a
     seeded visit order is the same on every cluster.
     """
-    blocks = scan_blocks(spark, path, tokenizer.delimiter)
+    blocks = scan_first_blocks(spark, path, tokenizer.delimiter, max_blocks)
     rows = _fixed_length_tokens(
         blocks, id_cols=list(BLOCK_ORDER), text_col="text", model=model, tokenizer=tokenizer
     )
     stored = materialize(rows, "token-rows")
     indexed = dense_index(stored, [F.col(c) for c in BLOCK_ORDER], out="block_ix")
-    if max_blocks:
-        indexed = indexed.where(F.col("block_ix") < max_blocks)
     return materialize(indexed.select("block_ix", "x"), "indexed-token-rows")
 
 

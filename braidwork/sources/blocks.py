@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from braidwork.functions.text import clean_decode, is_not_blank, terminate_block
 
 
+BLOCK_ORDER = ("file_path", "split_start", "row_in_scan")
+FILES_FACTOR = 16
+
+
 def check_delimiter(delimiter: str) -> None:
     """A delimiter with a newline could never be found inside one line of text."""
     if not delimiter:
@@ -34,7 +38,28 @@ def scan_blocks(spark: SparkSession, path: str | list[str], delimiter: str) -> D
     )
 
 
-BLOCK_ORDER = ("file_path", "split_start", "row_in_scan")
+def scan_first_blocks(
+    spark: SparkSession, path: str | list[str], delimiter: str, n: int | None
+) -> DataFrame:
+    """The first ``n`` blocks in file order; ``None`` and 0 both mean all.
+
+    Opens files from the front of the list, ever more of them, until ``n``
+    blocks are found, so a small limit does not read a large corpus.
+    """
+    if not n:
+        return scan_blocks(spark, path, delimiter)
+    listed = spark.read.format("binaryFile").load(path)
+    by_name = listed.select("path", F.col("_metadata.file_path").alias("uri")).orderBy("uri")
+    opened = 1
+    while True:
+        files = [row["path"] for row in by_name.limit(opened).collect()]
+        if not files:
+            return scan_blocks(spark, path, delimiter)
+        order = [F.col(c) for c in BLOCK_ORDER]
+        found = scan_blocks(spark, files, delimiter).orderBy(*order).limit(n)
+        if len(files) < opened or found.count() == n:
+            return found
+        opened *= FILES_FACTOR
 
 
 def normalize_blocks(df: DataFrame, text_col: str, delimiter: str) -> DataFrame:

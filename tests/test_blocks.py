@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 
 from braidwork.functions.text import WHITESPACE
 from braidwork.operators.ordering import first_rows
-from braidwork.sources.blocks import BLOCK_ORDER, corpus_profile, normalize_blocks, scan_blocks
+from braidwork.sources.blocks import BLOCK_ORDER, corpus_profile, normalize_blocks, scan_blocks, scan_first_blocks
 
 END = "<|endoftext|>"
 ONE, TWO, THREE = "A first short tale.", "Then a second one.", "And a third."
@@ -91,6 +91,24 @@ def test_block_limit_keeps_file_order_and_zero_means_all(spark, tmp_path, limit,
     assert texts(kept) == [ONE + END, TWO + END, THREE + END][:count]
 
 
+@pytest.mark.parametrize("n, files", [(1, 1), (2, 1), (3, 3), (7, 3), (None, 3)])
+def test_limited_scan_opens_files_from_the_front(spark, tmp_path, n, files):
+    folder = tmp_path / "in put"
+    folder.mkdir()
+    for name in "cab":
+        (folder / f"{name} 1.txt").write_text(f"{name}-one{END}\n{name}-two{END}\n")
+    got = scan_first_blocks(spark, str(folder), END, n)
+    everything = [f"{name}-{k}{END}" for name in "abc" for k in ("one", "two")]
+    assert texts(got) == everything[: n or 6]
+    assert len(got.inputFiles()) == files
+
+
+def test_limited_scan_of_an_empty_corpus(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert texts(scan_first_blocks(spark, str(tmp_path / "in"), END, 3)) == []
+    assert texts(scan_first_blocks(spark, write(tmp_path, "", "e.txt"), END, 3)) == []
+
+
 def _col(name):
     from pyspark.sql import functions as F
 
