@@ -44,7 +44,7 @@ def digest(column: str) -> list[Column]:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.load(spark, sf_dir, "documents").select("doc_id", "text")
+    return t.documents(spark, sf_dir)
 
 
 def _padded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,12 +198,12 @@ def detokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def shuffle_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = _documents(spark, sf_dir).select("doc_id")
+    ids = t.load(spark, sf_dir, "documents").select("doc_id")
     return ordering.visit_order(ids, "doc_id", shuffle=True, seed=42)
 
 
 def _batched_ids(spark: SparkSession, sf_dir: str, drop_remainder: bool) -> DataFrame:
-    ids = _documents(spark, sf_dir).select("doc_id")
+    ids = t.load(spark, sf_dir, "documents").select("doc_id")
     indexed = ordering.visit_order(ids, "doc_id", shuffle=False, seed=0, total="n_rows")
     return batching.assign_batches(indexed, "visit_ix", "n_rows", 32, drop_remainder=drop_remainder)
 

@@ -13,6 +13,7 @@ from braidwork.operators.metrics import run_step_plan
 from braidwork.operators.ordering import dense_index
 from braidwork.operators.weights import chunk_leaves
 from braidwork.plans.training_data import token_examples
+from braidwork.session import spread
 from braidwork.sources.bundles import parse_metadata
 
 DELIMITER = DEFAULT_DELIMITER
@@ -27,6 +28,11 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, text``, in enough partitions to tokenise with all cores."""
+    return spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def csv(tokens: Column) -> Column:
     """Integer array as comma-joined text, so results compare across engines."""
     return F.array_join(tokens.cast("array<string>"), ",")
@@ -35,7 +41,7 @@ def csv(tokens: Column) -> Column:
 def token_rows(spark: SparkSession, sf_dir: str, maxlen: int) -> DataFrame:
     """``doc_id, x`` for every document."""
     return token_examples(
-        load(spark, sf_dir, "documents"),
+        documents(spark, sf_dir),
         id_col="doc_id",
         text_col="text",
         model=ModelConfig(maxlen=maxlen),

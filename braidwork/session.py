@@ -60,3 +60,13 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even out an input with fewer partitions than the cluster has cores.
+
+    Tokenising costs far more per byte than moving text. A large input has
+    more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -6,6 +6,7 @@ import pytest
 
 from braidwork.configs import ModelConfig, TokenizerConfig, TrainingConfig
 from braidwork.plans import training_data as td
+from braidwork.session import spread
 from braidwork.streaming import feeds
 
 END = "<|endoftext|>"
@@ -91,6 +92,12 @@ def test_text_is_read_pruned_and_never_shuffled(spark, plan_of):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan and "Exchange" not in plan
 
 
+def test_only_narrow_inputs_are_spread(spark):
+    wide, narrow = spark.range(100, numPartitions=9), spark.range(100, numPartitions=2)
+    assert spread(wide) is wide
+    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_streamed_blocks_equal_the_batch_form(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
