@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,18 +30,17 @@ def build_session(app_name: str = "braidwork", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    A missing setting is filled in for local masters only (unit tests). On a
-    cluster a machine-local folder would not be readable by other executors,
-    so there the missing setting is an error.
+    Where it is unset the warehouse serves, which every executor reaches as well.
     """
     context = spark.sparkContext
-    current = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="braidwork-"))
-    return context.getCheckpointDir().rstrip("/")
+    current = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
+    )
+    if not current:
+        current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return current.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
