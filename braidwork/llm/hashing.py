@@ -76,12 +76,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def batch_words(
+def word_limits(
     buf: np.ndarray, at: np.ndarray, space: np.ndarray = _SPACE
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and the n + 1 offsets of the rows in them."""
+    """Start and end of every word; words do not cross the row offsets ``at``."""
     if not len(buf):
-        return np.zeros(0, _U64), np.zeros(len(at), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     word = ~space[buf]
     begins = word.copy()
     begins[1:] &= ~word[:-1]
@@ -92,7 +92,11 @@ def batch_words(
     ends[1:-1] = word[:-1] & ~word[1:]
     ends[row_start] |= np.where(row_start > 0, word[row_start - 1], False)
     ends[-1] = word[-1]
-    end = np.flatnonzero(ends)
+    return start, np.flatnonzero(ends)
+
+
+def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the given words, which are in order."""
     hashes = np.empty(len(start), _U64)
     i = 0
     while i < len(start):
@@ -100,7 +104,15 @@ def batch_words(
         lo, hi = start[i], end[j - 1]
         hashes[i:j] = _segment_hashes(buf[lo:hi], start[i:j] - lo, end[i:j] - lo)
         i = j
-    return hashes, np.searchsorted(start, at)
+    return hashes
+
+
+def batch_words(
+    buf: np.ndarray, at: np.ndarray, space: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and the n + 1 offsets of the rows in them."""
+    start, end = word_limits(buf, at, space)
+    return word_hashes(buf, start, end), np.searchsorted(start, at)
 
 
 def _places(width: int) -> np.ndarray:

@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from braidwork.llm.bpe_automaton import bpe_decode, bpe_encode, default_path
+from braidwork.llm.curriculum_mix import mix_plan
 from braidwork.llm.ngram_jaccard import jaccard_components
+from braidwork.llm.toxicity_fm import held_out, score_toxicity, train
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +21,35 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
 
+def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = default_path(spark)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe_encode(docs, path).drop("text")
+    texts = bpe_decode(ids, path)
+    return texts.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mix_plan(_table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "positions")
+
+
+def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = train(docs, _table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, machine).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_bpe_automaton": op2_bpe_automaton,
+    "op4_curriculum_mix": op4_curriculum_mix,
+    "op10_toxicity_fm": op10_toxicity_fm,
 }
