@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from braidwork.llm.bottomk_fingerprint import fingerprint_edits
 from braidwork.llm.bpe_automaton import bpe_decode, bpe_encode, default_path
 from braidwork.llm.curriculum_mix import mix_plan
+from braidwork.llm.kdtree_topk import exact_topk
 from braidwork.llm.ngram_jaccard import jaccard_components
 from braidwork.llm.toxicity_fm import held_out, score_toxicity, train
 
@@ -34,11 +36,20 @@ def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_bottomk_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(_table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "positions")
 
 
+def op7_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return exact_topk(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = train(docs, _table(spark, sf_dir, "labels"))
@@ -50,6 +61,8 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_bpe_automaton": op2_bpe_automaton,
+    "op3_bottomk_fingerprint": op3_bottomk_fingerprint,
     "op4_curriculum_mix": op4_curriculum_mix,
+    "op7_kdtree_topk": op7_kdtree_topk,
     "op10_toxicity_fm": op10_toxicity_fm,
 }

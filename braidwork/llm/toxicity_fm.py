@@ -23,7 +23,7 @@ from braidwork.session import materialize
 
 # Bounds of the fit: labelled rows, kept terms.
 SAMPLE_ROWS = 10_000
-KEPT_TERMS = 1_024
+KEPT_TERMS = 256
 PREFIXES = (4, 5, 6)
 FACTORS = 8
 _BREAK = np.ones(256, bool)
@@ -74,7 +74,7 @@ class Machine:
 
 def fit_machine(
     terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, *,
-    factors: int = FACTORS, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, seed: int = 7,
+    factors: int = FACTORS, steps: int = 500, rate: float = 0.05, decay: float = 1e-5, seed: int = 7,
 ) -> Machine:
     """Full-batch Adam on the logistic loss. One class only, or no rows: the smoothed share of label 1."""
     share = (labels.sum() + 0.5) / (len(labels) + 1.0)
@@ -138,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS)
         sample.select("toxic", F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("toxic").alias("hits"))
-        .where(F.col("df") >= 3)
+        .where(F.col("df") >= max(3, n // 500))
     )
     expected = F.col("df") * F.lit(n1 / max(n, 1))
     chi = (F.col("hits") - expected) ** 2 / (expected + F.lit(1e-9)) / (F.lit(1.0) - F.col("df") / (n + 1))
