@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from braidwork.llm.bottomk_fingerprint import fingerprint_edits
 from braidwork.llm.bpe_automaton import bpe_decode, bpe_encode, default_path
 from braidwork.llm.curriculum_mix import mix_plan
+from braidwork.llm.html_tree import extract_pages
 from braidwork.llm.kdtree_topk import exact_topk
 from braidwork.llm.ngram_jaccard import jaccard_components
 from braidwork.llm.toxicity_fm import held_out, score_toxicity, train
@@ -50,6 +51,13 @@ def op7_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op8_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_pages(pages).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = train(docs, _table(spark, sf_dir, "labels"))
@@ -64,5 +72,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bottomk_fingerprint": op3_bottomk_fingerprint,
     "op4_curriculum_mix": op4_curriculum_mix,
     "op7_kdtree_topk": op7_kdtree_topk,
+    "op8_html_tree": op8_html_tree,
     "op10_toxicity_fm": op10_toxicity_fm,
 }
