@@ -107,6 +107,14 @@ def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return hashes
 
 
+def sequence_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each run ``values[start:end]`` of hashes, from one running sum."""
+    up, down = _powers(len(values) + 1)
+    total = np.zeros(len(values) + 1, _U64)
+    np.cumsum(values * up[: len(values)], out=total[1:])
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(_U64) * _BASE)
+
+
 def batch_words(
     buf: np.ndarray, at: np.ndarray, space: np.ndarray = _SPACE
 ) -> tuple[np.ndarray, np.ndarray]:

@@ -13,6 +13,7 @@ from braidwork.llm.curriculum_mix import mix_plan
 from braidwork.llm.html_tree import extract_pages
 from braidwork.llm.kdtree_topk import exact_topk
 from braidwork.llm.ngram_jaccard import jaccard_components
+from braidwork.llm.sentence_spans import remove_repeats
 from braidwork.llm.toxicity_fm import held_out, score_toxicity, train
 
 
@@ -46,6 +47,11 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "positions")
 
 
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_sentences", "n_removed", "text")
+
+
 def op7_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return exact_topk(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
@@ -71,6 +77,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_automaton": op2_bpe_automaton,
     "op3_bottomk_fingerprint": op3_bottomk_fingerprint,
     "op4_curriculum_mix": op4_curriculum_mix,
+    "op6_sentence_spans": op6_sentence_spans,
     "op7_kdtree_topk": op7_kdtree_topk,
     "op8_html_tree": op8_html_tree,
     "op10_toxicity_fm": op10_toxicity_fm,
