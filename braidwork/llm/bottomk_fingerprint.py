@@ -111,7 +111,7 @@ def fingerprint_edits(docs: DataFrame, *, k: int = K, width: int = WIDTH, n_buck
     spark = docs.sparkSession
     plain = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     if n_buckets is None:
-        n_buckets = min(32_768, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+        n_buckets = min(32_768, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = with_next(plain, n_buckets)
     kind = docs.schema["doc_id"].dataType
 

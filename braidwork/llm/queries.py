@@ -13,6 +13,8 @@ from braidwork.llm.curriculum_mix import mix_plan
 from braidwork.llm.html_tree import extract_pages
 from braidwork.llm.kdtree_topk import exact_topk
 from braidwork.llm.ngram_jaccard import jaccard_components
+from braidwork.llm.quote_linking import link_quotes
+from braidwork.llm.secret_forest import scan_secrets
 from braidwork.llm.sentence_spans import remove_repeats
 from braidwork.llm.toxicity_fm import held_out, score_toxicity, train
 
@@ -47,6 +49,10 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "positions")
 
 
+def op5_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotes(_table(spark, sf_dir, "conversations"))
+
+
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_sentences", "n_removed", "text")
@@ -64,6 +70,11 @@ def op8_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return scan_secrets(docs).select("doc_id", "place", "value", "score", "secret")
+
+
 def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = train(docs, _table(spark, sf_dir, "labels"))
@@ -77,8 +88,10 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_automaton": op2_bpe_automaton,
     "op3_bottomk_fingerprint": op3_bottomk_fingerprint,
     "op4_curriculum_mix": op4_curriculum_mix,
+    "op5_quote_linking": op5_quote_linking,
     "op6_sentence_spans": op6_sentence_spans,
     "op7_kdtree_topk": op7_kdtree_topk,
     "op8_html_tree": op8_html_tree,
+    "op9_secret_forest": op9_secret_forest,
     "op10_toxicity_fm": op10_toxicity_fm,
 }

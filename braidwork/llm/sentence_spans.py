@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from braidwork.llm.hashing import chunks, mix, sequence_hashes, text_bytes, word_hashes, word_limits
 from braidwork.session import materialize
 
-SENTENCES = 3
+SENTENCES = 2
 WORDS = 12
 _STOP = np.zeros(256, bool)
 _STOP[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
