@@ -65,7 +65,7 @@ def _long_lists(lists: list[np.ndarray]) -> pa.Array:
 
 
 def _sets(docs: DataFrame, width: int, num: int, den: int, whole: bool) -> DataFrame:
-    """``doc_id, n, set_id, need, hashes`` from ``doc_id, text``; the hashes whole or their start."""
+    """``doc_id, row, n, set_id, need, hashes`` from ``doc_id, text, row``; the hashes whole or their start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,13 +77,14 @@ def _sets(docs: DataFrame, width: int, num: int, den: int, whole: bool) -> DataF
                 set_id.append(_digest(values) if len(values) else None)
                 need.append(shared)
                 lists.append(values if whole else values[:length])
-            columns = [ids, pa.array(n, pa.int64()), pa.array(set_id, pa.binary())]
+            columns = [ids, batch.column(2), pa.array(n, pa.int64()), pa.array(set_id, pa.binary())]
             columns += [pa.array(need, pa.int64()), _long_lists(lists)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_id", "need", "hashes"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n", "set_id", "need", "hashes"])
 
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
+            T.StructField("row", T.LongType()),
             T.StructField("n", T.LongType()),
             T.StructField("set_id", T.BinaryType()),
             T.StructField("need", T.LongType()),
@@ -208,7 +209,9 @@ def jaccard_components(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     width: int = 5, num: int = 80, den: int = 100,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs``.
+    """``doc_id, n_shingles, component_id, set_id, row`` of every row of ``docs``.
+
+    ``set_id`` is the digest of the set of shingles, ``row`` the hash of the text.
 
     Rows link when ``den * |intersection| >= num * |union|`` of their sets of
     ``width``-word shingles; ``component_id`` is the smallest id that links
@@ -220,7 +223,8 @@ def jaccard_components(
     gives an empty result.
     """
     t = _Threshold(num, den)
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    plain = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("row"))
     sets = materialize(_sets(plain, width, num, den, whole=False), "sets")
     full = sets.where(F.col("set_id").isNotNull())
     classes = full.groupBy("set_id").agg(
@@ -266,13 +270,29 @@ def jaccard_components(
     smallest = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     moved = named.join(smallest, "comp").select("set_id", "component_id")
     reps = full.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    placed_sets = reps.join(moved, "set_id", "left").select(
+    placed_sets = materialize(reps.join(moved, "set_id", "left").select(
         "set_id", F.coalesce("component_id", "rep").alias("component_id")
-    )
-    return sets.select("doc_id", F.col("n").alias("n_shingles"), "set_id").join(
+    ), "classes")
+    return sets.select("doc_id", "row", F.col("n").alias("n_shingles"), "set_id").join(
         placed_sets, "set_id", "left"
     ).select(
         "doc_id", "n_shingles",
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.lower(F.hex("set_id")).alias("set_id"),
+        F.lower(F.hex("set_id")).alias("set_id"), "row",
     )
+
+
+def one_per_component(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (``doc_id, text``, others) that stay when each component keeps one.
+
+    ``found`` is ``jaccard_components(docs)``. The row with the component's id stays,
+    of several the one with the smallest hash of its text; rows equal in id and text
+    are kept once. Rows of a component without any id are all kept.
+    """
+    heads = found.where(F.col("component_id").isNotNull() & (F.col("doc_id") == F.col("component_id")))
+    best = heads.groupBy("component_id", F.col("set_id").isNull().alias("bare")).agg(F.min("row").alias("row"))
+    keys = best.select(F.struct(F.col("component_id").alias("doc_id"), "row").alias("_key")).union(
+        found.where(F.col("component_id").isNull()).select(F.struct("doc_id", "row").alias("_key")).distinct()
+    )
+    keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64(F.col("text").cast("string")).alias("row")))
+    return keyed.join(keys, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
