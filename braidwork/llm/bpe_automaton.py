@@ -134,7 +134,7 @@ class Encoder:
         self.others: dict[str, bytes] = {}  # of other pre-split words, as they are
         self.split = regex.compile(PRE_SPLIT).findall
         self.specials = re.compile("|".join(re.escape(s) for s in gadgets.special)) if gadgets.special else None
-        self.tails = {c: self.ids(c) for c in ",."}
+        self.tails = {c: self.ids(c) for c in ",." if c.encode() in gadgets.ids}
 
     def word(self, data: bytes) -> list[int]:
         """Token ids of one pre-split word: the path of the automaton that spells it.
@@ -167,6 +167,8 @@ class Encoder:
                         break
                 else:
                     dead.add(at)
+                    if not path:
+                        raise ValueError("a byte has no token in this vocabulary")
                     found = open_arcs.pop()
                     at -= len(g.labels[path.pop()])
                     continue

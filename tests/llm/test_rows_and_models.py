@@ -1,0 +1,244 @@
+"""Encodings, mixes, quotations, pages, secrets and toxicity."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from braidwork.llm import bpe_automaton as bpe
+from braidwork.llm import curriculum_mix as cm
+from braidwork.llm import html_tree as ht
+from braidwork.llm import quote_linking as ql
+from braidwork.llm import secret_forest as sf
+from braidwork.llm import toxicity_fm as fm
+
+
+
+@pytest.fixture(scope="module")
+def bpe_path() -> str:
+    public = pytest.importorskip("public_tokenizers")
+    return public.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def encoder(bpe_path) -> bpe.Encoder:
+    return bpe.Encoder(bpe.load_gadgets(bpe_path))
+
+
+@pytest.fixture(scope="module")
+def library(bpe_path):
+    return pytest.importorskip("tokenizers").Tokenizer.from_file(bpe_path)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*"abet hnEé漢🙂'\n\t  .,0²_", " the", "'ll", "<|endoftext|>", "ing", "aaaa"]), max_size=40))
+def test_encoding_equals_the_library(encoder, library, parts):
+    text = "".join(parts)
+    assert np.frombuffer(encoder.text(text), np.int32).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_gadgets_equal_merging_by_rank():
+    rng = random.Random(4)
+    for _ in range(40):
+        vocab = {c: i for i, c in enumerate("abc")}
+        merges = []
+        for _ in range(12):
+            # A merge is learned from a word, as trained vocabularies are.
+            word = [rng.choice("abc") for _ in range(30)]
+            for a, b in merges:
+                word = _merge(word, a, b)
+            a, b = rng.choice(list(zip(word, word[1:])))
+            if a + b not in vocab:
+                vocab[a + b] = len(vocab)
+                merges.append((a, b))
+        encoder = bpe.Encoder(bpe.compile_merges(vocab, merges, {}))
+        for _ in range(30):
+            text = [rng.choice("abc") for _ in range(rng.randint(1, 15))]
+            want = list(text)
+            for a, b in merges:
+                want = _merge(want, a, b)
+            assert encoder.word("".join(text).encode()) == [vocab[w] for w in want]
+
+
+def _merge(word: list[str], a: str, b: str) -> list[str]:
+    out, i = [], 0
+    while i < len(word):
+        pair = i + 1 < len(word) and word[i] == a and word[i + 1] == b
+        out.append(a + b if pair else word[i])
+        i += 2 if pair else 1
+    return out
+
+
+def test_round_trip_of_a_table(spark, bpe_path):
+    texts = ["", None, "Hello  world", "<|endoftext|>", "é" * 50, "x" * 20_000, "same", "same", "a\r\n b \n\n c"]
+    rows = [(i // 2, t, [1], "clash") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, ids array<int>, decoded string").repartition(2)
+    coded = bpe.bpe_decode(bpe.bpe_encode(docs, bpe_path), bpe_path)
+    assert set(coded.columns) == set(docs.columns) and coded.count() == len(rows)
+    assert all(r.decoded == (r.text or "") for r in coded.collect())
+    assert bpe.bpe_decode(bpe.bpe_encode(docs.limit(0), bpe_path), bpe_path).count() == 0
+    partial = spark.createDataFrame([([447],), ([],), (None,), ([447, None],)], "ids array<int>")
+    assert [r.decoded for r in bpe.bpe_decode(partial, bpe_path).collect()][1:3] == ["", ""]
+
+
+def brute_targets(sizes: dict, weights: list[float], share: float, cap: float) -> dict:
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, done, open_ = share * sum(sizes.values()), {}, set(order)
+    while open_:
+        rest, w = total - sum(done.values()), sum(weight[s] for s in open_)
+        above = {s for s in open_ if rest * weight[s] / w > cap * sizes[s] + 1e-9}
+        if not above:
+            return done | {s: rest * weight[s] / w for s in open_}
+        done |= {s: cap * sizes[s] for s in above}
+        open_ -= above
+    return done
+
+
+def test_mix_meets_targets(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        source = rng.choice(["a", "b", "b", "b", "b", "Z", "é", None, "c"])
+        rows.append((i, rng.choice([None, "", "w " * rng.randint(1, 40)]), source, -1, -1.0))
+    rows += [rows[5]] * 3 + [(None, "x y z", "a", -1, -1.0), (7000, "long " * 9000, "c", -1, -1.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int, target double")
+    plan = cm.mix_plan(docs).collect()
+    sizes = defaultdict(int)
+    for _, t, s, *_ in rows:
+        sizes[s] += len((t or "").split())
+    want = brute_targets(sizes, [3, 1, 2], 1.5, 2.0)
+    taken = defaultdict(int)
+    assert len(plan) == len(rows)
+    for r in plan:
+        taken[r.source] += r.taken
+        assert r.target == pytest.approx(want[r.source]) and r.source_size == sizes[r.source]
+        assert 0 <= r.taken <= 2 * r.size and len(r.positions) == -(-r.taken // max(r.size, 1))
+        assert all(0 <= p <= 1 for p in r.positions)
+    assert all(abs(taken[s] - want[s]) <= 0.5 for s in sizes)
+    assert sorted(map(str, cm.mix_plan(docs.repartition(5)).collect())) == sorted(map(str, plan))
+    ordered = cm.training_order(docs, cm.mix_plan(docs))
+    assert ordered.columns == docs.columns and ordered.count() >= sum(len(r.positions) for r in plan) - 3
+    assert cm.mix_plan(docs.limit(0)).count() == 0
+
+
+def test_schedule_is_inverted(spark):
+    schedule = ((0.0, 1.0), (0.25, 3.0), (0.5, 0.0), (1.0, 2.0))
+    frame = spark.range(0, 101).selectExpr("id / 100.0D as share")
+    for row in frame.select("share", cm.invert(schedule, frame["share"]).alias("t")).collect():
+        knots = [(t, w) for t, w in schedule if t < row.t]
+        w_end = np.interp(row.t, *zip(*schedule))
+        area = cm.integral([*knots, (row.t, w_end)]) if knots else 0.0
+        assert area / cm.integral(schedule) == pytest.approx(row.share, abs=1e-9)
+
+
+def test_quotes_are_linked(spark):
+    rows = [
+        (1, 0, "user", "How do I sort a table?\nIt is large."),
+        (1, 1, "assistant", "Use a range sort."),
+        (1, 2, "user", "On Monday the bot wrote:\n> Use a RANGE  sort.\n>> How do I sort a table?\nThanks!"),
+        (1, 3, "user", "> It is large.\r\nHow large?"),
+        (2, 0, "user", "> Use a range sort.\nSeen elsewhere"),
+        (2, 1, "user", "> never written\n> never written\nok"),
+        (2, 2, "user", None), (2, 3, "user", ""), (None, 0, "user", "lone"), (2, 1, "user", "> never written\n> never written\nok"),
+    ]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("position", F.lit("x"))
+    got = {(r.conv_id, r.turn): r for r in ql.link_quotes(docs).collect()}
+    assert len(got) == 9 and ql.link_quotes(docs).count() == 9
+    assert got[1, 2].text == "Thanks!" and (got[1, 2].reply_conv, got[1, 2].reply_turn) == (1, 1)
+    assert (got[1, 2].quote_levels, got[1, 2].n_quoted, got[1, 2].n_linked) == (2, 2, 2)
+    assert (got[1, 3].text, got[1, 3].reply_turn) == ("How large?", 0)
+    assert (got[2, 0].reply_conv, got[2, 0].reply_turn, got[2, 0].text) == (1, 1, "Seen elsewhere")
+    assert (got[2, 1].n_quoted, got[2, 1].n_linked, got[2, 1].reply_turn) == (2, 0, 0)
+    assert got[2, 2].text == "" and got[1, 0].reply_turn is None and got[None, 0].position == 0
+    assert got[1, 0].text == rows[0][3]
+    assert ql.link_quotes(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (None, ""), ("", ""), ("plain &lt; text", "plain < text"), ("<script>x</script><style>y</style>", ""),
+        ("<nav><a href='/'>home</a></nav><article><h1>A&amp;B</h1><p><b>one,\n two<br>three<p>four</article><footer>f</footer>", "A&B one, two three four"),
+        ("<body><header><h1>Site</h1></header><div class='cookie-notice'>We use cookies, ok</div><div class=content><h2>T</h2>"
+         "<p>First para, with commas, and more text.<p>Second<div class='comments'><p>A reader says</p></div><ul><li>x<li>y</ul>"
+         "<form><input><label>z</label></form></div><aside><p>side</p></aside></body>", "T First para, with commas, and more text. Second x y"),
+        ("<article><p>cut <!-- never closed", "cut"), ("<p>a</p><p>a</p>", "a a"),
+    ],
+)
+def test_main_text(page, want):
+    assert ht.main_text(page or "") == want
+
+
+def test_pages_table(spark):
+    rows = [(1, "u", "<p>x", "old"), (1, "u", "<p>x", "old"), (2, None, None, None), (3, "v", "<p>" + "long " * 50_000, "")]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string, text string")
+    got = ht.extract_pages(pages)
+    assert sorted(len(r.text) for r in got.collect()) == [0, 1, 1, 249_999] and got.columns == pages.columns
+    assert ht.extract_pages(pages.limit(0)).count() == 0
+
+
+def test_secrets_are_found_and_masked(spark):
+    rng = random.Random(6)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(24)) for _ in range(60)]
+    rows = []
+    for k, h in enumerate(hexes):
+        rows.append((k, f"some words before password={h} and after.", "a", 1))
+        rows.append((100 + k, f"call 4417{k:012d} or mail ab.{k}@mail{k}.example.com now, 10.20.{k}.117 too", "b", 1))
+    rows += [(300, None, None, 1), (301, "", "a", 1), (302, "x" * 30_000 + "1", "a", 1), rows[0], (None, f'token = "{hexes[1]}ff"', None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, score int").repartition(2)
+    found = sf.scan_secrets(docs)
+    kept = {r.value for r in found.where("secret = 1").collect()}
+    assert set(hexes) <= kept and not any("@" in v or v.startswith("4417") for v in kept)
+    clean = sf.redact(docs, found)
+    assert clean.columns == docs.columns and clean.count() == len(rows)
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    assert texts[0] == f"some words before password={sf.MASK} and after." and texts[300] is None
+    assert texts[101] == next(r[1] for r in rows if r[0] == 101)
+    assert sf.scan_secrets(docs.limit(0)).count() == 0
+
+
+def test_machine_learns_a_pair():
+    rng = np.random.default_rng(0)
+    rows = [np.flatnonzero(rng.random(6) < 0.5) for _ in range(800)]
+    labels = np.array([float(0 in r and 1 in r) for r in rows])
+    machine = fm.fit_machine(np.arange(6, dtype=np.uint64), rows, labels, steps=800)
+    scores = np.array([machine.score(r) for r in rows])
+    assert ((scores >= 0.5) == labels).mean() > 0.97
+    assert machine.score(np.array([0])) < 0.5 < machine.score(np.array([0, 1]))
+
+
+def test_toxicity_of_a_table(spark):
+    rng = random.Random(9)
+    rows, marks = [], []
+    for i in range(300):
+        bad = i % 3 == 0
+        w = [rng.choice(["sun", "moon", "tree", "river", "stone"]) for _ in range(20)]
+        if bad:
+            w[rng.randrange(20)] = "Nitwit,"
+        rows.append((i, " ".join(w), "x", 9))
+        marks.append((i, int(bad), 1))
+    rows += [(500, None, "x", 9), (501, "", "x", 9), (None, "nitwit", "x", 9), (0, rows[0][1], "x", 9), (502, "nitwit " * 20_000, "x", 9)]
+    marks += [(999, 1, 1), (1, None, 1), (None, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, predicted int")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int, quality int")
+    machine = fm.train(docs, labels)
+    got = fm.score_toxicity(docs, machine)
+    assert got.count() == len(rows) and "score" in got.columns
+    for r in got.collect():
+        assert 0 <= r.score <= 1 and r.predicted == int("nitwit" in (r.text or "").lower())
+    assert fm.score_toxicity(docs.limit(0), machine).count() == 0
+    none = fm.train(docs, labels.limit(0))
+    assert {r.score for r in fm.score_toxicity(docs, none).collect()} == {0.5}
+
+
+def test_terms_count_once_and_have_prefixes():
+    terms = list(fm.row_terms(pa.array(["Abcdefgh abcdefgh, abc", "", None])))
+    assert [len(t) for t in terms] == [5, 0, 0]
