@@ -99,7 +99,10 @@ def crowded_classes(classes: DataFrame) -> DataFrame:
     starts = classes.select(
         F.xxhash64("set_id").alias("key"), "need", F.explode("hashes").alias("h")
     )
-    shared = starts.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h")
+    # Stored, so that both sides of the join are shuffled and a frequent shingle can be split.
+    shared = materialize(
+        starts.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h"), "shared"
+    )
     met = starts.join(shared, "h").groupBy("key").agg(
         F.count(F.lit(1)).alias("met"), F.min("need").alias("need")
     )
@@ -110,7 +113,7 @@ def crowded_classes(classes: DataFrame) -> DataFrame:
 def shared_lists(sets: DataFrame) -> DataFrame:
     """``node, n, rep, set_id, hashes``: shingles that several sets hold, rarest first."""
     each = sets.select("node", F.explode("hashes").alias("h"))
-    df = each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    df = materialize(each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "df")
     lists = each.join(df, "h").groupBy("node").agg(
         F.array_sort(F.collect_list(F.struct("df", "h"))).alias("shared")
     )

@@ -153,11 +153,14 @@ def remove_repeats(
     texts = base.select(row.alias("row"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
     spans = _span_table(texts, sentences, words)
     # Equal rows give equal spans; a span that only they hold is not repeated.
-    twice = spans.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h")
+    # Stored, so that both sides of the join are shuffled and a frequent span can be split.
+    twice = materialize(
+        spans.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h"), "twice"
+    )
     repeated = materialize(spans.join(twice, "h").distinct(), "repeats")
     ids = base.select(row.alias("row"), F.col(id_col).alias("id")).distinct()
     placed = materialize(repeated.join(ids, "row"), "placed")
-    first = placed.groupBy("h").agg(F.min(F.struct("id", "row", "i")).alias("first"))
+    first = materialize(placed.groupBy("h").agg(F.min(F.struct("id", "row", "i")).alias("first")), "first")
     later = placed.join(first, "h").where(
         (F.col("first.row") != F.col("row")) | (F.col("first.i") != F.col("i"))
     )
