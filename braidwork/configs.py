@@ -11,9 +11,7 @@ from pyspark.sql import types as T
 from braidwork.operators import rules as R
 
 # The tokenizer names that can be configured.
-TOKENIZER_NAMES = (
-    "byte", "word", "gpt2", "r50k_base", "p50k_base", "p50k_edit", "cl100k_base", "o200k_base", "o200k_harmony",
-)
+TOKENIZER_NAMES = ("byte", "word")
 DEFAULT_DELIMITER = "<|endoftext|>"
 
 
@@ -23,6 +21,7 @@ def _refuse_invalid(config: Any, rules: tuple[R.Rule, ...]) -> None:
         raise ValueError(problem)
 
 
+# The names and defaults of the fields below are the interface.
 @dataclass(frozen=True)
 class ModelConfig:
     maxlen: int = 128
@@ -59,7 +58,7 @@ class TrainingConfig:
 @dataclass(frozen=True)
 class TokenizerConfig:
     delimiter: str = DEFAULT_DELIMITER
-    name: str = "gpt2"
+    name: str = "byte"
     pad_token_id: int = 0
 
     def __post_init__(self) -> None:

@@ -92,12 +92,25 @@ def position_major(rows: Column, maxlen: int) -> Column:
     )
 
 
-def causal_mask(seq_len: Column) -> Column:
-    """Square 0/1 matrix: query position (row) sees key positions up to its own."""
-    positions = F.sequence(F.lit(0), seq_len - 1)
-    return F.transform(
-        positions, lambda q: F.transform(positions, lambda k: (k <= q).cast("int"))
-    )
+def token_windows(tokens: Column, maxlen: int, pad_id: int = 0) -> Column:
+    """Whole sequences as an array of ``window, x, y``: consecutive inputs of ``maxlen`` ids and
+    their next-token targets, the last one filled up with ``pad_id``.
+
+    A target window overlaps the next input window by one id, so every id but the last is
+    a target once; an empty sequence has no window. ``tokens`` should be a plain column.
+    """
+    last = F.floor((F.size(tokens) - 1) / maxlen).cast("int")
+
+    def window(k: Column) -> Column:
+        inputs, targets = (F.slice(tokens, k * maxlen + shift, F.lit(maxlen)) for shift in (1, 2))
+        return F.struct(
+            k.alias("window"),
+            truncate_pad(inputs, maxlen, pad_id).alias("x"),
+            truncate_pad(targets, maxlen, pad_id).alias("y"),
+        )
+
+    windows = F.transform(F.sequence(F.lit(0), last), window)
+    return F.when(F.size(tokens) > 0, windows).otherwise(F.slice(windows, 1, 0))
 
 
 def causal_prefixes(tokens: Column) -> Column:

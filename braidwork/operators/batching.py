@@ -18,7 +18,7 @@ def assign_batches(
     kept = indexed.where(F.col(ix) < full) if drop_remainder else indexed
     return (
         kept.withColumn("slot", (F.col(ix) % batch_size).cast("int"))
-        .withColumn("batch_id", ((F.col(ix) - F.col("slot")) / batch_size).cast("long"))
+        .withColumn("batch_id", F.call_function("div", F.col(ix), F.lit(batch_size)).cast("long"))
         .drop(ix, total)
     )
 

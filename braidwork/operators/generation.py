@@ -94,13 +94,18 @@ def generate(
     else:
 
         def advance(state: DataFrame, step: int) -> DataFrame:
-            active = state.where(F.col("last").isNotNull()).select("prompt_id", F.col("last").alias("ctx"))
-            scored = salted_join(active, logits, ["ctx"], F.xxhash64("prompt_id"))
+            # The state travels with the scored rows: one join and one aggregate per round.
+            active = state.withColumn("ctx", F.col("last"))
+            scored = salted_join(active, logits, ["ctx"], F.xxhash64("prompt_id"), how="left")
             rank = F.struct(
                 score(F.col("logit"), F.col("token"), step).alias("s"), (-F.col("token")).alias("t")
             )
-            picks = scored.groupBy("prompt_id").agg(F.max_by("token", rank).cast("int").alias("pick"))
-            return state.join(picks, "prompt_id", "left")
+            found = F.when(F.col("token").isNotNull(), rank)
+            return scored.groupBy("prompt_id").agg(
+                F.first("last").alias("last"),
+                F.first("new_tokens").alias("new_tokens"),
+                F.max_by("token", found).cast("int").alias("pick"),
+            )
 
     state = prompts.select(
         "prompt_id",
@@ -118,7 +123,11 @@ def generate(
             .alias("new_tokens"),
         )
         if (step + 1) % ROUNDS_PER_STAGE == 0 and step + 1 < config.max_new_tokens:
-            state = _spread(materialize(state, "generation"))
+            stored = materialize(state, "generation")
+            if stored.where(F.col("last").isNotNull()).isEmpty():
+                state = stored
+                break
+            state = _spread(stored)
     return prompts.join(state.select("prompt_id", "new_tokens"), "prompt_id").select(
         "prompt_id", F.concat("tokens", "new_tokens").alias("tokens"), "new_tokens"
     )

@@ -16,9 +16,10 @@ BROADCAST_TEXT_BYTES = 128 * 1024 * 1024
 def fits_broadcast(
     small: DataFrame, *, max_rows: int = BROADCAST_ROWS, max_text_bytes: int = BROADCAST_TEXT_BYTES
 ) -> bool:
-    """Measure a stored lookup table: few enough rows, and not too much text in them?"""
-    text = [F.octet_length(name) for name, kind in small.dtypes if kind == "string"]
-    per_row = sum((F.coalesce(n, F.lit(0)) for n in text), F.lit(0)).cast("long")
+    """Measure a stored lookup table: few enough rows, and not too much text or arrays in them?"""
+    sizes = [F.octet_length(name) for name, kind in small.dtypes if kind == "string"]
+    sizes += [F.size(name) * 8 for name, kind in small.dtypes if kind.startswith("array")]
+    per_row = sum((F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)) for n in sizes), F.lit(0)).cast("long")
     n_rows, n_bytes = small.agg(F.count(F.lit(1)), F.sum(per_row)).collect()[0]
     return n_rows <= max_rows and (n_bytes or 0) <= max_text_bytes
 

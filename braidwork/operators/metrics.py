@@ -24,7 +24,7 @@ ORDINALS_PER_BUCKET = 4_096
 
 
 def _div(a: Column, n: int) -> Column:
-    return ((a - a % n) / n).cast("long")
+    return F.call_function("div", a.cast("long"), F.lit(n))
 
 
 def run_step_plan(runs: DataFrame) -> DataFrame:
@@ -166,12 +166,16 @@ def logged_lr(windows: DataFrame, plans: DataFrame) -> DataFrame:
     """Windows with the learning rate that is logged beside them.
 
     The logged rate is looked up at the step number within the epoch, while
-    training itself follows the step number of the whole run.
+    training itself follows the step number of the whole run. ``status`` is that of
+    the run's plan; without a usable plan the rate is null, and ``no_plan`` says
+    that there is none.
     """
     columns = ["total_steps", "warmup_steps", "lr_init_value", "lr_peak_value", "lr_end_value"]
-    ok = plans.where(F.col("status") == "ok").select("run_id", *columns)
-    joined = salted_join(windows, ok, ["run_id"], F.col("g"))
-    return joined.withColumn("learning_rate", _rate(F.col("end_step"))).drop(*columns)
+    planned = plans.select("run_id", "status", *columns)
+    joined = salted_join(windows, planned, ["run_id"], F.col("g"), how="left")
+    rate = F.when(F.col("status") == "ok", _rate(F.col("end_step")))
+    rated = joined.withColumn("learning_rate", rate).drop(*columns)
+    return rated.withColumn("status", F.coalesce("status", F.lit("no_plan")))
 
 
 def loss_history(windows: DataFrame, phases: DataFrame) -> DataFrame:

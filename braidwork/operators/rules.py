@@ -24,24 +24,36 @@ class Rule:
     """Works on a mapping of Python values and on a mapping of columns alike."""
 
 
+def _number(holds: Any, *values: Any) -> Any:
+    """The condition, broken by NaN, which a column would sort above every number."""
+    if isinstance(holds, Column):
+        for value in values:
+            holds = holds & ~F.isnan(value.cast("double"))
+    return holds
+
+
 def above(field: str, bound: float) -> Rule:
-    return Rule(field, f"{field} must be > {bound}", lambda c: c[field] > bound)
+    return Rule(field, f"{field} must be > {bound}", lambda c: _number(c[field] > bound, c[field]))
 
 
 def at_least(field: str, bound: float) -> Rule:
-    return Rule(field, f"{field} must be >= {bound}", lambda c: c[field] >= bound)
+    return Rule(field, f"{field} must be >= {bound}", lambda c: _number(c[field] >= bound, c[field]))
 
 
 def within(field: str, low: float, high: float) -> Rule:
     return Rule(
         field,
         f"{field} must be in [{low}, {high}]",
-        lambda c: (c[field] >= low) & (c[field] <= high),
+        lambda c: _number((c[field] >= low) & (c[field] <= high), c[field]),
     )
 
 
 def not_above(field: str, other: str) -> Rule:
-    return Rule(field, f"{field} must be <= {other}", lambda c: c[field] <= c[other])
+    return Rule(
+        field,
+        f"{field} must be <= {other}",
+        lambda c: _number(c[field] <= c[other], *(v for v in (c[field], c[other]) if isinstance(v, Column))),
+    )
 
 
 def multiple_of(field: str, other: str) -> Rule:

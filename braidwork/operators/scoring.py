@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from braidwork.functions.draws import gumbel
-from braidwork.operators.joins import salted_join
+from braidwork.operators.joins import fits_broadcast, lookup_join, salted_join
 
 
 def check_sequence_length(examples: DataFrame, maxlen: int, column: str = "x") -> DataFrame:
@@ -120,15 +120,19 @@ def embed_lookup(
     """``id, pos, token, vector``: token vector plus position vector, element by element.
 
     The ``maxlen`` rows of the position table that a sequence can use are
-    broadcast; for the token table, frequent tokens are salted by position.
+    broadcast; the token table is, when measured to fit, else frequent tokens are
+    salted by position. A token or position without a vector fails the job.
     """
     placed = sequences.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
     tokens = token_table.select("token", F.col("vector").cast("array<double>").alias("_tv"))
     positions = position_table.where(F.col("pos").between(0, maxlen - 1)).select(
         "pos", F.col("vector").cast("array<double>").alias("_pv")
     )
-    joined = salted_join(placed, tokens, ["token"], F.col("pos")).join(
-        F.broadcast(positions), "pos"
-    )
-    added = F.zip_with("_tv", "_pv", lambda t, p: t + p)
+    joined = lookup_join(
+        placed, tokens, ["token"], F.col("pos"), broadcast=fits_broadcast(tokens), how="left"
+    ).join(F.broadcast(positions), "pos", "left")
+    missing = F.raise_error(F.format_string("no vector for token %d at position %d", "token", "pos"))
+    added = F.when(
+        F.col("_tv").isNull() | F.col("_pv").isNull(), missing.cast("array<double>")
+    ).otherwise(F.zip_with("_tv", "_pv", lambda t, p: t + p))
     return joined.select(id_col, "pos", "token", added.alias("vector"))

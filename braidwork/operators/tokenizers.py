@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,43 +99,6 @@ def detokenize_words(
     return named.groupBy(id_col).agg(joined.alias("text"))
 
 
-def bpe_tokens(text: Column, delimiter: str, encoder: Callable[[], Any]) -> Column:
-    """Byte-pair tokens, in Arrow batches; each Python worker builds its encoder once."""
-
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = encoder()
-        for batch in batches:
-            yield pd.Series(
-                codec.encode_batch(batch.tolist(), num_threads=1, allowed_special={delimiter})
-            )
-
-    return encode(text)
-
-
-def bpe_text(tokens: Column, encoder: Callable[[], Any]) -> Column:
-    """Byte-pair tokens back to text, in Arrow batches."""
-
-    @F.pandas_udf("string")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = encoder()
-        for batch in batches:
-            yield pd.Series([codec.decode(list(map(int, ids))) for ids in batch])
-
-    return decode(tokens)
-
-
-def named_encoder(name: str) -> Callable[[], Any]:
-    """A factory for a public encoding; its vocabulary file must be on the workers."""
-
-    def load() -> Any:
-        import tiktoken
-
-        return tiktoken.get_encoding(name)
-
-    return load
-
-
 def tokenize(
     blocks: DataFrame,
     config: TokenizerConfig,
@@ -164,8 +123,7 @@ def tokenize(
             delimiter=config.delimiter,
             broadcast=fits_broadcast(vocab),
         )
-    encoder = named_encoder(config.name)
-    return blocks.select(id_col, bpe_tokens(text, config.delimiter, encoder).alias("tokens"))
+    raise ValueError(f"unknown tokenizer {config.name}")
 
 
 def vocab_size(config: TokenizerConfig, vocab: DataFrame | None = None) -> int:
@@ -176,7 +134,7 @@ def vocab_size(config: TokenizerConfig, vocab: DataFrame | None = None) -> int:
         if vocab is None:
             raise ValueError("the word tokenizer needs its vocabulary table")
         return vocab.count() + FIRST_WORD_ID
-    return named_encoder(config.name)().n_vocab
+    raise ValueError(f"unknown tokenizer {config.name}")
 
 
 def end_token_id(config: TokenizerConfig, vocab: DataFrame | None = None) -> int:
@@ -188,5 +146,4 @@ def end_token_id(config: TokenizerConfig, vocab: DataFrame | None = None) -> int
             raise ValueError("the word tokenizer needs its vocabulary table")
         found = vocab.where(F.col("token") == config.delimiter).select("token_id").collect()
         return found[0][0] if found else UNKNOWN_ID
-    codec = named_encoder(config.name)()
-    return codec.encode(config.delimiter, allowed_special={config.delimiter})[0]
+    raise ValueError(f"unknown tokenizer {config.name}")

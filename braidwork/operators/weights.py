@@ -255,13 +255,22 @@ def state_verdict(summary: DataFrame) -> DataFrame:
 def leaf_change_stats(
     before: DataFrame, after: DataFrame, *, threshold: float = CHANGE_THRESHOLD
 ) -> DataFrame:
-    """Change statistics per leaf; each chunk is reduced in its own row before the shuffle."""
+    """Change statistics per leaf; each chunk is reduced in its own row before the shuffle.
+
+    Both tables must have the same leaves with as many values. A leaf with a NaN
+    difference has NaN for its mean, largest and smallest change.
+    """
     if not threshold > 0:
         raise ValueError(f"threshold must be positive, got {threshold}")
+    require_same_structure(before, after)
     d = F.col("d")
-    chunk = _joined_chunks(before, after).select("leaf", _differences().alias("d"))
+    uneven = F.raise_error(F.lit("the two weight tables cut their leaves into different chunks"))
+    whole = F.coalesce(F.size("v_before") == F.size("v_after"), F.lit(False))
+    checked = F.when(whole, _differences()).otherwise(uneven.cast("array<double>"))
+    chunk = _joined_chunks(before, after).select("leaf", checked.alias("d"))
     reduced = chunk.select(
         "leaf",
+        F.exists(d, F.isnan).alias("nan"),
         F.size(d).alias("n"),
         F.size(F.filter(d, lambda x: _is_changed(x, threshold))).alias("changed"),
         F.aggregate(d, F.lit(0.0), lambda acc, x: acc + x).alias("total"),
@@ -274,5 +283,5 @@ def leaf_change_stats(
         (F.sum("changed") / F.sum("n") * 100.0).alias("percent_changed"),
         (F.sum("total") / F.sum("n")).alias("mean_change"),
         F.max("hi").alias("max_change"),
-        F.min("lo").alias("min_change"),
+        F.when(F.bool_or("nan"), F.lit(float("nan"))).otherwise(F.min("lo")).alias("min_change"),
     )

@@ -9,13 +9,7 @@ from braidwork.configs import InferenceConfig, TokenizerConfig
 from braidwork.functions.tokens import byte_detokenize
 from braidwork.operators.generation import generate
 from braidwork.operators.joins import fits_broadcast
-from braidwork.operators.tokenizers import (
-    bpe_text,
-    detokenize_words,
-    end_token_id,
-    named_encoder,
-    tokenize,
-)
+from braidwork.operators.tokenizers import detokenize_words, end_token_id, tokenize
 
 
 def continue_prompts(
@@ -40,7 +34,4 @@ def continue_prompts(
     )
     if tokenizer.name == "byte":
         return done.select("prompt_id", byte_detokenize(F.col("tokens"), tokenizer.delimiter).alias("text"))
-    if tokenizer.name == "word":
-        return detokenize_words(done, vocab, id_col="prompt_id", broadcast=fits_broadcast(vocab))
-    encoder = named_encoder(tokenizer.name)
-    return done.select("prompt_id", bpe_text(F.col("tokens"), encoder).alias("text"))
+    return detokenize_words(done, vocab, id_col="prompt_id", broadcast=fits_broadcast(vocab))

@@ -53,6 +53,17 @@ def _rows(maxlen: int) -> str:
   SELECT doc_id, list_resize({_bytes('text')}, {maxlen}, 0) AS x FROM clean)"""
 
 
+def _turns(maxlen: int) -> str:
+    """Whole turns in windows; a window's targets run one token into the next."""
+    return f"""cleaned AS (
+  SELECT conv_id * 1000 + turn AS turn_id, {_trim('text')} || '{END}' AS text FROM conversations
+  WHERE {_trim('text')} <> ''),
+turn_tokens AS (SELECT turn_id, {_bytes('text')} AS t FROM cleaned),
+rows AS (
+  SELECT turn_id, w::INT AS "window", list_resize(t[w * {maxlen} + 1:w * {maxlen} + {maxlen}], {maxlen}, 0) AS x
+  FROM (SELECT turn_id, t, unnest(range(0, (len(t) + {maxlen} - 1) // {maxlen})) AS w FROM turn_tokens))"""
+
+
 def _shifted(x: str = "x") -> str:
     return f"list_append({x}[2:], 0)"
 
@@ -138,14 +149,14 @@ parsed AS (
   SELECT bundle, CASE WHEN json_type(doc) = 'OBJECT'
                        AND (doc ->> '$.cumulative_epochs_completed') IS NOT NULL THEN doc END AS doc FROM docs)"""
 
-EXAMPLES = f"""{_rows(64)}, pairs AS (
+EXAMPLES = f"""{CLEAN}, rows AS (SELECT {_bytes('text')} AS x FROM clean), pairs AS (
   SELECT unnest(x) AS ctx, unnest({_shifted()}) AS token FROM rows),
 logits AS MATERIALIZED (
   SELECT ctx, token, count(*) AS n, ln(count(*) + 0.5::DOUBLE) AS logit FROM pairs GROUP BY ctx, token)"""
 
 PROMPTS = f"""prompts AS (
-  SELECT conv_id * 1000 + turn AS prompt_id, {_bytes('text')} AS tokens FROM conversations
-  WHERE role = 'user' AND text <> '')"""
+  SELECT conv_id * 1000 + turn AS prompt_id, {_bytes("coalesce(text, '')")} AS tokens FROM conversations
+  WHERE role = 'user')"""
 
 
 def _violations(source: str, columns: str, tests: list[tuple[str, str, str]]) -> str:
@@ -185,7 +196,8 @@ def _json_config(config: object, **replaced: str) -> str:
 
 
 def _generated(pick: str) -> str:
-    return f"""WITH RECURSIVE {EXAMPLES}, {PROMPTS},
+    return f"""WITH RECURSIVE {EXAMPLES}, {PROMPTS.replace('prompts AS', 'every AS')},
+prompts AS (SELECT * FROM every WHERE len(tokens) > 0),
 gen(prompt_id, step, tok) AS (
   SELECT prompt_id, 0, tokens[-1] FROM prompts
   UNION ALL
@@ -202,8 +214,8 @@ GROUP BY p.prompt_id"""
 def oracle_queries() -> dict[str, str]:
     digest = "md5(text) AS text_md5, length(text) AS n_chars"
     batched = "(ix % 32)::INT AS slot, ix // 32 AS batch_id"
-    fixed_batches = f"""{_rows(32)}, numbered AS (
-  SELECT x, row_number() OVER (ORDER BY doc_id) - 1 AS ix, count(*) OVER () AS n FROM rows),
+    fixed_batches = f"""{_turns(32)}, numbered AS (
+  SELECT x, row_number() OVER (ORDER BY turn_id, "window") - 1 AS ix, count(*) OVER () AS n FROM rows),
 packed AS (SELECT ix // 8 AS batch_id, ix % 8 AS slot, x FROM numbered WHERE ix // 8 < n // 8)"""
     names = ", ".join(f"'{n}'" for n in TOKENIZER_NAMES)
     noise = f"-ln(-ln({_uniform('7', 'ctx', 'token')}))"
@@ -252,7 +264,9 @@ FROM documents""",
   SELECT batch_id, slot, generate_subscripts(x, 1) - 1 AS position, unnest(x) AS token FROM packed)
 SELECT batch_id, position, string_agg(token, ',' ORDER BY slot) AS tokens FROM cells
 GROUP BY batch_id, position""",
-        "shift_targets": f"WITH {_rows(128)} SELECT doc_id, {_csv(_shifted())} AS y FROM rows",
+        "shift_targets": f"""WITH {CLEAN}, tokens AS (SELECT doc_id, {_bytes('text')} AS t FROM clean)
+SELECT doc_id, w::INT AS "window", {_csv('list_resize(t[w * 128 + 2:w * 128 + 129], 128, 0)')} AS y
+FROM (SELECT doc_id, t, unnest(range(0, (len(t) + 127) // 128)) AS w FROM tokens)""",
         "batches_per_epoch": """WITH c AS (
   SELECT lang, source, count(*) AS n_records, CASE WHEN lang = 'en' THEN 32 ELSE 64 END::BIGINT AS batch_size
   FROM documents GROUP BY lang, source)
@@ -285,7 +299,7 @@ FROM events GROUP BY event_type""",
   SELECT *, 100 AS total_steps, 10 AS warmup_steps, 0.001::DOUBLE * (run_id % 7) AS lr_peak,
     CASE WHEN run_id % 7 = 0 THEN 0.0::DOUBLE ELSE 0.00001::DOUBLE END AS floor_rate FROM windows)
 SELECT run_id, g, end_epoch, end_step, round(window_mean, 6) AS window_mean,
-  round({LR.format(step='end_step')}, 9) AS learning_rate FROM rated""",
+  round({LR.format(step='end_step')}, 9) AS learning_rate, 'ok' AS status FROM rated""",
         "loss_history": f"""WITH {STEPS}
 SELECT run_id // 4 AS lineage, row_number() OVER (PARTITION BY run_id // 4 ORDER BY run_id % 4, g) - 1 AS ix,
   (run_id % 4)::INT AS phase, g, round(window_mean, 6) AS window_mean FROM windows""",
@@ -420,18 +434,18 @@ FROM customer""",
                 ("name", "name must be a registered name", f"name IN ({names})"),
             ],
         ),
-        "embed_lookup": f"""WITH {_rows(32)}, placed AS (
-  SELECT doc_id, unnest(x) AS token, generate_subscripts(x, 1) - 1 AS pos FROM rows),
+        "embed_lookup": f"""WITH {_turns(32)}, placed AS (
+  SELECT turn_id, "window", unnest(x) AS token, generate_subscripts(x, 1) - 1 AS pos FROM rows),
 added AS (
-  SELECT doc_id, pos, token, list_transform(list_zip(t.embedding, p.embedding),
+  SELECT turn_id, "window", pos, token, list_transform(list_zip(t.embedding, p.embedding),
     lambda z: z[1]::DOUBLE + z[2]::DOUBLE) AS v
   FROM placed JOIN embeddings t ON t.vec_id = token JOIN embeddings p ON p.vec_id = pos + 257)
-SELECT doc_id, pos, token, round(v[1], 6) AS first, round(v[-1], 6) AS last, round(list_sum(v), 6) AS total
+SELECT turn_id, "window", pos, token, round(v[1], 6) AS first, round(v[-1], 6) AS last, round(list_sum(v), 6) AS total
 FROM added""",
-        "causal_prefix": f"""WITH {_rows(64)}, placed AS (
-  SELECT doc_id, unnest(x) AS token, generate_subscripts(x, 1) - 1 AS pos FROM rows)
-SELECT doc_id, pos, token, pos + 1 AS n_visible,
-  sum(token) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT AS visible_sum FROM placed""",
+        "causal_prefix": f"""WITH {_turns(64)}, placed AS (
+  SELECT turn_id, "window", unnest(x) AS token, generate_subscripts(x, 1) - 1 AS pos FROM rows)
+SELECT turn_id, "window", pos, token, pos + 1 AS n_visible,
+  sum(token) OVER (PARTITION BY turn_id, "window" ORDER BY pos)::BIGINT AS visible_sum FROM placed""",
         "next_token_table": f"WITH {EXAMPLES} SELECT ctx, token, n, round(logit, 6) AS logit FROM logits",
         "cross_entropy": f"""WITH {EXAMPLES}, norm AS (SELECT ctx, ln(sum(exp(logit))) AS z FROM logits GROUP BY ctx)
 SELECT sum(n)::BIGINT AS n_positions, round(sum(n * (z - logit)) / sum(n), 6) AS loss
@@ -445,6 +459,34 @@ FROM logits""",
 SELECT ctx, arg_max(token, logit / 0.8::DOUBLE + {noise}) AS token FROM logits GROUP BY ctx""",
         "generate_batch": _generated(f"arg_max(l.token, l.logit / 0.8::DOUBLE + {step_noise})"),
         "generate_greedy": _generated("arg_max(l.token, l.n * 1000 - l.token)"),
+        "prompt_problems": """SELECT conv_id * 1000 + turn AS prompt_id, 'empty_prompt' AS problem FROM conversations
+WHERE role = 'user' AND ((conv_id * 1000 + turn) % 5 = 0 OR coalesce(text, '') = '')""",
+        "detokenize_words": f"""WITH {WORDS} SELECT doc_id, md5(string_agg(token, ' ' ORDER BY pos)) AS text_md5
+FROM placed GROUP BY doc_id""",
+        "continue_prompts": f"""WITH RECURSIVE {WORDS},
+follows AS MATERIALIZED (
+  SELECT ctx, arg_max(id, n * 100000000 - id) AS tok FROM (
+    SELECT v.token_id AS ctx, coalesce(u.token_id, 0) AS id, count(*) AS n FROM (
+      SELECT token, lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM placed) p
+    JOIN vocab v ON v.token = p.token LEFT JOIN vocab u ON u.token = p.nxt GROUP BY 1, 2) c
+  GROUP BY ctx),
+asked AS (
+  SELECT conv_id * 1000 + turn AS prompt_id, regexp_extract_all(text, '[^ \t\n\r\f\x0b]+') AS w
+  FROM conversations WHERE trim(text) <> ''),
+coded AS (
+  SELECT prompt_id, pos, coalesce(token_id, 0) AS id, token FROM (
+    SELECT prompt_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM asked) a
+  LEFT JOIN vocab ON vocab.token = a.word),
+gen(prompt_id, step, tok) AS (
+  SELECT prompt_id, 0, arg_max(id, pos) FROM coded GROUP BY prompt_id
+  UNION ALL
+  SELECT g.prompt_id, g.step + 1, f.tok FROM gen g JOIN follows f ON f.ctx = g.tok
+  WHERE g.step < 4 AND f.tok <> (SELECT token_id FROM vocab WHERE token = '{END}')),
+said AS (
+  SELECT prompt_id, pos, token FROM coded
+  UNION ALL
+  SELECT prompt_id, 1000000000 + step, token FROM gen LEFT JOIN vocab ON token_id = tok WHERE step > 0)
+SELECT prompt_id, coalesce(string_agg(token, ' ' ORDER BY pos), '') AS text FROM said GROUP BY prompt_id""",
         "context_window": f"""WITH {PROMPTS} SELECT prompt_id, least(len(tokens), 64) AS n_real,
   {_csv("list_resize(tokens[-least(len(tokens), 64):], 64, 0)")} AS tokens FROM prompts""",
     }

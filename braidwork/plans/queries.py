@@ -17,6 +17,8 @@ from braidwork.configs import (
 from braidwork.functions import tokens as token_functions
 from braidwork.operators import batching, catalog, generation, metrics, ordering, rules, scoring
 from braidwork.operators import tokenizers, weights
+from braidwork.operators.joins import fits_broadcast
+from braidwork.plans import continuation
 from braidwork.plans import tables as t
 from braidwork.plans.training_data import training_examples
 from braidwork.session import materialize, scratch_path
@@ -219,8 +221,10 @@ def batch_rows_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _packed(spark: SparkSession, sf_dir: str, maxlen: int, batch_size: int) -> DataFrame:
-    rows = materialize(t.token_rows(spark, sf_dir, maxlen), "token-rows")
-    indexed = ordering.visit_order(rows, "doc_id", shuffle=False, seed=0, total="n_rows")
+    whole = t.whole_tokens(t.turns(spark, sf_dir), "turn_id")
+    rows = materialize(t.windows(whole, "turn_id", maxlen), "token-rows")
+    order = [F.col("turn_id"), F.col("window")]
+    indexed = ordering.dense_index(rows, order, out="visit_ix", total="n_rows")
     batched = batching.assign_batches(indexed, "visit_ix", "n_rows", batch_size)
     return batching.pack_batches(batched, "x")
 
@@ -242,8 +246,8 @@ def position_major(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def shift_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = t.token_rows(spark, sf_dir, 128)
-    return rows.select("doc_id", t.csv(token_functions.shift_left(F.col("x"))).alias("y"))
+    whole = t.whole_tokens(t.documents(spark, sf_dir), "doc_id")
+    return t.windows(whole, "doc_id", 128).select("doc_id", "window", t.csv(F.col("y")).alias("y"))
 
 
 @register
@@ -338,6 +342,7 @@ def logged_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
         "end_step",
         rounded("window_mean", "window_mean"),
         rounded("learning_rate", "learning_rate", 9),
+        "status",
     )
 
 
@@ -588,16 +593,19 @@ def tokenizer_config_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def embed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors 0-256 are the token table, the 32 after them the position table."""
+    """Whole turns in windows of 32; vectors 0-256 are the token table, the 32 after them the
+    position table."""
     vectors = t.load(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     vocab = token_functions.BYTE_VOCAB_SIZE
     tokens = vectors.where(F.col("vec_id") < vocab).withColumn("token", F.col("vec_id").cast("int"))
     positions = vectors.withColumn("pos", (F.col("vec_id") - vocab).cast("int"))
-    rows = t.token_rows(spark, sf_dir, 32).select("doc_id", F.col("x").alias("tokens"))
-    embedded = scoring.embed_lookup(rows, tokens, positions, id_col="doc_id", maxlen=32)
+    whole = t.whole_tokens(t.turns(spark, sf_dir), "turn_id")
+    rows = t.windows(whole, "turn_id", 32).select(F.struct("turn_id", "window").alias("id"), F.col("x").alias("tokens"))
+    embedded = scoring.embed_lookup(rows, tokens, positions, id_col="id", maxlen=32)
     total = F.aggregate("vector", F.lit(0.0), lambda acc, v: acc + v)
     return embedded.select(
-        "doc_id",
+        "id.turn_id",
+        "id.window",
         F.col("pos").cast("long").alias("pos"),
         "token",
         rounded(F.element_at("vector", 1), "first"),
@@ -608,9 +616,10 @@ def embed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def causal_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = t.token_rows(spark, sf_dir, 64)
-    seen = rows.select("doc_id", F.inline(token_functions.causal_prefixes(F.col("x"))))
-    return seen.select("doc_id", F.col("pos").cast("long").alias("pos"), "token", "n_visible", "visible_sum")
+    whole = t.whole_tokens(t.turns(spark, sf_dir), "turn_id")
+    rows = t.windows(whole, "turn_id", 64)
+    seen = rows.select("turn_id", "window", F.inline(token_functions.causal_prefixes(F.col("x"))))
+    return seen.select("turn_id", "window", F.col("pos").cast("long").alias("pos"), "token", "n_visible", "visible_sum")
 
 
 def _logits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -649,7 +658,7 @@ def sample_next(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _continued(spark: SparkSession, sf_dir: str, config: InferenceConfig, greedy: bool) -> DataFrame:
     done = generation.generate(
-        t.prompts(spark, sf_dir),
+        t.prompts(spark, sf_dir).where(F.size("tokens") > 0),
         _logits(spark, sf_dir),
         config,
         end_token=token_functions.BYTE_DELIMITER_ID,
@@ -675,6 +684,38 @@ def generate_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _continued(spark, sf_dir, config, True)
 
 
+@register
+def prompt_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts that are refused; every fifth one is emptied so that there are some."""
+    emptied = F.when(F.col("prompt_id") % 5 == 0, F.slice("tokens", 1, 0)).otherwise(F.col("tokens"))
+    return generation.prompt_problems(t.prompts(spark, sf_dir).withColumn("tokens", emptied))
+
+
+@register
+def detokenize_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, to ids and back."""
+    clean = block_source.normalize_blocks(t.documents(spark, sf_dir), "text", t.DELIMITER)
+    vocab = materialize(tokenizers.build_vocab(clean, "text", t.DELIMITER), "vocab")
+    config = TokenizerConfig(name="word")
+    ids = tokenizers.tokenize(clean, config, id_col="doc_id", text_col="text", vocab=vocab)
+    back = tokenizers.detokenize_words(ids, vocab, id_col="doc_id", broadcast=fits_broadcast(vocab))
+    return back.select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@register
+def continue_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt text in, continued text out: words, greedily, by the word pairs of all documents."""
+    clean = block_source.normalize_blocks(t.documents(spark, sf_dir), "text", t.DELIMITER)
+    vocab = materialize(tokenizers.build_vocab(clean, "text", t.DELIMITER), "vocab")
+    config = TokenizerConfig(name="word")
+    ids = tokenizers.tokenize(clean, config, id_col="doc_id", text_col="text", vocab=vocab)
+    examples = ids.select(F.col("tokens").alias("x"), token_functions.shift_left(F.col("tokens")).alias("y"))
+    table = materialize(scoring.next_token_table(examples, alpha=0.5), "next-word")
+    turns = t.turns(spark, sf_dir).withColumnRenamed("turn_id", "prompt_id").where(F.trim("text") != "")
+    inference = InferenceConfig(max_new_tokens=4)
+    return continuation.continue_prompts(turns, table, config, inference, vocab=vocab, greedy=True)
+
+
 @register
 def context_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = F.col("tokens")

@@ -8,19 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from braidwork.configs import DEFAULT_DELIMITER, ModelConfig, TokenizerConfig
-from braidwork.functions.tokens import byte_tokens, shift_left
+from braidwork.functions.tokens import byte_tokens, shift_left, token_windows
 from braidwork.operators.metrics import run_step_plan
 from braidwork.operators.ordering import dense_index
 from braidwork.operators.weights import chunk_leaves
 from braidwork.plans.training_data import token_examples
 from braidwork.session import spread
+from braidwork.sources.blocks import normalize_blocks
 from braidwork.sources.bundles import parse_metadata
 
 DELIMITER = DEFAULT_DELIMITER
 STEPS_PER_EPOCH = 25
 LOG_EVERY = 4
 WEIGHT_CHUNK = 16
-SCORER_MAXLEN = 64
 BYTE_TOKENIZER = TokenizerConfig(name="byte")
 
 
@@ -49,19 +49,36 @@ def token_rows(spark: SparkSession, sf_dir: str, maxlen: int) -> DataFrame:
     )
 
 
+def whole_tokens(blocks: DataFrame, id_col: str) -> DataFrame:
+    """``id, tokens``: all tokens of every cleaned text."""
+    clean = normalize_blocks(blocks.select(id_col, "text"), "text", DELIMITER)
+    return clean.select(id_col, byte_tokens(F.col("text"), DELIMITER).alias("tokens"))
+
+
+def windows(tokens: DataFrame, id_col: str, maxlen: int) -> DataFrame:
+    """``id, window, x, y``: whole sequences cut into windows."""
+    return tokens.select(id_col, F.inline(token_windows(F.col("tokens"), maxlen)))
+
+
 def scorer_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``x, y`` for every document, the input of the next-token table."""
-    rows = token_rows(spark, sf_dir, SCORER_MAXLEN)
-    return rows.select("x", shift_left(F.col("x")).alias("y"))
+    """``x, y`` with all tokens of every document, the input of the next-token table."""
+    rows = whole_tokens(documents(spark, sf_dir), "doc_id")
+    return rows.select(F.col("tokens").alias("x"), shift_left(F.col("tokens")).alias("y"))
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``turn_id, text`` of every conversation turn."""
+    said = load(spark, sf_dir, "conversations")
+    return said.select((F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text")
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``prompt_id, tokens``: what users said, encoded without a delimiter at the end."""
+    """``prompt_id, tokens``: what users said, encoded without a delimiter at the end; may be empty."""
     turns = load(spark, sf_dir, "conversations").where(F.col("role") == "user")
     return turns.select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_id"),
-        byte_tokens(F.col("text"), DELIMITER).alias("tokens"),
-    ).where(F.size("tokens") > 0)
+        byte_tokens(F.coalesce("text", F.lit("")), DELIMITER).alias("tokens"),
+    )
 
 
 def _leaves(spark: SparkSession, sf_dir: str, values: Column) -> DataFrame:

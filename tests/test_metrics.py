@@ -126,11 +126,19 @@ def test_long_runs_are_cut_into_stretches(spark, monkeypatch):
 
 def test_logged_rate_uses_the_step_within_the_epoch(spark, steps):
     plan = plans(spark, [("carry", 5, 2, 0.1, 0.0, 0.1, 0.0)])
-    got = m.logged_lr(m.loss_windows(steps, 3), plan).orderBy("g").collect()
+    got = m.logged_lr(m.loss_windows(steps, 3), plan).where("status = 'ok'").orderBy("g").collect()
     curve = {r["step"]: r["learning_rate"] for r in m.lr_schedule(plan).collect()}
     assert [r["learning_rate"] for r in got] == pytest.approx([curve[2], curve[2]])
 
 
+def test_windows_of_runs_without_a_plan_stay(spark, steps):
+    windows = m.loss_windows(steps, 3)
+    none = plans(spark, [("other", 5, 2, 0.1, 0.0, 0.1, 0.0)])
+    got = m.logged_lr(windows, none).collect()
+    assert len(got) == windows.count() > 0
+    assert {(r["status"], r["learning_rate"]) for r in got} == {("no_plan", None)}
+
+
 @pytest.mark.parametrize("ordinals", [2, 4096])
 def test_histories_run_on_across_phases(spark, steps, ordinals, monkeypatch):
     monkeypatch.setattr(m, "ORDINALS_PER_BUCKET", ordinals)

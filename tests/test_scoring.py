@@ -94,6 +94,14 @@ def test_embedding_is_token_plus_position(spark):
     assert [r["vector"] for r in got] == [[10.0, 20.0], [1.5, 2.0], [11.0, 20.0]]
 
 
+def test_tokens_without_a_vector_fail_the_job(spark):
+    rows = spark.createDataFrame([("s", [1, 7])], "id string, tokens array<int>")
+    tokens = spark.createDataFrame([(1, [1.0])], "token int, vector array<float>")
+    positions = spark.createDataFrame([(0, [0.0]), (1, [0.0])], "pos int, vector array<float>")
+    with pytest.raises(PySparkException, match="no vector for token 7 at position 1"):
+        s.embed_lookup(rows, tokens, positions, id_col="id", maxlen=2).collect()
+
+
 def test_too_long_sequences_fail_the_job(spark):
     df = spark.createDataFrame([([1, 2, 3],)], "x array<int>")
     assert s.check_sequence_length(df, 3).collect()[0]["x"] == [1, 2, 3]

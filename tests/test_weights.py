@@ -107,6 +107,20 @@ def test_threshold_must_be_positive(spark, threshold):
             compare(state(spark, BASE), state(spark, BASE), threshold=threshold)
 
 
+@pytest.mark.parametrize("after", [{"a": [1.0, 2.0]}, {"a": [1.0, 2.0], "c": [3.0]}, {"a": [1.0], "b": [3.0]}])
+def test_leaf_statistics_need_the_same_structure(spark, after):
+    before = {"a": [1.0, 2.0], "b": [3.0]}
+    with pytest.raises(ValueError):
+        w.leaf_change_stats(state(spark, before), state(spark, after)).collect()
+
+
+def test_leaf_statistics_of_nan_are_nan(spark):
+    before, after = {"a": [1.0, 2.0], "b": [3.0]}, {"a": [NAN, 2.5], "b": [3.0]}
+    rows = {r["leaf"]: r for r in w.leaf_change_stats(state(spark, before), state(spark, after)).collect()}
+    assert all(math.isnan(rows["a"][c]) for c in ("mean_change", "max_change", "min_change"))
+    assert (rows["a"]["changed_params"], rows["b"]["max_change"]) == (1, 0.0)
+
+
 def test_nothing_to_compare_is_an_error(spark):
     with pytest.raises(ValueError, match="no values"):
         states(spark, {"a": []}, {"a": []})
