@@ -28,6 +28,7 @@ MAX_BUCKETS = 32_768
 MIN_BUCKETS = 16
 ROWS_PER_BUCKET = 500_000
 SAMPLES_PER_BUCKET = 32
+FIRST_IN_ONE_TASK = 100_000
 
 
 def _key(columns: Sequence[Column]) -> Column:
@@ -179,7 +180,13 @@ def visit_order(
 
 
 def first_rows(df: DataFrame, keys: Sequence[Column], n: int | None) -> DataFrame:
-    """The first ``n`` rows in key order; ``None`` and 0 both mean all rows."""
+    """The first ``n`` rows in key order; ``None`` and 0 both mean all rows.
+
+    A large ``n`` is found by a dense index (keys must be unique), so that the rows never
+    meet in one task.
+    """
+    if n and n > FIRST_IN_ONE_TASK:
+        return dense_index(df, keys, out="_first").where(F.col("_first") < n).drop("_first")
     return df.orderBy(*keys).limit(n) if n else df
 
 

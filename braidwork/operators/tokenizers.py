@@ -51,15 +51,19 @@ def tokenize_words(
     text_col: str,
     delimiter: str,
     broadcast: bool,
+    limit: int | None = None,
 ) -> DataFrame:
     """``id, tokens`` with the ids of a vocabulary table; words outside it become 0.
 
+    ``limit`` is for callers that keep only the first words of a text anyway.
+
     ``broadcast`` says that the vocabulary was measured to fit on every
     executor; otherwise the frequent words of the text side are salted by
     their position.
     """
     # The outer form keeps blocks without any word, with an empty sequence.
     pieces = words(F.col(text_col), delimiter)
+    pieces = pieces if limit is None else F.slice(pieces, 1, limit)
     placed = blocks.select(id_col, F.posexplode_outer(pieces).alias("pos", "token"))
     coded = lookup_join(
         placed,
@@ -106,8 +110,9 @@ def tokenize(
     id_col: str,
     text_col: str,
     vocab: DataFrame | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """``id, tokens`` with the tokenizer that the configuration names."""
+    """``id, tokens`` with the tokenizer that the configuration names; ``limit`` cuts word sequences."""
     text = F.col(text_col)
     if config.name == "byte":
         return blocks.select(id_col, byte_tokens(text, config.delimiter).alias("tokens"))
@@ -122,6 +127,7 @@ def tokenize(
             text_col=text_col,
             delimiter=config.delimiter,
             broadcast=fits_broadcast(vocab),
+            limit=limit,
         )
     raise ValueError(f"unknown tokenizer {config.name}")
 

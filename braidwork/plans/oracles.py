@@ -223,6 +223,9 @@ packed AS (SELECT ix // 8 AS batch_id, ix % 8 AS slot, x FROM numbered WHERE ix
     defaults = vars(TrainingConfig())
     return {
         "scan_blocks": f"WITH {PADDED} SELECT {digest} FROM padded",
+        "scan_malformed": f"""WITH odd AS (
+  SELECT {_trim("text || chr(10) || 'x' || chr(10) || 'y' || chr(65533) || '(' || chr(65533)")} || '{END}' AS text
+  FROM documents WHERE text <> '') SELECT {digest} FROM odd""",
         "first_blocks": f"WITH {CLEAN} SELECT doc_id, {digest} FROM clean ORDER BY doc_id LIMIT 100",
         "corpus_profile": f"""WITH {CLEAN} SELECT count(*) + 1 AS n_pieces, min(length(text)) AS min_chars,
   max(length(text)) AS max_chars, round(sum(length(text)) / count(*)::DOUBLE, 6) AS avg_chars,
@@ -235,6 +238,13 @@ FROM embeddings WHERE label <> 9""",
   round(sqrt(list_sum(list_transform(embedding,
     lambda v: ((v::DOUBLE * (1.0::DOUBLE + label * 0.01::DOUBLE))::FLOAT)::DOUBLE ** 2))), 6) AS norm
 FROM embeddings""",
+        "compare_bundles": f"""WITH {WEIGHTS}, m AS (SELECT median(na / nb) AS r FROM norms WHERE nb >= 1e-12),
+p AS (SELECT r, abs(r - 1.0) * 100 AS pct FROM m)
+SELECT 'run_before' AS before, 'run_after' AS after,
+  (SELECT sum(len(embedding))::BIGINT FROM embeddings) AS total_params,
+  CASE WHEN pct < 1 THEN printf('very similar: %.2f%%', pct)
+  WHEN pct < 5 THEN printf('moderately different: %.1f%%', pct)
+  WHEN r > 1 THEN printf('grown by %.1f%%', pct) ELSE printf('shrunk by %.1f%%', pct) END AS norm_verdict FROM p""",
         "run_metadata": f"""WITH {META} SELECT bundle, (doc IS NOT NULL)::INT AS readable,
   coalesce((doc ->> '$.cumulative_epochs_completed')::BIGINT, -1) AS epochs,
   coalesce((doc ->> '$.final_loss')::DOUBLE, -1) AS final_loss,
@@ -277,6 +287,18 @@ SELECT lang, source, n_records, batch_size, n_records // batch_size AS n_batches
          count(*) OVER () AS n FROM rows)
 SELECT ix // 32 AS batch_id, (ix % 32)::INT AS slot, doc_id, {_csv('x')} AS x, {_csv(_shifted())} AS y
 FROM numbered WHERE ix // 32 < n // 32""",
+        "training_examples_from_files": f"""WITH {_rows(128)}, blocks AS (
+  SELECT row_number() OVER (ORDER BY doc_id) - 1 AS block_ix, x FROM rows),
+numbered AS (
+  SELECT block_ix, x, row_number() OVER (ORDER BY md5('42:' || block_ix), block_ix) - 1 AS ix,
+         count(*) OVER () AS n FROM blocks)
+SELECT ix // 32 AS batch_id, (ix % 32)::INT AS slot, block_ix, {_csv('x')} AS x, {_csv(_shifted())} AS y
+FROM numbered WHERE ix // 32 < n // 32""",
+        "plan_training_run": f"""WITH {CLEAN}, n AS (SELECT count(*) AS n FROM clean),
+s AS (SELECT n, n // {defaults['batch_size']} AS b, n // {defaults['batch_size']} * {defaults['epochs']} AS total FROM n)
+SELECT 'run_1' AS run_id, n AS n_records, b AS n_batches, total AS total_steps,
+  greatest(1, floor(total * {defaults['warmup_rate']})::BIGINT) AS warmup_steps,
+  2 + {defaults['epochs']}::BIGINT AS cumulative_epochs, 'ok' AS status FROM s""",
         "epoch_expand": f"""WITH {ORDERED} SELECT doc_id, {batched}, epoch::INT AS epoch
 FROM ordered, range(1, 4) e(epoch) WHERE ix // 32 < n // 32""",
         "run_step_plan": f"""WITH {CUSTOMER_PLAN}

@@ -18,9 +18,10 @@ from braidwork.functions import tokens as token_functions
 from braidwork.operators import batching, catalog, generation, metrics, ordering, rules, scoring
 from braidwork.operators import tokenizers, weights
 from braidwork.operators.joins import fits_broadcast
-from braidwork.plans import continuation
+from braidwork.plans import comparison, continuation, run_plan
 from braidwork.plans import tables as t
 from braidwork.plans.training_data import training_examples
+from braidwork.plans.training_data import training_examples_from_files as files_to_examples
 from braidwork.session import materialize, scratch_path
 from braidwork.sources import blocks as block_source
 from braidwork.sources import bundles as bundle_source
@@ -67,6 +68,16 @@ def scan_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_source.scan_blocks(spark, path, t.DELIMITER).select(*digest("text"))
 
 
+@register
+def scan_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with line ends of three kinds and bytes that are no UTF-8 behind every text."""
+    path = scratch_path(spark, "corpus")
+    odd = F.unhex(F.lit("0D0A780D79C328FF")).cast("string")
+    damaged = _documents(spark, sf_dir).where(F.col("text") != "").select(F.concat("text", odd).alias("text"))
+    block_source.write_delimited(damaged, "text", path, t.DELIMITER)
+    return block_source.scan_blocks(spark, path, t.DELIMITER).select(*digest("text"))
+
+
 @register
 def first_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = block_source.normalize_blocks(_documents(spark, sf_dir), "text", t.DELIMITER)
@@ -123,6 +134,26 @@ def load_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weights.leaf_stats(loaded).select("leaf", "n_values", rounded("norm", "norm"))
 
 
+@register
+def compare_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two newest bundles of a store, by file time, with their sidecars."""
+    root = scratch_path(spark, "store")
+    sidecar = (
+        '{"cumulative_epochs_completed":1,"model_config":{"maxlen":128},'
+        '"training_config":{"epochs":1},"tokenizer_config":{"name":"byte"}}'
+    )
+    for name, table in (("run_before", t.weights_before), ("run_after", t.weights_after)):
+        json = spark.range(1).select(F.lit(name).alias("bundle"), F.lit(sidecar).alias("json"))
+        saved = table(spark, sf_dir).withColumn("bundle", F.lit(name))
+        bundle_source.write_bundles(saved, root, metadata=json)
+    found = comparison.compare_bundles(spark, root)
+    verdict = found.norms.select(F.col("verdict").alias("norm_verdict"))
+    total = found.states.select("total_params")
+    return verdict.join(F.broadcast(total), F.lit(True)).select(
+        F.lit(found.before).alias("before"), F.lit(found.after).alias("after"), "total_params", "norm_verdict"
+    )
+
+
 @register
 def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("metadata")
@@ -280,6 +311,32 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY["training_examples"] = flagship
 
 
+@register
+def training_examples_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as delimited files in id order, to shuffled training rows."""
+    path = scratch_path(spark, "corpus")
+    clean = block_source.normalize_blocks(_documents(spark, sf_dir), "text", t.DELIMITER)
+    bare = clean.withColumn("text", F.expr(f"substr(text, 1, length(text) - {len(t.DELIMITER)})"))
+    ordered = bare.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    block_source.write_delimited(ordered, "text", path, t.DELIMITER)
+    rows = files_to_examples(
+        spark, path, model=ModelConfig(maxlen=128), tokenizer=t.BYTE_TOKENIZER,
+        training=TrainingConfig(batch_size=32, shuffle=True, seed=42),
+    )
+    return rows.select("batch_id", "slot", "block_ix", t.csv(F.col("x")).alias("x"), t.csv(F.col("y")).alias("y"))
+
+
+@register
+def plan_training_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run over all documents with the default settings will do, resumed after two epochs."""
+    rows = materialize(t.token_rows(spark, sf_dir, 128), "token-rows")
+    earlier = spark.range(1).select(
+        F.lit("run_0").alias("bundle"), F.lit(2).cast("long").alias("previous_epochs"), F.lit("ok").alias("status")
+    )
+    plan = run_plan.plan_run(rows, TrainingConfig(), run_id="run_1", resume_from=earlier)
+    return plan.select("run_id", "n_records", "n_batches", "total_steps", "warmup_steps", "cumulative_epochs", "status")
+
+
 @register
 def epoch_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.repeat_epochs(_batched_ids(spark, sf_dir, True), 3)

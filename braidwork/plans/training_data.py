@@ -23,7 +23,7 @@ def _fixed_length_tokens(
         x = byte_example(F.col(text_col), tokenizer.delimiter, model.maxlen, tokenizer.pad_token_id)
         return clean.select(*id_cols, x.alias("x"))
     keyed = clean.select(F.struct(*id_cols).alias("_id"), text_col)
-    tokens = tokenize(keyed, tokenizer, id_col="_id", text_col=text_col)
+    tokens = tokenize(keyed, tokenizer, id_col="_id", text_col=text_col, limit=model.maxlen)
     x = truncate_pad(F.col("tokens"), model.maxlen, tokenizer.pad_token_id)
     return tokens.select("_id.*", x.alias("x"))
 

@@ -26,6 +26,7 @@ WEIGHTS_SCHEMA = T.StructType(
         T.StructField("values", T.ArrayType(T.FloatType())),
     ]
 )
+ROWS_PER_FILE = 1_000_000
 _NAME = re.compile(r"[A-Za-z0-9_.\-]+")
 _PARTITIONED_WEIGHTS = T.StructType([*WEIGHTS_SCHEMA, T.StructField("bundle", T.StringType())])
 
@@ -84,7 +85,11 @@ def write_bundles(
         if clash:
             raise FileExistsError(f"bundle {clash[0][0]!r} is already stored under {root}")
     columns = [F.col(f.name).cast(f.dataType) for f in WEIGHTS_SCHEMA]
-    _write(weights.select(*columns, _checked_name()), f"{root}/weights", "parquet")
+    largest = weights.groupBy("bundle").count().agg(F.max("count")).collect()[0][0] or 0
+    # As many files per bundle as the largest one needs, not one per task and bundle.
+    piece = F.pmod(F.xxhash64("leaf", "chunk_id"), F.lit(largest // ROWS_PER_FILE + 1))
+    spread = weights.select(*columns, _checked_name()).repartition("bundle", piece)
+    _write(spread, f"{root}/weights", "parquet")
     if metadata is not None:
         sidecars = metadata.select(F.col("json").alias("value"), _checked_name())
         _write(sidecars, f"{root}/metadata", "text")

@@ -178,3 +178,15 @@ def test_rounds_need_no_shuffle_once_prompts_are_spread(spark, chain, plan_of):
     tree = plan.split("\n\n")[0]
     assert tree.count("BroadcastHashJoin LeftOuter") == 3
     assert "SortMergeJoin LeftOuter" not in tree and "HashAggregate" not in tree
+
+
+def test_large_tables_take_one_join_per_round(spark, plan_of):
+    logits = spark.createDataFrame([(1, 2, 0.5), (2, 1, 0.5), (2, 3, 0.1)], "ctx int, token int, logit double")
+    asked = spark.createDataFrame([(i, [1]) for i in range(5)], "prompt_id long, tokens array<int>")
+    joins = []
+    for rounds in (1, 2, 3, 4):
+        config = InferenceConfig(max_new_tokens=rounds, seed=1)
+        done = g.generate(asked, logits, config, end_token=9, broadcast_rows=0)
+        joins.append(plan_of(done).count("Join LeftOuter"))
+        assert [r["new_tokens"] for r in done.collect() if r["prompt_id"] == 0][0][:1] == [2]
+    assert [b - a for a, b in zip(joins, joins[1:])] == [joins[1] - joins[0]] * 3
