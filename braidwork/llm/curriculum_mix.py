@@ -85,7 +85,8 @@ def mix_plan(
     are ignored.
     """
     words = F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    sized = docs.select("doc_id", "source", words.alias("size"), F.xxhash64("doc_id").alias("_key"))
+    named = F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    sized = docs.select("doc_id", "source", words.alias("size"), F.md5(named).alias("_key"))
     sized = materialize(sized, "sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sources, schedules, share, cap)
@@ -95,7 +96,7 @@ def mix_plan(
         F.col("size"),
         [F.col("_key"), F.col("doc_id"), F.col("size")],
         partition_by=["source"],
-        bucket=F.shiftright("_key", 52),
+        bucket=F.substring("_key", 1, 3),
         out="_end",
     )
     joined = behind.join(keyed, F.col("source").eqNullSafe(F.col("_source")))

@@ -2,4 +2,60 @@
 
 from __future__ import annotations
 
-LLM_SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORD = r"[^\x20\x09-\x0D]+"
+
+LLM_SQL: dict[str, str] = {
+    "op1_ngram_jaccard": f"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id""",
+    "op4_curriculum_mix": f"""WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+k AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind FROM s),
+m AS (
+  SELECT *, CASE kind WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight,
+    source_size * 2.0::DOUBLE AS most FROM k),
+l AS (
+  SELECT *, most / weight AS ratio, row_number() OVER o AS place,
+    ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE
+      - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM m WINDOW o AS (ORDER BY most / weight, source NULLS LAST)),
+t AS (
+  SELECT *, coalesce(least(most, weight * (SELECT arg_min(level, place) FROM l WHERE level <= ratio)), most) AS target
+  FROM l),
+o AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY md5('mix:' || doc_id), doc_id, size
+                            ROWS UNBOUNDED PRECEDING) - size AS start FROM d),
+p AS (
+  SELECT doc_id, size, source_size, target, kind, round(target)::BIGINT AS need, start,
+    greatest(0, least(size, round(target)::BIGINT - start)) AS once,
+    greatest(0, least(size, round(target)::BIGINT - start - source_size)) AS twice
+  FROM o JOIN t ON t.source IS NOT DISTINCT FROM o.source),
+q AS (SELECT *, start / greatest(need, 1)::DOUBLE AS x FROM p)
+SELECT doc_id, size, source_size, round(target, 6) AS target, (once + twice)::BIGINT AS taken,
+  coalesce(CASE WHEN once > 0 THEN round(CASE kind
+    WHEN 0 THEN 6.0::DOUBLE * x / (1.5::DOUBLE + sqrt(2.25::DOUBLE + 18.0::DOUBLE * x))
+    WHEN 1 THEN 2.0::DOUBLE * x / (1.5::DOUBLE + sqrt(2.25::DOUBLE - 2.0::DOUBLE * x))
+    ELSE x END, 6) END, -1) AS first_position FROM q""",
+    "op7_kdtree_topk": """WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}

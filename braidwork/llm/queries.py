@@ -24,7 +24,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(_table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+    found = jaccard_components(_table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +47,10 @@ def op3_bottomk_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(_table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken", "positions")
+    begins = F.coalesce(F.round(F.get("positions", F.lit(0)), 6), F.lit(-1.0))
+    return plan.select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", begins.alias("first_position")
+    )
 
 
 def op5_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,9 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
+from braidwork.llm.oracles import LLM_SQL
 from braidwork.llm.queries import LLM_QUERIES
+from tools.check_oracles import oracle_bag, oracle_connection, spark_bag
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -38,6 +40,13 @@ def test_rows_in_rows_out(spark, name, table, columns):
     assert got.count() == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count()
 
 
+@pytest.mark.parametrize("name", sorted(LLM_SQL))
+def test_query_equals_its_sql(spark, name):
+    con = oracle_connection(SF_SMALL)
+    assert spark_bag(LLM_QUERIES[name](spark, SF_SMALL)) == oracle_bag(con, LLM_SQL[name])
+    con.close()
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     columns, kept = docs.columns, {}
