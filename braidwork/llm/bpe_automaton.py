@@ -34,12 +34,15 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from braidwork.llm.hashing import chunks
+
 # Fixed value: the pre-split pattern of byte-level encodings.
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Bounds of what a worker remembers; beyond them it starts afresh.
-KEPT_WORDS = 600_000
-KEPT_OTHERS = 100_000
-KEPT_ARCS = 300_000
+KEPT_WORDS = 300_000
+KEPT_OTHERS = 50_000
+KEPT_ARCS = 200_000
+DECODED_ROWS = 500
 _SPACE_BLANK = re.compile(r"\s ").search
 
 
@@ -246,12 +249,16 @@ def bpe_encode(docs: DataFrame, path: str, *, text_col: str = "text", out: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Gadgets(*shared.value))
-        for batch in batches:
-            ids = [encoder.text(t or "") for t in batch.column(at).to_pylist()]
-            offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
-            values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])
-            lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*names, out])
+        for whole in batches:
+            # Small batches go on, so that no worker holds more than a few megabytes of ids.
+            for lo, hi in chunks(whole.column(at)):
+                batch = whole.slice(lo, hi - lo)
+                ids = [encoder.text(t or "") for t in batch.column(at).to_pylist()]
+                offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
+                data = pa.py_buffer(b"".join(ids))
+                values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, data])
+                lists = pa.ListArray.from_arrays(pa.array(offsets), values)
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*names, out])
 
     schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     return base.mapInArrow(run, schema)
@@ -285,14 +292,14 @@ def bpe_decode(docs: DataFrame, path: str, *, ids_col: str = "ids", out: str = "
         sizes = np.array([len(x) for x in shared.value], np.int64)
         starts = np.cumsum(sizes) - sizes
         labels = np.frombuffer(b"".join(shared.value), np.uint8)
-        for batch in batches:
-            lists = batch.column(at)
-            texts = []
-            for i in range(len(lists)):
-                ids = lists[i].values if lists[i].is_valid else None
-                row = ids.drop_null().to_numpy() if ids is not None else np.zeros(0, np.int32)
-                texts.append(emit_labels(row, starts, sizes, labels).tobytes().decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, out])
+        for whole in batches:
+            for lo in range(0, len(whole), DECODED_ROWS):
+                batch = whole.slice(lo, DECODED_ROWS)
+                texts = []
+                for row in batch.column(at):
+                    ids = row.values.drop_null().to_numpy() if row.is_valid else np.zeros(0, np.int32)
+                    texts.append(emit_labels(ids, starts, sizes, labels).tobytes().decode("utf-8", "replace"))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, out])
 
     return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(out, T.StringType())]))
 

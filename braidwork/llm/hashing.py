@@ -164,7 +164,7 @@ def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
         yield from map(distinct, batch_shingles(words, at, width))
 
 
-def chunks(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def chunks(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most`` bytes, one row at least."""
     size = np.cumsum(np.diff(text_bytes(column)[1]))
     lo = 0

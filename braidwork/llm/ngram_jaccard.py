@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from braidwork.llm.components import connected_components
-from braidwork.llm.hashing import mix, shingle_sets
+from braidwork.llm.hashing import chunks, mix, shingle_sets
 from braidwork.session import materialize
 
 # A list of ids is sent to every executor up to this many rows, else joined by shuffle.
@@ -68,18 +68,20 @@ def _sets(docs: DataFrame, width: int, num: int, den: int, whole: bool) -> DataF
     """``doc_id, row, n, set_id, need, hashes`` from ``doc_id, text, row``; the hashes whole or their start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, text = batch.column(0), batch.column(1)
-            n, set_id, need, lists = [], [], [], []
-            for values in shingle_sets(text, width):
-                length, shared = _prefix(len(values), num, den)
-                n.append(len(values))
-                set_id.append(_digest(values) if len(values) else None)
-                need.append(shared)
-                lists.append(values if whole else values[:length])
-            columns = [ids, batch.column(2), pa.array(n, pa.int64()), pa.array(set_id, pa.binary())]
-            columns += [pa.array(need, pa.int64()), _long_lists(lists)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n", "set_id", "need", "hashes"])
+        for full in batches:
+            # Small batches go on, so that no worker holds many sets.
+            for lo, hi in chunks(full.column(1)):
+                batch = full.slice(lo, hi - lo)
+                n, set_id, need, lists = [], [], [], []
+                for values in shingle_sets(batch.column(1), width):
+                    length, shared = _prefix(len(values), num, den)
+                    n.append(len(values))
+                    set_id.append(_digest(values) if len(values) else None)
+                    need.append(shared)
+                    lists.append(values if whole else values[:length])
+                columns = [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(set_id, pa.binary())]
+                columns += [pa.array(need, pa.int64()), _long_lists(lists)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n", "set_id", "need", "hashes"])
 
     schema = T.StructType(
         [
