@@ -39,7 +39,7 @@ from braidwork.llm.hashing import chunks
 # Fixed value: the pre-split pattern of byte-level encodings.
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Bounds of what a worker remembers; beyond them it starts afresh.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 400_000
 KEPT_OTHERS = 50_000
 KEPT_ARCS = 200_000
 DECODED_ROWS = 500
@@ -134,6 +134,7 @@ class Encoder:
         self.root = _spelling(gadgets.ids)
         self.arcs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}  # by word, of a blank and the word
+        self.elder: dict[str, bytes] = {}  # the words before; what is met again stays
         self.others: dict[str, bytes] = {}  # of other pre-split words, as they are
         self.split = regex.compile(PRE_SPLIT).findall
         self.specials = re.compile("|".join(re.escape(s) for s in gadgets.special)) if gadgets.special else None
@@ -197,15 +198,18 @@ class Encoder:
     def spaced(self, part: str) -> bytes:
         """Ids of a blank and ``part``, which has no blank to split at."""
         if part.isalpha():
-            if len(self.words) >= KEPT_WORDS:
-                self.words.clear()
-            found = self.words[part] = array("i", self.word(b" " + part.encode())).tobytes()
+            found = self.words.get(part) or self.elder.get(part)
+            if found is None:
+                found = array("i", self.word(b" " + part.encode())).tobytes()
+            if len(self.words) >= KEPT_WORDS // 2:
+                self.words, self.elder = {}, self.words
+            self.words[part] = found
             return found
         if part[-1:] in self.tails and part[:-1].isalpha():
-            return (self.words.get(part[:-1]) or self.spaced(part[:-1])) + self.tails[part[-1]]
+            return self.spaced(part[:-1]) + self.tails[part[-1]]
         first, *rest = self.split(" " + part)
         if first[0] == " " and first[1:].isalpha():
-            first = self.words.get(first[1:]) or self.spaced(first[1:])
+            first = self.spaced(first[1:])
         else:
             first = self.ids(first)
         return b"".join([first, *map(self.ids, rest)])
