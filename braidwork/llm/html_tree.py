@@ -41,6 +41,8 @@ _JUNK = re.compile(
     r"|complementary|contentinfo)(?=$|[\s_\"'-])|display\s*:\s*none|^hidden$",
     re.I,
 )
+_P = re.compile(r"<p[\s>]", re.I)
+_HEADER = re.compile(r"(?:^|\s)(?:(?:site|page|global|main|top)[-_]?)?header(?:$|\s)", re.I)
 _GOOD = {"article": 25.0, "main": 20.0, "section": 3.0, "div": 2.0, "body": -5.0, "li": -3.0, "ul": -3.0, "ol": -3.0}
 
 
@@ -53,10 +55,12 @@ class Node:
         self.points = 0.0
 
 
-def parse(page: str) -> Node:
-    """The element tree; texts are kept undecoded."""
+def parse(page: str, hints: bool = True) -> Node:
+    """The element tree; texts are kept undecoded. Without ``hints`` only tags make junk."""
     root = at = Node("html", None, False)
     place, end = 0, len(page)
+    hinted: set[int] = set()
+    article_seen = False
     while place < end:
         m = _MARKUP.search(page, place)
         if m is None:
@@ -100,11 +104,27 @@ def parse(page: str) -> Node:
             if tag == "html" or any(x.tag == "body" for x in root.items if isinstance(x, Node)):
                 continue
         junk = tag in SKIP
-        if not junk and m[3].strip() and tag not in ("body", "article", "main"):
-            junk = any(_JUNK.search(_value(h)) for h in _HINT.findall(m[3]))
+        if not junk and hints and m[3].strip() and tag not in ("body", "article", "main"):
+            values = [_value(h) for h in _HINT.findall(m[3])]
+            junk = any(_JUNK.search(v) for v in values)
+            if not junk and not _inside(at, "article"):
+                junk = any(_HEADER.search(v) for v in values)
+            made_by_hint = junk
+        else:
+            made_by_hint = False
         if not junk and tag == "header" and not _inside(at, "article"):
             junk = True
         node = Node(tag, at, junk)
+        if made_by_hint:
+            hinted.add(id(node))
+        if tag in ("article", "main"):
+            # The first article tells that what holds it is a frame, whatever its name says.
+            up = at
+            while up is not None and not article_seen:
+                if id(up) in hinted:
+                    up.junk = False
+                up = up.parent
+            article_seen = True
         at.items.append(node)
         if not m[3].endswith("/"):
             at = node
@@ -188,7 +208,14 @@ def _measure(node: Node) -> tuple[list[tuple[Node, int, int]], dict[int, list[in
 
 def main_text(page: str) -> str:
     """The blocks of the article of a page, joined by one blank; empty if there is none."""
-    root = parse(page)
+    found = _best_text(parse(page))
+    if found or len(_P.findall(page)) < 2:
+        return found
+    # Paragraphs, but all in elements whose names look like junk: go by the tags alone.
+    return _best_text(parse(page, hints=False))
+
+
+def _best_text(root: Node) -> str:
     paragraphs, sizes = _measure(root)
     candidates: dict[int, Node] = {}
 

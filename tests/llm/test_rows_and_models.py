@@ -171,6 +171,10 @@ def test_quotes_are_linked(spark):
          "<p>First para, with commas, and more text.<p>Second<div class='comments'><p>A reader says</p></div><ul><li>x<li>y</ul>"
          "<form><input><label>z</label></form></div><aside><p>side</p></aside></body>", "T First para, with commas, and more text. Second x y"),
         ("<article><p>cut <!-- never closed", "cut"), ("<p>a</p><p>a</p>", "a a"),
+        ("<div class='has-sidebar'><article><p>Body text</p><div class='comments'><article><p>me too</p></article></div></article></div>", "Body text"),
+        ("<div class='page-header'><p>Site, name, and motto</p></div><div><p>Body, one</p><p>Body, two</p></div>", "Body, one Body, two"),
+        ("<div class='ad'>only this, here</div><nav>x</nav>", ""),
+        ("<div class='content-nav'><p>One, two</p><p>Three</p></div>", "One, two Three"),
     ],
 )
 def test_main_text(page, want):
