@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from braidwork.llm.batches import small_batches
 from braidwork.llm.hashing import batch_shingles, batch_words, chunks, distinct, text_bytes
 from braidwork.operators.ordering import range_bucket
 
@@ -165,4 +166,4 @@ def fingerprint_edits(docs: DataFrame, *, k: int = K, width: int = WIDTH, n_buck
         f"doc_id {kind.simpleString()}, n_chars long, edited_sha256 string, fingerprint string,"
         " edited_fingerprint string, near_edited double, near_next double, distinct_shingles double"
     )
-    return ordered.mapInArrow(run, schema)
+    return small_batches(ordered).mapInArrow(run, schema)

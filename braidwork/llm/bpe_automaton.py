@@ -34,6 +34,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from braidwork.llm.batches import small_batches
 from braidwork.llm.hashing import chunks
 
 # Fixed value: the pre-split pattern of byte-level encodings.
@@ -265,7 +266,7 @@ def bpe_encode(docs: DataFrame, path: str, *, text_col: str = "text", out: str =
                 yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*names, out])
 
     schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
-    return base.mapInArrow(run, schema)
+    return small_batches(base).mapInArrow(run, schema)
 
 
 def emit_labels(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -305,7 +306,7 @@ def bpe_decode(docs: DataFrame, path: str, *, ids_col: str = "ids", out: str = "
                     texts.append(emit_labels(ids, starts, sizes, labels).tobytes().decode("utf-8", "replace"))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, out])
 
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(out, T.StringType())]))
+    return small_batches(base).mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(out, T.StringType())]))
 
 
 def default_path(spark: SparkSession) -> str:

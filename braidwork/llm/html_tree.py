@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from braidwork.llm.batches import small_batches
+
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _HINT = re.compile(r"""\b(?:class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I | re.S)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -290,4 +292,4 @@ def extract_pages(pages: DataFrame, *, html_col: str = "html", out: str = "text"
             texts = [main_text(page) if page else "" for page in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, out])
 
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(out, T.StringType())]))
+    return small_batches(base).mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(out, T.StringType())]))

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from braidwork.llm.batches import small_batches
 from braidwork.session import materialize
 
 SHARD_ROWS = 8_192
@@ -150,7 +151,7 @@ def _chunked(rows: DataFrame, most: int, tree: bool) -> DataFrame:
         if held:
             yield body()
 
-    return rows.mapInArrow(run, "key long, body binary")
+    return small_batches(rows).mapInArrow(run, "key long, body binary")
 
 
 def _searched(pairs: DataFrame, k: int) -> DataFrame:
@@ -174,7 +175,7 @@ def _searched(pairs: DataFrame, k: int) -> DataFrame:
                     ["block", "body", "hits"],
                 )
 
-    return pairs.mapInArrow(run, f"block long, body binary, hits {_HITS}")
+    return small_batches(pairs).mapInArrow(run, f"block long, body binary, hits {_HITS}")
 
 
 def exact_topk(vectors: DataFrame, queries: DataFrame, *, k: int = 5) -> DataFrame:

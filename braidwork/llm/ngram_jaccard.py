@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from braidwork.llm.batches import small_batches
 from braidwork.llm.components import connected_components
 from braidwork.llm.hashing import chunks, mix, shingle_sets
 from braidwork.session import materialize
@@ -93,7 +94,7 @@ def _sets(docs: DataFrame, width: int, num: int, den: int, whole: bool) -> DataF
             T.StructField("hashes", T.ArrayType(T.LongType())),
         ]
     )
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def crowded_classes(classes: DataFrame) -> DataFrame:

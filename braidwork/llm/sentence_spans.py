@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from braidwork.llm.batches import small_batches
 from braidwork.llm.hashing import chunks, mix, sequence_hashes, text_bytes, word_hashes, word_limits
 from braidwork.session import materialize
 
@@ -86,7 +87,7 @@ def _span_table(docs: DataFrame, sentences: int, words: int) -> DataFrame:
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], ["h", "row", "i", "n"])
 
-    return docs.mapInArrow(run, "h long, row long, i int, n int")
+    return small_batches(docs).mapInArrow(run, "h long, row long, i int, n int")
 
 
 def _without(docs: DataFrame, text_col: str) -> DataFrame:
@@ -132,7 +133,7 @@ def _without(docs: DataFrame, text_col: str) -> DataFrame:
 
     fields = [docs.schema[c] for c in names]
     more = [T.StructField(c, T.LongType()) for c in ("n_sentences", "n_removed")]
-    return docs.mapInArrow(run, T.StructType([*fields, *more]))
+    return small_batches(docs).mapInArrow(run, T.StructType([*fields, *more]))
 
 
 def remove_repeats(

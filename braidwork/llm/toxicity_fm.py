@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from braidwork.llm.batches import small_batches
 from braidwork.llm.hashing import chunks, distinct, mix, text_bytes, word_hashes, word_limits
 from braidwork.session import materialize
 
@@ -132,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["doc_id", "toxic", "terms"])
 
     schema = T.StructType([*rows.schema.fields[:2], T.StructField("terms", T.ArrayType(T.LongType()))])
-    sample = materialize(rows.mapInArrow(terms_of, schema), "terms")
+    sample = materialize(small_batches(rows).mapInArrow(terms_of, schema), "terms")
     n, n1 = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).collect()[0]
     counts = (
         sample.select("toxic", F.explode("terms").alias("term"))
@@ -168,5 +169,5 @@ def score_toxicity(docs: DataFrame, machine: Machine, *, threshold: float = 0.7)
             scores = [model.score(found) for found in row_terms(batch.column(at), model.terms)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, "score"])
 
-    scored = base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("score", T.DoubleType())]))
+    scored = small_batches(base).mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("score", T.DoubleType())]))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
