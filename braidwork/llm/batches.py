@@ -18,7 +18,8 @@ def small_batches(df: DataFrame) -> DataFrame:
     rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
     if not 0 < int(conf.get(rows)) <= ROWS:
         conf.set(rows, str(ROWS))
-    given = conf.get(size, "").rstrip("b")
-    if not given.isdigit() or int(given) > BYTES:
+    given = conf.get(size).rstrip("b")
+    # A size given in another unit is the caller's own choice.
+    if given.isdigit() and int(given) > BYTES:
         conf.set(size, f"{BYTES}b")
     return df
