@@ -59,7 +59,7 @@ def op5_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(docs).select("doc_id", "n_sentences", "n_removed", "text")
+    return remove_repeats(docs, ends=True).select("doc_id", "n_sentences", "n_removed", "text")
 
 
 def op7_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Substring dedup by sliding spans of sentences.
 
 A text is cut into sentences: after a word that ends in ASCII punctuation, and at
-line ends, so that clauses and table cells count as well. At every sentence starts a span, the shortest run of at least
-``SENTENCES`` sentences with at least ``WORDS`` words in all, hashed over its words.
+line ends, so that clauses and table cells count as well. Spans are runs of at least ``SENTENCES`` sentences with at
+least ``WORDS`` words in all, hashed over their words: at every sentence the shortest that starts there and, with
+``ends``, the shortest that ends there. Together they cover each sentence of any longer run: one too near the end of the run to start a
+span inside it lies in the span that ends with the run.
 Spans that occur more than once anywhere are joined globally; the occurrence with
 the smallest (document, place) is the first, and sentences that any other
 occurrence covers are removed.
@@ -51,32 +53,38 @@ def _cut(column: pa.Array) -> tuple[np.ndarray, ...]:
     return buf, at, start, end, words, rows
 
 
-def _spans(column: pa.Array, sentences: int, words_wanted: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _spans(column: pa.Array, sentences: int, words_wanted: int, ends: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each row hash, first sentence and number of sentences of all spans."""
     for lo, hi in chunks(column):
         buf, at, start, end, words, rows = _cut(column.slice(lo, hi - lo))
         hashes = mix(word_hashes(buf, start, end))
         i = np.arange(len(words) - 1)
         j = np.maximum(i + sentences, np.searchsorted(words, words[:-1] + words_wanted))
-        limit = np.repeat(rows[1:], np.diff(rows))
-        ok = j <= limit
-        span = sequence_hashes(hashes, words[i[ok]], words[j[ok]])
-        count = (j - i)[ok]
-        first = i[ok]
+        ok = j <= np.repeat(rows[1:], np.diff(rows))
+        # The shortest run that ends behind each sentence, where no shortest run from a start ends.
+        back = np.minimum(i + 1 - sentences, np.searchsorted(words, words[1:] - words_wanted, "right") - 1)
+        ended = np.zeros(len(words), bool)
+        ended[j[ok]] = True
+        more = ends & (back >= np.repeat(rows[:-1], np.diff(rows))) & ~ended[1:]
+        first, last = np.concatenate((i[ok], back[more])), np.concatenate((j[ok], i[more] + 1))
+        order = np.argsort(first, kind="stable")
+        first, last = first[order], last[order]
+        span = sequence_hashes(hashes, words[first], words[last])
+        count = last - first
         place = np.searchsorted(first, rows)
         for r in range(hi - lo):
             a, b = place[r], place[r + 1]
             yield span[a:b], (first[a:b] - rows[r]), count[a:b]
 
 
-def _span_table(docs: DataFrame, sentences: int, words: int) -> DataFrame:
+def _span_table(docs: DataFrame, sentences: int, words: int, ends: bool) -> DataFrame:
     """``h, row, i, n`` of all spans of ``row, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0), np.int64)
             held, size = [], 0
-            for r, (h, i, n) in enumerate(_spans(batch.column(1), sentences, words)):
+            for r, (h, i, n) in enumerate(_spans(batch.column(1), sentences, words, ends)):
                 if len(h):
                     held.append((h.view(np.int64), np.full(len(h), ids[r]), i.astype(np.int32), n.astype(np.int32)))
                     size += len(h)
@@ -138,9 +146,12 @@ def _without(docs: DataFrame, text_col: str) -> DataFrame:
 
 def remove_repeats(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sentences: int = SENTENCES, words: int = WORDS,
+    ends: bool = False,
 ) -> DataFrame:
     """``docs`` without repeated spans in ``text_col``, with ``n_sentences`` and ``n_removed``.
 
+    With ``ends`` all that any repeated run covers goes; without, the last sentences of a
+    repeated region stay where no shortest run from a start stops exactly at its end.
     The first occurrence is the one with the smallest id (null first), then hash of
     row, then place; it stays, in a text that repeats itself as well. Rows with
     equal id and text are one document and stay or go together. Texts without a
@@ -152,7 +163,7 @@ def remove_repeats(
     base = docs.drop("n_sentences", "n_removed")
     row = F.xxhash64(F.col(id_col), F.col(text_col))
     texts = base.select(row.alias("row"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
-    spans = _span_table(texts, sentences, words)
+    spans = _span_table(texts, sentences, words, ends)
     # Equal rows give equal spans; a span that only they hold is not repeated.
     # Stored, so that both sides of the join are shuffled and a frequent span can be split.
     twice = materialize(

@@ -164,6 +164,38 @@ def test_repeated_spans_equal_brute_force(spark):
     assert ss.remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def all_runs(rows: list[tuple], sentences: int, least: int) -> dict[int, set[int]]:
+    """Sentences that any repeated run covers, every run hashed; first occurrences stay."""
+    first, where, covered = {}, [], defaultdict(set)
+    for key, text in sorted((i, t) for i, t, *_ in rows):
+        parts = [lower(x).split() for x in re.findall(r"[^.,]+[.,]?", text) if x.split()]
+        for i in range(len(parts)):
+            for j in range(i + sentences, len(parts) + 1):
+                run = tuple(w for p in parts[i:j] for w in p)
+                if len(run) >= least:
+                    where.append((run, key, i, j))
+                    first.setdefault(run, (key, i))
+    for run, key, i, j in where:
+        if first[run] != (key, i):
+            covered[key].update(range(i, j))
+    return covered
+
+
+def test_repeated_regions_go_to_their_end(spark):
+    rng = random.Random(12)
+    clause = lambda n: " ".join(prose(rng, n)) + rng.choice(".,")
+    tail = " ".join([clause(6), clause(6), clause(3)])
+    rows = [(1, tail, 1, 1.0), (2, tail, 1, 1.0)]
+    regions = [" ".join(clause(rng.randint(1, 14)) for _ in range(rng.randint(2, 9))) for _ in range(25)]
+    for k in range(60):
+        parts = [rng.choice(regions) if rng.random() < 0.5 else clause(rng.randint(1, 9)) for _ in range(6)]
+        rows.append((10 + k, " ".join(parts), 1, 1.0))
+    want = all_runs(rows, ss.SENTENCES, ss.WORDS)
+    got = {r.doc_id: r for r in ss.remove_repeats(spark.createDataFrame(rows, DOCS).repartition(3), ends=True).collect()}
+    assert got[2].text == "" and got[2].n_removed == 3 and got[1].text == tail
+    assert {i: r.n_removed for i, r in got.items()} == {i: len(want[i]) for i in got}
+
+
 def test_fingerprints_of_edits_equal_brute_force(spark):
     rng = random.Random(3)
     rows = [(k, " ".join(prose(rng, rng.choice([0, 1, 3, 30, 400]))), 1, 1.0) for k in range(0, 60, 2)]
