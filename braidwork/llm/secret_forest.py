@@ -1,8 +1,9 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-Every word of a text that is long enough and mixes in digits, or is one run of
-capitals, is a candidate; a leading ``name=`` or ``name:`` and quotes are taken
-off. The forest sees the length, the make-up and the changes between character
+Words are cut at quotes, brackets and the other punctuation of code, JSON, addresses
+and tables; every part that is long enough and mixes in digits, or has a run of
+capitals, is a candidate, with the name that stands before it (``name=``, ``"name":``,
+also in the words before). The forest sees the length, the make-up and the changes between character
 classes of the value, how much of it common syllables cover, the name, the words
 around it and the path (source) of the document, never the formats below. It learns
 from labelled findings, a table the caller may pass; without one, findings in one of
@@ -43,7 +44,21 @@ FEATURES = (
     "named", "assigned", "quoted", "at_sign", "dots", "before_named", "before_assign", "before_word", "after_word",
     "path_code",
 )
-_WORD = r"^[\"'(\[{]*(?:([A-Za-z_][A-Za-z0-9_.-]{0,40})[=:])?[\"']?([^\"'=:,;!?()\[\]{}]{10,}?=*)[\"'.,;:!?)\]}#$%&*]*$"
+# A part of a word ends at blanks and at the punctuation of code, JSON, addresses and tables.
+_ENDS = r"\s\"'`=:,;!?()\[\]{}<>|&\\"
+_ASSIGN = r"(?:[:=]{1,3}+>?+|->)"
+_CLOSED = r"[\\\"'`\])]*+"
+_NAMED = NAMES.replace("(?i)", "").replace("(word", "(?:word").replace("$", f"(?![^{_ENDS}])")
+# Groups: 1 the password of an address; 2 to 4 a secret's name and its value, in quotes or not; 5 and 6 any name and value.
+_PART = (
+    r"[A-Za-z][A-Za-z0-9+.-]*+://[^\s:/@\"']*+:([^\s@\"']++)@"
+    rf"|(?=[^{_ENDS}]*?(?i:{_NAMED}))([^{_ENDS}]++){_CLOSED}{_ASSIGN}(?:\\*+[\"'`]([^\s\"'`]++)|([^\s\"'`&;,()\[\]{{}}<>|\\]++))"
+    rf"|(?:([^{_ENDS}]++){_CLOSED}{_ASSIGN}[\\\"'`(\[{{]*+)?([^{_ENDS}]++(?:={{1,2}}+(?![^{_ENDS}]))?+)"
+)
+# A name at the end of a word, with and without the sign that gives it a value.
+_GIVES = rf"([^{_ENDS}]+){_CLOSED}{_ASSIGN}[\\\"'`(\[{{]*$"
+_LAST = rf"([^{_ENDS}]+){_CLOSED}$"
+_SIGN = rf"^{_ASSIGN}[\\\"'`(\[{{]*$"
 
 
 def _share(value: Column, pattern: str) -> Column:
@@ -56,18 +71,36 @@ def find_candidates(docs: DataFrame) -> DataFrame:
     words = docs.where(text.isNotNull()).select(
         F.xxhash64("doc_id", text).alias("row"), "doc_id", "source", F.split(text, r"[\x20\x09-\x0D]+").alias("words")
     )
-    placed = F.transform("words", lambda w, i: F.struct(i.alias("place"), w.alias("word")))
-    shaped = F.filter(
-        placed,
-        lambda x: (F.char_length(x["word"]) >= LEAST_CHARS) & x["word"].rlike(r"[0-9]|[A-Z]{16}"),
-    )
-    each = words.select("row", "doc_id", "source", "words", F.explode(shaped).alias("at")).select(
-        "row", "doc_id", F.coalesce("source", F.lit("")).alias("source"), F.col("at.place").alias("place"), F.col("at.word").alias("word"),
-        *[F.coalesce(F.get("words", F.col("at.place") + k), F.lit("")).alias(c) for k, c in ((-2, "w2"), (-1, "w1"), (1, "w3"))],
+    loose = NAMES.replace("$", "")
+    near = lambda i, k: F.coalesce(F.get("words", i + k), F.lit(""))
+    # Words that may hold a candidate: by shape, or with a secret's name or an address in or before them.
+    placed = F.filter(
+        F.transform("words", lambda w, i: F.struct(
+            i.alias("place"), w.alias("word"), near(i, -2).alias("w2"), near(i, -1).alias("w1"), near(i, 1).alias("w3")
+        )),
+        lambda x: ((F.char_length(x["word"]) >= LEAST_CHARS) & x["word"].rlike(r"[0-9]|[A-Z]{16}"))
+        | (x["word"].rlike("[=:>]") & (x["word"].rlike(loose) | x["word"].rlike("://.*@")))
+        | ((x["w1"].rlike(loose) | x["w2"].rlike(loose)) & (x["w1"].rlike(rf"{_ASSIGN}[\\\"'`(\[{{]*$") | x["word"].rlike("^[=:]"))),
+    )
+    each = words.select("row", "doc_id", "source", F.explode(placed).alias("at")).select(
+        "row", "doc_id", F.coalesce("source", F.lit("")).alias("source"), "at.*",
+        F.posexplode(F.regexp_extract_all("at.word", F.lit(_PART), F.lit(0))).alias("nth", "part"),
     )
-    value = F.regexp_extract("word", _WORD, 2)
-    each = each.withColumn("name", F.regexp_extract("word", _WORD, 1)).withColumn("value", value)
-    each = each.where(F.col("value") != "")
+    group = lambda k: F.regexp_extract("part", _PART, k)
+    before = F.when(F.col("w1").rlike(_SIGN), F.regexp_extract("w2", _LAST, 1)).when(
+        F.col("word").rlike("^[=:]"), F.regexp_extract("w1", _LAST, 1)
+    ).otherwise(F.regexp_extract("w1", _GIVES, 1))
+    own = F.when(group(1) != "", F.lit("password")).otherwise(F.concat(group(2), group(5)))
+    # The padding of base64 is kept; other punctuation at the end of a value without quotes is not its own.
+    bare = F.regexp_replace(F.concat(group(4), group(6)), r"[.,;:!?#$%&*]+$", "")
+    quoted = F.regexp_replace(F.concat(group(1), group(3)), r"\\+$", "")
+    each = each.withColumn("name", F.when((own == "") & (F.col("nth") == 0), before).otherwise(own))
+    each = each.withColumn("value", F.concat(quoted, bare))
+    # "secret key: value" names its value two words before.
+    further = (F.col("nth") == 0) & (own == "") & F.col("w1").rlike("[=:]$") & F.col("w2").rlike(NAMES)
+    each = each.withColumn("given", (F.col("name").rlike(NAMES) & (F.col("name") != "")) | further)
+    shaped = (F.char_length("value") >= LEAST_CHARS) & F.col("value").rlike(r"[0-9]|[A-Z]{16}")
+    each = each.where((F.col("value") != "") & shaped)
     v = F.col("value")
     changes = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"
     left = F.regexp_replace(F.lower("value"), SYLLABLES, "")
@@ -82,7 +115,7 @@ def find_candidates(docs: DataFrame) -> DataFrame:
         (1 - F.char_length(left) / F.char_length(v)).alias("covered"),
         _share(v, "(?i)[aeiouy]").alias("vowels"),
         flag(v.rlike("^[0-9a-fA-F]+$") & v.rlike("[a-fA-F]")).alias("hex"),
-        flag(F.col("name").rlike(NAMES)).alias("named"), flag(F.col("name") != "").alias("assigned"),
+        flag(F.col("given")).alias("named"), flag(F.col("name") != "").alias("assigned"),
         flag(F.col("word").rlike("[\"']")).alias("quoted"), flag(v.contains("@")).alias("at_sign"),
         F.regexp_count(v, F.lit(r"\.")).cast("double").alias("dots"),
         flag(F.col("w1").rlike(NAMES) | F.col("w2").rlike(NAMES)).alias("before_named"),
@@ -106,16 +139,17 @@ def train_forest(
 ) -> RandomForestClassificationModel | float:
     """Fit on at most ``sample`` labelled findings, half of them of label 1 if there are so many.
 
-    ``labelled`` has ``row, place, label``; a null label is not used. With one label
+    ``labelled`` has ``row, place, label``, and ``value`` where a word has several findings; a null label is not used. With one label
     only, its smoothed share is returned instead of a forest.
     """
     if labelled is None:
         known = findings.withColumn("label", format_label())
     else:
-        known = findings.join(labelled.select("row", "place", F.col("label").cast("double").alias("label")), ["row", "place"])
-    known = known.where(F.col("label").isNotNull()).select("row", "place", "label", *FEATURES)
+        keys = ["row", "place", *(["value"] if "value" in labelled.columns else [])]
+        known = findings.join(labelled.select(*keys, F.col("label").cast("double").alias("label")), keys)
+    known = known.where(F.col("label").isNotNull()).select("row", "place", "value", "label", *FEATURES)
     parts = [
-        known.where(F.col("label") == label).orderBy(F.xxhash64("row", "place"), "row", "place").limit(sample // 2)
+        known.where(F.col("label") == label).orderBy(F.xxhash64("row", "place"), "row", "place", "value").limit(sample // 2)
         for label in (0.0, 1.0)
     ]
     rows = materialize(parts[0].union(parts[1]), "findings")
@@ -141,7 +175,7 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None) -> DataFram
     """All candidates of ``doc_id, text, source`` with the forest's ``score`` and ``secret`` (1: kept finding).
 
     ``place`` is the number of the word in its text, from 0. Null and empty texts
-    have no candidates; a text that is one very long word is one candidate at most.
+    have no candidates; a word has a candidate for each of its parts at most.
     Repeated rows give repeated findings. A null source is the empty path. An empty
     table gives no rows. Extra columns are ignored.
     """
@@ -154,9 +188,9 @@ def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
 
     ``found`` is ``scan_secrets(docs)``. Other columns and texts without a secret stay as they are.
     """
-    secrets = found.where("secret = 1").groupBy("row").agg(F.sort_array(F.collect_set("value")).alias("_values"))
+    secrets = found.where("secret = 1").groupBy("row").agg(F.collect_set(F.struct((-F.char_length("value")).alias("n"), "value")).alias("_values"))
     row = F.xxhash64("doc_id", F.col("text").cast("string"))
     marked = docs.withColumn("_row", row).join(secrets.withColumnRenamed("row", "_row"), "_row", "left")
-    clean = F.aggregate("_values", F.col("text"), lambda text, value: F.replace(text, value, F.lit(MASK)))
+    clean = F.aggregate(F.sort_array("_values"), F.col("text"), lambda text, x: F.replace(text, x["value"], F.lit(MASK)))
     text = F.when(F.col("_values").isNull(), F.col("text")).otherwise(clean)
     return marked.withColumn("text", text).select(*docs.columns)
