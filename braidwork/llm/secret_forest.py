@@ -3,11 +3,13 @@
 Words are cut at quotes, brackets and the other punctuation of code, JSON, addresses
 and tables; every part that is long enough and mixes in digits, or has a run of
 capitals, is a candidate, with the name that stands before it (``name=``, ``"name":``,
-also in the words before). The forest sees the length, the make-up and the changes between character
+also in the words before), and so is every value given to a secret's name, of any
+length and alphabet. The forest sees the length, the make-up and the changes between character
 classes of the value, how much of it common syllables cover, the name, the words
 around it and the path (source) of the document, never the formats below. It learns
 from labelled findings, a table the caller may pass; without one, findings in one of
-the published formats are labelled 1 and all others 0. Everything is built from
+the published formats or a value given to a secret's name that is no plain word is
+labelled 1, named values of letters only are left to the forest, all others are labelled 0. Everything is built from
 column functions and the library's own forest, without Python in tasks.
 """
 
@@ -35,6 +37,8 @@ FORMATS = (
     r"^eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]*$",
 )
 NAMES = r"(?i)pass(word|wd|phrase)?$|pwd|secret|token|api_?key|auth|credential|private|access_?key|bearer"
+# Values that are given to a secret's name in code and stand for none.
+PLAIN = r"(?i)^(true|false|null|none|nil|undefined|str|string|int|bool|required|optional|yes|no|todo|x+|\*+|\.+|\$.*|%.*|<.*)$"
 SYLLABLES = (
     "the|and|ing|tion|ent|ion|ter|est|ers|all|ver|her|that|ment|con|pro|com|per|str|out|one|our|ted|ness"
     "|sch|ein|ich|der|die|und|ung|gen|ver|lich|keit|que|les|des|ment|aux|elle|eur|ado|cion|ado|para|los|mente|user|name|mail|example|http|www"
@@ -73,14 +77,15 @@ def find_candidates(docs: DataFrame) -> DataFrame:
     )
     loose = NAMES.replace("$", "")
     near = lambda i, k: F.coalesce(F.get("words", i + k), F.lit(""))
+    signed = lambda w: w.contains("=") | w.contains(":") | w.contains(">")
     # Words that may hold a candidate: by shape, or with a secret's name or an address in or before them.
     placed = F.filter(
         F.transform("words", lambda w, i: F.struct(
             i.alias("place"), w.alias("word"), near(i, -2).alias("w2"), near(i, -1).alias("w1"), near(i, 1).alias("w3")
         )),
         lambda x: ((F.char_length(x["word"]) >= LEAST_CHARS) & x["word"].rlike(r"[0-9]|[A-Z]{16}"))
-        | (x["word"].rlike("[=:>]") & (x["word"].rlike(loose) | x["word"].rlike("://.*@")))
-        | ((x["w1"].rlike(loose) | x["w2"].rlike(loose)) & (x["w1"].rlike(rf"{_ASSIGN}[\\\"'`(\[{{]*$") | x["word"].rlike("^[=:]"))),
+        | (signed(x["word"]) & (x["word"].rlike(loose) | x["word"].rlike("://.*@")))
+        | ((signed(x["w1"]) | x["word"].startswith("=") | x["word"].startswith(":")) & (x["w1"].rlike(loose) | x["w2"].rlike(loose))),
     )
     each = words.select("row", "doc_id", "source", F.explode(placed).alias("at")).select(
         "row", "doc_id", F.coalesce("source", F.lit("")).alias("source"), "at.*",
@@ -100,13 +105,13 @@ def find_candidates(docs: DataFrame) -> DataFrame:
     further = (F.col("nth") == 0) & (own == "") & F.col("w1").rlike("[=:]$") & F.col("w2").rlike(NAMES)
     each = each.withColumn("given", (F.col("name").rlike(NAMES) & (F.col("name") != "")) | further)
     shaped = (F.char_length("value") >= LEAST_CHARS) & F.col("value").rlike(r"[0-9]|[A-Z]{16}")
-    each = each.where((F.col("value") != "") & shaped)
+    each = each.where((F.col("value") != "") & (shaped | F.col("given"))).withColumn("shaped", shaped)
     v = F.col("value")
     changes = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"
     left = F.regexp_replace(F.lower("value"), SYLLABLES, "")
     flag = lambda condition: F.coalesce(condition, F.lit(False)).cast("double")
     return each.select(
-        "row", "doc_id", "place", "value", "name", "w1", "w2",
+        "row", "doc_id", "place", "value", "name", "w1", "w2", "shaped",
         F.least(F.char_length(v), F.lit(512)).cast("double").alias("n_chars"),
         _share(v, "[0-9]").alias("digits"), _share(v, "[A-Z]").alias("capitals"), _share(v, "[a-z]").alias("smalls"),
         _share(v, "[^A-Za-z0-9]").alias("others"),
@@ -127,11 +132,14 @@ def find_candidates(docs: DataFrame) -> DataFrame:
 
 
 def format_label() -> Column:
-    """1 for a finding in a published format or a hexadecimal value given to a secret's name."""
+    """1: a published format, or named with digits or signs among letters; null: named and unclear; else 0."""
     known = F.col("value").rlike("|".join(f"(?:{f})" for f in FORMATS))
-    given = (F.col("named") > 0) | ((F.col("before_named") > 0) & (F.col("before_assign") > 0))
-    opaque = F.col("value").rlike("^[0-9a-fA-F]{16,}$|^[A-Za-z0-9+/_-]{20,}={0,2}$")
-    return (known | (given & opaque)).cast("double")
+    given = F.col("named") > 0
+    plain = F.col("value").rlike(PLAIN) | ((F.col("covered") >= 0.9) & ~F.col("value").rlike("[0-9]"))
+    mixed = F.col("value").rlike(r"^(?=.*[0-9])(?=.*[^0-9]).{6,}$|^(?=.*\p{L})(?=.*[^\p{L}.,/_-]).{6,}$|^[A-Za-z0-9+/_-]{20,}={0,2}$")
+    return (
+        F.when(known, 1.0).when(~given | plain, 0.0).when(mixed, 1.0).otherwise(F.lit(None).cast("double"))
+    )
 
 
 def train_forest(
@@ -162,13 +170,13 @@ def train_forest(
 
 
 def judge(findings: DataFrame, model: RandomForestClassificationModel | float, threshold: float = 0.5) -> DataFrame:
-    """``row, doc_id, place, value, score, secret`` of all findings."""
+    """``row, doc_id, place, value, shaped, score, secret`` of all findings; ``shaped``: a secret by shape, not only by name."""
     if isinstance(model, float):
         scored = findings.withColumn("score", F.lit(model))
     else:
         vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(findings)
         scored = model.transform(vectors).withColumn("score", vector_to_array("probability")[1])
-    return scored.select("row", "doc_id", "place", "value", "score", (F.col("score") >= threshold).cast("int").alias("secret"))
+    return scored.select("row", "doc_id", "place", "value", "shaped", "score", (F.col("score") >= threshold).cast("int").alias("secret"))
 
 
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
@@ -184,13 +192,29 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None) -> DataFram
 
 
 def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with every kept finding of ``found`` replaced by a mask, in all its places in the text.
+    """``docs`` with every kept finding of ``found`` replaced by a mask.
 
-    ``found`` is ``scan_secrets(docs)``. Other columns and texts without a secret stay as they are.
+    A value with the shape of a secret goes in all its places in the text, one that only its name gives
+    away (it may be a common word) as a whole in the word it was found in. ``found`` is ``scan_secrets(docs)``.
+    Other columns and texts without a secret stay as they are.
     """
-    secrets = found.where("secret = 1").groupBy("row").agg(F.collect_set(F.struct((-F.char_length("value")).alias("n"), "value")).alias("_values"))
+    item = F.struct((-F.char_length("value")).alias("n"), "value", F.when(~F.col("shaped"), F.col("place")).alias("place"))
+    secrets = found.where("secret = 1").groupBy("row").agg(F.sort_array(F.collect_set(item)).alias("_values"))
     row = F.xxhash64("doc_id", F.col("text").cast("string"))
     marked = docs.withColumn("_row", row).join(secrets.withColumnRenamed("row", "_row"), "_row", "left")
-    clean = F.aggregate(F.sort_array("_values"), F.col("text"), lambda text, x: F.replace(text, x["value"], F.lit(MASK)))
+    here = F.filter("_values", lambda x: x["place"].isNotNull())
+    # Words with the blanks behind them, numbered as the places are.
+    words = F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+
+    def whole(word: Column, x: Column) -> Column:
+        value = F.regexp_replace(x["value"], r"([^A-Za-z0-9])", r"\\$1")
+        return F.regexp_replace(word, F.concat(F.lit(r"(?<![\p{L}\p{N}])"), value, F.lit(r"(?![\p{L}\p{N}])")), F.lit(MASK.replace("$", r"\$")))
+
+    masked = F.array_join(
+        F.transform(words, lambda w, i: F.aggregate(F.filter(here, lambda x: x["place"] == i), w, whole)), ""
+    )
+    text = F.when(F.size(here) > 0, masked).otherwise(F.col("text"))
+    everywhere = F.filter("_values", lambda x: x["place"].isNull())
+    clean = F.aggregate(everywhere, text, lambda t, x: F.replace(t, x["value"], F.lit(MASK)))
     text = F.when(F.col("_values").isNull(), F.col("text")).otherwise(clean)
     return marked.withColumn("text", text).select(*docs.columns)

@@ -228,6 +228,23 @@ def test_secrets_inside_code_are_candidates(spark):
     assert not any(want[r.doc_id] in r.text for r in sf.redact(docs, found).collect())
 
 
+def test_named_values_of_any_length_are_candidates(spark):
+    rows = [
+        (0, "so password=correcthorsebatterystaple ok"), (1, "its pwd: hunter22 now"), (2, "a password=Xk9vQ2zT7mLp, yes"),
+        (3, "the password = 'to' and to go"), (4, "password=none"), (5, "call 441712345678 to pay"), (6, " secret:  a+b "),
+    ]
+    docs = spark.createDataFrame([(i, t, "a") for i, t in rows], "doc_id long, text string, source string")
+    found = sf.find_candidates(docs).withColumn("label", sf.format_label())
+    got = {(r.doc_id, r.value): r.label for r in found.collect()}
+    assert got == {
+        (0, "correcthorsebatterystaple"): 1.0, (1, "hunter22"): 1.0, (2, "Xk9vQ2zT7mLp"): 1.0, (3, "to"): None,
+        (4, "none"): 0.0, (5, "441712345678"): 0.0, (6, "a+b"): None,
+    }
+    clean = {r.doc_id: r.text for r in sf.redact(docs, found.selectExpr("*", "1 AS secret")).collect()}
+    assert clean[3] == f"the password = '{sf.MASK}' and to go" and clean[6] == f" secret:  {sf.MASK} "
+    assert clean[2] == f"a password={sf.MASK}, yes" and clean[1] == f"its pwd: {sf.MASK} now"
+
+
 def test_machine_learns_a_pair():
     rng = np.random.default_rng(0)
     rows = [np.flatnonzero(rng.random(6) < 0.5) for _ in range(800)]
