@@ -162,6 +162,17 @@ def test_quotes_are_linked(spark):
     assert ql.link_quotes(docs.limit(0)).count() == 0
 
 
+def test_quotes_of_other_conversations_when_the_own_one_writes_later(spark):
+    rows = [
+        (1, 0, "user", "> Use a range sort.\nwhat is that"), (1, 1, "assistant", "Use a range sort."),
+        (2, 0, "user", "hello"), (2, 1, "assistant", "Use a range sort."), (3, 0, "user", "> Use a range sort.\nok"),
+        (None, 0, "user", "> only here\nx"), (None, 1, "user", "only here"),
+    ]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn, r.n_linked) for r in ql.link_quotes(docs).collect()}
+    assert got[1, 0] == (2, 1, 1) and got[3, 0] == (1, 1, 1) and got[None, 0] == (None, None, 0)
+
+
 @pytest.mark.parametrize(
     ("page", "want"),
     [
