@@ -58,4 +58,34 @@ s AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_filter_audit": f"""WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+f AS (
+  SELECT part, doc_id, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM w),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, concat(CASE WHEN a THEN 'A' END, CASE WHEN b THEN 'B' END, CASE WHEN c THEN 'C' END,
+      CASE WHEN d THEN 'D' END, CASE WHEN e THEN 'E' END) AS mask,
+    count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT concat(p.x, q.x, r.x, s.x, t.x) AS filter_order FROM x p, x q, x r, x s, x t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+k AS (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM o),
+r AS (
+  SELECT part, filter_order, step, mask, n, good, toxic, filter_order[step] AS x, contains(mask, filter_order[step]) AS fails,
+    len(mask) > 0 AND len(translate(filter_order[:step - 1], mask, '')) < step - 1 AS gone FROM m, k),
+s AS (
+  SELECT part, filter_order, step, any_value(x) AS x, coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND fails), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (gone AND fails), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = x), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (NOT gone AND fails), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (NOT gone AND fails), 0)::BIGINT AS toxic_lost
+  FROM r GROUP BY part, filter_order, step)
+SELECT * EXCLUDE (x), (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM s""",
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from braidwork.llm.bottomk_fingerprint import fingerprint_edits
 from braidwork.llm.bpe_automaton import bpe_decode, bpe_encode, default_path
 from braidwork.llm.curriculum_mix import mix_plan
+from braidwork.llm.filter_audit import audit
 from braidwork.llm.html_tree import extract_pages
 from braidwork.llm.kdtree_topk import exact_topk
 from braidwork.llm.ngram_jaccard import jaccard_components
@@ -87,6 +88,11 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return audit(docs, _table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_bpe_automaton": op2_bpe_automaton,
@@ -98,4 +104,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_tree": op8_html_tree,
     "op9_secret_forest": op9_secret_forest,
     "op10_toxicity_fm": op10_toxicity_fm,
+    "op12_filter_audit": op12_filter_audit,
 }

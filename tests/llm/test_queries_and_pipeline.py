@@ -20,7 +20,7 @@ corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in LLM_QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize(
@@ -95,4 +95,4 @@ def test_entry_lists_the_queries():
     assert importlib.util.find_spec("corpus_pipeline") is not None
     code = "import __spark_entry__ as e; q = e.queries(); print('pipeline' in q, sum(k.startswith('op') for k in q), set(e.oracle_sql()) <= set(q))"
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=".")
-    assert out.stdout.split() == ["True", "10", "True"], out.stderr
+    assert out.stdout.split() == ["True", "13", "True"], out.stderr
