@@ -3,6 +3,13 @@
 from __future__ import annotations
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ("doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text")
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen({f})::VARCHAR || ':' || {f}, '-')" for f in fields) + "))"
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 LLM_SQL: dict[str, str] = {
@@ -88,4 +95,51 @@ s AS (
     coalesce(sum(toxic) FILTER (NOT gone AND fails), 0)::BIGINT AS toxic_lost
   FROM r GROUP BY part, filter_order, step)
 SELECT * EXCLUDE (x), (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM s""",
+    # CRC-32 bit by bit over the digits of the id; then the tree level by level.
+    "op11_merkle_manifest": f"""WITH RECURSIVE c AS (
+  SELECT doc_id, source, lang, n_chars, text,
+    xor(list_reduce(flatten([[4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))]),
+      lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384::BIGINT * (a & 1)) END),
+      4294967295::BIGINT) % 7 = 0 AS hit
+  FROM documents),
+l AS (
+  SELECT *, {_leaf("n_chars")} AS leaf, {_leaf("n_chars + 1")} AS changed, (lang IS NULL) AS bare FROM c),
+p AS (
+  SELECT *, CASE WHEN coalesce(hit AND n_chars IS NOT NULL, false) THEN changed ELSE leaf END AS tampered,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+t AS (
+  SELECT lang, 0 AS level, pos, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM p
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM t WHERE n > 1
+  GROUP BY lang, level, pos // 2, n),
+s AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM t WHERE n = 1),
+u AS (
+  SELECT 0 AS level, pos, subroot AS h, n FROM s
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM u WHERE n > 1
+  GROUP BY level, pos // 2, n),
+r AS (SELECT h AS root FROM u WHERE n = 1),
+w AS (
+  SELECT row_number() OVER () AS k, p.doc_id, p.lang, p.pos, p.leaf, p.tampered, s.subroot, s.pos AS part FROM p
+  JOIN s ON s.lang IS NOT DISTINCT FROM p.lang),
+v AS (
+  SELECT k, t.level AS step, w.pos >> t.level & 1 AS odd, x.h AS sibling
+  FROM w JOIN t ON t.lang IS NOT DISTINCT FROM w.lang AND t.pos = w.pos >> t.level AND t.n > 1
+  LEFT JOIN t x ON x.lang IS NOT DISTINCT FROM w.lang AND x.level = t.level AND x.pos = xor(t.pos, 1)
+  UNION ALL
+  SELECT k, 1000 + u.level, w.part >> u.level & 1, x.h
+  FROM w JOIN u ON u.pos = w.part >> u.level AND u.n > 1 LEFT JOIN u x ON x.level = u.level AND x.pos = xor(u.pos, 1)),
+o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY step) AS i FROM v),
+q AS (
+  SELECT k, 0::BIGINT AS i, tampered AS h FROM w
+  UNION ALL
+  SELECT q.k, o.i, sha256(CASE WHEN odd = 1 THEN concat(sibling, h) ELSE concat(h, sibling) END)
+  FROM q JOIN o ON o.k = q.k AND o.i = q.i + 1),
+f AS (SELECT k, arg_max(h, i) AS folded_root FROM q GROUP BY k),
+g AS (SELECT k, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256 FROM w LEFT JOIN v USING (k) GROUP BY k)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM w JOIN f USING (k) JOIN g USING (k), r""",
 }

@@ -13,6 +13,7 @@ from braidwork.llm.curriculum_mix import mix_plan
 from braidwork.llm.filter_audit import audit
 from braidwork.llm.html_tree import extract_pages
 from braidwork.llm.kdtree_topk import exact_topk
+from braidwork.llm.merkle_manifest import manifest, verify
 from braidwork.llm.ngram_jaccard import jaccard_components
 from braidwork.llm.quote_linking import link_quotes
 from braidwork.llm.secret_forest import scan_secrets
@@ -88,6 +89,13 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    return verify(manifest(docs)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return audit(docs, _table(spark, sf_dir, "labels"))
@@ -104,5 +112,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_tree": op8_html_tree,
     "op9_secret_forest": op9_secret_forest,
     "op10_toxicity_fm": op10_toxicity_fm,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_filter_audit": op12_filter_audit,
 }

@@ -1,12 +1,15 @@
-"""Filter audit against a run of every order."""
+"""Filter audit, Merkle manifest and near-duplicate vectors against brute force."""
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from itertools import permutations
 
 import pytest
 
 from braidwork.llm.filter_audit import FILTERS, audit, lehmer_rank
+from braidwork.llm.merkle_manifest import Frontier, fold, manifest, verify
 
 DOCS = "doc_id long, lang string, text string, part string, mask int, good boolean"
 LABELS = "doc_id long, quality int, toxic int"
@@ -92,3 +95,99 @@ def test_ranks_follow_the_letters():
     orders = sorted(permutations(range(5)))
     assert [lehmer_rank(o) for o in orders] == list(range(120))
     assert lehmer_rank((2, 0)) == orders.index((2, 0, 1, 3, 4))
+
+
+def _h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _leaf(doc_id, source, lang, n_chars, text):
+    fields = ["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (doc_id, source, lang, n_chars, text)]
+    return _h(*fields)
+
+
+def _levels(leaves):
+    out = [leaves]
+    while len(out[-1]) > 1:
+        out.append([_h(*out[-1][i : i + 2]) for i in range(0, len(out[-1]), 2)])
+    return out
+
+
+def _walk(levels, i):
+    """Siblings of leaf ``i`` with their side."""
+    for level in levels[:-1]:
+        j = i ^ 1
+        yield (level[j], j < i) if j < len(level) else (None, False)
+        i >>= 1
+
+
+def _manifest_by_hand(rows):
+    lists = {}
+    for r in rows:
+        lists.setdefault(r[2], []).append(r)
+    # Null first, then bytewise.
+    langs = sorted(lists, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for lang in langs:
+        own = sorted(lists[lang], key=lambda r: (r[0] is not None, r[0] or 0, _leaf(*r)))
+        trees[lang] = own, _levels([_leaf(*r) for r in own])
+    top = _levels([trees[x][1][-1][0] for x in langs])
+    out = []
+    for k, lang in enumerate(langs):
+        own, levels = trees[lang]
+        for i, r in enumerate(own):
+            path = [*_walk(levels, i), *_walk(top, k)]
+            h = levels[0][i]
+            if r[0] is not None and r[3] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 0:
+                h = _leaf(*r[:3], r[3] + 1, r[4])
+            for sibling, left in path:
+                h = _h(h) if sibling is None else _h(sibling, h) if left else _h(h, sibling)
+            proof = _h(*[s for s, _ in path if s is not None])
+            out.append((r[0], levels[0][i], levels[-1][0], top[-1][0], proof, h, h == top[-1][0]))
+    return sorted(out, key=str)
+
+
+FIELDS = "doc_id long, source string, lang string, n_chars long, text string, part string, pos long, digest binary, root int"
+COLUMNS = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@pytest.mark.parametrize(("bits", "n"), [(1, 23), (2, 70), (10, 70)])
+def test_manifest_equals_trees_built_by_hand(spark, bits, n):
+    langs = ["en", "en", "de", "Z", "é", "", None]
+    rows = [(i * 3 + 1, "s", langs[i % 7], i, "t" * i) for i in range(n)]
+    rows += [(4, "s", "en", 1, "again"), (None, None, None, None, None), (7, "", "fr", None, "a\n☃"), (-5, "x", "en", -1, "")]
+    docs = spark.createDataFrame([(*r, "p", 1, b"", 2) for r in rows], FIELDS)
+    got = sorted([tuple(r[c] for c in COLUMNS) for r in verify(manifest(docs, bits=bits)).collect()], key=str)
+    assert got == _manifest_by_hand(rows)
+    assert any(not r[-1] for r in got) and any(r[-1] for r in got)
+
+
+def test_manifest_of_equal_rows_many_lists_and_no_rows(spark):
+    same = [(7, "s", "en", 3, "abc")] * 5
+    docs = spark.createDataFrame([(*r, "p", 1, b"", 2) for r in same], FIELDS)
+    got = verify(manifest(docs, bits=1)).select(*COLUMNS).collect()
+    assert sorted(map(tuple, got), key=str) == _manifest_by_hand(same)
+    many = [(i, None, f"l{i}", i, "x" * 30_000) for i in range(11)]
+    docs = spark.createDataFrame([(*r, "p", 1, b"", 2) for r in many], FIELDS)
+    got = verify(manifest(docs, bits=1)).select(*COLUMNS).collect()
+    assert sorted(map(tuple, got), key=str) == _manifest_by_hand(many)
+    assert verify(manifest(docs.limit(0))).count() == 0
+    with pytest.raises(ValueError, match="two leaves"):
+        manifest(docs, bits=0)
+
+
+@pytest.mark.parametrize("n", range(1, 18))
+def test_witnesses_grow_with_later_leaves(n):
+    frontier, leaves = Frontier(), [hashlib.sha256(bytes([i])).digest() for i in range(n)]
+    for i, leaf in enumerate(leaves):
+        frontier.append(leaf)
+        # A leaf of an open subtree knows the way to that subtree's root.
+        for _, digest, first in frontier.open:
+            assert fold(leaves[first], bytes(frontier.witness[first])) == digest
+        assert sum(1 << height for height, _, _ in frontier.open) == i + 1
+    root = frontier.close()
+    assert root.hex() == _levels([x.hex() for x in leaves])[-1][0]
+    assert all(fold(x, bytes(w)) == root for x, w in zip(leaves, frontier.witness))
+    other = Frontier()
+    other.append(leaves[0])
+    assert fold(leaves[0], b"---") == other.close(3)
