@@ -142,4 +142,14 @@ f AS (SELECT k, arg_max(h, i) AS folded_root FROM q GROUP BY k),
 g AS (SELECT k, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256 FROM w LEFT JOIN v USING (k) GROUP BY k)
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
 FROM w JOIN f USING (k) JOIN g USING (k), r""",
+    "op13_vector_near_dedup": """WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.b) AS component_id, vec_id = min(r.b) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id JOIN reach r ON r.a = vec_id GROUP BY vec_id""",
 }

@@ -19,6 +19,7 @@ from braidwork.llm.quote_linking import link_quotes
 from braidwork.llm.secret_forest import scan_secrets
 from braidwork.llm.sentence_spans import remove_repeats
 from braidwork.llm.toxicity_fm import held_out, score_toxicity, train
+from braidwork.llm.vector_near_dedup import near_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +102,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(docs, _table(spark, sf_dir, "labels"))
 
 
+def op13_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_bpe_automaton": op2_bpe_automaton,
@@ -114,4 +119,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity_fm": op10_toxicity_fm,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_filter_audit": op12_filter_audit,
+    "op13_vector_near_dedup": op13_vector_near_dedup,
 }

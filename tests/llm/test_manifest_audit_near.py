@@ -6,10 +6,12 @@ import hashlib
 import zlib
 from itertools import permutations
 
+import numpy as np
 import pytest
 
 from braidwork.llm.filter_audit import FILTERS, audit, lehmer_rank
 from braidwork.llm.merkle_manifest import Frontier, fold, manifest, verify
+from braidwork.llm import vector_near_dedup as near
 
 DOCS = "doc_id long, lang string, text string, part string, mask int, good boolean"
 LABELS = "doc_id long, quality int, toxic int"
@@ -191,3 +193,114 @@ def test_witnesses_grow_with_later_leaves(n):
     other = Frontier()
     other.append(leaves[0])
     assert fold(leaves[0], b"---") == other.close(3)
+
+
+VECTORS = "vec_id long, embedding array<double>, node long, key string, n int, label int"
+
+
+def _near_by_hand(rows, cosine):
+    usable = [
+        k for k, (_, v) in enumerate(rows) if v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    ]
+    width = max([len(rows[k][1]) for k in usable], default=1)
+    units = np.zeros((len(rows), width))
+    for k in usable:
+        units[k, : len(rows[k][1])] = np.array(rows[k][1]) / max(map(abs, rows[k][1]))
+        units[k] /= np.linalg.norm(units[k])
+    links = units @ units.T >= cosine
+    links[np.arange(len(rows)), np.arange(len(rows))] = False
+    label = np.arange(len(rows))
+    while True:
+        low = np.array([min([label[k], *label[links[k]]]) for k in range(len(rows))])
+        if (low == label).all():
+            break
+        label = low
+    out = []
+    for k, (vec_id, _) in enumerate(rows):
+        ids = [rows[m][0] for m in np.flatnonzero(label == label[k]) if rows[m][0] is not None]
+        least = min(ids, default=None)
+        out.append((vec_id, int(links[k].sum()), least, vec_id == least))
+    return sorted(out, key=str)
+
+
+def _near(spark, rows, **kw):
+    table = spark.createDataFrame([(i, v, 1, "k", 2, 3) for i, v in rows], VECTORS)
+    got = near.near_vectors(table, **kw)
+    assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
+    return sorted([tuple(r) for r in got.collect()], key=str)
+
+
+def _clouds(rng, width, sizes, spreads):
+    out = []
+    for n, spread in zip(sizes, spreads):
+        centre = rng.normal(size=width)
+        centre /= np.linalg.norm(centre)
+        out += (centre + rng.normal(size=(n, width)) * spread).tolist()
+    return out
+
+
+@pytest.mark.parametrize(
+    ("width", "block_dims", "cell_rows", "cosine"), [(12, 4, 60, 0.9), (12, 3, 5000, 0.9), (6, 2, 100, 0.97), (5, 16, 40, 0.8)]
+)
+def test_near_vectors_equal_all_pairs(spark, width, block_dims, cell_rows, cosine):
+    rng = np.random.default_rng(width * 7 + block_dims)
+    # Random ones, tight groups (whole balls), loose ones (chains) and copies.
+    found = rng.normal(size=(350, width)).tolist()
+    found += _clouds(rng, width, [180, 40, 60, 60, 3, 2], [0.01, 0.02, 0.12, 0.2, 0.05, 0.01])
+    found += [found[0]] * 5 + [found[400]] * 20 + [(np.array(found[1]) * 4).tolist()]
+    ids = rng.permutation(len(found)).tolist()
+    rows = list(zip(ids, found))
+    assert _near(spark, rows, block_dims=block_dims, cell_rows=cell_rows, cosine=cosine) == _near_by_hand(rows, cosine)
+
+
+def test_near_vectors_of_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (None, [1.0, 2.0]),
+        (8, [1.0, 2.0]), (8, [1.0, 2.0]), (9, [2.0, 4.0]), (10, [1.0]), (11, [1.0, 0.0]), (None, [0.0, 0.0, -1.0]),
+        (None, [0.0, 0.0, -1.0]), (12, [1e300, 1e299]), (13, [1e-310, 1e-311]), (14, [-0.0, 3.0]), (15, [0.0, 3.0]),
+        (16, [0.0, -3.0]), (17, [1e-200, 0.0, 5.0]),
+    ]
+    assert _near(spark, rows) == _near_by_hand(rows, 0.9)
+    assert _near(spark, []) == []
+    assert _near(spark, [(1, None)]) == [(1, 0, 1, True)]
+    with pytest.raises(ValueError, match="cosine"):
+        near.near_vectors(spark.createDataFrame([], VECTORS), cosine=0)
+
+
+def test_near_vectors_at_the_limit_are_decided_in_double_precision(spark):
+    # Cosines of 0.9 plus and minus 1e-9, beyond what single precision can tell.
+    rows = []
+    for k, off in enumerate([1e-9, -1e-9, 1e-12, -1e-12, 2e-6, -2e-6]):
+        c, axis = 0.9 + off, [0.0] * 12
+        x, y = axis.copy(), axis.copy()
+        x[2 * k] = 1.0
+        y[2 * k], y[2 * k + 1] = c, (1 - c * c) ** 0.5
+        rows += [(2 * k, x), (2 * k + 1, y)]
+    got = {i: n for i, n, *_ in _near(spark, rows)}
+    assert [got[2 * k] for k in range(6)] == [1, 0, 1, 0, 1, 0]
+
+
+def test_a_tight_group_is_answered_without_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = list(enumerate(_clouds(rng, 16, [400], [0.01]) + rng.normal(size=(100, 16)).tolist()))
+    sent = []
+    inner = near._sent
+    monkeypatch.setattr(near, "_sent", lambda active, *a: sent.append(active.count()) or inner(active, *a))
+    assert _near(spark, rows) == _near_by_hand(rows, 0.9)
+    assert sent[0] <= 100
+
+
+def test_each_pair_meets_once_in_its_block(spark):
+    rng = np.random.default_rng(11)
+    points = rng.normal(size=(300, 4))
+    tree = near.Tree.grow(points, 8)
+    home = tree.cells(points)
+    assert sorted(set(home.tolist())) == list(range(8))
+    reached = tree.reached(points, 0.4)
+    assert reached[np.arange(300), home].all()
+    close = ((points[:, None] - points[None]) ** 2).sum(2) <= 0.16
+    for i, j in zip(*np.nonzero(close)):
+        assert reached[i, home[j]]
+    assert near.Tree.grow(np.zeros((5, 3)), 4).cells(np.zeros((2, 3))).tolist() == [0, 0]
+    assert near.Tree.grow(np.zeros((0, 3)), 4).cells(np.ones((1, 3))).tolist() == [0]
