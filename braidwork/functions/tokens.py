@@ -73,10 +73,14 @@ def shift_left(tokens: Column) -> Column:
     return F.concat(F.slice(tokens, 2, _TO_THE_END), F.array(F.lit(0)))
 
 
+def last_tokens(tokens: Column, n: int) -> Column:
+    """The last ``n`` ids, or all where there are fewer."""
+    return F.slice(tokens, F.greatest(F.size(tokens) - n + 1, F.lit(1)), F.lit(n))
+
+
 def context_window(tokens: Column, maxlen: int) -> Column:
     """The last ``maxlen`` ids, filled up on the right with 0."""
-    last = F.reverse(F.slice(F.reverse(tokens), 1, maxlen))
-    return truncate_pad(last, maxlen, 0)
+    return truncate_pad(last_tokens(tokens, maxlen), maxlen, 0)
 
 
 def context_length(tokens: Column, maxlen: int) -> Column:

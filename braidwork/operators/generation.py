@@ -1,8 +1,8 @@
 """Token generation for a whole table of prompts at once.
 
-All prompts advance together, one token per round. Scores depend on the last
-token of the context, so the state of a prompt is its last token and the
-tokens produced so far; prompts that are done stop taking part.
+All prompts advance together, one token per round. Scores depend on the longest known
+context that a prompt ends with, so its state is its last few tokens and the tokens
+produced so far; prompts that are done stop taking part.
 """
 
 from __future__ import annotations
@@ -11,10 +11,14 @@ import random
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from braidwork.configs import InferenceConfig
+from braidwork.functions.draws import uniform
+from braidwork.functions.tokens import last_tokens
+from braidwork.operators.contexts import suffix_keys
 from braidwork.operators.joins import BROADCAST_ROWS, fits_broadcast, salted_join
-from braidwork.operators.scoring import sample_score
+from braidwork.operators.scoring import cumulative_table, draw, greedy_next
 from braidwork.session import materialize
 
 ROUNDS_PER_STAGE = 8
@@ -44,72 +48,66 @@ def generate(
 ) -> DataFrame:
     """``prompt_id, tokens, new_tokens``: every prompt (ids are unique) with its continuation.
 
-    Stops after ``max_new_tokens`` rounds, or earlier for a prompt that draws
-    the end token (which is not appended) or whose last token has no
-    successor. Empty prompts are refused. Without a seed in the configuration
-    a fresh one is drawn.
+    ``logits`` is ``ctx, token, logit``; ``ctx`` is a token or an array of the last
+    tokens (``contexts.context_table``). Of the contexts in the table that a prompt ends
+    with the longest decides. Stops after ``max_new_tokens`` rounds, or earlier for a
+    prompt that draws the end token (which is not appended) or that no context fits.
+    Empty prompts are refused. Without a seed in the configuration a fresh one is drawn.
 
-    While the logits table has at most ``broadcast_rows`` rows it is sent out
-    as one candidate array per context, and a round is a projection: no
-    shuffle at all. A larger table is joined, with frequent contexts salted,
-    and the best candidate is found by an aggregate.
+    The table is reduced to one row per context first: its best token, or its running
+    sums for drawing by one digest and one search. While that has at most
+    ``broadcast_rows`` rows (and is small in bytes) a round is a broadcast join per
+    context length and a projection; a larger one is joined once per round.
     """
     prompts = materialize(prompts.select("prompt_id", "tokens"), "prompts")
     if prompt_problems(prompts).limit(1).count():
         raise ValueError("every prompt must hold at least one token")
     seed = config.seed if config.seed is not None else random.SystemRandom().randrange(2**31)
-    logits = materialize(logits.select("ctx", "token", "logit"), "logits")
+    table = logits.select("ctx", "token", "logit")
+    if not isinstance(table.schema["ctx"].dataType, T.ArrayType):
+        table = table.withColumn("ctx", F.array("ctx"))
+    if greedy:
+        lookup = greedy_next(table)
+    else:
+        lookup = cumulative_table(table, temperature=config.temperature)
+    lookup = materialize(lookup, "lookup")
+    order = lookup.agg(F.max(F.size("ctx"))).first()[0] or 1
+    found = [c for c in lookup.columns if c != "ctx"]
 
-    def score(logit: Column, token: Column, step: int) -> Column:
+    def pick(step: int) -> Column:
         if greedy:
-            return logit
-        return sample_score(
-            logit,
-            token,
-            temperature=config.temperature,
-            seed=seed,
-            keys=(F.col("prompt_id"), F.lit(step)),
-        )
+            return F.col("token").cast("int")
+        drawn = uniform(seed, F.col("prompt_id"), F.lit(step))
+        return draw(F.col("tokens"), F.col("cum"), drawn).cast("int")
 
-    if fits_broadcast(logits, max_rows=broadcast_rows):
-        by_ctx = logits.groupBy("ctx").agg(
-            F.collect_list(F.struct("token", "logit")).alias("candidates")
-        )
-        candidates = F.broadcast(materialize(by_ctx, "candidates"))
+    if fits_broadcast(lookup, max_rows=broadcast_rows):
+        known = F.broadcast(lookup)
 
         def advance(state: DataFrame, step: int) -> DataFrame:
-            best = F.array_max(
-                F.transform(
-                    "candidates",
-                    lambda c: F.struct(
-                        score(c["logit"], c["token"], step).alias("s"), (-c["token"]).alias("t")
-                    ),
-                )
-            )
-            return (
-                state.join(candidates, F.col("last") == F.col("ctx"), "left")
-                .withColumn("pick", (-best["t"]).cast("int"))
-                .drop("ctx", "candidates")
-            )
+            best = state
+            for k in range(order, 0, -1):
+                own = known.select(F.col("ctx").alias(f"ctx{k}"), F.struct(*found).alias(f"found{k}"))
+                key = F.when(F.size("last") >= k, F.slice("last", -k, k))
+                best = best.join(own, key == F.col(f"ctx{k}"), "left").drop(f"ctx{k}")
+            longest = F.coalesce(*[F.col(f"found{k}") for k in range(order, 0, -1)])
+            best = best.select("prompt_id", "last", "new_tokens", longest.alias("found"))
+            return best.select("prompt_id", "last", "new_tokens", "found.*").withColumn("pick", pick(step))
     else:
 
         def advance(state: DataFrame, step: int) -> DataFrame:
-            # The state travels with the scored rows: one join and one aggregate per round.
-            active = state.withColumn("ctx", F.col("last"))
-            scored = salted_join(active, logits, ["ctx"], F.xxhash64("prompt_id"), how="left")
-            rank = F.struct(
-                score(F.col("logit"), F.col("token"), step).alias("s"), (-F.col("token")).alias("t")
-            )
-            found = F.when(F.col("token").isNotNull(), rank)
-            return scored.groupBy("prompt_id").agg(
+            # The state travels with its keys: one join and one aggregate per round.
+            keyed = state.select("*", F.explode_outer(suffix_keys(F.col("last"), order)).alias("ctx"))
+            met = salted_join(keyed, lookup, ["ctx"], F.xxhash64("prompt_id"), how="left")
+            longest = F.when(F.col(found[0]).isNotNull(), F.size("ctx"))
+            return met.groupBy("prompt_id").agg(
                 F.first("last").alias("last"),
                 F.first("new_tokens").alias("new_tokens"),
-                F.max_by("token", found).cast("int").alias("pick"),
-            )
+                *[F.max_by(c, longest).alias(c) for c in found],
+            ).withColumn("pick", pick(step))
 
     state = prompts.select(
         "prompt_id",
-        F.element_at("tokens", -1).alias("last"),
+        last_tokens(F.col("tokens"), order).alias("last"),
         F.array().cast("array<int>").alias("new_tokens"),
     )
     state = _spread(state)
@@ -117,7 +115,7 @@ def generate(
         going_on = F.col("pick").isNotNull() & (F.col("pick") != end_token)
         state = advance(state, step).select(
             "prompt_id",
-            F.when(going_on, F.col("pick")).alias("last"),
+            F.when(going_on, last_tokens(F.concat("last", F.array("pick")), order)).alias("last"),
             F.when(going_on, F.concat("new_tokens", F.array("pick")))
             .otherwise(F.col("new_tokens"))
             .alias("new_tokens"),

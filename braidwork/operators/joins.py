@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from braidwork.session import materialize
+
 SALTS = 16
+# Rows of one key that a task joins, beyond which the key is split.
+ROWS_PER_TASK = 1_000_000
 # A lookup side within both bounds is sent to every executor.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_TEXT_BYTES = 128 * 1024 * 1024
@@ -45,6 +49,51 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def heavy_keys(big: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``on.., _parts``: keys with more than ``rows_per_task`` rows and into how many parts to cut them.
+
+    Counted with map-side combine; at most one row per ``rows_per_task`` rows of ``big``.
+    """
+    counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows_per_task)
+    return counts.select(*on, F.ceil(F.col("n") / rows_per_task).cast("int").alias("_parts"))
+
+
+def split_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    salt: Column,
+    *,
+    how: str = "inner",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Join a table to a lookup table, cutting exactly the keys that are too big for one task.
+
+    Each key of ``big`` with more than ``rows_per_task`` rows gets a number of parts from
+    its own count; rows choose a part by ``salt``, and only the lookup rows of such keys
+    are repeated, once per part. ``big`` is read twice and should be a stored table. Null
+    keys match nothing and are split like others.
+    """
+    heavy = materialize(heavy_keys(big, on, rows_per_task), "heavy")
+    if heavy.isEmpty():
+        return big.join(small, list(on), how)
+    names = [f"_heavy_{k}" for k in range(len(on))]
+    # Proven small: a row here stands for more than rows_per_task rows.
+    known = F.broadcast(heavy.select(*[F.col(c).alias(n) for c, n in zip(on, names)], "_parts"))
+
+    def marked(df: DataFrame) -> DataFrame:
+        same = F.lit(True)
+        for c, n in zip(on, names):
+            same = same & F.col(c).eqNullSafe(F.col(n))
+        return df.join(known, same, "left").drop(*names)
+
+    own = F.pmod(salt.cast("long"), F.coalesce("_parts", F.lit(1)))
+    left = marked(big).withColumn("_part", F.coalesce(own, F.lit(0)).cast("int")).drop("_parts")
+    parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    right = marked(small).withColumn("_part", F.explode(parts)).drop("_parts")
+    return left.join(right, [*on, "_part"], how).drop("_part")
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,

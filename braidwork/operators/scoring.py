@@ -8,10 +8,10 @@ a frequent context may hold a large share of the table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from braidwork.functions.draws import gumbel
+from braidwork.functions.draws import uniform
 from braidwork.operators.joins import fits_broadcast, lookup_join, salted_join
 
 
@@ -91,21 +91,45 @@ def greedy_next(logits: DataFrame) -> DataFrame:
     return _pick(logits, F.col("logit"))
 
 
-def sample_score(
-    logit: Column, token: Column, *, temperature: float, seed: int, keys: tuple[Column, ...]
-) -> Column:
-    """Perturbed logit whose arg-max over tokens is one draw from the tempered softmax."""
-    return logit / F.lit(temperature) + gumbel(seed, *keys, token)
+def cumulative_table(logits: DataFrame, *, temperature: float = 1.0) -> DataFrame:
+    """``ctx, tokens, cum``: one row per context with its tokens in order and the running sums of
+    their softmax weights; a row holds at most one entry per token of the vocabulary."""
+    if not temperature > 0:
+        raise ValueError(f"temperature must be > 0, got {temperature}")
+    by_ctx = Window.partitionBy("ctx")
+    weight = F.exp((F.col("logit") - F.max("logit").over(by_ctx)) / F.lit(temperature))
+    running = by_ctx.orderBy("token").rowsBetween(Window.unboundedPreceding, 0)
+    summed = logits.select("ctx", "token", weight.alias("w")).select(
+        "ctx", "token", F.sum("w").over(running).alias("cum")
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("token", "cum")))
+    packed = summed.groupBy("ctx").agg(ordered.alias("o"))
+    return packed.select("ctx", F.col("o.token").alias("tokens"), F.col("o.cum").alias("cum"))
+
+
+# A binary search of this many halvings covers any array that Spark can hold.
+_JUMPS = [1 << k for k in range(30, -1, -1)]
+
+
+def draw(tokens: Column, cum: Column, uniform_draw: Column) -> Column:
+    """The first token whose running sum reaches the drawn share of the whole: one draw, one search."""
+    target = uniform_draw * F.element_at(cum, -1)
+    below = F.aggregate(
+        F.filter(F.array(*map(F.lit, _JUMPS)), lambda jump: jump <= F.size(cum)),
+        F.lit(0),
+        # How many running sums lie below the target.
+        lambda lo, jump: F.when(F.get(cum, lo + jump - 1) < target, lo + jump).otherwise(lo),
+    )
+    return F.get(tokens, below)
 
 
 def sample_next(logits: DataFrame, *, temperature: float = 1.0, seed: int) -> DataFrame:
     """``ctx, token``: one seeded draw for every context."""
-    if not temperature > 0:
-        raise ValueError(f"temperature must be > 0, got {temperature}")
-    score = sample_score(
-        F.col("logit"), F.col("token"), temperature=temperature, seed=seed, keys=(F.col("ctx"),)
-    )
-    return _pick(logits, score)
+    table = cumulative_table(logits, temperature=temperature)
+    return table.select("ctx", draw(F.col("tokens"), F.col("cum"), uniform(seed, F.col("ctx"))).alias("token"))
+
+
+PAIR_ROWS = 100_000
 
 
 def embed_lookup(
@@ -119,19 +143,29 @@ def embed_lookup(
 ) -> DataFrame:
     """``id, pos, token, vector``: token vector plus position vector, element by element.
 
-    The ``maxlen`` rows of the position table that a sequence can use are
-    broadcast; the token table is, when measured to fit, else frequent tokens are
-    salted by position. A token or position without a vector fails the job.
+    A vector depends on token and position only. Where there are few such pairs
+    (``PAIR_ROWS``, measured) their sums are formed once and broadcast; else the
+    position table is broadcast and frequent tokens are split over tasks. A token or
+    position without a vector fails the job.
     """
     placed = sequences.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
     tokens = token_table.select("token", F.col("vector").cast("array<double>").alias("_tv"))
     positions = position_table.where(F.col("pos").between(0, maxlen - 1)).select(
         "pos", F.col("vector").cast("array<double>").alias("_pv")
     )
+    missing = F.raise_error(F.format_string("no vector for token %d at position %d", "token", "pos"))
+    if fits_broadcast(tokens, max_rows=PAIR_ROWS // maxlen):
+        # Bounded by PAIR_ROWS.
+        placed_tokens = tokens.withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(maxlen - 1))))
+        pairs = placed_tokens.join(F.broadcast(positions), "pos").select(
+            "token", "pos", F.zip_with("_tv", "_pv", lambda t, p: t + p).alias("vector")
+        )
+        joined = placed.join(F.broadcast(pairs), ["token", "pos"], "left")
+        vector = F.coalesce("vector", missing.cast("array<double>"))
+        return joined.select(id_col, "pos", "token", vector.alias("vector"))
     joined = lookup_join(
         placed, tokens, ["token"], F.col("pos"), broadcast=fits_broadcast(tokens), how="left"
     ).join(F.broadcast(positions), "pos", "left")
-    missing = F.raise_error(F.format_string("no vector for token %d at position %d", "token", "pos"))
     added = F.when(
         F.col("_tv").isNull() | F.col("_pv").isNull(), missing.cast("array<double>")
     ).otherwise(F.zip_with("_tv", "_pv", lambda t, p: t + p))

@@ -53,15 +53,12 @@ def _rows(maxlen: int) -> str:
   SELECT doc_id, list_resize({_bytes('text')}, {maxlen}, 0) AS x FROM clean)"""
 
 
-def _turns(maxlen: int) -> str:
-    """Whole turns in windows; a window's targets run one token into the next."""
-    return f"""cleaned AS (
-  SELECT conv_id * 1000 + turn AS turn_id, {_trim('text')} || '{END}' AS text FROM conversations
-  WHERE {_trim('text')} <> ''),
-turn_tokens AS (SELECT turn_id, {_bytes('text')} AS t FROM cleaned),
+def _windows(maxlen: int) -> str:
+    """Whole documents in windows."""
+    return f"""{CLEAN}, doc_tokens AS (SELECT doc_id, {_bytes('text')} AS t FROM clean),
 rows AS (
-  SELECT turn_id, w::INT AS "window", list_resize(t[w * {maxlen} + 1:w * {maxlen} + {maxlen}], {maxlen}, 0) AS x
-  FROM (SELECT turn_id, t, unnest(range(0, (len(t) + {maxlen} - 1) // {maxlen})) AS w FROM turn_tokens))"""
+  SELECT doc_id, w::INT AS "window", list_resize(t[w * {maxlen} + 1:w * {maxlen} + {maxlen}], {maxlen}, 0) AS x
+  FROM (SELECT doc_id, t, unnest(range(0, (len(t) + {maxlen} - 1) // {maxlen})) AS w FROM doc_tokens))"""
 
 
 def _shifted(x: str = "x") -> str:
@@ -154,8 +151,10 @@ EXAMPLES = f"""{CLEAN}, rows AS (SELECT {_bytes('text')} AS x FROM clean), pairs
 logits AS MATERIALIZED (
   SELECT ctx, token, count(*) AS n, ln(count(*) + 0.5::DOUBLE) AS logit FROM pairs GROUP BY ctx, token)"""
 
+TURN_KEY = "coalesce(conv_id::VARCHAR, '') || '/' || coalesce(turn::VARCHAR, '')"
+
 PROMPTS = f"""prompts AS (
-  SELECT conv_id * 1000 + turn AS prompt_id, {_bytes("coalesce(text, '')")} AS tokens FROM conversations
+  SELECT {TURN_KEY} AS prompt_id, {_bytes("coalesce(text, '')")} AS tokens FROM conversations
   WHERE role = 'user')"""
 
 
@@ -195,15 +194,34 @@ def _json_config(config: object, **replaced: str) -> str:
     return "{" + ",".join(parts) + "}"
 
 
-def _generated(pick: str) -> str:
-    return f"""WITH RECURSIVE {EXAMPLES}, {PROMPTS.replace('prompts AS', 'every AS')},
+GRAMS = f"""{CLEAN}, toks AS (SELECT doc_id, {_bytes('text')} AS t FROM clean),
+placed_grams AS (
+  SELECT doc_id, unnest(t) AS c1, unnest(list_concat([-1], t[1:len(t) - 1])) AS c2,
+    unnest(list_concat([-1, -1], t[1:len(t) - 2])) AS c3, unnest({_shifted('t')}) AS token FROM toks)"""
+
+CONTEXTS = f"""{GRAMS},
+grams AS (SELECT c1, c2, c3, token, count(*) AS n FROM placed_grams GROUP BY ALL),
+ctxs AS MATERIALIZED (
+  SELECT ctx, size, token, sum(n)::BIGINT AS n, ln(sum(n)::BIGINT + 0.5::DOUBLE) AS logit FROM (
+    SELECT c1::VARCHAR AS ctx, 1 AS size, token, n FROM grams
+    UNION ALL SELECT concat_ws(',', c2, c1), 2, token, n FROM grams WHERE c2 >= 0
+    UNION ALL SELECT concat_ws(',', c3, c2, c1), 3, token, n FROM grams WHERE c3 >= 0)
+  GROUP BY ctx, size, token)"""
+
+
+def _generated(lookup: str, pick: str) -> str:
+    """``lookup`` has a row per context, ``pick`` the token for row ``l`` at the state ``g``."""
+    return f"""WITH RECURSIVE {CONTEXTS}, lookup AS MATERIALIZED ({lookup}), {PROMPTS.replace('prompts AS', 'every AS')},
 prompts AS (SELECT * FROM every WHERE len(tokens) > 0),
-gen(prompt_id, step, tok) AS (
-  SELECT prompt_id, 0, tokens[-1] FROM prompts
+gen(prompt_id, step, tok, tail) AS (
+  SELECT prompt_id, 0, tokens[-1], tokens[greatest(len(tokens) - 2, 1):] FROM prompts
   UNION ALL
-  SELECT prompt_id, step + 1, tok FROM (
-    SELECT g.prompt_id, g.step, {pick} AS tok
-    FROM gen g JOIN logits l ON l.ctx = g.tok WHERE g.step < 12 GROUP BY g.prompt_id, g.step)
+  SELECT prompt_id, step + 1, tok, list_append(tail, tok)[greatest(len(tail) - 1, 1):] FROM (
+    SELECT prompt_id, step, tail, arg_max(tok, size) AS tok FROM (
+      SELECT g.prompt_id, g.step, g.tail, l.size, {pick} AS tok
+      FROM (SELECT prompt_id, step, tail, unnest(range(1, len(tail) + 1)) AS k FROM gen WHERE step < 12) g
+      JOIN lookup l ON l.ctx = array_to_string(g.tail[len(g.tail) - k + 1:], ','))
+    GROUP BY prompt_id, step, tail)
   WHERE tok <> 256)
 SELECT p.prompt_id, len(any_value(p.tokens)) + count(g.step) AS n_tokens, count(g.step) AS n_new,
   coalesce(string_agg(g.tok, ',' ORDER BY g.step), '') AS new_tokens
@@ -211,15 +229,24 @@ FROM prompts p LEFT JOIN (SELECT * FROM gen WHERE step > 0) g ON g.prompt_id = p
 GROUP BY p.prompt_id"""
 
 
+def _running(ctx: str, source: str) -> str:
+    """Tokens of each context with the running sums of their weights at temperature 0.8."""
+    return f"""SELECT {ctx}, list(token ORDER BY token) AS tokens, list(cum ORDER BY token) AS cums FROM (
+  SELECT *, sum(w) OVER (PARTITION BY ctx ORDER BY token ROWS UNBOUNDED PRECEDING) AS cum FROM (
+    SELECT *, exp((logit - max(logit) OVER (PARTITION BY ctx)) / 0.8::DOUBLE) AS w FROM {source})) GROUP BY {ctx}"""
+
+
+def _drawn(u: str) -> str:
+    return f"l.tokens[len(list_filter(l.cums, lambda c: c < {u} * l.cums[-1])) + 1]"
+
+
 def oracle_queries() -> dict[str, str]:
     digest = "md5(text) AS text_md5, length(text) AS n_chars"
     batched = "(ix % 32)::INT AS slot, ix // 32 AS batch_id"
-    fixed_batches = f"""{_turns(32)}, numbered AS (
-  SELECT x, row_number() OVER (ORDER BY turn_id, "window") - 1 AS ix, count(*) OVER () AS n FROM rows),
+    fixed_batches = f"""{_windows(32)}, numbered AS (
+  SELECT x, row_number() OVER (ORDER BY doc_id, "window") - 1 AS ix, count(*) OVER () AS n FROM rows),
 packed AS (SELECT ix // 8 AS batch_id, ix % 8 AS slot, x FROM numbered WHERE ix // 8 < n // 8)"""
     names = ", ".join(f"'{n}'" for n in TOKENIZER_NAMES)
-    noise = f"-ln(-ln({_uniform('7', 'ctx', 'token')}))"
-    step_noise = f"-ln(-ln({_uniform('7', 'g.prompt_id', 'g.step', 'l.token')}))"
     defaults = vars(TrainingConfig())
     return {
         "scan_blocks": f"WITH {PADDED} SELECT {digest} FROM padded",
@@ -456,19 +483,43 @@ FROM customer""",
                 ("name", "name must be a registered name", f"name IN ({names})"),
             ],
         ),
-        "embed_lookup": f"""WITH {_turns(32)}, placed AS (
-  SELECT turn_id, "window", unnest(x) AS token, generate_subscripts(x, 1) - 1 AS pos FROM rows),
+        "embed_lookup": f"""WITH {_windows(32)}, placed AS (
+  SELECT doc_id, "window", unnest(x) AS token, generate_subscripts(x, 1) - 1 AS pos FROM rows),
 added AS (
-  SELECT turn_id, "window", pos, token, list_transform(list_zip(t.embedding, p.embedding),
+  SELECT t.vec_id AS token, p.vec_id - 257 AS pos, list_transform(list_zip(t.embedding, p.embedding),
     lambda z: z[1]::DOUBLE + z[2]::DOUBLE) AS v
-  FROM placed JOIN embeddings t ON t.vec_id = token JOIN embeddings p ON p.vec_id = pos + 257)
-SELECT turn_id, "window", pos, token, round(v[1], 6) AS first, round(v[-1], 6) AS last, round(list_sum(v), 6) AS total
-FROM added""",
-        "causal_prefix": f"""WITH {_turns(64)}, placed AS (
-  SELECT turn_id, "window", unnest(x) AS token, generate_subscripts(x, 1) - 1 AS pos FROM rows)
-SELECT turn_id, "window", pos, token, pos + 1 AS n_visible,
-  sum(token) OVER (PARTITION BY turn_id, "window" ORDER BY pos)::BIGINT AS visible_sum FROM placed""",
-        "next_token_table": f"WITH {EXAMPLES} SELECT ctx, token, n, round(logit, 6) AS logit FROM logits",
+  FROM embeddings t JOIN embeddings p ON t.vec_id < 257 AND p.vec_id BETWEEN 257 AND 288)
+SELECT doc_id, "window", count(*) AS n_positions, round(sum(v[1]), 6) AS first, round(sum(v[-1] * (pos + 1)), 6) AS last,
+  round(max(v[2] + token), 6) AS peak
+FROM placed JOIN added USING (token, pos) GROUP BY "window", doc_id""",
+        "causal_prefix": f"""WITH {_windows(64)}, placed AS (
+  SELECT doc_id, "window", unnest(x) AS token, generate_subscripts(x, 1) - 1 AS pos FROM rows),
+seen AS (
+  SELECT doc_id, "window", pos, sum(token) OVER (PARTITION BY doc_id, "window" ORDER BY pos)::BIGINT AS s FROM placed)
+SELECT doc_id, "window", count(*) AS n_positions, string_agg(pos + 1, ',' ORDER BY pos) AS n_visible,
+  string_agg(s, ',' ORDER BY pos) AS visible_sums FROM seen GROUP BY "window", doc_id""",
+        "next_token_table": f"WITH {CONTEXTS} SELECT ctx, token, n, round(logit, 6) AS logit FROM ctxs",
+        "held_out_loss": f"""WITH {GRAMS},
+g AS (SELECT coalesce(doc_id % 3 = 1, false) AS held, c2, c1, token, count(*) AS n FROM placed_grams GROUP BY ALL),
+e2 AS (SELECT c2, c1, token, n FROM g WHERE NOT held),
+t2 AS (SELECT c2, c1, sum(n) AS total, count(*) AS types FROM e2 GROUP BY ALL),
+e1 AS (SELECT c1, token, count(*) AS n FROM e2 GROUP BY ALL),
+t1 AS (SELECT c1, sum(n) AS total, count(*) AS types FROM e1 GROUP BY ALL),
+e0 AS (SELECT token, count(*) AS n FROM e1 GROUP BY ALL),
+t0 AS (SELECT sum(n) AS total, count(*) AS types FROM e0),
+p0 AS (
+  SELECT g.c2, g.c1, g.token, g.n AS held,
+    (greatest(coalesce(e0.n, 0) - 0.75::DOUBLE, 0) + 0.75::DOUBLE * t0.types / 257.0::DOUBLE) / t0.total AS p
+  FROM g LEFT JOIN e0 USING (token), t0 WHERE g.held),
+p1 AS (
+  SELECT p0.*, CASE WHEN t1.total IS NULL THEN p ELSE
+    (greatest(coalesce(e1.n, 0) - 0.75::DOUBLE, 0) + 0.75::DOUBLE * t1.types * p) / t1.total END AS q
+  FROM p0 LEFT JOIN e1 USING (c1, token) LEFT JOIN t1 USING (c1)),
+p2 AS (
+  SELECT p1.held, CASE WHEN t2.total IS NULL THEN q ELSE
+    (greatest(coalesce(e2.n, 0) - 0.75::DOUBLE, 0) + 0.75::DOUBLE * t2.types * q) / t2.total END AS r
+  FROM p1 LEFT JOIN e2 USING (c2, c1, token) LEFT JOIN t2 USING (c2, c1))
+SELECT coalesce(sum(held), 0)::BIGINT AS n_positions, round(sum(-ln(r) * held) / sum(held), 6) AS loss FROM p2""",
         "cross_entropy": f"""WITH {EXAMPLES}, norm AS (SELECT ctx, ln(sum(exp(logit))) AS z FROM logits GROUP BY ctx)
 SELECT sum(n)::BIGINT AS n_positions, round(sum(n * (z - logit)) / sum(n), 6) AS loss
 FROM logits JOIN norm USING (ctx)""",
@@ -477,12 +528,14 @@ SELECT ctx, token, round(exp(logit / 0.8::DOUBLE) / sum(exp(logit / 0.8::DOUBLE)
 FROM logits""",
         "greedy_next": f"""WITH {EXAMPLES} SELECT ctx, token FROM (
   SELECT *, row_number() OVER (PARTITION BY ctx ORDER BY n DESC, token) AS rn FROM logits) WHERE rn = 1""",
-        "sample_next": f"""WITH {EXAMPLES}
-SELECT ctx, arg_max(token, logit / 0.8::DOUBLE + {noise}) AS token FROM logits GROUP BY ctx""",
-        "generate_batch": _generated(f"arg_max(l.token, l.logit / 0.8::DOUBLE + {step_noise})"),
-        "generate_greedy": _generated("arg_max(l.token, l.n * 1000 - l.token)"),
-        "prompt_problems": """SELECT conv_id * 1000 + turn AS prompt_id, 'empty_prompt' AS problem FROM conversations
-WHERE role = 'user' AND ((conv_id * 1000 + turn) % 5 = 0 OR coalesce(text, '') = '')""",
+        "sample_next": f"""WITH {EXAMPLES}, l AS ({_running('ctx', 'logits')})
+SELECT ctx, {_drawn(_uniform('7', 'ctx'))} AS token FROM l""",
+        "generate_batch": _generated(_running("ctx, size", "ctxs"), _drawn(_uniform("7", "g.prompt_id", "g.step"))),
+        "generate_greedy": _generated(
+            "SELECT ctx, size, arg_max(token, n * 1000 - token) AS token FROM ctxs GROUP BY ctx, size", "l.token"
+        ),
+        "prompt_problems": f"""SELECT {TURN_KEY} AS prompt_id, 'empty_prompt' AS problem FROM conversations
+WHERE role = 'user' AND (coalesce(conv_id % 5 = 0, false) OR coalesce(text, '') = '')""",
         "detokenize_words": f"""WITH {WORDS} SELECT doc_id, md5(string_agg(token, ' ' ORDER BY pos)) AS text_md5
 FROM placed GROUP BY doc_id""",
         "continue_prompts": f"""WITH RECURSIVE {WORDS},
@@ -493,7 +546,7 @@ follows AS MATERIALIZED (
     JOIN vocab v ON v.token = p.token LEFT JOIN vocab u ON u.token = p.nxt GROUP BY 1, 2) c
   GROUP BY ctx),
 asked AS (
-  SELECT conv_id * 1000 + turn AS prompt_id, regexp_extract_all(text, '[^ \t\n\r\f\x0b]+') AS w
+  SELECT {TURN_KEY} AS prompt_id, regexp_extract_all(text, '[^ \t\n\r\f\x0b]+') AS w
   FROM conversations WHERE trim(text) <> ''),
 coded AS (
   SELECT prompt_id, pos, coalesce(token_id, 0) AS id, token FROM (

@@ -15,7 +15,7 @@ from braidwork.configs import (
     TrainingConfig,
 )
 from braidwork.functions import tokens as token_functions
-from braidwork.operators import batching, catalog, generation, metrics, ordering, rules, scoring
+from braidwork.operators import batching, catalog, contexts, generation, metrics, ordering, rules, scoring
 from braidwork.operators import tokenizers, weights
 from braidwork.operators.joins import fits_broadcast
 from braidwork.plans import comparison, continuation, run_plan
@@ -252,9 +252,9 @@ def batch_rows_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _packed(spark: SparkSession, sf_dir: str, maxlen: int, batch_size: int) -> DataFrame:
-    whole = t.whole_tokens(t.turns(spark, sf_dir), "turn_id")
-    rows = materialize(t.windows(whole, "turn_id", maxlen), "token-rows")
-    order = [F.col("turn_id"), F.col("window")]
+    whole = t.whole_tokens(t.documents(spark, sf_dir), "doc_id")
+    rows = materialize(t.windows(whole, "doc_id", maxlen).drop("y"), "token-rows")
+    order = [F.col("doc_id"), F.col("window")]
     indexed = ordering.dense_index(rows, order, out="visit_ix", total="n_rows")
     batched = batching.assign_batches(indexed, "visit_ix", "n_rows", batch_size)
     return batching.pack_batches(batched, "x")
@@ -650,33 +650,37 @@ def tokenizer_config_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def embed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole turns in windows of 32; vectors 0-256 are the token table, the 32 after them the
-    position table."""
+    """All tokens of every document in windows of 32, a digest per window; vectors 0-256 are the
+    token table, the 32 after them the position table."""
     vectors = t.load(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     vocab = token_functions.BYTE_VOCAB_SIZE
     tokens = vectors.where(F.col("vec_id") < vocab).withColumn("token", F.col("vec_id").cast("int"))
     positions = vectors.withColumn("pos", (F.col("vec_id") - vocab).cast("int"))
-    whole = t.whole_tokens(t.turns(spark, sf_dir), "turn_id")
-    rows = t.windows(whole, "turn_id", 32).select(F.struct("turn_id", "window").alias("id"), F.col("x").alias("tokens"))
+    whole = t.whole_tokens(t.documents(spark, sf_dir), "doc_id")
+    rows = t.windows(whole, "doc_id", 32).select(F.struct("doc_id", "window").alias("id"), F.col("x").alias("tokens"))
     embedded = scoring.embed_lookup(rows, tokens, positions, id_col="id", maxlen=32)
-    total = F.aggregate("vector", F.lit(0.0), lambda acc, v: acc + v)
-    return embedded.select(
-        "id.turn_id",
-        "id.window",
-        F.col("pos").cast("long").alias("pos"),
-        "token",
-        rounded(F.element_at("vector", 1), "first"),
-        rounded(F.element_at("vector", -1), "last"),
-        rounded(total, "total"),
+    digests = embedded.groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_positions"),
+        rounded(F.sum(F.element_at("vector", 1)), "first"),
+        rounded(F.sum(F.element_at("vector", -1) * (F.col("pos") + 1)), "last"),
+        rounded(F.max(F.element_at("vector", 2) + F.col("token")), "peak"),
     )
+    return digests.select("id.doc_id", "id.window", "n_positions", "first", "last", "peak")
 
 
 @register
 def causal_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    whole = t.whole_tokens(t.turns(spark, sf_dir), "turn_id")
-    rows = t.windows(whole, "turn_id", 64)
-    seen = rows.select("turn_id", "window", F.inline(token_functions.causal_prefixes(F.col("x"))))
-    return seen.select("turn_id", "window", F.col("pos").cast("long").alias("pos"), "token", "n_visible", "visible_sum")
+    """Every position of every document in windows of 64, a digest per window."""
+    whole = t.whole_tokens(t.documents(spark, sf_dir), "doc_id")
+    rows = t.windows(whole, "doc_id", 64)
+    seen = rows.select("doc_id", "window", token_functions.causal_prefixes(F.col("x")).alias("seen"))
+    return seen.select(
+        "doc_id",
+        "window",
+        F.size("seen").cast("long").alias("n_positions"),
+        t.csv(F.col("seen.n_visible")).alias("n_visible"),
+        t.csv(F.col("seen.visible_sum")).alias("visible_sums"),
+    )
 
 
 def _logits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -685,10 +689,34 @@ def _logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(table, "next-token")
 
 
+CONTEXT_ORDER = 3
+
+
+def _context_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What follows the last one to three tokens, over all positions of every document."""
+    grams = contexts.gram_counts(t.scorer_examples(spark, sf_dir), CONTEXT_ORDER)
+    return contexts.context_table(materialize(grams, "grams"), CONTEXT_ORDER, alpha=0.5)
+
+
 @register
 def next_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = scoring.next_token_table(t.scorer_examples(spark, sf_dir), alpha=0.5)
-    return table.withColumn("logit", rounded("logit", "logit"))
+    table = _context_table(spark, sf_dir)
+    return table.select(t.csv(F.col("ctx")).alias("ctx"), "token", "n", rounded("logit", "logit"))
+
+
+@register
+def held_out_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss on a third of the documents by the counts of the others."""
+    whole = t.whole_tokens(t.documents(spark, sf_dir), "doc_id")
+    rows = whole.select(
+        F.coalesce(F.pmod("doc_id", F.lit(3)) == 1, F.lit(False)).alias("held"),
+        F.col("tokens").alias("x"), token_functions.shift_left(F.col("tokens")).alias("y"),
+    )
+    held, counted = (
+        materialize(contexts.gram_counts(rows.where(own), 2), "grams") for own in (F.col("held"), ~F.col("held"))
+    )
+    loss = contexts.held_out_loss(held, counted, 2, vocab_size=token_functions.BYTE_VOCAB_SIZE)
+    return loss.select("n_positions", rounded("loss", "loss"))
 
 
 @register
@@ -716,7 +744,7 @@ def sample_next(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _continued(spark: SparkSession, sf_dir: str, config: InferenceConfig, greedy: bool) -> DataFrame:
     done = generation.generate(
         t.prompts(spark, sf_dir).where(F.size("tokens") > 0),
-        _logits(spark, sf_dir),
+        _context_table(spark, sf_dir),
         config,
         end_token=token_functions.BYTE_DELIMITER_ID,
         greedy=greedy,
@@ -744,7 +772,7 @@ def generate_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def prompt_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompts that are refused; every fifth one is emptied so that there are some."""
-    emptied = F.when(F.col("prompt_id") % 5 == 0, F.slice("tokens", 1, 0)).otherwise(F.col("tokens"))
+    emptied = F.when(F.col("prompt_id").rlike("[05]/"), F.slice("tokens", 1, 0)).otherwise(F.col("tokens"))
     return generation.prompt_problems(t.prompts(spark, sf_dir).withColumn("tokens", emptied))
 
 

@@ -66,17 +66,22 @@ def scorer_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("tokens").alias("x"), shift_left(F.col("tokens")).alias("y"))
 
 
+def _turn_key() -> Column:
+    """``<conversation>/<turn>``: unique whatever the number of turns."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("conv_id", "turn")]
+    return F.concat(parts[0], F.lit("/"), parts[1])
+
+
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``turn_id, text`` of every conversation turn."""
-    said = load(spark, sf_dir, "conversations")
-    return said.select((F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text")
+    return load(spark, sf_dir, "conversations").select(_turn_key().alias("turn_id"), "text")
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``prompt_id, tokens``: what users said, encoded without a delimiter at the end; may be empty."""
-    turns = load(spark, sf_dir, "conversations").where(F.col("role") == "user")
-    return turns.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_id"),
+    said = load(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    return said.select(
+        _turn_key().alias("prompt_id"),
         byte_tokens(F.coalesce("text", F.lit("")), DELIMITER).alias("tokens"),
     )
 
