@@ -19,11 +19,18 @@ from pyspark.sql import types as T
 
 from braidwork.llm.batches import small_batches
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# A quote opens a value only behind "=", and only if its partner follows; a tag also ends where the
+# next one begins. Possessive parts never go back, so a page is read in one pass.
+_MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/><]*+)((?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|(?=<)|\Z)",
+    re.S,
+)
 _HINT = re.compile(r"""\b(?:class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I | re.S)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe xmp svg math object select".split())
-SKIP = RAW | frozenset("head nav footer aside form button dialog menu canvas audio video map fieldset label".split())
+RAW = frozenset("script style noscript template textarea title iframe xmp svg select".split())
+# Annotations repeat a formula in another notation.
+SKIP = RAW | frozenset("head nav footer aside form button dialog menu canvas audio video map fieldset annotation annotation-xml".split())
 BLOCK = frozenset(
     "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th"
     " blockquote pre figure figcaption header hr address details summary center caption".split()
@@ -35,104 +42,191 @@ _ENDS = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 _BARRIER = frozenset("body main article section div ul ol dl table blockquote td th html header".split())
+# Parts of names (cut at "-" and "_") of what is no article, and parts that say nothing by themselves.
 _JUNK = re.compile(
-    r"(?:^|[\s_\"'=-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|notice\w*|gdpr"
-    r"|popup\w*|modal|overlay|newsletter\w*|subscri\w+|signup|sidebar\w*|side|widget\w*|related\w*|recommend\w*"
-    r"|menu\w*|nav\w*|breadcrumbs?|pagination|pager|toolbar|footer\w*|masthead|topbar|share\w*|sharing|social\w*"
-    r"|comments?|comment\w*|disqus|replies|respond|login|search\w*|skip\w*|alert|hidden|navigation|banner"
-    r"|complementary|contentinfo)(?=$|[\s_\"'-])|display\s*:\s*none|^hidden$",
+    r"(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|notice\w*|gdpr|popup\w*|modal|overlay"
+    r"|newsletter\w*|subscri\w+|signup|sidebar\w*|side|widget\w*|related\w*|recommend\w*|menu\w*|nav\w*|breadcrumbs?"
+    r"|pagination|pager|toolbar|footer\w*|masthead|topbar|share\w*|sharing|social\w*|comment\w*|disqus|replies|respond"
+    r"|login|search\w*|skip\w*|alert|hidden|complementary|contentinfo)\Z",
+    re.I,
+)
+_PLAIN = re.compile(
+    r"(?:\d*|area|articles?|bars?|block|bottom|box|buttons?|card|center|col|column|container|content|feed|form|global|group"
+    r"|head|header|icons?|inner|item|items|js|left|link|links|list|main|media|module|news|nojs|outer|page|panel|posts?|primary"
+    r"|region|reader|right|secondary|section|site|slot|stories|text|title|to|top|unit|up|user|us|wrap|wrapper|zone)\Z",
     re.I,
 )
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
+# A name of which only a part fits is believed where this share of the text is links.
+MAYBE_LINKS = 1 / 3
 _P = re.compile(r"<p[\s>]", re.I)
 _HEADER = re.compile(r"(?:^|\s)(?:(?:site|page|global|main|top)[-_]?)?header(?:$|\s)", re.I)
 _GOOD = {"article": 25.0, "main": 20.0, "section": 3.0, "div": 2.0, "body": -5.0, "li": -3.0, "ul": -3.0, "ol": -3.0}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "junk", "points")
+    __slots__ = ("tag", "parent", "items", "junk", "maybe", "points", "open")
 
     def __init__(self, tag: str, parent: "Node | None", junk: bool) -> None:
-        self.tag, self.parent, self.junk = tag, parent, junk
+        self.tag, self.parent, self.junk, self.maybe = tag, parent, junk, False
+        # Open elements by tag, since the nearest container on.
+        self.open: dict[str, int] = {}
         self.items: list[Node | str] = []
         self.points = 0.0
 
 
+class _Open:
+    """The path of open elements, with counts by tag so that no search for a missing one walks it."""
+
+    def __init__(self, root: Node) -> None:
+        self.at, self.counts, self.containers = root, {root.tag: 1}, [root]
+
+    def enter(self, node: Node) -> None:
+        self.at = node
+        self.counts[node.tag] = self.counts.get(node.tag, 0) + 1
+        if node.tag in _BARRIER:
+            self.containers.append(node)
+        else:
+            near = self.containers[-1].open
+            near[node.tag] = near.get(node.tag, 0) + 1
+
+    def leave(self, until: Node) -> None:
+        """Close the open elements below ``until``."""
+        while self.at is not until:
+            tag = self.at.tag
+            self.counts[tag] -= 1
+            if tag in _BARRIER:
+                self.containers.pop()
+            else:
+                self.containers[-1].open[tag] -= 1
+            self.at = self.at.parent
+
+    def has(self, tag: str) -> bool:
+        return self.counts.get(tag, 0) > 0
+
+    def near(self, tag: str) -> bool:
+        """Is one open within the nearest container?"""
+        return self.containers[-1].tag == tag or self.containers[-1].open.get(tag, 0) > 0
+
+
 def parse(page: str, hints: bool = True) -> Node:
     """The element tree; texts are kept undecoded. Without ``hints`` only tags make junk."""
-    root = at = Node("html", None, False)
+    root = Node("html", None, False)
+    path = _Open(root)
     place, end = 0, len(page)
     hinted: set[int] = set()
-    article_seen = False
+    # Tags whose end tag does not come any more.
+    endless: set[str] = set()
+    article_seen = body_seen = False
     while place < end:
         m = _MARKUP.search(page, place)
         if m is None:
-            at.items.append(page[place:])
+            path.at.items.append(page[place:])
             break
         if m.start() > place:
-            at.items.append(page[place : m.start()])
+            path.at.items.append(page[place : m.start()])
         place = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
-            node = at
-            while node is not None and node.tag != tag:
-                node = None if node.tag in _BARRIER and tag not in BLOCK else node.parent
-            if node is not None and node.parent is not None:
-                at = node.parent
+            # Block elements end wherever they are open, others within their container only.
+            if path.has(tag) if tag in BLOCK else path.near(tag):
+                node = path.at
+                while node.tag != tag:
+                    node = node.parent
+                if node.parent is not None:
+                    path.leave(node.parent)
             continue
         if tag in VOID:
             if tag in ("br", "hr"):
-                at.items.append(" " if tag == "br" else Node("hr", at, False))
+                path.at.items.append(" " if tag == "br" else Node("hr", path.at, False))
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, place)
+            close = None if tag in endless else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, place)
+            if close is None:
+                endless.add(tag)
             place = close.end() if close else (end if tag in ("script", "style", "textarea", "title") else place)
             continue
-        if tag in BLOCK:
-            node = at
-            while node is not None and node.tag not in _BARRIER:
-                if node.tag == "p":
-                    at = node.parent
-                    break
+        if tag in BLOCK and path.near("p"):
+            node = path.at
+            while node.tag != "p":
                 node = node.parent
-        if tag in _ENDS:
-            node = at
+            path.leave(node.parent)
+        if tag in _ENDS and any(path.near(x) or (x in _BARRIER and path.has(x)) for x in _ENDS[tag]):
+            node, outer = path.at, None
             while node is not None and (node.tag not in _BARRIER or node.tag in _ENDS[tag]):
                 if node.tag in _ENDS[tag]:
-                    at = node.parent
+                    outer = node.parent
                 node = node.parent
+            if outer is not None:
+                path.leave(outer)
         if tag in ("html", "body"):
-            if tag == "html" or any(x.tag == "body" for x in root.items if isinstance(x, Node)):
+            if tag == "html" or body_seen:
                 continue
-        junk = tag in SKIP
+            body_seen = path.at is root
+        junk, maybe, in_article = tag in SKIP, False, path.has("article")
+        made_by_hint = False
         if not junk and hints and m[3].strip() and tag not in ("body", "article", "main"):
             values = [_value(h) for h in _HINT.findall(m[3])]
-            junk = any(_JUNK.search(v) for v in values)
-            if not junk and not _inside(at, "article"):
+            says = [_says(v) for v in values]
+            junk, maybe = 2 in says, 1 in says
+            if not junk and not in_article:
                 junk = any(_HEADER.search(v) for v in values)
-            made_by_hint = junk
-        else:
-            made_by_hint = False
-        if not junk and tag == "header" and not _inside(at, "article"):
+            made_by_hint = junk or maybe
+        if not junk and tag == "header" and not in_article:
             junk = True
-        node = Node(tag, at, junk)
+        node = Node(tag, path.at, junk)
+        node.maybe = maybe and not junk
         if made_by_hint:
             hinted.add(id(node))
         if tag in ("article", "main"):
             # The first article tells that what holds it is a frame, whatever its name says.
-            up = at
-            while up is not None and not article_seen:
+            up = None if article_seen else path.at
+            while up is not None:
                 if id(up) in hinted:
-                    up.junk = False
+                    up.junk = up.maybe = False
                 up = up.parent
             article_seen = True
-        at.items.append(node)
+        path.at.items.append(node)
         if not m[3].endswith("/"):
-            at = node
+            path.enter(node)
+    _settle(root)
     return root
 
 
+def _says(value: str) -> int:
+    """Does a name speak of junk: 2 surely, 1 in part, 0 not at all."""
+    if value == "hidden" or _UNSEEN.search(value):
+        return 2
+    found = 0
+    for name in value.split():
+        parts = [p for p in re.split(r"[-_]+", name) if p]
+        bad = [bool(_JUNK.match(p)) for p in parts]
+        if any(bad):
+            whole = all(b or _PLAIN.match(p) for b, p in zip(bad, parts))
+            found = max(found, 2 if whole else 1)
+    return found
+
+
+def _settle(root: Node) -> None:
+    """Elements whose names speak of junk in part only are junk where much of their text is links."""
+    order, todo = [], [(root, False)]
+    while todo:
+        node, link = todo.pop()
+        order.append((node, link))
+        todo.extend((x, link or x.tag == "a") for x in node.items if isinstance(x, Node) and not x.junk)
+    sizes: dict[int, tuple[int, int]] = {}
+    for node, link in reversed(order):
+        n = sum(len(x.strip()) for x in node.items if isinstance(x, str))
+        links = n if link else 0
+        for x in node.items:
+            if isinstance(x, Node) and not x.junk:
+                n, links = n + sizes[id(x)][0], links + sizes[id(x)][1]
+        sizes[id(node)] = n, links
+        node.junk = node.junk or (node.maybe and links >= MAYBE_LINKS * n)
+
+
 def _value(attribute: str) -> str:
     name, _, value = attribute.partition("=")
     name, value = name.strip().lower(), value.strip().strip("\"'")
@@ -143,14 +237,6 @@ def _value(attribute: str) -> str:
     return "hidden" if name == "hidden" else value
 
 
-def _inside(node: Node | None, tag: str) -> bool:
-    while node is not None:
-        if node.tag == tag:
-            return True
-        node = node.parent
-    return False
-
-
 def blocks(node: Node) -> list[str]:
     """The texts of the blocks below ``node`` in page order, decoded and with single blanks."""
     out: list[str] = []

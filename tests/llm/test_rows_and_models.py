@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -192,6 +193,61 @@ def test_main_text(page, want):
     assert ht.main_text(page or "") == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<article><p title=it's>One, first</p><p>Two</p><p>Three don't</p></article>", "One, first Two Three don't"),
+        ('<article><p class="a>Lone, quote</p><p>Two</p></article>', "Lone, quote Two"),
+        ("<article><p title='a > b' id=x>One, here</p></article>", "One, here"),
+        ("<article><h1>T</h1><p>Intro, text</p><section class='related-work'><h2>Related work</h2><p>Others, before us</p></section>"
+         "<div id=search-algorithms><p>We search, too</p></div><p class='side-effects'>None</p></article>",
+         "T Intro, text Related work Others, before us We search, too None"),
+        ("<article><p>Text, here</p><div class='my-related-things'><a href=x>one thing</a> <a href=y>two</a></div></article>", "Text, here"),
+        ("<article><p>Since <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>, done</p>"
+         "<object>Fallback, text</object><p><label>Label</label> kept</p></article>", "Since x=2, done Fallback, text Label kept"),
+        ("<article><p>a <b>bold <i>both</b> rest</i> end, x</p></article>", "a bold both rest end, x"),
+        ("<article><p>1 < 2, and 3 <4 <p>next</article>", "1 < 2, and 3 <4 next"),
+        ("<article><ul><li>a, b<ul><li>c</ul><li>d</ul><table><tr><td>e<td>f<tr><td>g</table></article>", "a, b c d e f g"),
+    ],
+)
+def test_text_of_articles_is_not_dropped(page, want):
+    assert ht.main_text(page) == want
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 20_000, "<" * 40_000, "<!" * 20_000, "<b>" * 10_000 + "</i>" * 10_000, "<iframe>" * 20_000, "<i>" * 10_000 + "<h1>" * 10_000,
+        "<p>" + "<div>" * 10_000 + "</b>" * 10_000, "<p x='" * 10_000, "<li>" * 10_000, "<i><div>" * 5_000 + "</i>" * 5_000,
+        "<article>" * 3_000 + "<p>x</p>" * 3_000, "<td><i>" * 5_000,
+    ],
+    ids=range(12),
+)
+def test_broken_pages_take_linear_time(page):
+    began = time.perf_counter()
+    ht.main_text("<article><p>kept, here</p>" + page)
+    assert time.perf_counter() - began < 4
+
+
+def test_generated_pages_give_back_their_article():
+    rng = random.Random(4)
+    names = ["x", "lead-story", "related-work", "side-effects", "box", "c1"]
+    for _ in range(60):
+        words = lambda n: " ".join(f"w{rng.randrange(999)}" for _ in range(n))
+        blocks, body = [], ""
+        for _ in range(rng.randrange(2, 12)):
+            text, tag = words(rng.randrange(3, 40)) + ", " + words(3), rng.choice(["p", "p", "h2", "blockquote", "div"])
+            blocks.append(text)
+            quote = rng.choice(["'", '"', ""])
+            body += f"<{tag} class={quote}{rng.choice(names)}{quote}>{text.replace(' w1', ' <b>w1', 1)}</{tag}>\n"
+        menu = "".join(f"<li><a href='/{k}'>{words(2)}</a></li>" for k in range(rng.randrange(1, 30)))
+        page = (
+            f"<html><head><title>t</title></head><body><nav><ul>{menu}</ul></nav><div class='ad'>{words(40)}, {words(9)}</div>"
+            f"<article>{body}</article><div class=comments><p>{words(30)}, no</p></div><footer><p>{words(9)}</p></footer></body></html>"
+        )
+        assert ht.main_text(page) == " ".join(blocks)
+
+
 def test_pages_table(spark):
     rows = [(1, "u", "<p>x", "old"), (1, "u", "<p>x", "old"), (2, None, None, None), (3, "v", "<p>" + "long " * 50_000, "")]
     pages = spark.createDataFrame(rows, "page_id int, url string, html string, text string")
