@@ -1,9 +1,9 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms of a text are its words and the first four, five and six bytes of longer
-words, as 64-bit hashes; each counts once. The terms that tell the labels apart
-best (chi-squared over the training sample, counted by Spark) are kept. The
-machine adds to the linear weights a factor vector per term, so that a pair of
+words, hashed into a space of ``SPACE`` buckets; each bucket counts once. Buckets that
+tell the labels apart (chi-squared over the training sample, counted by Spark, against
+fixed limits) take part, however many they are. The machine adds to the linear weights a factor vector per term, so that a pair of
 terms, an insult and the mention of a group, can weigh more than the two alone.
 """
 
@@ -22,20 +22,21 @@ from braidwork.llm.batches import small_batches
 from braidwork.llm.hashing import chunks, distinct, mix, text_bytes, word_hashes, word_limits
 from braidwork.session import materialize
 
-# Bounds of the fit: labelled rows, kept terms.
+# Bounds of the fit: labelled rows, buckets of the hash space.
 SAMPLE_ROWS = 10_000
-KEPT_TERMS = 256
+SPACE_BITS = 18
+SPACE = 1 << SPACE_BITS
+# The same at every size: labelled rows that hold a bucket, and its chi-squared.
+LEAST_ROWS = 3
+LEAST_CHI = 20.0
 PREFIXES = (4, 5, 6)
 FACTORS = 8
 _BREAK = np.ones(256, bool)
 _BREAK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def row_terms(column: pa.Array, kept: np.ndarray | None = None) -> Iterator[np.ndarray]:
-    """Sorted distinct term hashes of each row; with ``kept`` (sorted), indices into it instead."""
-    if kept is not None:
-        low = np.zeros(1 << 16, bool)
-        low[(kept & np.uint64(0xFFFF)).astype(np.int64)] = True
+def row_terms(column: pa.Array) -> Iterator[np.ndarray]:
+    """Sorted distinct buckets of the terms of each row."""
     for lo, hi in chunks(column):
         buf, at = text_bytes(column.slice(lo, hi - lo))
         start, end = word_limits(buf, at, _BREAK)
@@ -45,28 +46,28 @@ def row_terms(column: pa.Array, kept: np.ndarray | None = None) -> Iterator[np.n
             prefix = word_hashes(buf, start[long], start[long] + n)
             terms.append(mix(prefix ^ np.uint64(n)))
             rows.append(rows[0][long])
-        term, row = np.concatenate(terms), np.concatenate(rows)
-        if kept is not None:
-            some = low[(term & np.uint64(0xFFFF)).astype(np.int64)]
-            term, row = term[some], row[some]
-            place = np.minimum(np.searchsorted(kept, term), max(0, len(kept) - 1))
-            hit = kept[place] == term if len(kept) else np.zeros(len(term), bool)
-            term, row = place[hit], row[hit]
+        term, row = np.concatenate(terms) >> np.uint64(64 - SPACE_BITS), np.concatenate(rows)
         order = np.argsort(row, kind="stable")
-        term, limits = term[order], np.searchsorted(row[order], np.arange(hi - lo + 1))
+        term, limits = term[order].astype(np.int64), np.searchsorted(row[order], np.arange(hi - lo + 1))
         for a, b in zip(limits[:-1], limits[1:]):
             yield distinct(term[a:b])
 
 
 @dataclass
 class Machine:
-    """A fitted machine: bias, and per kept term its weight and factors."""
+    """A fitted machine: bias, and per bucket that takes part (ascending) its weight and factors."""
 
     terms: np.ndarray
     bias: float
     weight: np.ndarray
     factor: np.ndarray
 
+    def places(self) -> np.ndarray:
+        """For every bucket of the space its index among ``terms``, or -1."""
+        out = np.full(SPACE, -1, np.int32)
+        out[self.terms] = np.arange(len(self.terms))
+        return out
+
     def score(self, found: np.ndarray) -> float:
         factors = self.factor[found]
         pairs = 0.5 * float((factors.sum(0) ** 2 - (factors**2).sum(0)).sum())
@@ -77,28 +78,31 @@ def fit_machine(
     terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, *,
     factors: int = FACTORS, steps: int = 500, rate: float = 0.05, decay: float = 1e-5, seed: int = 7,
 ) -> Machine:
-    """Full-batch Adam on the logistic loss. One class only, or no rows: the smoothed share of label 1."""
+    """Full-batch Adam on the logistic loss, over the non-zero entries only. One class only, or no
+    rows: the smoothed share of label 1."""
     share = (labels.sum() + 0.5) / (len(labels) + 1.0)
-    x = np.zeros((len(rows), len(terms)), np.float32)
-    for i, found in enumerate(rows):
-        x[i, found] = 1
     rng = np.random.default_rng(seed)
     values = [
         np.array(np.log(share / (1 - share))),
         np.zeros(len(terms)),
         rng.normal(0, 0.05, (len(terms), factors)),
     ]
-    if len(set(labels.tolist())) < 2:
+    if len(set(labels.tolist())) < 2 or not len(terms):
         return Machine(terms, float(values[0]), values[1], 0 * values[2])
+    row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+    term = np.concatenate(rows).astype(np.int64)
+    by_row = lambda x: np.bincount(row, x, len(rows))
+    by_term = lambda x: np.bincount(term, x, len(terms))
     first, second = [0 * v for v in values], [0 * v for v in values]
     for step in range(1, steps + 1):
         bias, weight, factor = values
-        sums = x @ factor.astype(np.float32)
-        pairs = 0.5 * ((sums**2).sum(1) - x @ (factor**2).sum(1).astype(np.float32))
-        z = np.clip(bias + x @ weight.astype(np.float32) + pairs, -40, 40)
-        error = ((1 / (1 + np.exp(-z)) - labels) / len(labels)).astype(np.float32)
-        back = x.T @ error
-        slope = x.T @ (error[:, None] * sums) - factor * back[:, None]
+        sums = np.stack([by_row(factor[term, f]) for f in range(factors)], 1)
+        pairs = 0.5 * ((sums**2).sum(1) - by_row((factor**2).sum(1)[term]))
+        z = np.clip(bias + by_row(weight[term]) + pairs, -40, 40)
+        error = (1 / (1 + np.exp(-z)) - labels) / len(labels)
+        back = by_term(error[row])
+        pushed = error[:, None] * sums
+        slope = np.stack([by_term(pushed[row, f]) for f in range(factors)], 1) - factor * back[:, None]
         gradients = [np.array(error.sum()), back + decay * weight, slope + decay * factor]
         for k, g in enumerate(gradients):
             first[k] = 0.9 * first[k] + 0.1 * g
@@ -116,19 +120,24 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> Machine:
     """Fit on at most ``sample_rows`` labelled rows, those with the smallest hash of their id.
 
-    Rows with a null label, without a document or held out are not used.
+    Rows with a null label, without a document or held out are not used; of several
+    documents of one id the text with the smallest hash is. What is counted, kept and
+    fitted depends on these rows alone, by limits that are the same at every size.
     """
     usable = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = usable.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample_rows)
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    met = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
+    # One row per label row, so that an id that is repeated very often cannot swamp the fit.
+    one = met.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+    rows = one.select("doc_id", "toxic", "t.text")
 
     def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(row_terms(batch.column(2)))
             at = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
-            values = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
+            values = np.concatenate([*found, np.zeros(0, np.int64)])
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(values))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["doc_id", "toxic", "terms"])
 
@@ -139,16 +148,22 @@ def train(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS)
         sample.select("toxic", F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("toxic").alias("hits"))
-        .where(F.col("df") >= max(3, n // 500))
+        .where(F.col("df") >= LEAST_ROWS)
     )
     expected = F.col("df") * F.lit(n1 / max(n, 1))
     chi = (F.col("hits") - expected) ** 2 / (expected + F.lit(1e-9)) / (F.lit(1.0) - F.col("df") / (n + 1))
-    best = counts.orderBy(chi.desc(), "term").limit(KEPT_TERMS).select("term").collect()
-    kept = np.sort(np.array([r[0] for r in best], np.int64).view(np.uint64))
-    literal = F.array(*[F.lit(int(t)) for t in kept.view(np.int64)]).cast("array<bigint>")
-    small = sample.select("doc_id", "toxic", F.array_intersect("terms", literal).alias("terms"))
-    got = small.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "terms").collect()
-    places = [np.searchsorted(kept, np.array(r[2], np.int64).view(np.uint64)) for r in got]
+    # At most SPACE numbers, and lists of them for at most sample_rows rows.
+    best = materialize(counts.where(chi >= LEAST_CHI).select("term"), "kept")
+    kept = np.sort(np.array([r[0] for r in best.collect()], np.int64))
+    few = (
+        sample.select("doc_id", "toxic", F.explode("terms").alias("term"))
+        .join(F.broadcast(best), "term")
+        .groupBy("doc_id", "toxic")
+        .agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    )
+    small = sample.select("doc_id", "toxic").join(few, ["doc_id", "toxic"], "left")
+    got = small.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").collect()
+    places = [np.searchsorted(kept, np.array(r[2] or [], np.int64)) for r in got]
     return fit_machine(kept, places, np.array([r[1] for r in got], np.float64))
 
 
@@ -165,8 +180,12 @@ def score_toxicity(docs: DataFrame, machine: Machine, *, threshold: float = 0.7)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Machine(*shared.value)
+        places = model.places()
         for batch in batches:
-            scores = [model.score(found) for found in row_terms(batch.column(at), model.terms)]
+            scores = []
+            for found in row_terms(batch.column(at)):
+                own = places[found]
+                scores.append(model.score(own[own >= 0]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, "score"])
 
     scored = small_batches(base).mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("score", T.DoubleType())]))

@@ -316,7 +316,7 @@ def test_machine_learns_a_pair():
     rng = np.random.default_rng(0)
     rows = [np.flatnonzero(rng.random(6) < 0.5) for _ in range(800)]
     labels = np.array([float(0 in r and 1 in r) for r in rows])
-    machine = fm.fit_machine(np.arange(6, dtype=np.uint64), rows, labels, steps=800)
+    machine = fm.fit_machine(np.arange(6), rows, labels, steps=800)
     scores = np.array([machine.score(r) for r in rows])
     assert ((scores >= 0.5) == labels).mean() > 0.97
     assert machine.score(np.array([0])) < 0.5 < machine.score(np.array([0, 1]))
@@ -346,6 +346,26 @@ def test_toxicity_of_a_table(spark):
     assert {r.score for r in fm.score_toxicity(docs, none).collect()} == {0.5}
 
 
+@pytest.mark.parametrize("n", [150, 3000])
+def test_a_rare_insult_is_known_on_small_and_large_tables(spark, n):
+    rng = random.Random(3)
+    plain = [f"word{k}" for k in range(60)]
+    rows, marks = [], []
+    for i in range(n):
+        bad = i % 10 == 0
+        w = [rng.choice(plain) for _ in range(12)]
+        if bad:
+            w[3] = "numbskull" if i < 60 else "nitwit"
+        rows.append((i, " ".join(w)))
+        marks.append((i, int(bad)))
+    # An id with many different rows counts once and cannot swamp the fit.
+    rows += [(1, f"word1 word{k % 60} numbskull") for k in range(200)]
+    machine = fm.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int"))
+    asked = [(1, "word1 numbskull word7 word8"), (2, "word1 word2 word7 word8"), (3, "a nitwit"), (4, "")]
+    got = fm.score_toxicity(spark.createDataFrame(asked, "doc_id long, text string"), machine)
+    assert {r.doc_id: r.predicted for r in got.collect()} == {1: 1, 2: 0, 3: 1, 4: 0}
+
+
 def test_terms_count_once_and_have_prefixes():
     terms = list(fm.row_terms(pa.array(["Abcdefgh abcdefgh, abc", "", None])))
     assert [len(t) for t in terms] == [5, 0, 0]
