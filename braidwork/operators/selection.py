@@ -2,8 +2,9 @@
 
 ``median`` and ``percentile`` merge a map of all distinct values in one task.
 Here a histogram on a logarithmic scale (a bounded number of bins, map-side
-combined) locates the bin that holds a rank; that bin is split into linear
-sub-bins until it holds one value or few enough rows to sort in one task.
+combined) bounds every rank by the limits of its bin. One more pass over the column
+stores what lies within the bins asked for; all else happens on that bracket, whose bins
+are split into linear sub-bins until they hold one value or few enough rows to sort in one task.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from braidwork.session import materialize
+
 BINS_PER_OCTAVE = 64
 LINEAR_BINS = 65_536
 SORT_LIMIT = 1_000_000
@@ -70,17 +73,33 @@ def values_at(
     *,
     sort_limit: int = SORT_LIMIT,
 ) -> list[float]:
-    """The values at the given 0-based ranks of the sorted column."""
-    return [_descend(df, column, list(hist.bins), rank, sort_limit) for rank in ranks]
-
+    """The values at the given 0-based ranks of the sorted column.
 
-def _descend(df: DataFrame, column: str, bins: list[Row], rank: int, sort_limit: int) -> float:
+    ``df`` is read once more at most, whatever the number of ranks and splits.
+    """
+    x = F.col(column)
+    located = [_locate(list(hist.bins), rank) for rank in ranks]
+    limits = sorted({(found["lo"], found["hi"]) for found, _ in located if found["lo"] != found["hi"]})
+    if limits:
+        within = F.lit(False)
+        for lo, hi in limits:
+            within = within | ((x >= lo) & (x <= hi))
+        df = materialize(df.where(within).select(x), "bracket")
+    return [_descend(df, column, found, rank, sort_limit) for found, rank in located]
+
+
+def _locate(bins: list[Row], rank: int) -> tuple[Row, int]:
+    """The bin that holds a rank, and the rank within it."""
+    for found in bins:
+        if rank < found["n"]:
+            break
+        rank -= found["n"]
+    return found, rank
+
+
+def _descend(df: DataFrame, column: str, found: Row, rank: int, sort_limit: int) -> float:
     x = F.col(column)
     while True:
-        for found in bins:
-            if rank < found["n"]:
-                break
-            rank -= found["n"]
         lo, hi = found["lo"], found["hi"]
         if lo == hi:
             return lo
@@ -94,7 +113,7 @@ def _descend(df: DataFrame, column: str, bins: list[Row], rank: int, sort_limit:
             .agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"))
             .collect()
         )
-        bins = sorted(rows, key=lambda r: r["bin"])
+        found, rank = _locate(sorted(rows, key=lambda r: r["bin"]), rank)
 
 
 def median_of(

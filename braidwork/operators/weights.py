@@ -1,8 +1,9 @@
 """Comparison of two weight tables.
 
 A weight table has one row per chunk of a leaf: ``leaf, kind, chunk_id,
-values``. Chunks have a fixed size, so an embedding matrix that holds a third
-of a model is many rows with different join keys.
+values``. Chunks have a bounded size, so an embedding matrix that holds a third
+of a model is many rows with different join keys. Two tables may cut their leaves
+differently: then chunks meet where their ranges of offsets overlap.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from braidwork.functions.numbers import fixed_point, scientific
+from braidwork.operators.ordering import running_total
 from braidwork.operators.selection import SORT_LIMIT, Histogram, histogram, median_of
 from braidwork.session import materialize
 
@@ -161,6 +163,54 @@ def _joined_chunks(before: DataFrame, after: DataFrame) -> DataFrame:
     return b.join(a, ["leaf", "chunk_id"], "full_outer").where(~F.coalesce(both_empty, F.lit(False)))
 
 
+def _placed_pieces(weights: DataFrame, grid: int, values: str) -> DataFrame:
+    """``leaf, slot, lo, hi, values``: chunks with their offsets in the leaf, cut at multiples of ``grid``."""
+    sized = weights.select("leaf", "chunk_id", "values", F.size("values").cast("long").alias("n"))
+    # Only sizes are summed up along a leaf; chunks with the same id would have no order.
+    ends = running_total(
+        materialize(sized.select("leaf", "chunk_id", "n"), "chunk-sizes"), F.col("n"),
+        [F.col("leaf"), F.col("chunk_id")], partition_by=["leaf"], out="end",
+    )
+    placed = sized.join(ends.select("leaf", "chunk_id", (F.col("end") - F.col("n")).alias("start")), ["leaf", "chunk_id"])
+    placed = placed.where("n > 0").withColumn("end", F.col("start") + F.col("n"))
+    slots = F.sequence(F.floor(F.col("start") / grid), F.floor((F.col("end") - 1) / grid))
+    cut = placed.select("*", F.explode(slots).alias("slot"))
+    lo = F.greatest("start", F.col("slot") * grid).alias("lo")
+    hi = F.least("end", (F.col("slot") + 1) * grid).alias("hi")
+    cut = cut.select("leaf", "slot", "values", "start", lo, hi)
+    piece = F.slice("values", (F.col("lo") - F.col("start") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int"))
+    return cut.select("leaf", "slot", "lo", "hi", piece.alias(values))
+
+
+def overlapping_chunks(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``leaf, v_before, v_after``: the values of both tables side by side, whatever their chunks.
+
+    Both must hold the same leaves with as many values. Pieces meet on (leaf, stretch
+    of offsets), where a piece overlaps a few others at most; each overlap is cut out of
+    both sides, so every value comes up once.
+    """
+    largest = [t.agg(F.max(F.size("values"))).first()[0] or 1 for t in (before, after)]
+    grid = max(largest)
+    b = _placed_pieces(before, grid, "v_before").withColumnsRenamed({"lo": "lo_b", "hi": "hi_b"})
+    a = _placed_pieces(after, grid, "v_after").withColumnsRenamed({"lo": "lo_a", "hi": "hi_a"})
+    met = b.join(a, ["leaf", "slot"]).where((F.col("lo_b") < F.col("hi_a")) & (F.col("lo_a") < F.col("hi_b")))
+    met = met.withColumn("lo", F.greatest("lo_a", "lo_b")).withColumn("n", F.least("hi_a", "hi_b") - F.col("lo"))
+
+    def shared(values: str, start: str) -> Column:
+        return F.slice(values, (F.col("lo") - F.col(start) + 1).cast("int"), F.col("n").cast("int")).alias(values)
+
+    return met.select("leaf", shared("v_before", "lo_b"), shared("v_after", "lo_a"))
+
+
+def _chunks_agree(before: DataFrame, after: DataFrame) -> bool:
+    """Do both tables cut their leaves alike? Reads sizes only."""
+    b, a = (
+        w.where(F.size("values") > 0).select("leaf", "chunk_id", F.size("values").alias(n))
+        for w, n in ((before, "n_before"), (after, "n_after"))
+    )
+    return b.join(a, ["leaf", "chunk_id"], "full_outer").where(~F.col("n_before").eqNullSafe(F.col("n_after"))).isEmpty()
+
+
 def _differences() -> Column:
     return F.zip_with(
         "v_before", "v_after", lambda b, a: F.abs(b.cast("double") - a.cast("double"))
@@ -183,22 +233,21 @@ def compare_states(
 
     The first pass joins chunk by chunk and collects a magnitude histogram of
     the differences with counts, sums and extremes per bin (a bounded number
-    of bins); the median then needs only the bin that holds it. Neither the
-    differences nor any group of them are ever gathered in one place.
+    of bins). It brackets the median; a second pass stores the differences within
+    the bracket, and the tables are not joined again. Neither the differences nor
+    any group of them are ever gathered in one place. Tables whose chunks differ
+    are joined where their chunks overlap.
     """
     if not threshold > 0:
         raise ValueError(f"threshold must be positive, got {threshold}")
+    changed = F.count_if(_is_changed(F.col("d"), threshold)).alias("changed")
     diffs = _joined_chunks(before, after).select(F.explode_outer(_differences()).alias("d"))
-    hist = histogram(
-        diffs,
-        "d",
-        F.count_if(_is_changed(F.col("d"), threshold)).alias("changed"),
-        F.sum("d").alias("total"),
-    )
+    hist = histogram(diffs, "d", changed, F.sum("d").alias("total"))
     if hist.n_null:
-        # A chunk without a partner or of another length: say which leaf it is.
+        # A chunk without a partner or of another length: another structure, or only other chunks.
         require_same_structure(before, after)
-        raise ValueError("the two weight tables cut their leaves into different chunks")
+        diffs = overlapping_chunks(before, after).select(F.explode(_differences()).alias("d"))
+        hist = histogram(diffs, "d", changed, F.sum("d").alias("total"))
     if hist.n == 0:
         raise ValueError("the weight tables hold no values to compare")
     median = median_of(diffs, "d", hist, sort_limit=sort_limit)
@@ -257,17 +306,18 @@ def leaf_change_stats(
 ) -> DataFrame:
     """Change statistics per leaf; each chunk is reduced in its own row before the shuffle.
 
-    Both tables must have the same leaves with as many values. A leaf with a NaN
+    Both tables must have the same leaves with as many values, in chunks of any size. A leaf with a NaN
     difference has NaN for its mean, largest and smallest change.
     """
     if not threshold > 0:
         raise ValueError(f"threshold must be positive, got {threshold}")
     require_same_structure(before, after)
     d = F.col("d")
-    uneven = F.raise_error(F.lit("the two weight tables cut their leaves into different chunks"))
-    whole = F.coalesce(F.size("v_before") == F.size("v_after"), F.lit(False))
-    checked = F.when(whole, _differences()).otherwise(uneven.cast("array<double>"))
-    chunk = _joined_chunks(before, after).select("leaf", checked.alias("d"))
+    if _chunks_agree(before, after):
+        met = _joined_chunks(before, after)
+    else:
+        met = overlapping_chunks(before, after)
+    chunk = met.select("leaf", _differences().alias("d"))
     reduced = chunk.select(
         "leaf",
         F.exists(d, F.isnan).alias("nan"),

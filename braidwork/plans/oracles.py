@@ -248,7 +248,7 @@ def oracle_queries() -> dict[str, str]:
 packed AS (SELECT ix // 8 AS batch_id, ix % 8 AS slot, x FROM numbered WHERE ix // 8 < n // 8)"""
     names = ", ".join(f"'{n}'" for n in TOKENIZER_NAMES)
     defaults = vars(TrainingConfig())
-    return {
+    named = {
         "scan_blocks": f"WITH {PADDED} SELECT {digest} FROM padded",
         "scan_malformed": f"""WITH odd AS (
   SELECT {_trim("text || chr(10) || 'x' || chr(10) || 'y' || chr(65533) || '(' || chr(65533)")} || '{END}' AS text
@@ -265,13 +265,27 @@ FROM embeddings WHERE label <> 9""",
   round(sqrt(list_sum(list_transform(embedding,
     lambda v: ((v::DOUBLE * (1.0::DOUBLE + label * 0.01::DOUBLE))::FLOAT)::DOUBLE ** 2))), 6) AS norm
 FROM embeddings""",
-        "compare_bundles": f"""WITH {WEIGHTS}, m AS (SELECT median(na / nb) AS r FROM norms WHERE nb >= 1e-12),
-p AS (SELECT r, abs(r - 1.0) * 100 AS pct FROM m)
-SELECT 'run_before' AS before, 'run_after' AS after,
-  (SELECT sum(len(embedding))::BIGINT FROM embeddings) AS total_params,
+        # Stored values are single precision.
+        "compare_bundles": f"""WITH {WEIGHTS}, m AS (
+  SELECT median(na / nb) AS r FROM (
+    SELECT sqrt(sum(b * b)) AS nb, sqrt(sum(a::FLOAT::DOUBLE * a::FLOAT::DOUBLE)) AS na FROM pair GROUP BY leaf)
+  WHERE nb >= 1e-12),
+p AS (SELECT r, abs(r - 1.0) * 100 AS pct FROM m),
+s AS (
+  SELECT count(*) AS total_params, count(*) FILTER (d > 1e-8) AS changed_params, median(d) AS med, avg(d) AS mean
+  FROM (SELECT abs(b - a::FLOAT::DOUBLE) AS d FROM pair))
+SELECT 'run_before' AS before, 'run_after' AS after, total_params, changed_params,
+  total_params - changed_params AS unchanged_params, round(med, 9) AS median_change, round(mean, 9) AS mean_change,
+  CASE WHEN changed_params / total_params::DOUBLE * 100.0 < 1
+      THEN printf('nearly identical: %.2f%% changed', changed_params / total_params::DOUBLE * 100.0)
+    WHEN changed_params / total_params::DOUBLE * 100.0 < 50
+      THEN printf('minority changed: %.1f%%', changed_params / total_params::DOUBLE * 100.0)
+    WHEN med < 1e-4 THEN printf('subtly different: %.1f%% changed, median %.1e', changed_params / total_params::DOUBLE * 100.0, med)
+    ELSE printf('substantially different: %.1f%% changed, median %.6f', changed_params / total_params::DOUBLE * 100.0, med)
+  END AS state_verdict,
   CASE WHEN pct < 1 THEN printf('very similar: %.2f%%', pct)
   WHEN pct < 5 THEN printf('moderately different: %.1f%%', pct)
-  WHEN r > 1 THEN printf('grown by %.1f%%', pct) ELSE printf('shrunk by %.1f%%', pct) END AS norm_verdict FROM p""",
+  WHEN r > 1 THEN printf('grown by %.1f%%', pct) ELSE printf('shrunk by %.1f%%', pct) END AS norm_verdict FROM p, s""",
         "run_metadata": f"""WITH {META} SELECT bundle, (doc IS NOT NULL)::INT AS readable,
   coalesce((doc ->> '$.cumulative_epochs_completed')::BIGINT, -1) AS epochs,
   coalesce((doc ->> '$.final_loss')::DOUBLE, -1) AS final_loss,
@@ -565,3 +579,7 @@ SELECT prompt_id, coalesce(string_agg(token, ' ' ORDER BY pos), '') AS text FROM
         "context_window": f"""WITH {PROMPTS} SELECT prompt_id, least(len(tokens), 64) AS n_real,
   {_csv("list_resize(tokens[-least(len(tokens), 64):], 64, 0)")} AS tokens FROM prompts""",
     }
+    # How leaves are cut into chunks changes no result.
+    for name in ("compare_states", "leaf_change_stats"):
+        named[f"{name}_other_chunks"] = named[name]
+    return named

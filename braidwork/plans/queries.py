@@ -147,10 +147,14 @@ def compare_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
         saved = table(spark, sf_dir).withColumn("bundle", F.lit(name))
         bundle_source.write_bundles(saved, root, metadata=json)
     found = comparison.compare_bundles(spark, root)
-    verdict = found.norms.select(F.col("verdict").alias("norm_verdict"))
-    total = found.states.select("total_params")
-    return verdict.join(F.broadcast(total), F.lit(True)).select(
-        F.lit(found.before).alias("before"), F.lit(found.after).alias("after"), "total_params", "norm_verdict"
+    norms = found.norms.select(F.col("verdict").alias("norm_verdict"))
+    states = found.states.select(
+        "total_params", "changed_params", "unchanged_params", rounded("median_change", "median_change", 9),
+        rounded("mean_change", "mean_change", 9), F.col("verdict").alias("state_verdict"),
+    )
+    # One row each.
+    return norms.join(F.broadcast(states), F.lit(True)).select(
+        F.lit(found.before).alias("before"), F.lit(found.after).alias("after"), "norm_verdict", *states.columns
     )
 
 
@@ -459,9 +463,7 @@ def norm_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weights.norm_verdict(weights.compare_norms(*_both(spark, sf_dir))).select("verdict")
 
 
-@register
-def compare_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = weights.compare_states(*_both(spark, sf_dir))
+def _state_row(result: DataFrame) -> DataFrame:
     return result.select(
         "total_params",
         "changed_params",
@@ -474,6 +476,22 @@ def compare_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def compare_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _state_row(weights.compare_states(*_both(spark, sf_dir)))
+
+
+def _cut_differently(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The same two tables, one in chunks of 16 values and one in chunks of 7."""
+    tables = t.weights_before(spark, sf_dir), t.weights_after(spark, sf_dir, chunk_size=7)
+    return materialize(tables[0], "before"), materialize(tables[1], "after")
+
+
+@register
+def compare_states_other_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _state_row(weights.compare_states(*_cut_differently(spark, sf_dir)))
+
+
 @register
 def state_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = weights.state_verdict(weights.compare_states(*_both(spark, sf_dir)))
@@ -497,7 +515,15 @@ def roundtrip_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def leaf_change_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = weights.leaf_change_stats(*_both(spark, sf_dir))
+    return _leaf_rows(weights.leaf_change_stats(*_both(spark, sf_dir)))
+
+
+@register
+def leaf_change_stats_other_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaf_rows(weights.leaf_change_stats(*_cut_differently(spark, sf_dir)))
+
+
+def _leaf_rows(stats: DataFrame) -> DataFrame:
     return stats.select(
         "leaf",
         "total_params",

@@ -86,7 +86,7 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _leaves(spark: SparkSession, sf_dir: str, values: Column) -> DataFrame:
+def _leaves(spark: SparkSession, sf_dir: str, values: Column, chunk_size: int = WEIGHT_CHUNK) -> DataFrame:
     vectors = load(spark, sf_dir, "embeddings")
     whole = vectors.select(
         F.format_string("leaf_%d", F.col("vec_id")).alias("leaf"),
@@ -95,7 +95,7 @@ def _leaves(spark: SparkSession, sf_dir: str, values: Column) -> DataFrame:
         "label",
         values.alias("values"),
     )
-    return chunk_leaves(whole, chunk_size=WEIGHT_CHUNK)
+    return chunk_leaves(whole, chunk_size=chunk_size)
 
 
 def weights_before(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,10 +110,10 @@ def weights_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weights_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weights_after(spark: SparkSession, sf_dir: str, chunk_size: int = WEIGHT_CHUNK) -> DataFrame:
     """The same leaves scaled by a factor that depends on the label; label 0 is unchanged."""
     factor = F.lit(1.0) + F.col("label") * F.lit(0.01)
-    return _leaves(spark, sf_dir, F.transform("embedding", lambda v: v.cast("double") * factor))
+    return _leaves(spark, sf_dir, F.transform("embedding", lambda v: v.cast("double") * factor), chunk_size)
 
 
 def weights_restructured(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,9 +75,47 @@ def test_other_structure_is_an_error(spark, compare, after):
         compare(state(spark, BASE), state(spark, after))
 
 
-def test_other_chunking_is_an_error(spark):
-    with pytest.raises(ValueError, match="different chunks"):
-        w.compare_states(state(spark, BASE, chunk=2), state(spark, BASE, chunk=1))
+@pytest.mark.parametrize(("one", "two"), [(2, 1), (16, 7), (5, 64), (3, 3)])
+def test_tables_may_cut_their_leaves_differently(spark, one, two):
+    rng = np.random.default_rng(one)
+    before = {"a": rng.random(61).tolist(), "b": rng.random(16).tolist(), "c": [1.0], "d": []}
+    after = {k: [x * 1.5 for x in v] for k, v in before.items()}
+    b, a, same = state(spark, before, chunk=one), state(spark, after, chunk=two), state(spark, after, chunk=one)
+    met = w.overlapping_chunks(b, a).collect()
+    assert sorted(x for r in met for x in r["v_before"]) == sorted(x for v in before.values() for x in v)
+    assert all(y == x * 1.5 for r in met for x, y in zip(r["v_before"], r["v_after"], strict=True))
+    assert w.compare_states(b, a).collect() == w.compare_states(b, same).collect()
+    for got, want in zip(*[sorted(w.leaf_change_stats(b, x).collect()) for x in (a, same)], strict=True):
+        assert tuple(got) == pytest.approx(tuple(want))
+    uneven = a.where("leaf <> 'b'").union(b.where("leaf = 'b'")).union(state(spark, {"e": [0.0]}))
+    with pytest.raises(ValueError, match="different structures"):
+        w.compare_states(b, uneven)
+
+
+def test_chunks_without_any_order_of_sizes(spark):
+    """Chunk numbers may have gaps and chunks any size; an empty chunk changes nothing."""
+    kind = "leaf string, kind string, chunk_id int, values array<double>"
+    rows = [("a", "param", 9, [3.0, 4.0, 5.0]), ("a", "param", 2, [1.0]), ("a", "param", 5, [2.0]), ("a", "param", 7, [])]
+    whole = [("a", "param", 0, [1.0, 2.0, 3.0, 4.0, 6.0])]
+    row = w.compare_states(spark.createDataFrame(rows, kind), spark.createDataFrame(whole, kind)).collect()[0]
+    assert (row["total_params"], row["changed_params"], row["max_change"]) == (5, 1, 1.0)
+
+
+def test_values_are_read_twice_at_most(spark):
+    reads = spark.sparkContext.accumulator(0)
+    values = np.random.default_rng(1).random(4000).tolist()
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    before = state(spark, {"a": [0.0] * 4000}, chunk=50)
+    before = before.mapInPandas(seen, before.schema)
+    # No bin is small enough to sort, so each middle rank needs several splits.
+    row = w.compare_states(before, state(spark, {"a": values}, chunk=50), sort_limit=1).collect()[0]
+    assert row["median_change"] == pytest.approx(np.median(values), abs=0)
+    assert reads.value <= 2 * 80
 
 
 def test_structure_diff_names_each_problem(spark):
