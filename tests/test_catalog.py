@@ -224,3 +224,68 @@ def test_zero_heads_break_one_rule_and_nulls_break_theirs(spark):
     df = spark.createDataFrame([{"id": 0} | base | {"num_heads": 0}, {"id": 1} | base | {"maxlen": None}])
     got = sorted((x["id"], x["rule_ix"]) for x in r.violations(df, r.MODEL_RULES, ["id"]).collect())
     assert got == [(0, 3), (1, 0)]
+
+
+def _bundle(spark, name, values):
+    rows = [(name, f"leaf{j}", "param", [1], 0, [v]) for j, v in enumerate(values)]
+    return spark.createDataFrame(rows, "bundle string, leaf string, kind string, shape array<int>, chunk_id int, values array<double>")
+
+
+def _doc(spark, name, epochs):
+    return spark.createDataFrame([(name, f'{{"cumulative_epochs_completed":{epochs}}}')], "bundle string, json string")
+
+
+def _held(spark, root, name):
+    values = sorted(x for r in b.load_weights(spark, root, name).collect() for x in r["values"])
+    told = b.read_metadata(spark, root).where(F.col("bundle") == name).collect()
+    return values, told[0]["metadata"]["cumulative_epochs_completed"] if told else None
+
+
+def test_a_save_that_stops_half_way_changes_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "s")
+    b.write_bundles(_bundle(spark, "m", [1.0, 2.0]), root, metadata=_doc(spark, "m", 1))
+    before = b.list_bundles(spark, root).collect()
+
+    def stop(*args):
+        raise OSError("lost the driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(b, "_publish", stop)
+        with pytest.raises(OSError, match="lost"):
+            b.write_bundles(_bundle(spark, "m", [7.0]), root, metadata=_doc(spark, "m", 2))
+    assert _held(spark, root, "m") == ([1.0, 2.0], 1) and b.list_bundles(spark, root).collect() == before
+    assert b.damaged_bundles(spark, root).count() == 0
+    b.write_bundles(_bundle(spark, "m", [7.0]), root, metadata=_doc(spark, "m", 2))
+    assert _held(spark, root, "m") == ([7.0], 2)
+    # Without a document the old one stays; a document alone is no bundle.
+    b.write_bundles(_bundle(spark, "m", [8.0]), root)
+    b.write_bundles(_bundle(spark, "m", []), root, metadata=_doc(spark, "only", 5))
+    assert _held(spark, root, "m") == ([8.0], 2)
+    assert [r["bundle"] for r in b.list_bundles(spark, root).collect()] == ["m"]
+    assert b.read_weights(spark, root).count() == 1
+
+
+def test_the_catalog_reads_index_and_log_only(spark, tmp_path, plan_of):
+    root = str(tmp_path / "s")
+    for k in range(4):
+        b.write_bundles(_bundle(spark, f"m{k % 2}", [float(k)]), root, metadata=_doc(spark, f"m{k % 2}", k))
+    want = {r["bundle"]: tuple(r) for r in b.manifest(spark, root).collect()}
+    b.compact_log(spark, root)
+    assert {r["bundle"]: tuple(r) for r in b.manifest(spark, root).collect()} == want
+    b.write_bundles(_bundle(spark, "m1", [9.0]), root)
+    b.compact_log(spark, root)
+    b.write_bundles(_bundle(spark, "m2", [5.0]), root, metadata=_doc(spark, "m2", 9))
+    assert [_held(spark, root, f"m{k}") for k in range(3)] == [([2.0], 2), ([9.0], 3), ([5.0], 9)]
+    plan = plan_of(c.latest_bundles(b.list_bundles(spark, root), 2))
+    assert "/weights" not in plan and "binaryFile" not in plan and "/log" in plan
+    newest = [r["bundle"] for r in c.latest_bundles(b.list_bundles(spark, root), 2).collect()]
+    assert newest == ["m2", "m1"]
+
+
+def test_damaged_weights_are_named(spark, tmp_path):
+    root = str(tmp_path / "s")
+    b.write_bundles(_bundle(spark, "good", [1.0]).union(_bundle(spark, "bad", [2.0, 3.0])), root)
+    version = b.manifest(spark, root).where("bundle = 'bad'").collect()[0]["version"]
+    other = _bundle(spark, "bad", [4.0]).drop("bundle").withColumn("values", F.col("values").cast("array<float>"))
+    other.write.mode("overwrite").parquet(f"{root}/weights/version={version}/bundle=bad")
+    assert [tuple(r) for r in b.damaged_bundles(spark, root).collect()] == [("bad", 2, 1)]
