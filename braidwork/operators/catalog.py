@@ -8,7 +8,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from braidwork.operators.joins import split_join
 from braidwork.operators.ordering import newest, running_total
+from braidwork.session import materialize
 
 
 def run_name(model: Column, created: Column) -> Column:
@@ -88,6 +90,65 @@ def cumulative_epochs(
     return total.withColumn("previous_epochs", F.col("cumulative_epochs") - F.col(epochs))
 
 
+def resume_lineage(
+    runs: DataFrame, *, run: str = "run_id", parent: str = "resumed_from", epochs: str = "epochs"
+) -> DataFrame:
+    """``run, root, depth, previous_epochs, cumulative_epochs, problem`` from links to the run before.
+
+    Pointer doubling: every run knows an ancestor, its distance and the epochs in between,
+    and each round asks that ancestor for its own, so a chain of n runs takes log2(n) rounds
+    and runs that have reached their root rest. Several runs may continue the same one.
+    A run that names an unknown one starts a lineage (``unknown_parent``); a run whose links
+    never reach a root has no lineage (``cycle``: null root, depth and sums); rows of one run
+    that name different parents are one run with the smallest (``several_parents``). Rows
+    without a run are left out; null epochs count as 0.
+    """
+    given = runs.where(F.col(run).isNotNull()).groupBy(F.col(run).alias("run")).agg(
+        F.min(parent).alias("parent"), F.count_distinct(parent).alias("parents"),
+        F.coalesce(F.max(epochs), F.lit(0)).cast("long").alias("epochs"),
+    )
+    links = materialize(given, "links")
+    known = links.select(F.col("run").alias("parent"), F.lit(True).alias("known"))
+    placed = split_join(links, known, ["parent"], F.xxhash64("run"), how="left")
+    is_root = F.col("known").isNull()
+    placed = materialize(
+        placed.select(
+            "run", F.when(is_root, F.col("run")).otherwise(F.col("parent")).alias("at"),
+            F.when(is_root, 0).otherwise(1).cast("long").alias("depth"),
+            # Epochs of the runs from this one up to, but without, the ancestor.
+            F.when(is_root, 0).otherwise(F.col("epochs")).cast("long").alias("above"), is_root.alias("done"), "epochs",
+            F.when(F.col("parents") > 1, "several_parents")
+            .when(F.col("parent").isNotNull() & is_root, "unknown_parent").alias("problem"),
+        ),
+        "lineage",
+    )
+    state = placed.select("run", "at", "depth", "above", "done")
+    rounds = max(1, links.count()).bit_length()
+    for _ in range(rounds):
+        waiting = state.where(~F.col("done"))
+        if waiting.isEmpty():
+            break
+        asked = state.select(
+            F.col("run").alias("at"), F.col("at").alias("next"), F.col("depth").alias("more"),
+            F.col("above").alias("more_above"), F.col("done").alias("there"),
+        )
+        moved = split_join(waiting, asked, ["at"], F.xxhash64("run"), how="left").select(
+            "run", F.col("next").alias("at"), (F.col("depth") + F.col("more")).alias("depth"),
+            (F.col("above") + F.col("more_above")).alias("above"), F.col("there").alias("done"),
+        )
+        state = materialize(state.where("done").unionByName(moved), "lineage")
+    reached = F.col("done")
+    roots = placed.where("done").select(F.col("run").alias("at"), F.col("epochs").alias("first"))
+    ended = split_join(state, roots, ["at"], F.xxhash64("run"), how="left")
+    total = F.when(reached, F.col("above") + F.col("first"))
+    found = ended.join(placed.select("run", "epochs", "problem"), "run")
+    return found.select(
+        F.col("run").alias(run), F.when(reached, F.col("at")).alias("root"), F.when(reached, F.col("depth")).alias("depth"),
+        (total - F.col("epochs")).alias("previous_epochs"), total.alias("cumulative_epochs"),
+        F.when(~reached, "cycle").otherwise(F.col("problem")).alias("problem"),
+    )
+
+
 def resume_context(catalog: DataFrame, metadata: DataFrame) -> DataFrame:
     """``bundle, previous_epochs, status`` for every bundle; without readable metadata there
     is nothing to resume from."""

@@ -418,6 +418,23 @@ SELECT model, coalesce(before, -1) AS before, after,
 s AS (SELECT *, sum(epochs) OVER (PARTITION BY model ORDER BY o_orderdate, bundle
   ROWS UNBOUNDED PRECEDING)::BIGINT AS cumulative_epochs FROM c)
 SELECT model, bundle, epochs, cumulative_epochs - epochs AS previous_epochs, cumulative_epochs FROM s""",
+        "resume_lineage": """WITH RECURSIVE o AS (
+  SELECT o_orderkey AS run_id, o_custkey AS model, 1 + o_orderkey % 5 AS epochs, lag(o_orderkey) OVER w AS before,
+    lag(o_orderkey, 2) OVER w AS earlier, last_value(o_orderkey) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS newest
+  FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+l AS (
+  SELECT run_id, epochs, CASE WHEN before IS NULL AND model % 10 = 0 THEN newest
+    WHEN before IS NULL AND model % 11 = 0 THEN -1
+    WHEN run_id % 3 = 0 AND earlier IS NOT NULL THEN earlier ELSE before END AS parent FROM o),
+up AS (
+  SELECT run_id, run_id AS root, 0::BIGINT AS depth, epochs::BIGINT AS total FROM l
+  WHERE parent IS NULL OR parent NOT IN (SELECT run_id FROM l)
+  UNION ALL
+  SELECT l.run_id, up.root, up.depth + 1, up.total + l.epochs FROM up JOIN l ON l.parent = up.run_id)
+SELECT l.run_id, coalesce(root, -1) AS root, coalesce(depth, -1) AS depth,
+  coalesce((total - epochs)::BIGINT, -1) AS previous_epochs, coalesce(total::BIGINT, -1) AS cumulative_epochs,
+  CASE WHEN root IS NULL THEN 'cycle' WHEN parent = -1 THEN 'unknown_parent' ELSE '' END AS problem
+FROM l LEFT JOIN up ON up.run_id = l.run_id""",
         "resume_context": f"""WITH {META} SELECT bundle,
   coalesce((doc ->> '$.cumulative_epochs_completed')::BIGINT, -1) AS previous_epochs,
   CASE WHEN doc IS NULL THEN 'no_readable_metadata' ELSE 'ok' END AS status FROM parsed""",

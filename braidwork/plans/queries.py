@@ -566,6 +566,13 @@ def cumulative_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summed.select("model", "bundle", "epochs", "previous_epochs", "cumulative_epochs")
 
 
+@register
+def resume_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.resume_lineage(t.order_links(spark, sf_dir)).fillna("", ["problem"]).fillna(
+        -1, ["root", "depth", "previous_epochs", "cumulative_epochs"]
+    )
+
+
 @register
 def resume_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = t.order_catalog(spark, sf_dir)

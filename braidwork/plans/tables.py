@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from braidwork.configs import DEFAULT_DELIMITER, ModelConfig, TokenizerConfig
@@ -197,6 +197,24 @@ def order_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as runs that continue the customer's order before. The first order of every tenth
+    customer names the last one (a cycle), that of every eleventh an unknown one; a third of
+    the orders of others skip one, so that some runs are continued twice."""
+    own = Window.partitionBy("model").orderBy("mtime", "bundle")
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before, earlier = F.lag("bundle").over(own), F.lag("bundle", 2).over(own)
+    skipping = (F.col("bundle") % 3 == 0) & earlier.isNotNull()
+    parent = (
+        F.when(before.isNull() & (F.col("model") % 10 == 0), F.last("bundle").over(whole))
+        .when(before.isNull() & (F.col("model") % 11 == 0), F.lit(-1))
+        .otherwise(F.when(skipping, earlier).otherwise(before))
+    )
+    return order_catalog(spark, sf_dir).select(
+        F.col("bundle").alias("run_id"), parent.cast("long").alias("resumed_from"), "epochs"
+    )
+
+
 def order_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sidecar text per bundle, complete or broken in one of six ways, and its parsed form."""
     kind = F.col("bundle") % 7

@@ -289,3 +289,19 @@ def test_damaged_weights_are_named(spark, tmp_path):
     other = _bundle(spark, "bad", [4.0]).drop("bundle").withColumn("values", F.col("values").cast("array<float>"))
     other.write.mode("overwrite").parquet(f"{root}/weights/version={version}/bundle=bad")
     assert [tuple(r) for r in b.damaged_bundles(spark, root).collect()] == [("bad", 2, 1)]
+
+
+def test_lineage_follows_links_of_any_shape(spark):
+    chain = [(k, k - 1 if k else None, 2) for k in range(40)]
+    branches = [(100, 5, 7), (101, 100, 1), (102, 100, 1)]
+    odd = [(200, 999, 3), (201, 200, None), (300, 302, 1), (301, 300, 1), (302, 301, 1), (303, 302, 4), (400, 400, 1)]
+    odd += [(500, 39, 1), (500, 3, 2), (None, 1, 1), (600, None, 5), (600, None, 5)]
+    table = spark.createDataFrame(chain + branches + odd, "run_id long, resumed_from long, epochs long")
+    got = {r["run_id"]: tuple(r)[1:] for r in c.resume_lineage(table.repartition(3)).collect()}
+    assert all(got[k] == (0, k, 2 * k, 2 * k + 2, None) for k in range(40))
+    assert got[100] == (0, 6, 12, 19, None) and got[101] == got[102] == (0, 7, 19, 20, None)
+    assert got[200] == (200, 0, 0, 3, "unknown_parent") and got[201] == (200, 1, 3, 3, None)
+    for k in (300, 301, 302, 303, 400):
+        assert got[k] == (None, None, None, None, "cycle")
+    assert got[500] == (0, 4, 8, 10, "several_parents") and got[600] == (600, 0, 0, 5, None)
+    assert len(got) == 40 + 3 + 7 + 2 and c.resume_lineage(table.limit(0)).count() == 0
