@@ -1,4 +1,4 @@
-"""Sizes of the Arrow batches that go to Python workers."""
+"""Sizes of the Arrow batches that go to Python workers, and names for helper columns."""
 
 from __future__ import annotations
 
@@ -23,3 +23,11 @@ def small_batches(df: DataFrame) -> DataFrame:
     if given.isdigit() and int(given) > BYTES:
         conf.set(size, f"{BYTES}b")
     return df
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, or the same behind more underscores if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted

@@ -17,7 +17,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from braidwork.llm.batches import free_name
 from braidwork.operators.ordering import running_total
 from braidwork.session import materialize
 
@@ -71,9 +73,10 @@ def source_targets(sources: DataFrame, schedules: Sequence[Schedule], share: flo
 
 
 def mix_plan(
-    docs: DataFrame, *, schedules: Sequence[Schedule] = SCHEDULES, share: float = 1.5, cap: float = 2.0,
+    docs: DataFrame, *, schedules: Sequence[Schedule] = SCHEDULES, share: float = 1.5, cap: float = 2.0, by_row: bool = False,
 ) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, positions`` of every row of ``docs``.
+    """``doc_id, size, source_size, target, taken, positions`` of every row of ``docs``; with ``by_row``
+    also ``row``, which tells ``training_order`` different rows apart.
 
     ``size`` counts the words of the text (null: 0). A source's documents are
     taken in the order of a hash of their id, over and over, until its target,
@@ -86,7 +89,8 @@ def mix_plan(
     """
     words = F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     named = F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sized = docs.select("doc_id", "source", words.alias("size"), F.md5(named).alias("_key"))
+    row = [row_hash(docs).alias("row")] if by_row else []
+    sized = docs.select("doc_id", "source", words.alias("size"), F.md5(named).alias("_key"), *row)
     sized = materialize(sized, "sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sources, schedules, share, cap)
@@ -112,22 +116,30 @@ def mix_plan(
         parts.append(part)
         times.append(F.when(part > 0, when))
     return joined.select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "source", "size", "source_size", "target", *(["row"] if by_row else []),
         sum(parts[1:], parts[0]).alias("taken"),
         F.array_compact(F.array(*times)).alias("positions"),
     )
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns that can be hashed."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+
+
 def training_order(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """The rows of ``docs``, once per pass that takes from them, range-sorted by position.
 
-    ``plan`` is ``mix_plan(docs)``. Documents that the mix takes nothing of go.
-    Rows that share id, source and size share the passes of one of them.
+    ``plan`` is ``mix_plan(docs, by_row=True)``. Documents that the mix takes nothing of go.
+    Every row has its own passes; equal rows have theirs together.
     """
-    words = F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    keys = plan.groupBy("doc_id", "source", "size").agg(F.max("positions").alias("_at"))
-    keys = keys.select(F.struct("doc_id", "source", "size").alias("_row"), "_at")
-    rows = docs.withColumn("_row", F.struct("doc_id", "source", words.alias("size")))
-    passes = rows.join(keys, "_row").withColumn("_position", F.explode("_at")).drop("_row", "_at")
-    ordered = passes.repartitionByRange("_position", "doc_id")
-    return ordered.sortWithinPartitions("_position", "doc_id").drop("_position")
+    key, at = free_name(docs, "_row"), free_name(docs, "_position")
+    passes = plan.select(F.col("row").alias(key), F.explode("positions").alias(at))
+    keyed = docs.withColumn(key, row_hash(docs))
+    repeated = materialize(plan.groupBy("row").count().where("count > 1").select(F.col("row").alias(key)), "repeated")
+    if not repeated.isEmpty():
+        # One of several equal rows stands for all, as their passes come together.
+        once = keyed.join(repeated, key, "left_semi").dropDuplicates([key])
+        keyed = keyed.join(repeated, key, "left_anti").unionByName(once)
+    ordered = passes.join(keyed, key).repartitionByRange(at, "doc_id")
+    return ordered.sortWithinPartitions(at, "doc_id").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -25,7 +25,8 @@ from braidwork.session import materialize
 SHARD_ROWS = 8_192
 BLOCK_QUERIES = 1_024
 LEAF_ROWS = 256
-_HITS = "array<struct<query_id:bigint,vec_id:bigint,score:bigint>>"
+_HIT_FIELDS = ("query_key", "query_id", "vec_id", "score")
+_HITS = "array<struct<" + ",".join(f"{c}:bigint" for c in _HIT_FIELDS) + ">>"
 
 
 def pack(**arrays: np.ndarray) -> bytes:
@@ -39,8 +40,10 @@ def unpack(data: bytes) -> dict[str, np.ndarray]:
         return {k: found[k] for k in found.files}
 
 
-def build_tree(ids: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> dict[str, np.ndarray]:
-    """Nodes as arrays: row range, children (-1: leaf) and tight box."""
+def build_tree(
+    ids: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS, keys: np.ndarray | None = None
+) -> dict[str, np.ndarray]:
+    """Nodes as arrays: row range, children (-1: leaf) and tight box. ``keys`` tell rows apart, else ids do."""
     order, nodes, todo = np.arange(len(ids)), [], [(0, len(ids), -1, 0)]
     while todo:
         lo, hi, parent, side = todo.pop()
@@ -58,6 +61,7 @@ def build_tree(ids: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS)
             todo += [(lo, lo + mid, me, 0), (lo + mid, hi, me, 1)]
     return {
         "ids": ids[order],
+        "keys": (ids if keys is None else keys)[order],
         "points": points[order],
         "rows": np.array([n[:4] for n in nodes], np.int64),
         "low": np.array([n[4] for n in nodes]),
@@ -81,7 +85,7 @@ def search(tree: dict[str, np.ndarray], block: dict[str, np.ndarray], k: int) ->
     up, down = np.maximum(queries[:, :n], 0), np.minimum(queries[:, :n], 0)
     bounds = products(up, tree["high"][:, :n]) + products(down, tree["low"][:, :n])
     rows, out = tree["rows"].tolist(), []
-    for i, own in enumerate(block["ids"].tolist()):
+    for i, own in enumerate(block.get("keys", block["ids"]).tolist()):
         least, best = block["floor"][i], []
         bound = bounds[i].tolist()
         queue = [(-bound[0], 0)]
@@ -95,9 +99,9 @@ def search(tree: dict[str, np.ndarray], block: dict[str, np.ndarray], k: int) ->
                 heapq.heappush(queue, (-bound[right], right))
                 continue
             scores = products(tree["points"][lo:hi], queries[i : i + 1])[:, 0]
-            ids = tree["ids"][lo:hi]
+            ids, keys = tree["ids"][lo:hi], tree["keys"][lo:hi]
             floor = max(least, best[0][0]) if len(best) == k else least
-            for j in np.flatnonzero((scores >= floor) & (ids != own)).tolist():
+            for j in np.flatnonzero((scores >= floor) & (keys != own)).tolist():
                 item = (int(scores[j]), -int(ids[j]))
                 if len(best) < k:
                     heapq.heappush(best, item)
@@ -125,25 +129,26 @@ def _chunked(rows: DataFrame, most: int, tree: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         count, number = 0, TaskContext.get().partitionId() << 32
 
         def body() -> pa.RecordBatch:
-            width = max(p.shape[1] for _, p in held)
-            ids = np.concatenate([i for i, _ in held])
-            points = np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for _, p in held])
+            width = max(p.shape[1] for _, p, _ in held)
+            ids, keys = (np.concatenate([h[k] for h in held]) for k in (0, 2))
+            points = np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for _, p, _ in held])
             if tree:
-                data = pack(**build_tree(ids, points))
+                data = pack(**build_tree(ids, points, keys=keys))
             else:
                 floor = np.full(len(ids), -(1 << 63), np.int64)
-                data = pack(ids=ids, points=points, floor=floor)
+                data = pack(ids=ids, keys=keys, points=points, floor=floor)
             return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([data], pa.binary())], ["key", "body"])
 
         for batch in batches:
             at = 0
             while at < len(batch):
                 piece = batch.slice(at, most - count)
-                held.append((np.asarray(piece.column(0), np.int64), _matrix(piece.column(1))))
+                ids, keys = (np.asarray(piece.column(k), np.int64) for k in (0, 2))
+                held.append((ids, _matrix(piece.column(1)), keys))
                 count, at = count + len(piece), at + len(piece)
                 if count == most:
                     yield body()
@@ -165,11 +170,11 @@ def _searched(pairs: DataFrame, k: int) -> DataFrame:
                 full = np.array([x[k - 1][0] if len(x) == k else -(1 << 63) for x in found], np.int64)
                 block["floor"] = np.maximum(block["floor"], full)
                 hits = [
-                    {"query_id": q, "vec_id": -other, "score": score}
-                    for q, best in zip(block["ids"].tolist(), found)
+                    {"query_key": key, "query_id": q, "vec_id": -other, "score": score}
+                    for key, q, best in zip(block["keys"].tolist(), block["ids"].tolist(), found)
                     for score, other in best
                 ]
-                kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("query_id", "vec_id", "score")]))
+                kind = pa.list_(pa.struct([(c, pa.int64()) for c in _HIT_FIELDS]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, 1), pa.array([pack(**block)], pa.binary()), pa.array([hits], kind)],
                     ["block", "body", "hits"],
@@ -178,24 +183,27 @@ def _searched(pairs: DataFrame, k: int) -> DataFrame:
     return small_batches(pairs).mapInArrow(run, f"block long, body binary, hits {_HITS}")
 
 
-def exact_topk(vectors: DataFrame, queries: DataFrame, *, k: int = 5) -> DataFrame:
+def exact_topk(vectors: DataFrame, queries: DataFrame, *, k: int = 5, row_key: str | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best rows of ``vectors`` for every query, whole search.
 
     Both tables have ``vec_id, embedding``. Components count as ``floor(256 * x)``;
     the score is the integer inner product, ties go to the smaller ``vec_id``.
-    Rows with the query's own id are no candidates for it. Fewer candidates than
+    ``row_key`` names a column of both tables that tells rows apart (64-bit integers):
+    then only the query's own row is no candidate, and every query row has a list of its
+    own. Without it rows with the query's id are no candidates for it, and queries that
+    repeat id and vector count once. Fewer candidates than
     ``k`` give fewer rows. Rows with a null id, a null vector, or null or
     non-finite components take no part; a shorter vector counts as filled with
-    zeros. A repeated row is a candidate as often as it occurs; a repeated query
-    counts once. Scores beyond 64 bits fail the job. Extra columns are ignored.
+    zeros. A repeated row is a candidate as often as it occurs. Scores beyond 64 bits fail the job. Extra columns are ignored.
     """
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad
     wanted = [F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")]
+    wanted.append(F.col(row_key or "vec_id").cast("long").alias("key"))
     base, asked = (t.where(usable).select(*wanted) for t in (vectors, queries))
     trees = materialize(_chunked(base, SHARD_ROWS, True).withColumnRenamed("key", "shard"), "trees")
     blocks = materialize(
-        _chunked(asked.dropDuplicates(["vec_id", "embedding"]), BLOCK_QUERIES, False).withColumnRenamed("key", "block"),
+        _chunked(asked.dropDuplicates(["vec_id", "embedding", "key"]), BLOCK_QUERIES, False).withColumnRenamed("key", "block"),
         "blocks",
     )
     # One number per block of queries; every block meets every shard.
@@ -211,7 +219,7 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, *, k: int = 5) -> DataFra
     others = pairs.join(home, ["block", "shard"], "left_anti")
     rest = _searched(met(others, first.select("block", "body")), k)
     hits = first.select("hits").union(rest.select("hits")).select(F.explode("hits").alias("hit")).select("hit.*")
-    by_query = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    by_query = Window.partitionBy("query_key").orderBy(F.col("score").desc(), "vec_id")
     return (
         hits.withColumn("rank", F.row_number().over(by_query))
         .where(F.col("rank") <= k)

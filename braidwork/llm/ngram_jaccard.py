@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braidwork.llm.batches import small_batches
+from braidwork.llm.batches import free_name, small_batches
 from braidwork.llm.components import connected_components
 from braidwork.llm.hashing import chunks, mix, shingle_sets
 from braidwork.session import materialize
@@ -297,8 +297,9 @@ def one_per_component(docs: DataFrame, found: DataFrame) -> DataFrame:
     """
     heads = found.where(F.col("component_id").isNotNull() & (F.col("doc_id") == F.col("component_id")))
     best = heads.groupBy("component_id", F.col("set_id").isNull().alias("bare")).agg(F.min("row").alias("row"))
-    keys = best.select(F.struct(F.col("component_id").alias("doc_id"), "row").alias("_key")).union(
-        found.where(F.col("component_id").isNull()).select(F.struct("doc_id", "row").alias("_key")).distinct()
+    key = free_name(docs, "_key")
+    keys = best.select(F.struct(F.col("component_id").alias("doc_id"), "row").alias(key)).union(
+        found.where(F.col("component_id").isNull()).select(F.struct("doc_id", "row").alias(key)).distinct()
     )
-    keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64(F.col("text").cast("string")).alias("row")))
-    return keyed.join(keys, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    keyed = docs.withColumn(key, F.struct("doc_id", F.xxhash64(F.col("text").cast("string")).alias("row")))
+    return keyed.join(keys, key, "left_semi").dropDuplicates([key]).drop(key)

@@ -20,6 +20,7 @@ from braidwork.llm.secret_forest import scan_secrets
 from braidwork.llm.sentence_spans import remove_repeats
 from braidwork.llm.toxicity_fm import held_out, score_toxicity, train
 from braidwork.llm.vector_near_dedup import near_vectors
+from braidwork.session import materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,8 +67,10 @@ def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _table(spark, sf_dir, "embeddings")
-    return exact_topk(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    # Stored, so that a row keeps its key.
+    keyed = materialize(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    return exact_topk(keyed, keyed.where(F.col("vec_id") % 50 == 0), k=5, row_key="row")
 
 
 def op8_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

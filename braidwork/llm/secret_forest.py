@@ -21,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from braidwork.llm.batches import free_name
 from braidwork.session import materialize
 
 # Bound of the fit.
@@ -199,10 +200,11 @@ def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
     Other columns and texts without a secret stay as they are.
     """
     item = F.struct((-F.char_length("value")).alias("n"), "value", F.when(~F.col("shaped"), F.col("place")).alias("place"))
-    secrets = found.where("secret = 1").groupBy("row").agg(F.sort_array(F.collect_set(item)).alias("_values"))
+    at, values = free_name(docs, "_row"), free_name(docs, "_values")
+    secrets = found.where("secret = 1").groupBy(F.col("row").alias(at)).agg(F.sort_array(F.collect_set(item)).alias(values))
     row = F.xxhash64("doc_id", F.col("text").cast("string"))
-    marked = docs.withColumn("_row", row).join(secrets.withColumnRenamed("row", "_row"), "_row", "left")
-    here = F.filter("_values", lambda x: x["place"].isNotNull())
+    marked = docs.withColumn(at, row).join(secrets, at, "left")
+    here = F.filter(values, lambda x: x["place"].isNotNull())
     # Words with the blanks behind them, numbered as the places are.
     words = F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
 
@@ -214,7 +216,7 @@ def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
         F.transform(words, lambda w, i: F.aggregate(F.filter(here, lambda x: x["place"] == i), w, whole)), ""
     )
     text = F.when(F.size(here) > 0, masked).otherwise(F.col("text"))
-    everywhere = F.filter("_values", lambda x: x["place"].isNull())
+    everywhere = F.filter(values, lambda x: x["place"].isNull())
     clean = F.aggregate(everywhere, text, lambda t, x: F.replace(t, x["value"], F.lit(MASK)))
-    text = F.when(F.col("_values").isNull(), F.col("text")).otherwise(clean)
+    text = F.when(F.col(values).isNull(), F.col("text")).otherwise(clean)
     return marked.withColumn("text", text).select(*docs.columns)

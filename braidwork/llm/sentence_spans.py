@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braidwork.llm.batches import small_batches
+from braidwork.llm.batches import free_name, small_batches
 from braidwork.llm.hashing import chunks, mix, sequence_hashes, text_bytes, word_hashes, word_limits
 from braidwork.session import materialize
 
@@ -98,10 +98,10 @@ def _span_table(docs: DataFrame, sentences: int, words: int, ends: bool) -> Data
     return small_batches(docs).mapInArrow(run, "h long, row long, i int, n int")
 
 
-def _without(docs: DataFrame, text_col: str) -> DataFrame:
-    """Remove the sentences that ``_spans`` (array of i, n; null: none) covers."""
-    names = [c for c in docs.columns if c not in ("_row", "_spans")]
-    text_at, spans_at = docs.columns.index(text_col), docs.columns.index("_spans")
+def _without(docs: DataFrame, text_col: str, spans_col: str) -> DataFrame:
+    """Remove the sentences that ``spans_col`` (array of i, n; null: none) covers, and that column."""
+    names = [c for c in docs.columns if c != spans_col]
+    text_at, spans_at = docs.columns.index(text_col), docs.columns.index(spans_col)
     kept_at = [docs.columns.index(c) for c in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,6 +176,7 @@ def remove_repeats(
     later = placed.join(first, "h").where(
         (F.col("first.row") != F.col("row")) | (F.col("first.i") != F.col("i"))
     )
-    covered = later.groupBy("row").agg(F.collect_set(F.struct("i", "n")).alias("_spans"))
-    marked = base.withColumn("_row", row).join(covered.withColumnRenamed("row", "_row"), "_row", "left")
-    return _without(marked.select(*base.columns, "_row", "_spans"), text_col)
+    at, spans_col = free_name(base, "_row"), free_name(base, "_spans")
+    covered = later.groupBy(F.col("row").alias(at)).agg(F.collect_set(F.struct("i", "n")).alias(spans_col))
+    marked = base.withColumn(at, row).join(covered, at, "left")
+    return _without(marked.select(*base.columns, spans_col), text_col, spans_col)

@@ -255,3 +255,13 @@ def test_search_of_few_or_no_rows(spark):
     assert kd.exact_topk(spark.createDataFrame([], kind), spark.createDataFrame([], kind)).count() == 0
     two = spark.createDataFrame([(0, [1.0, 2.0], 1), (3, [1.0, 1.0], 1)], kind)
     assert [tuple(r) for r in kd.exact_topk(two, two.where("vec_id = 0")).collect()] == [(0, 1, 3, 3 * 65536)]
+
+
+def test_only_the_querys_own_row_is_no_candidate(spark):
+    rows = [(0, 50, [1.0, 0.0]), (1, 50, [0.5, 0.5]), (2, 50, [0.5, 0.5]), (3, 7, [0.25, 0.25])]
+    table = spark.createDataFrame(rows, "row long, vec_id long, embedding array<double>")
+    found = kd.exact_topk(table, table.where("vec_id % 50 = 0"), k=2, row_key="row").collect()
+    lists = sorted([(r.rank, r.vec_id, r.score) for r in found if r.query_id == 50])
+    assert len(found) == 6 and lists == sorted(
+        [(1, 50, 256 * 128), (2, 50, 256 * 128)] + [(1, 50, 256 * 128), (2, 50, 2 * 128 * 128)] * 2
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import time
+from collections import Counter
 from collections import defaultdict
 
 import numpy as np
@@ -18,6 +19,8 @@ from braidwork.llm import curriculum_mix as cm
 from braidwork.llm import html_tree as ht
 from braidwork.llm import quote_linking as ql
 from braidwork.llm import secret_forest as sf
+from braidwork.llm import ngram_jaccard as nj
+from braidwork.llm import sentence_spans as ss
 from braidwork.llm import toxicity_fm as fm
 
 
@@ -125,11 +128,48 @@ def test_mix_meets_targets(spark):
         assert all(0 <= p <= 1 for p in r.positions)
     assert all(abs(taken[s] - want[s]) <= 0.5 for s in sizes)
     assert sorted(map(str, cm.mix_plan(docs.repartition(5)).collect())) == sorted(map(str, plan))
-    ordered = cm.training_order(docs, cm.mix_plan(docs))
+    ordered = cm.training_order(docs, cm.mix_plan(docs, by_row=True))
     assert ordered.columns == docs.columns and ordered.count() >= sum(len(r.positions) for r in plan) - 3
     assert cm.mix_plan(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_their_id_have_their_own_passes(spark):
+    rows = [(1, "a", " ".join(f"{t}{i}" for i in range(30))) for t in ("x", "y", "z")] + [(2, "a", "w " * 50)] * 3 + [(3, "b", "v " * 7)]
+    docs = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, source string, text string, _position double")
+    plan = cm.mix_plan(docs, by_row=True)
+    ordered = cm.training_order(docs, plan)
+    assert ordered.columns == docs.columns
+    words = Counter()
+    for r in ordered.collect():
+        words[r.source] += len(r.text.split())
+    target = {r.source: r.target for r in plan.collect()}
+    assert set(words) == set(target) and all(target[s] <= words[s] <= target[s] + 50 for s in words)
+
+
+CLASHING = ("_row", "_spans", "_values", "_key", "_position", "_at", "h", "row", "i", "n", "_end", "comp", "rep", "set_id")
+
+
+def test_no_column_name_of_the_caller_clashes(spark):
+    text = "One two three four. Five six seven eight. Nine ten eleven twelve. token = \"0123456789abcdef0123456789abcdef\" and on."
+    rows = [(k, text if k < 3 else f"{text} {k} more.", "en", "s", 9, *[f"{c}{k}" for c in CLASHING]) for k in range(6)]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
+    docs = spark.createDataFrame(rows, kind)
+    base = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    runs = {
+        "spans": lambda d: ss.remove_repeats(d, ends=True),
+        "secrets": lambda d: sf.redact(d, sf.scan_secrets(d)),
+        "copies": lambda d: nj.one_per_component(d, nj.jaccard_components(d)),
+        "order": lambda d: cm.training_order(d, cm.mix_plan(d, by_row=True)),
+        "toxicity": lambda d: fm.score_toxicity(d, fm.train(d, d.selectExpr("doc_id", "doc_id % 2 as toxic"))),
+    }
+    for name, run in runs.items():
+        got = run(docs)
+        assert set(docs.columns) <= set(got.columns), name
+        assert all(r[c] == f"{c}{r.doc_id}" for r in got.collect() for c in CLASHING), name
+        plain = run(base)
+        assert sorted(map(str, got.select(*plain.columns).collect())) == sorted(map(str, plain.collect())), name
+
+
 def test_schedule_is_inverted(spark):
     schedule = ((0.0, 1.0), (0.25, 3.0), (0.5, 0.0), (1.0, 2.0))
     frame = spark.range(0, 101).selectExpr("id / 100.0D as share")
