@@ -35,7 +35,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, once per pass that takes words from them."""
-    return training_order(docs, mix_plan(docs)).select(*docs.columns)
+    return training_order(docs, mix_plan(docs, by_row=True)).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
