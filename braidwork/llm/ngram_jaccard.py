@@ -14,12 +14,14 @@ hashes) and works on *classes*, the distinct sets, so copies cost one row each.
    sets hold a shingle, rarest first.
 4. Index lists hold (shingle, position, size) of each set's prefix. Every set is
    verified against one leader of its lists first. The members of a leader's
-   component take their answer from it: pairs inside a component are never
-   formed, and pairs whose distances to a common leader differ by more than the
-   threshold allows are ruled out by the triangle inequality of the Jaccard distance.
+   component take their answer from it: pairs inside a component are never formed.
 5. What is left is joined list by list in blocks of similar size and position:
    headers are compared first, and block pairs that the size filter, the
    position filter or a common component rules out are skipped as a whole.
+6. Pairs of different components take their answer from their leaders where they can:
+   leaders are measured against each other once, and by the triangle inequality of the
+   Jaccard distance that distance, give or take both members' distances to their
+   leaders, decides many members' pairs without reading their sets.
 """
 
 from __future__ import annotations
@@ -138,14 +140,41 @@ class _Threshold:
         return most * (self.num + self.den) >= (n1 + n2) * self.num
 
 
-def _verify(pairs: DataFrame, lists: DataFrame, t: _Threshold) -> DataFrame:
-    """``a, b, inter`` of the pairs ``a, b`` that reach the threshold."""
+def _measured(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+    """``a, b, na, nb, inter``: sizes and intersection of the pairs ``a, b``."""
     left = lists.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
     right = lists.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
     inter = F.size(F.array_intersect("ha", "hb")).cast("long").alias("inter")
     # Both lists stay in the task that meets them; only numbers leave it.
-    met = pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", inter)
-    return met.where(t.overlap(F.col("inter"), F.col("na"), F.col("nb"))).select("a", "b", "na", "nb", "inter")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", inter)
+
+
+def _verify(pairs: DataFrame, lists: DataFrame, t: _Threshold) -> DataFrame:
+    """The measured pairs that reach the threshold."""
+    return _measured(pairs, lists).where(t.overlap(F.col("inter"), F.col("na"), F.col("nb")))
+
+
+def _distance() -> Column:
+    return 1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))
+
+
+def derived_answers(pairs: DataFrame, lists: DataFrame, t: _Threshold) -> DataFrame:
+    """``a, b, answer`` of ``a, b, lead_a, lead_b, gap_a, gap_b``: true and false where the leaders'
+    distance decides, null where the pair itself must be verified.
+
+    A set without a leader leads itself at distance 0.
+    """
+    ahead = F.least("lead_a", "lead_b").alias("a"), F.greatest("lead_a", "lead_b").alias("b")
+    # A pair of two leaders would be measured twice.
+    member = (F.col("gap_a") > 0) | (F.col("gap_b") > 0)
+    leads = _measured(pairs.where(member).select(*ahead).distinct(), lists)
+    leads = materialize(leads.select(F.col("a").alias("p"), F.col("b").alias("q"), _distance().alias("apart")), "leads")
+    named = pairs.withColumn("p", F.least("lead_a", "lead_b")).withColumn("q", F.greatest("lead_a", "lead_b"))
+    both = F.col("gap_a") + F.col("gap_b")
+    limit = F.lit(1 - t.num / t.den)
+    # Bounds are given a margin for rounding; what lies within it is verified.
+    answer = F.when(F.col("apart") + both < limit - 1e-9, True).when(F.col("apart") - both > limit + 1e-9, False)
+    return named.join(leads, ["p", "q"], "left").select("a", "b", answer.alias("answer"))
 
 
 def _leader_pairs(index: DataFrame, t: _Threshold) -> DataFrame:
@@ -165,10 +194,11 @@ def _leader_pairs(index: DataFrame, t: _Threshold) -> DataFrame:
 
 
 def _block_pairs(index: DataFrame, t: _Threshold) -> DataFrame:
-    """``a, b`` in different components that share a list and pass the filters there.
+    """``a, b`` in different components that share a list and pass the filters there, with
+    ``lead_a, lead_b, gap_a, gap_b``.
 
     ``index`` has ``h, pos, node, n, comp, leader, gap``: ``gap`` is the known
-    distance of the set to its ``leader``, both null without one.
+    distance of the set to its ``leader``, which may be itself.
     """
     mixed = (
         index.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
@@ -202,13 +232,13 @@ def _block_pairs(index: DataFrame, t: _Threshold) -> DataFrame:
         & ((c("block_x") < c("block_y")) | (c("node_x") < c("node_y")))
         & t.sizes(F.least("n_x", "n_y"), F.greatest("n_x", "n_y"))
         & t.overlap(F.least(c("n_x") - c("pos_x"), c("n_y") - c("pos_y")), c("n_x"), c("n_y"))
-        & ~F.coalesce(
-            (c("leader_x") == c("leader_y"))
-            & (F.abs(c("gap_x") - c("gap_y")) > F.lit(1 - t.num / t.den + 1e-9)),
-            F.lit(False),
-        )
     )
-    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+    one, other = (F.struct(c(f"node_{s}").alias("node"), c(f"leader_{s}").alias("lead"), c(f"gap_{s}").alias("gap")) for s in "xy")
+    ends = met.select(F.least(one, other).alias("l"), F.greatest(one, other).alias("r"))
+    return ends.groupBy(F.col("l.node").alias("a"), F.col("r.node").alias("b")).agg(
+        F.min("l.lead").alias("lead_a"), F.min("r.lead").alias("lead_b"),
+        F.min("l.gap").alias("gap_a"), F.min("r.gap").alias("gap_b"),
+    )
 
 
 def jaccard_components(
@@ -263,14 +293,14 @@ def jaccard_components(
     )
     direct = materialize(_verify(_leader_pairs(index, t), lists, t), "links")
     groups = connected_components(direct)
-    union = F.col("na") + F.col("nb") - F.col("inter")
-    known = direct.select(
-        F.col("b").alias("node"), F.col("a").alias("leader"), (1 - F.col("inter") / union).alias("gap")
-    )
+    known = direct.select(F.col("b").alias("node"), F.col("a").alias("leader"), _distance().alias("gap"))
     placed = index.join(groups, "node", "left").join(known, "node", "left")
-    placed = placed.withColumn("comp", F.coalesce("comp", "node"))
-    rest = _verify(_block_pairs(placed, t), lists, t)
-    groups = connected_components(direct.select("a", "b").union(rest.select("a", "b")))
+    placed = placed.withColumn("comp", F.coalesce("comp", "node")).withColumn("leader", F.coalesce("leader", "node"))
+    placed = placed.withColumn("gap", F.coalesce("gap", F.lit(0.0)))
+    answers = materialize(derived_answers(materialize(_block_pairs(placed, t), "pairs"), lists, t), "answers")
+    rest = _verify(answers.where(F.col("answer").isNull()).select("a", "b"), lists, t).select("a", "b")
+    rest = rest.union(answers.where("answer").select("a", "b"))
+    groups = connected_components(direct.select("a", "b").union(rest))
 
     named = nodes.select("node", "set_id", "rep").join(groups, "node")
     smallest = named.groupBy("comp").agg(F.min("rep").alias("component_id"))

@@ -265,3 +265,30 @@ def test_only_the_querys_own_row_is_no_candidate(spark):
     assert len(found) == 6 and lists == sorted(
         [(1, 50, 256 * 128), (2, 50, 256 * 128)] + [(1, 50, 256 * 128), (2, 50, 2 * 128 * 128)] * 2
     )
+
+
+def test_answers_are_derived_from_leaders(spark):
+    """Two families around leaders that are alike, and one that is far away, at a threshold of 0.6."""
+    sets = {0: list(range(100)), 1: [*range(5, 100), *range(500, 505)], 2: [*range(300, 390), *range(0, 10)]}
+    members = {(f, k): [x + 0 for x in sets[f][k:]] + [9_000 + 100 * f + 10 * k + j for j in range(k)] for f in sets for k in (1, 2)}
+    nodes, numbered = {}, {}
+    for i, (name, values) in enumerate([*((f, v) for f, v in sets.items()), *members.items()]):
+        nodes[i], numbered[name] = values, i
+    lists = spark.createDataFrame([(i, len(v), v) for i, v in nodes.items()], "node long, n long, hashes array<long>")
+
+    def apart(x, y):
+        x, y = set(nodes[x]), set(nodes[y])
+        return 1 - len(x & y) / len(x | y)
+
+    rows = []
+    for (f, k) in members:
+        for (g, m) in members:
+            if f < g:
+                a, b = numbered[f, k], numbered[g, m]
+                rows.append((a, b, numbered[f], numbered[g], apart(a, numbered[f]), apart(b, numbered[g])))
+    pairs = spark.createDataFrame(rows, "a long, b long, lead_a long, lead_b long, gap_a double, gap_b double")
+    got = {(r.a, r.b): r.answer for r in nj.derived_answers(pairs, lists, nj._Threshold(60, 100)).collect()}
+    assert len(got) == len(rows)
+    for (a, b), answer in got.items():
+        assert answer is None or answer == (apart(a, b) <= 0.4)
+    assert sum(x is True for x in got.values()) >= 3 and sum(x is False for x in got.values()) >= 6
