@@ -61,9 +61,15 @@ def op5_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_quotes(_table(spark, sf_dir, "conversations"))
 
 
+# Shorter repeats are turns of speech more than copied passages. On 10,000 documents, of those without
+# a repeated run of 50 words 5.3 % lose text at 12 words, 2.2 % at 20 and 1.3 % at 30, while of those with one
+# 92.9, 92.4 and 91.9 % do (the others repeat a single word).
+PASSAGE_WORDS = 25
+
+
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(docs, ends=True).select("doc_id", "n_sentences", "n_removed", "text")
+    return remove_repeats(docs, words=PASSAGE_WORDS, ends=True).select("doc_id", "n_sentences", "n_removed", "text")
 
 
 def op7_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

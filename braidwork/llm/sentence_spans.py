@@ -1,7 +1,8 @@
 """Substring dedup by sliding spans of sentences.
 
-A text is cut into sentences: after a word that ends in ASCII punctuation, and at
-line ends, so that clauses and table cells count as well. Spans are runs of at least ``SENTENCES`` sentences with at
+A text is cut into sentences: after a word that ends in ASCII punctuation or in a full
+stop, question or exclamation mark of other scripts or an ellipsis, and at line ends, so
+that clauses and table cells count as well. Spans are runs of at least ``SENTENCES`` sentences with at
 least ``WORDS`` words in all, hashed over their words: at every sentence the shortest that starts there and, with
 ``ends``, the shortest that ends there. Together they cover each sentence of any longer run: one too near the end of the run to start a
 span inside it lies in the span that ends with the run.
@@ -28,6 +29,8 @@ SENTENCES = 2
 WORDS = 12
 _STOP = np.zeros(256, bool)
 _STOP[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+# UTF-8 of the marks that end a sentence outside ASCII, three bytes each.
+_WIDE_STOPS = np.array([int.from_bytes(c.encode()) for c in "。！？…｡．"])
 
 
 def sentence_starts(buf: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -35,6 +38,9 @@ def sentence_starts(buf: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.
     if not len(start):
         return np.zeros(0, np.int64)
     stops = _STOP[buf[end - 1]]
+    wide = np.flatnonzero((end - start >= 3) & (buf[end - 1] >= 0x80))
+    tail = sum(buf[end[wide] - k].astype(np.int64) << 8 * (k - 1) for k in (1, 2, 3))
+    stops[wide] = np.isin(tail, _WIDE_STOPS)
     lines = np.concatenate(([0], np.cumsum(buf == 0x0A)))
     broken = lines[start[1:]] > lines[end[:-1]]
     first = np.concatenate(([True], stops[:-1] | broken))

@@ -292,3 +292,11 @@ def test_answers_are_derived_from_leaders(spark):
     for (a, b), answer in got.items():
         assert answer is None or answer == (apart(a, b) <= 0.4)
     assert sum(x is True for x in got.values()) >= 3 and sum(x is False for x in got.values()) >= 6
+
+
+def test_sentences_end_at_marks_of_other_scripts(spark):
+    passage = "甲 乙 丙 丁 戊 己。 庚 辛 壬 癸 子 丑！ 寅 卯 辰 巳 午 未…"
+    rows = [(1, passage, 1, 1.0), (2, f"one two three. {passage} four five six.", 1, 1.0)]
+    got = {r.doc_id: r for r in ss.remove_repeats(spark.createDataFrame(rows, DOCS), ends=True).collect()}
+    assert got[1].text == passage and got[1].n_sentences == 3
+    assert got[2].n_removed == 3 and got[2].text == "one two three. four five six."
