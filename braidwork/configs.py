@@ -13,6 +13,18 @@ from braidwork.operators import rules as R
 # The tokenizer names that can be configured.
 TOKENIZER_NAMES = ("byte", "word")
 DEFAULT_DELIMITER = "<|endoftext|>"
+# Names that other packages registered in this process.
+_more_names: list[str] = []
+
+
+def add_tokenizer_name(name: str) -> None:
+    if name not in _more_names:
+        _more_names.append(name)
+
+
+def tokenizer_names() -> tuple[str, ...]:
+    """All names a configuration may give now."""
+    return (*TOKENIZER_NAMES, *_more_names)
 
 
 def _refuse_invalid(config: Any, rules: tuple[R.Rule, ...]) -> None:
@@ -62,7 +74,7 @@ class TokenizerConfig:
     pad_token_id: int = 0
 
     def __post_init__(self) -> None:
-        _refuse_invalid(self, R.tokenizer_rules(TOKENIZER_NAMES))
+        _refuse_invalid(self, R.tokenizer_rules(tokenizer_names()))
 
 
 @dataclass(frozen=True)

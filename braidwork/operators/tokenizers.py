@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from braidwork.configs import TokenizerConfig
-from braidwork.functions.tokens import BYTE_DELIMITER_ID, BYTE_VOCAB_SIZE, byte_tokens
+from braidwork.configs import TOKENIZER_NAMES, TokenizerConfig, add_tokenizer_name
+from braidwork.functions.tokens import BYTE_DELIMITER_ID, BYTE_VOCAB_SIZE, byte_detokenize, byte_tokens
 from braidwork.operators.joins import fits_broadcast, lookup_join
 from braidwork.operators.ordering import dense_index
 from braidwork.session import materialize
@@ -103,6 +106,31 @@ def detokenize_words(
     return named.groupBy(id_col).agg(joined.alias("text"))
 
 
+@dataclass(frozen=True)
+class Tokenizer:
+    """What a package supplies for a tokenizer of its own.
+
+    ``encode(blocks, id_col, text_col)`` gives ``id, tokens`` (array of int), ``decode(sequences, id_col)``
+    gives ``id, text``, one row per input row.
+    """
+
+    encode: Callable[[DataFrame, str, str], DataFrame]
+    decode: Callable[[DataFrame, str], DataFrame]
+    vocab_size: int
+    end_token_id: int
+
+
+_registered: dict[str, Tokenizer] = {}
+
+
+def register_tokenizer(name: str, tokenizer: Tokenizer) -> None:
+    """Make ``TokenizerConfig(name=name)`` valid everywhere; names of the library cannot be taken."""
+    if name in TOKENIZER_NAMES:
+        raise ValueError(f"{name} is a tokenizer of the library")
+    add_tokenizer_name(name)
+    _registered[name] = tokenizer
+
+
 def tokenize(
     blocks: DataFrame,
     config: TokenizerConfig,
@@ -129,6 +157,23 @@ def tokenize(
             broadcast=fits_broadcast(vocab),
             limit=limit,
         )
+    if config.name in _registered:
+        return _registered[config.name].encode(blocks, id_col, text_col).select(id_col, "tokens")
+    raise ValueError(f"unknown tokenizer {config.name}")
+
+
+def detokenize(
+    sequences: DataFrame, config: TokenizerConfig, *, id_col: str, vocab: DataFrame | None = None
+) -> DataFrame:
+    """``id, text`` of ``id, tokens`` with the tokenizer that the configuration names."""
+    if config.name == "byte":
+        return sequences.select(id_col, byte_detokenize(F.col("tokens"), config.delimiter).alias("text"))
+    if config.name == "word":
+        if vocab is None:
+            raise ValueError("the word tokenizer needs its vocabulary table")
+        return detokenize_words(sequences, vocab, id_col=id_col, broadcast=fits_broadcast(vocab))
+    if config.name in _registered:
+        return _registered[config.name].decode(sequences, id_col).select(id_col, "text")
     raise ValueError(f"unknown tokenizer {config.name}")
 
 
@@ -140,6 +185,8 @@ def vocab_size(config: TokenizerConfig, vocab: DataFrame | None = None) -> int:
         if vocab is None:
             raise ValueError("the word tokenizer needs its vocabulary table")
         return vocab.count() + FIRST_WORD_ID
+    if config.name in _registered:
+        return _registered[config.name].vocab_size
     raise ValueError(f"unknown tokenizer {config.name}")
 
 
@@ -152,4 +199,6 @@ def end_token_id(config: TokenizerConfig, vocab: DataFrame | None = None) -> int
             raise ValueError("the word tokenizer needs its vocabulary table")
         found = vocab.where(F.col("token") == config.delimiter).select("token_id").collect()
         return found[0][0] if found else UNKNOWN_ID
+    if config.name in _registered:
+        return _registered[config.name].end_token_id
     raise ValueError(f"unknown tokenizer {config.name}")

@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from braidwork.configs import InferenceConfig, TokenizerConfig
-from braidwork.functions.tokens import byte_detokenize
 from braidwork.operators.generation import generate
-from braidwork.operators.joins import fits_broadcast
-from braidwork.operators.tokenizers import detokenize_words, end_token_id, tokenize
+from braidwork.operators.tokenizers import detokenize, end_token_id, tokenize
 
 
 def continue_prompts(
@@ -32,6 +29,4 @@ def continue_prompts(
     done = generate(
         encoded, logits, inference, end_token=end_token_id(tokenizer, vocab), greedy=greedy
     )
-    if tokenizer.name == "byte":
-        return done.select("prompt_id", byte_detokenize(F.col("tokens"), tokenizer.delimiter).alias("text"))
-    return detokenize_words(done, vocab, id_col="prompt_id", broadcast=fits_broadcast(vocab))
+    return detokenize(done, tokenizer, id_col="prompt_id", vocab=vocab)

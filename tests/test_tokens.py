@@ -3,9 +3,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from braidwork.configs import TokenizerConfig
+from braidwork.configs import ModelConfig, TokenizerConfig
 from braidwork.functions import tokens as tk
 from braidwork.operators import tokenizers as tz
+from braidwork.plans.training_data import token_examples
 
 END = "<|endoftext|>"
 TEXTS = [
@@ -106,6 +107,31 @@ def test_word_tokens_and_back(spark, word_blocks, broadcast):
     assert texts[3] == "the dog" and texts[4] == ""
 
 
+def test_registered_tokenizer_runs_everywhere(spark, word_blocks, monkeypatch):
+    monkeypatch.setattr(tz, "_registered", {})
+    monkeypatch.setattr("braidwork.configs._more_names", [])
+    lengths = tz.Tokenizer(
+        encode=lambda df, i, t: df.select(i, F.transform(F.split(t, " "), F.char_length).alias("tokens")),
+        decode=lambda df, i: df.select(i, F.array_join(F.transform("tokens", lambda n: F.repeat(F.lit("x"), n)), " ").alias("text")),
+        vocab_size=50, end_token_id=49,
+    )
+    with pytest.raises(ValueError, match="registered name"):
+        TokenizerConfig(name="lengths")
+    with pytest.raises(ValueError, match="of the library"):
+        tz.register_tokenizer("byte", lengths)
+    tz.register_tokenizer("lengths", lengths)
+    config = TokenizerConfig(name="lengths")
+    blocks = spark.createDataFrame([(0, "a bbb cc"), (1, "dddd")], "id int, text string")
+    got = tz.tokenize(blocks, config, id_col="id", text_col="text")
+    assert {r["id"]: r["tokens"] for r in got.collect()} == {0: [1, 3, 2], 1: [4]}
+    assert {r["id"]: r["text"] for r in tz.detokenize(got, config, id_col="id").collect()} == {0: "x xxx xx", 1: "xxxx"}
+    assert tz.vocab_size(config) == 50 and tz.end_token_id(config) == 49
+    model = ModelConfig(maxlen=4, vocab_size=50)
+    rows = token_examples(blocks, id_col="id", text_col="text", model=model, tokenizer=config)
+    # Cleaned blocks end with the delimiter, which this tokenizer takes as 13 letters of the last word.
+    assert {r["id"]: r["x"] for r in rows.collect()} == {0: [1, 3, 15, 0], 1: [17, 0, 0, 0]}
+
+
 def test_word_delimiter_must_be_one_word():
     with pytest.raises(ValueError, match="white space"):
         tz.words(F.lit("x"), "two words")
