@@ -2,9 +2,9 @@
 
 Words are cut at quotes, brackets and the other punctuation of code, JSON, addresses
 and tables; every part that is long enough and mixes in digits, or has a run of
-capitals, is a candidate, with the name that stands before it (``name=``, ``"name":``,
+capitals, or is long or often changes between small letters and capitals, is a candidate, with the name that stands before it (``name=``, ``"name":``,
 also in the words before), and so is every value given to a secret's name, of any
-length and alphabet. The forest sees the length, the make-up and the changes between character
+length and alphabet, and every phrase in quotes that is given to a password's name. The forest sees the length, the make-up and the changes between character
 classes of the value, how much of it common syllables cover, the name, the words
 around it and the path (source) of the document, never the formats below. It learns
 from labelled findings, a table the caller may pass; without one, findings in one of
@@ -27,6 +27,9 @@ from braidwork.session import materialize
 # Bound of the fit.
 SAMPLE_FINDINGS = 20_000
 LEAST_CHARS = 10
+# Shape of a value that is a candidate without a secret's name: digits, a run of capitals, 20 characters of
+# the alphabets of keys, or three changes from small letters to capitals.
+SHAPE = r"[0-9]|[A-Z]{16}|[A-Za-z+/_-]{20}|(?:[a-z]++[A-Z]++){3}"
 MASK = "[SECRET]"
 # Formats of published kinds of keys, used for labels only.
 FORMATS = (
@@ -63,6 +66,11 @@ _PART = (
 # A name at the end of a word, with and without the sign that gives it a value.
 _GIVES = rf"([^{_ENDS}]+){_CLOSED}{_ASSIGN}[\\\"'`(\[{{]*$"
 _LAST = rf"([^{_ENDS}]+){_CLOSED}$"
+# A password's name and a whole value in quotes. Groups: 1 what stands before the value, 2 the name, 3 to 5 the value.
+_PHRASE = (
+    r"((?i:(pass(?:word|wd|phrase)?(?![A-Za-z])|pwd|secret))[A-Za-z0-9_]{0,40}+[\"'`\])]*+[\x20\x09]*+"
+    rf"{_ASSIGN}[\x20\x09]*+[\"'`])(?:(?<=\")([^\"\r\n]++)\"|(?<=')([^'\r\n]++)'|(?<=`)([^`\r\n]++)`)"
+)
 _SIGN = rf"^{_ASSIGN}[\\\"'`(\[{{]*$"
 
 
@@ -70,6 +78,24 @@ def _share(value: Column, pattern: str) -> Column:
     return F.regexp_count(value, F.lit(pattern)) / F.char_length(value)
 
 
+def _phrases(docs: DataFrame) -> DataFrame:
+    """Values of several words in quotes: the columns of a candidate, with the place of the first word."""
+    text = F.col("text").cast("string")
+    each = docs.where(text.rlike(_PHRASE)).select(
+        F.xxhash64("doc_id", text).alias("row"), "doc_id", F.coalesce("source", F.lit("")).alias("source"),
+        text.alias("text"), F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(_PHRASE), F.lit(0)))).alias("word"),
+    )
+    group = lambda k: F.regexp_extract("word", _PHRASE, k)
+    head = F.concat(F.expr("substring_index(text, word, 1)"), group(1))
+    value = F.concat(group(3), group(4), group(5))
+    found = each.select(
+        "row", "doc_id", "source", (F.regexp_count(head, F.lit(r"[^\x20\x09-\x0D]+")) - 1).alias("place"), "word",
+        F.lit("").alias("w2"), F.lit("").alias("w1"), F.lit("").alias("w3"), group(2).alias("name"), value.alias("value"),
+        F.lit(True).alias("given"), F.lit(True).alias("shaped"),
+    )
+    return found.where(F.col("value").rlike(r"[^\x20\x09-\x0D][\x20\x09]+[^\x20\x09-\x0D]"))
+
+
 def find_candidates(docs: DataFrame) -> DataFrame:
     """``row, doc_id, place, value`` and the features of every candidate of ``doc_id, text, source``."""
     text = F.col("text").cast("string")
@@ -84,7 +110,7 @@ def find_candidates(docs: DataFrame) -> DataFrame:
         F.transform("words", lambda w, i: F.struct(
             i.alias("place"), w.alias("word"), near(i, -2).alias("w2"), near(i, -1).alias("w1"), near(i, 1).alias("w3")
         )),
-        lambda x: ((F.char_length(x["word"]) >= LEAST_CHARS) & x["word"].rlike(r"[0-9]|[A-Z]{16}"))
+        lambda x: ((F.char_length(x["word"]) >= LEAST_CHARS) & x["word"].rlike(SHAPE))
         | (signed(x["word"]) & (x["word"].rlike(loose) | x["word"].rlike("://.*@")))
         | ((signed(x["w1"]) | x["word"].startswith("=") | x["word"].startswith(":")) & (x["w1"].rlike(loose) | x["w2"].rlike(loose))),
     )
@@ -105,15 +131,20 @@ def find_candidates(docs: DataFrame) -> DataFrame:
     # "secret key: value" names its value two words before.
     further = (F.col("nth") == 0) & (own == "") & F.col("w1").rlike("[=:]$") & F.col("w2").rlike(NAMES)
     each = each.withColumn("given", (F.col("name").rlike(NAMES) & (F.col("name") != "")) | further)
-    shaped = (F.char_length("value") >= LEAST_CHARS) & F.col("value").rlike(r"[0-9]|[A-Z]{16}")
+    shaped = (F.char_length("value") >= LEAST_CHARS) & F.col("value").rlike(SHAPE)
     each = each.where((F.col("value") != "") & (shaped | F.col("given"))).withColumn("shaped", shaped)
+    phrases = _phrases(docs)
+    # The first word of a phrase is no finding of its own.
+    first = phrases.select("row", "place", F.split("value", r"[\x20\x09]+")[0].alias("first"))
+    same = (each["row"] == first["row"]) & (each["place"] == first["place"]) & first["first"].startswith(each["value"])
+    each = each.join(first, same & ~each["shaped"], "left_anti").select(*phrases.columns).unionByName(phrases)
     v = F.col("value")
     changes = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"
     left = F.regexp_replace(F.lower("value"), SYLLABLES, "")
     flag = lambda condition: F.coalesce(condition, F.lit(False)).cast("double")
     return each.select(
         "row", "doc_id", "place", "value", "name", "w1", "w2", "shaped",
-        F.least(F.char_length(v), F.lit(512)).cast("double").alias("n_chars"),
+        F.char_length(v).cast("double").alias("n_chars"),
         _share(v, "[0-9]").alias("digits"), _share(v, "[A-Z]").alias("capitals"), _share(v, "[a-z]").alias("smalls"),
         _share(v, "[^A-Za-z0-9]").alias("others"),
         (F.regexp_count(v, F.lit(changes)) / F.char_length(v)).alias("changes"),

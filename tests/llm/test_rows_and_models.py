@@ -352,6 +352,24 @@ def test_named_values_of_any_length_are_candidates(spark):
     assert clean[2] == f"a password={sf.MASK}, yes" and clean[1] == f"its pwd: {sf.MASK} now"
 
 
+def test_phrases_and_keys_of_letters_are_candidates(spark):
+    letters = "kQwErTyUiOpAsDfGhJkLzXcVbNmQaWsE"
+    rows = [
+        (1, "set pass = 'correct horse  battery staple' now"), (2, f"and {letters} here"),
+        (3, '{"db_password": "it\'s a long one", "n": 1}'), (4, "passenger: 'a b c' and pass 'd e'"),
+        (5, "q" * 24 + " follows"), (6, "pass = 'open and\nnever closed"), (7, None), (8, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s"))
+    found = sf.find_candidates(docs)
+    got = {(r.doc_id, r.place, r.value) for r in found.collect()}
+    assert {(1, 3, "correct horse  battery staple"), (2, 1, letters), (3, 1, "it's a long one"), (5, 0, "q" * 24)} <= got
+    assert not any(r[0] == 4 or r[2] == "correct" for r in got)
+    clean = {r.doc_id: r.text for r in sf.redact(docs, found.selectExpr("*", "1 AS secret")).collect()}
+    assert clean[1] == f"set pass = '{sf.MASK}' now" and clean[2] == f"and {sf.MASK} here"
+    assert clean[3] == f'{{"db_password": "{sf.MASK}", "n": 1}}' and clean[4] == rows[3][1]
+    assert clean[7] is None and clean[8] == ""
+
+
 def test_machine_learns_a_pair():
     rng = np.random.default_rng(0)
     rows = [np.flatnonzero(rng.random(6) < 0.5) for _ in range(800)]
