@@ -15,7 +15,7 @@ from braidwork.llm.html_tree import extract_pages
 from braidwork.llm.kdtree_topk import exact_topk
 from braidwork.llm.merkle_manifest import manifest, verify
 from braidwork.llm.ngram_jaccard import jaccard_components
-from braidwork.llm.quote_linking import link_quotes
+from braidwork.llm.quote_linking import link_quotes, reply_threads, with_replies
 from braidwork.llm.secret_forest import scan_secrets
 from braidwork.llm.sentence_spans import remove_repeats
 from braidwork.llm.toxicity_fm import held_out, score_toxicity, train
@@ -58,7 +58,9 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_quotes(_table(spark, sf_dir, "conversations"))
+    # The table has no quotations: every message also gets a reply that quotes it, wrapped anew.
+    messages = with_replies(_table(spark, sf_dir, "conversations"))
+    return reply_threads(link_quotes(messages))
 
 
 # Shorter repeats are turns of speech more than copied passages. On 10,000 documents, of those without

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import random
+import re
 import time
 from collections import Counter
 from collections import defaultdict
@@ -214,6 +216,111 @@ def test_quotes_of_other_conversations_when_the_own_one_writes_later(spark):
     assert got[1, 0] == (2, 1, 1) and got[3, 0] == (1, 1, 1) and got[None, 0] == (None, None, 0)
 
 
+def _brute_quotes(rows):
+    """(conv, position) of the answered message and linked lines, by comparing every passage with every message."""
+    word = re.compile(r"[^\W_]+")
+    messages = defaultdict(list)
+    for conv, _, _, text in sorted(set(rows), key=lambda r: r[:2]):
+        lines = [(len(m.group(0).replace(" ", "")), x[m.end():]) for x in text.split("\n") for m in [re.match(r"(?:[ \t]*>)*", x)]]
+        parts = [(level, [b for _, b in run]) for level, run in ((k, list(g)) for k, g in itertools.groupby(lines, key=lambda x: x[0]))]
+        messages[conv].append(parts)
+
+    def keys(lines, own):
+        found = word.findall(" ".join(lines).lower())
+        runs = {tuple(found[i:i + 4]) for i in range(len(found) - 3)}
+        units = {("unit", *word.findall(u.lower())) for u in re.split(r"(?<=[.!?])\s+|\n", "\n".join(lines))} | {("unit", *found)}
+        units = {u for u in units if 1 < len(u) < 5}
+        return (runs | units) if own else (runs or units), len(found) < 4
+
+    first = defaultdict(dict)
+    for conv in messages:
+        for at, parts in enumerate(messages[conv]):
+            for level, lines in parts:
+                for key in keys(lines, True)[0] if level == 0 else ():
+                    first[key].setdefault(conv, at)
+    got = {}
+    for conv in messages:
+        for at, parts in enumerate(messages[conv]):
+            answers, n_linked = Counter(), 0
+            for level, lines in parts:
+                if level == 0 or not word.search(" ".join(lines)):
+                    continue
+                mine, short = keys(lines, False)
+                votes = Counter()
+                for key in mine:
+                    here = first[key].get(conv)
+                    if here is not None and here < at:
+                        votes[0, (conv, here)] += 1
+                    away = sorted(c for c in first[key] if c != conv)
+                    if away and not short:
+                        votes[1, (away[0], first[key][away[0]])] += 1
+                good = sorted((w, -n, o) for (w, o), n in votes.items() if 4 * n >= len(mine))
+                if good:
+                    n_linked += sum(1 for x in lines if word.search(x))
+                    if level == 1:
+                        answers[good[0][2]] += -good[0][1]
+            best = min(((-n, o) for o, n in answers.items()), default=None)
+            got[conv, at] = (best[1] if best else ((conv, at - 1) if at else None), n_linked)
+    return got
+
+
+def test_quotes_match_brute_force(spark):
+    rng = random.Random(5)
+    pool = ["".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(60)]
+    said, rows = [], []
+    for conv in range(12):
+        for turn in range(rng.randrange(2, 9)):
+            lines = [" ".join(rng.choice(pool) for _ in range(rng.randrange(1, 15))) + rng.choice([".", "", "?"]) for _ in range(rng.randrange(1, 4))]
+            text = "\n".join(lines)
+            for level in rng.sample([1, 1, 2], rng.randrange(0, 3)) if said else ():
+                source = rng.choice(said).replace("\n", " ").split()
+                start = rng.randrange(len(source))
+                part = source[start:start + rng.randrange(1, 25)]
+                wrap = rng.randrange(3, 9)
+                quote = "\n".join(">" * level + " " + " ".join(part[i:i + wrap]) for i in range(0, len(part), wrap))
+                text = rng.choice([quote + "\n" + text, text + "\n" + quote])
+            said.append("\n".join(lines))
+            rows.append((conv, turn, "user", text))
+    rows += [(20, t, "user", "ok" if t % 2 else "> ok\nok") for t in range(6)] + [(21, 0, "user", "> ok\nwell")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = ql.link_quotes(table).collect()
+    want = _brute_quotes(rows)
+    mine = {(r.conv_id, r.position): ((r.reply_conv, r.reply_position) if r.reply_position is not None else None, r.n_linked) for r in got}
+    assert mine == want and sum(n > 0 for _, n in want.values()) > 15
+    assert mine[21, 0] == (None, 0) and mine[20, 2] == ((20, 0), 1)
+
+
+def test_quotes_wrapped_nested_and_cut(spark):
+    long = "The range sort cuts the table by sampled limits and numbers every range on its own before offsets are added"
+    rows = [
+        (1, 0, "user", "Why is the whole sort so slow on one key?"), (1, 1, "bot", long),
+        (1, 2, "user", "bot wrote:\n> The range sort cuts the table by\n> sampled limits, and numbers every\n> range [...]\n>> Why is the whole\n>> sort so slow\nFine"),
+        (2, 0, "user", "ok"), (3, 0, "user", "> ok\nnew"), (3, 1, "user", "\u5f88\u597d\uff0c\u6211\u4eec\u660e\u5929\u89c1\u9762\u3002"),
+        (3, 2, "user", "> \u6211\u4eec\u660e\u5929\n> \u89c1\u9762\n\u597d"), (4, 0, "user", "word " * 30_000), (4, 1, "user", "> " + "other " * 30_000 + "\n"),
+        (5, 0, "user", "> the loop of circle one is here\nthe loop of circle two is here"),
+        (6, 0, "user", "> the loop of circle two is here\nthe loop of circle one is here"),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("key", F.lit(1)).withColumn("root", F.lit(1))
+    got = {(r.conv_id, r.turn): r for r in ql.reply_threads(ql.link_quotes(table)).collect()}
+    assert len(got) == len(rows)
+    assert (got[1, 2].reply_turn, got[1, 2].n_quoted, got[1, 2].n_linked, got[1, 2].text) == (1, 5, 5, "Fine")
+    assert (got[3, 0].reply_turn, got[3, 0].n_linked) == (None, 0)
+    assert (got[3, 2].reply_turn, got[3, 2].n_linked) == (1, 2)
+    assert got[4, 1].n_linked == 0 and got[4, 1].text == ""
+    assert [(got[1, t].thread_position, got[1, t].depth, got[1, t].place) for t in range(3)] == [(0, 0, 0), (0, 1, 1), (0, 2, 2)]
+    assert got[5, 0].reply_conv == 6 and got[6, 0].reply_conv == 5 and got[5, 0].depth is None
+    assert ql.reply_threads(ql.link_quotes(table.limit(0))).count() == 0
+
+
+def test_replies_find_the_messages_they_quote(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    n, behind = table.count(), table.agg(F.max("turn")).collect()[0][0] + 1
+    got = ql.link_quotes(ql.with_replies(table)).where("role = 'reply'").collect()
+    assert len(got) == n
+    assert sum(r.reply_conv == r.conv_id and r.reply_turn == r.turn - behind for r in got) >= 0.99 * n
+    assert all(r.text == "Noted." for r in got) and sum(r.quote_levels == 2 for r in got) > n / 2
+
+
 @pytest.mark.parametrize(
     ("page", "want"),
     [
