@@ -227,10 +227,10 @@ def _brute_quotes(rows):
 
     def keys(lines, own):
         found = word.findall(" ".join(lines).lower())
-        runs = {tuple(found[i:i + 4]) for i in range(len(found) - 3)}
+        runs = [tuple(found[i:i + 4]) for i in range(len(found) - 3)]
         units = {("unit", *word.findall(u.lower())) for u in re.split(r"(?<=[.!?])\s+|\n", "\n".join(lines))} | {("unit", *found)}
         units = {u for u in units if 1 < len(u) < 5}
-        return (runs | units) if own else (runs or units), len(found) < 4
+        return [*runs, *units] if own else (runs or list(units)), len(found) < 4
 
     first = defaultdict(dict)
     for conv in messages:
@@ -254,7 +254,7 @@ def _brute_quotes(rows):
                     away = sorted(c for c in first[key] if c != conv)
                     if away and not short:
                         votes[1, (away[0], first[key][away[0]])] += 1
-                good = sorted((w, -n, o) for (w, o), n in votes.items() if 4 * n >= len(mine))
+                good = sorted((w, -n, o) for (w, o), n in votes.items() if short or 4 * n >= len(mine))
                 if good:
                     n_linked += sum(1 for x in lines if word.search(x))
                     if level == 1:
