@@ -58,9 +58,16 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The table has no quotations: every message also gets a reply that quotes it, wrapped anew.
-    messages = with_replies(_table(spark, sf_dir, "conversations"))
-    return reply_threads(link_quotes(messages))
+    # The table has no quotations: every message also gets a reply that quotes it, wrapped anew. Rows are
+    # those of the table, with the messages that answer them and how many of these do by a quotation.
+    given = _table(spark, sf_dir, "conversations")
+    last = given.agg(F.max(F.coalesce("turn", F.lit(0)))).collect()[0][0] or 0
+    linked = materialize(reply_threads(link_quotes(with_replies(given))), "linked")
+    answers = linked.where("reply_position is not null").groupBy(
+        F.struct(F.col("reply_conv").alias("conv_id"), F.col("reply_position").alias("position")).alias("me")
+    ).agg(F.count(F.lit(1)).alias("n_answers"), F.count_if(F.col("n_linked") > 0).alias("n_quoting"))
+    rows = linked.where(F.col("turn").isNull() | (F.col("turn") <= last)).withColumn("me", F.struct("conv_id", "position"))
+    return rows.join(answers, "me", "left").drop("me").fillna(0, ["n_answers", "n_quoting"])
 
 
 # Shorter repeats are turns of speech more than copied passages. On 10,000 documents, of those without
