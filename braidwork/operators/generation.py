@@ -17,7 +17,7 @@ from braidwork.configs import InferenceConfig
 from braidwork.functions.draws import uniform
 from braidwork.functions.tokens import last_tokens
 from braidwork.operators.contexts import suffix_keys
-from braidwork.operators.joins import BROADCAST_ROWS, fits_broadcast, salted_join
+from braidwork.operators.joins import BROADCAST_ROWS, fits_broadcast, split_join
 from braidwork.operators.scoring import cumulative_table, draw, greedy_next
 from braidwork.session import materialize
 
@@ -57,7 +57,7 @@ def generate(
     The table is reduced to one row per context first: its best token, or its running
     sums for drawing by one digest and one search. While that has at most
     ``broadcast_rows`` rows (and is small in bytes) a round is a broadcast join per
-    context length and a projection; a larger one is joined once per round.
+    context length and a projection; a larger one is shuffled and joined once per round.
     """
     prompts = materialize(prompts.select("prompt_id", "tokens"), "prompts")
     if prompt_problems(prompts).limit(1).count():
@@ -95,9 +95,11 @@ def generate(
     else:
 
         def advance(state: DataFrame, step: int) -> DataFrame:
-            # The state travels with its keys: one join and one aggregate per round.
-            keyed = state.select("*", F.explode_outer(suffix_keys(F.col("last"), order)).alias("ctx"))
-            met = salted_join(keyed, lookup, ["ctx"], F.xxhash64("prompt_id"), how="left")
+            # The state travels with its keys: one join and one aggregate per round. The table is
+            # not repeated: only contexts that very many prompts end with are cut.
+            keys = F.explode_outer(suffix_keys(F.col("last"), order))
+            keyed = materialize(state.select("*", keys.alias("ctx")), "keyed")
+            met = split_join(keyed, lookup.hint("merge"), ["ctx"], F.xxhash64("prompt_id"), how="left")
             longest = F.when(F.col(found[0]).isNotNull(), F.size("ctx"))
             return met.groupBy("prompt_id").agg(
                 F.first("last").alias("last"),

@@ -145,3 +145,11 @@ def test_salted_join_equals_plain_join(spark, how):
     for broadcast in (True, False):
         joined = lookup_join(big, small, ["k"], F.col("id"), broadcast=broadcast, how=how)
         assert sorted(map(tuple, joined.collect()), key=str) == plain
+
+
+def test_lookup_sides_beyond_the_bounds_never_pass_the_driver(spark, tmp_path, plan_of):
+    spark.range(300_000).select("id", (F.col("id") % 7).alias("v")).write.parquet(f"{tmp_path}/small")
+    small, big = spark.read.parquet(f"{tmp_path}/small"), spark.range(10).withColumn("k", F.col("id") % 3)
+    assert not fits_broadcast(small)
+    joined = lookup_join(big, small.withColumnRenamed("id", "k"), ["k"], F.col("id"), broadcast=False, how="left")
+    assert "Broadcast" not in plan_of(joined) and joined.count() == 10
