@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from braidwork.configs import TOKENIZER_NAMES, TokenizerConfig, add_tokenizer_name
+from braidwork.functions.lists import flat_lists, kept_values
 from braidwork.functions.tokens import BYTE_DELIMITER_ID, BYTE_VOCAB_SIZE, byte_detokenize, byte_tokens
-from braidwork.operators.joins import fits_broadcast, lookup_join
+from braidwork.operators.joins import fits_broadcast
 from braidwork.operators.ordering import dense_index
 from braidwork.session import materialize
 
@@ -18,6 +23,9 @@ UNKNOWN_ID = 0
 FIRST_WORD_ID = 1
 _ID_MASK = (1 << 32) - 1
 _GAPS = "[ \t\n\r\f\x0b]+"
+# Rows of about so many characters share a dictionary; a word counts as so many of them.
+CHARS_PER_RUN = 24_000_000
+CHARS_PER_WORD = 7
 
 
 def words(text: Column, delimiter: str) -> Column:
@@ -60,28 +68,36 @@ def tokenize_words(
 
     ``limit`` is for callers that keep only the first words of a text anyway.
 
-    ``broadcast`` says that the vocabulary was measured to fit on every
-    executor; otherwise the frequent words of the text side are salted by
-    their position.
+    ``broadcast`` says that the vocabulary was measured to fit on every executor;
+    otherwise runs of rows get a dictionary of their own words (``_by_dictionary``).
     """
     # The outer form keeps blocks without any word, with an empty sequence.
     pieces = words(F.col(text_col), delimiter)
     pieces = pieces if limit is None else F.slice(pieces, 1, limit)
+    known = vocab.select("token", "token_id")
+    if not broadcast:
+        spaced, gaps = (delimiter, f" {delimiter} "), _GAPS
+
+        def coded(texts: pa.Array, dictionary: pa.Table) -> pa.Array:
+            lists = pc.split_pattern_regex(pc.replace_substring(pc.fill_null(texts, ""), *spaced), gaps)
+            starts, flat = flat_lists(lists)
+            starts, flat = kept_values(starts, flat, pc.not_equal(flat, "").to_numpy(zero_copy_only=False))
+            if limit is not None:
+                place = np.arange(len(flat)) - np.repeat(starts[:-1], np.diff(starts))
+                starts, flat = kept_values(starts, flat, place < limit)
+            at = pc.index_in(flat, value_set=dictionary.column("token").combine_chunks())
+            ids = pc.fill_null(dictionary.column("token_id").combine_chunks().take(at), UNKNOWN_ID)
+            return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), ids.cast(pa.int32()))
+
+        return _by_dictionary(blocks.select(id_col, text_col), text_col, F.length(text_col), pieces, known, coded, "tokens array<int>")
     placed = blocks.select(id_col, F.posexplode_outer(pieces).alias("pos", "token"))
-    coded = lookup_join(
-        placed,
-        vocab.select("token", "token_id"),
-        ["token"],
-        F.col("pos"),
-        broadcast=broadcast,
-        how="left",
-    )
+    named = placed.join(F.broadcast(known), "token", "left")
     # Position and id packed into one long: cheaper to collect and sort than a struct.
     token_id = F.coalesce("token_id", F.lit(UNKNOWN_ID))
     packed = F.shiftleft(F.col("pos").cast("long"), 32) + token_id
     ordered = F.sort_array(F.collect_list(packed))
     ids = F.transform(ordered, lambda p: p.bitwiseAND(F.lit(_ID_MASK)).cast("int"))
-    return coded.groupBy(id_col).agg(ids.alias("tokens"))
+    return named.groupBy(id_col).agg(ids.alias("tokens"))
 
 
 def detokenize_words(
@@ -92,18 +108,60 @@ def detokenize_words(
     broadcast: bool,
 ) -> DataFrame:
     """``id, text``: words joined by single spaces, ids outside the vocabulary left out."""
+    known = vocab.select("token_id", "token")
+    if not broadcast:
+
+        def named(sequences: pa.Array, dictionary: pa.Table) -> pa.Array:
+            starts, flat = flat_lists(sequences)
+            at = pc.index_in(flat, value_set=dictionary.column("token_id").combine_chunks().cast(flat.type))
+            texts = dictionary.column("token").combine_chunks().take(at)
+            starts, texts = kept_values(starts, texts, texts.is_valid().to_numpy(zero_copy_only=False))
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), texts), " ")
+
+        size = F.greatest(F.size("tokens"), F.lit(0)) * CHARS_PER_WORD
+        return _by_dictionary(sequences.select(id_col, "tokens"), "tokens", size, F.col("tokens"), known, named, "text string")
     placed = sequences.select(id_col, F.posexplode_outer("tokens").alias("pos", "token_id"))
-    named = lookup_join(
-        placed,
-        vocab.select("token_id", "token"),
-        ["token_id"],
-        F.col("pos"),
-        broadcast=broadcast,
-        how="left",
-    )
+    found = placed.join(F.broadcast(known), "token_id", "left")
     ordered = F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("pos", "token"))))
     joined = F.array_join(F.transform(ordered, lambda p: p["token"]), " ")
-    return named.groupBy(id_col).agg(joined.alias("text"))
+    return found.groupBy(id_col).agg(joined.alias("text"))
+
+
+def _by_dictionary(
+    rows: DataFrame,
+    value: str,
+    chars: Column,
+    pieces: Column,
+    vocab: DataFrame,
+    convert: Callable[[pa.Array, pa.Table], pa.Array],
+    out: str,
+) -> DataFrame:
+    """``id, out`` for ``id, value``: only the distinct pieces of a run of rows meet the vocabulary.
+
+    Rows are stored with their place, and runs of neighbours of about ``CHARS_PER_RUN``
+    characters (``chars`` measures a row) share a dictionary: their distinct pieces, counted
+    out where they were stored, joined to the vocabulary (key column first). Rows and
+    dictionary of a run then meet in one task, where ``convert`` looks every piece up. What
+    is shuffled is the rows once and the distinct pieces of a run, not every occurrence.
+    """
+    id_col, key = rows.columns[0], vocab.columns[0]
+    stored = materialize(rows.select(F.monotonically_increasing_id().alias("_row"), id_col, value), "runs")
+    n_rows, n_chars = stored.agg(F.count(F.lit(1)), F.coalesce(F.sum(chars), F.lit(0))).first()
+    # A power of two, so that a run never spans two partitions of the numbering.
+    bits = min(20, max(0, (CHARS_PER_RUN * n_rows // max(n_chars, 1)).bit_length() - 1))
+    run = F.shiftright("_row", bits).alias("_run")
+    own = stored.select(run, F.explode(pieces).alias(key)).distinct()
+    dictionary = own.join(vocab.hint("merge"), key)
+    made, kind = out.split()
+    schema = T.StructType([rows.schema[id_col], *T.StructType.fromDDL(f"{made} {kind}")])
+    kind_arrow = pa.string() if kind == "string" else pa.list_(pa.int32())
+
+    def look_up(texts: pa.Table, dictionary: pa.Table) -> pa.Table:
+        # One Arrow batch at a time, so that the pieces of a whole run are never held at once.
+        found = [convert(part, dictionary) for part in texts.column(value).chunks]
+        return pa.table([texts.column(id_col), pa.chunked_array(found, kind_arrow)], [id_col, made])
+
+    return stored.select(run, id_col, value).groupBy("_run").cogroup(dictionary.groupBy("_run")).applyInArrow(look_up, schema)
 
 
 @dataclass(frozen=True)

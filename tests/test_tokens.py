@@ -160,3 +160,19 @@ def test_windows_cover_whole_sequences(spark, n):
 def test_unknown_tokenizer_is_refused():
     with pytest.raises(ValueError, match="registered name"):
         TokenizerConfig(name="gpt2")
+
+
+def test_words_meet_a_large_vocabulary_once_per_run_of_rows(spark, plan_of):
+    texts = [(1, "the cat " * 400), (1, f"cat{END}the"), (None, None), (2, "\x0b the\u00a0cat  \u00e9 ")]
+    blocks = spark.createDataFrame(texts, "id int, text string").coalesce(1)
+    vocab = spark.createDataFrame([(1, "the"), (2, "cat"), (3, END), (4, "\u00e9")], "token_id int, token string")
+    coded = tz.tokenize_words(blocks, vocab, id_col="id", text_col="text", delimiter=END, broadcast=False)
+    # Rows that share an id stay rows of their own, and no occurrence is a row of a join.
+    got = sorted(((r["id"] or 0, r["tokens"]) for r in coded.collect()), key=lambda r: (r[0], len(r[1])))
+    assert got == [(0, []), (1, [2, 3, 1]), (1, [1, 2] * 400), (2, [0, 4])]
+    back = tz.detokenize_words(coded, vocab, id_col="id", broadcast=False)
+    for plan in (plan_of(coded), plan_of(back)):
+        assert "FlatMapCoGroupsInArrow" in plan and "posexplode" not in plan and "BroadcastExchange" not in plan
+    assert sorted(r["text"] for r in back.collect()) == ["", f"cat {END} the", "the cat " * 399 + "the cat", "\u00e9"]
+    cut = tz.tokenize_words(blocks, vocab, id_col="id", text_col="text", delimiter=END, broadcast=False, limit=2)
+    assert sorted(r["tokens"] for r in cut.collect()) == [[], [0, 4], [1, 2], [2, 3]]
