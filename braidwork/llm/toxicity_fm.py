@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from braidwork.functions.lists import flat_lists, kept_values
 from braidwork.llm.batches import small_batches
 from braidwork.llm.hashing import chunks, distinct, mix, text_bytes, word_hashes, word_limits
 from braidwork.session import materialize
@@ -117,6 +118,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(True))
 
 
+def kept_terms(sample: DataFrame, kept: np.ndarray) -> DataFrame:
+    """``doc_id, toxic, terms`` with the kept buckets only, looked up inside the row: no row per
+    term is made, shuffled or joined."""
+    shared = sample.sparkSession.sparkContext.broadcast(kept)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        takes_part = np.zeros(SPACE, bool)
+        takes_part[shared.value] = True
+        for batch in batches:
+            starts, values = flat_lists(batch.column(2))
+            starts, values = kept_values(starts, values, takes_part[values.to_numpy(zero_copy_only=False)])
+            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["doc_id", "toxic", "terms"])
+
+    rows = sample.select("doc_id", "toxic", "terms")
+    return small_batches(rows).mapInArrow(run, rows.schema)
+
+
 def train(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> Machine:
     """Fit on at most ``sample_rows`` labelled rows, those with the smallest hash of their id.
 
@@ -155,15 +174,9 @@ def train(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS)
     # At most SPACE numbers, and lists of them for at most sample_rows rows.
     best = materialize(counts.where(chi >= LEAST_CHI).select("term"), "kept")
     kept = np.sort(np.array([r[0] for r in best.collect()], np.int64))
-    few = (
-        sample.select("doc_id", "toxic", F.explode("terms").alias("term"))
-        .join(F.broadcast(best), "term")
-        .groupBy("doc_id", "toxic")
-        .agg(F.sort_array(F.collect_list("term")).alias("terms"))
-    )
-    small = sample.select("doc_id", "toxic").join(few, ["doc_id", "toxic"], "left")
+    small = kept_terms(sample, kept)
     got = small.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").collect()
-    places = [np.searchsorted(kept, np.array(r[2] or [], np.int64)) for r in got]
+    places = [np.searchsorted(kept, np.array(r[2], np.int64)) for r in got]
     return fit_machine(kept, places, np.array([r[1] for r in got], np.float64))
 
 

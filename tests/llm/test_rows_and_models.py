@@ -534,3 +534,14 @@ def test_a_rare_insult_is_known_on_small_and_large_tables(spark, n):
 def test_terms_count_once_and_have_prefixes():
     terms = list(fm.row_terms(pa.array(["Abcdefgh abcdefgh, abc", "", None])))
     assert [len(t) for t in terms] == [5, 0, 0]
+
+
+def test_kept_terms_are_looked_up_without_a_join(spark, plan_of):
+    from braidwork.llm.toxicity_fm import kept_terms
+
+    rows = [(k, k % 2, [1, 5, 9, 9 + k]) for k in range(1, 40)] + [(50, 1, [])]
+    sample = spark.createDataFrame(rows, "doc_id long, toxic int, terms array<long>").repartition(3)
+    few = kept_terms(sample, np.array([5, 12, 30]))
+    assert "Join" not in plan_of(few) and "Generate" not in plan_of(few)
+    got = {r["doc_id"]: (r["toxic"], r["terms"]) for r in few.collect()}
+    assert got == {k: (toxic, [t for t in terms if t in (5, 12, 30)]) for k, toxic, terms in rows}
