@@ -8,6 +8,8 @@ a frequent context may hold a large share of the table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,11 +142,12 @@ def embed_lookup(
     id_col: str,
     maxlen: int,
     tokens_col: str = "tokens",
+    derive: Sequence[Column] = (),
 ) -> DataFrame:
     """``id, pos, token, vector``: token vector plus position vector, element by element.
 
-    A vector depends on token and position only. Where there are few such pairs
-    (``PAIR_ROWS``, measured) their sums are formed once and broadcast; else the
+    With ``derive`` (named expressions of ``vector``) their results stand in its place. A vector depends on token and position only. Where there are few such pairs
+    (``PAIR_ROWS``, measured) their sums and what is derived are formed once and broadcast; else the
     position table is broadcast and frequent tokens are split over tasks. A token or
     position without a vector fails the job.
     """
@@ -154,19 +157,20 @@ def embed_lookup(
         "pos", F.col("vector").cast("array<double>").alias("_pv")
     )
     missing = F.raise_error(F.format_string("no vector for token %d at position %d", "token", "pos"))
+    wanted = list(derive) or [F.col("vector")]
     if fits_broadcast(tokens, max_rows=PAIR_ROWS // maxlen):
         # Bounded by PAIR_ROWS.
         placed_tokens = tokens.withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(maxlen - 1))))
         pairs = placed_tokens.join(F.broadcast(positions), "pos").select(
             "token", "pos", F.zip_with("_tv", "_pv", lambda t, p: t + p).alias("vector")
-        )
+        ).where("vector IS NOT NULL").select("token", "pos", F.struct(*wanted).alias("_found"))
         joined = placed.join(F.broadcast(pairs), ["token", "pos"], "left")
-        vector = F.coalesce("vector", missing.cast("array<double>"))
-        return joined.select(id_col, "pos", "token", vector.alias("vector"))
-    joined = lookup_join(
-        placed, tokens, ["token"], F.col("pos"), broadcast=fits_broadcast(tokens), how="left"
-    ).join(F.broadcast(positions), "pos", "left")
-    added = F.when(
-        F.col("_tv").isNull() | F.col("_pv").isNull(), missing.cast("array<double>")
-    ).otherwise(F.zip_with("_tv", "_pv", lambda t, p: t + p))
-    return joined.select(id_col, "pos", "token", added.alias("vector"))
+    else:
+        joined = lookup_join(
+            placed, tokens, ["token"], F.col("pos"), broadcast=fits_broadcast(tokens), how="left"
+        ).join(F.broadcast(positions), "pos", "left")
+        added = joined.withColumn("vector", F.zip_with("_tv", "_pv", lambda t, p: t + p))
+        joined = added.withColumn("_found", F.when(F.col("vector").isNotNull(), F.struct(*wanted)))
+    kind = joined.schema["_found"].dataType
+    found = F.coalesce("_found", missing.cast(kind))
+    return joined.select(id_col, "pos", "token", found.alias("_found")).select(id_col, "pos", "token", "_found.*")

@@ -520,9 +520,8 @@ added AS (
   SELECT t.vec_id AS token, p.vec_id - 257 AS pos, list_transform(list_zip(t.embedding, p.embedding),
     lambda z: z[1]::DOUBLE + z[2]::DOUBLE) AS v
   FROM embeddings t JOIN embeddings p ON t.vec_id < 257 AND p.vec_id BETWEEN 257 AND 288)
-SELECT doc_id, "window", count(*) AS n_positions, round(sum(v[1]), 6) AS first, round(sum(v[-1] * (pos + 1)), 6) AS last,
-  round(max(v[2] + token), 6) AS peak
-FROM placed JOIN added USING (token, pos) GROUP BY "window", doc_id""",
+SELECT doc_id, "window", pos, token, round(v[1], 6) AS first, round(v[-1], 6) AS last, round(list_sum(v), 6) AS total
+FROM placed JOIN added USING (token, pos)""",
         "causal_prefix": f"""WITH {_windows(64)}, placed AS (
   SELECT doc_id, "window", unnest(x) AS token, generate_subscripts(x, 1) - 1 AS pos FROM rows),
 seen AS (

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from braidwork.configs import DEFAULT_DELIMITER, ModelConfig, TokenizerConfig
-from braidwork.functions.tokens import byte_tokens, shift_left, token_windows
+from braidwork.functions.tokens import byte_tokens, shift_left
 from braidwork.operators.metrics import run_step_plan
 from braidwork.operators.ordering import dense_index
 from braidwork.operators.weights import chunk_leaves
+from braidwork.operators.windows import byte_windows
 from braidwork.plans.training_data import token_examples
 from braidwork.session import spread
 from braidwork.sources.blocks import normalize_blocks
@@ -55,9 +56,10 @@ def whole_tokens(blocks: DataFrame, id_col: str) -> DataFrame:
     return clean.select(id_col, byte_tokens(F.col("text"), DELIMITER).alias("tokens"))
 
 
-def windows(tokens: DataFrame, id_col: str, maxlen: int) -> DataFrame:
-    """``id, window, x, y``: whole sequences cut into windows."""
-    return tokens.select(id_col, F.inline(token_windows(F.col("tokens"), maxlen)))
+def document_windows(spark: SparkSession, sf_dir: str, maxlen: int, *, targets: bool = False) -> DataFrame:
+    """``doc_id, window, x`` (and ``y``): all tokens of every cleaned document, cut into windows."""
+    clean = normalize_blocks(documents(spark, sf_dir), "text", DELIMITER)
+    return byte_windows(clean, "text", DELIMITER, maxlen, targets=targets)
 
 
 def scorer_examples(spark: SparkSession, sf_dir: str) -> DataFrame:

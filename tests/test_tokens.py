@@ -176,3 +176,18 @@ def test_words_meet_a_large_vocabulary_once_per_run_of_rows(spark, plan_of):
     assert sorted(r["text"] for r in back.collect()) == ["", f"cat {END} the", "the cat " * 399 + "the cat", "\u00e9"]
     cut = tz.tokenize_words(blocks, vocab, id_col="id", text_col="text", delimiter=END, broadcast=False, limit=2)
     assert sorted(r["tokens"] for r in cut.collect()) == [[], [0, 4], [1, 2], [2, 3]]
+
+
+@pytest.mark.parametrize("maxlen, slice_bytes", [(1, 1 << 20), (4, 5), (64, 1)])
+def test_windows_by_arrays_equal_windows_by_expressions(spark, monkeypatch, maxlen, slice_bytes):
+    from braidwork.operators import windows as w
+
+    monkeypatch.setattr(w, "SLICE_BYTES", slice_bytes)
+    rows = list(enumerate([*TEXTS, None, END[:5], END[5:], "y" * 300 + END]))
+    df = spark.createDataFrame(rows, "id int, text string").coalesce(1)
+    tokens = df.select("id", tk.byte_tokens(F.col("text"), END).alias("t"))
+    want = tokens.where("size(t) > 0").select("id", F.inline(tk.token_windows(F.col("t"), maxlen, 3)))
+    got = w.byte_windows(df, "text", END, maxlen, pad_id=3, targets=True)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    sums = w.causal_sums(got, "x").select("x", "visible_sum").collect()
+    assert all(r["visible_sum"] == [sum(r["x"][: k + 1]) for k in range(maxlen)] for r in sums)
