@@ -305,3 +305,14 @@ def test_lineage_follows_links_of_any_shape(spark):
         assert got[k] == (None, None, None, None, "cycle")
     assert got[500] == (0, 4, 8, 10, "several_parents") and got[600] == (600, 0, 0, 5, None)
     assert len(got) == 40 + 3 + 7 + 2 and c.resume_lineage(table.limit(0)).count() == 0
+
+
+def test_lineage_stores_each_run_that_is_done_once(spark, monkeypatch):
+    stored = []
+    real = c.materialize
+    monkeypatch.setattr(c, "materialize", lambda df, label: stored.append(real(df, label)) or stored[-1])
+    # Most runs are roots: the rounds of the one long chain must not store them again.
+    rows = [(k, None, 1) for k in range(100, 300)] + [(k, k - 1 if k else None, 1) for k in range(20)]
+    found = c.resume_lineage(spark.createDataFrame(rows, "run_id long, resumed_from long, epochs long"))
+    assert found.where("run_id = 19").first()["cumulative_epochs"] == 20 and found.count() == 220
+    assert len(stored) > 4 and sum(df.count() for df in stored[2:]) < 100
