@@ -239,6 +239,23 @@ class Encoder:
         return b"".join([*out, self.plain(text[at:])])
 
 
+def _encoded(
+    batches: Iterator[pa.RecordBatch], gadgets: Gadgets, at: int, names: list[str], out: str
+) -> Iterator[pa.RecordBatch]:
+    """The batches with the ids of the texts in column ``at`` behind the columns ``names``."""
+    encoder = Encoder(gadgets)
+    for whole in batches:
+        # Small batches go on, so that no worker holds more than a few megabytes of ids.
+        for lo, hi in chunks(whole.column(at)):
+            batch = whole.slice(lo, hi - lo)
+            ids = [encoder.text(t or "") for t in batch.column(at).to_pylist()]
+            offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
+            data = pa.py_buffer(b"".join(ids))
+            values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, data])
+            lists = pa.ListArray.from_arrays(pa.array(offsets), values)
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*names, out])
+
+
 def bpe_encode(docs: DataFrame, path: str, *, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the token ids of each whole text in ``out`` (array<int>).
 
@@ -253,17 +270,7 @@ def bpe_encode(docs: DataFrame, path: str, *, text_col: str = "text", out: str =
     names, at = base.columns, base.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Gadgets(*shared.value))
-        for whole in batches:
-            # Small batches go on, so that no worker holds more than a few megabytes of ids.
-            for lo, hi in chunks(whole.column(at)):
-                batch = whole.slice(lo, hi - lo)
-                ids = [encoder.text(t or "") for t in batch.column(at).to_pylist()]
-                offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
-                data = pa.py_buffer(b"".join(ids))
-                values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, data])
-                lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*names, out])
+        yield from _encoded(batches, Gadgets(*shared.value), at, names, out)
 
     schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     return small_batches(base).mapInArrow(run, schema)
@@ -283,6 +290,23 @@ def emit_labels(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, labels:
     return labels[np.cumsum(step)]
 
 
+def _decoded(
+    batches: Iterator[pa.RecordBatch], labels: list[bytes], at: int, names: list[str], out: str
+) -> Iterator[pa.RecordBatch]:
+    """The batches with the texts of the ids in column ``at`` behind the columns ``names``."""
+    sizes = np.array([len(x) for x in labels], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(labels), np.uint8)
+    for whole in batches:
+        for lo in range(0, len(whole), DECODED_ROWS):
+            batch = whole.slice(lo, DECODED_ROWS)
+            texts = []
+            for row in batch.column(at):
+                ids = row.values.drop_null().to_numpy() if row.is_valid else np.zeros(0, np.int32)
+                texts.append(emit_labels(ids, starts, sizes, data).tobytes().decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, out])
+
+
 def bpe_decode(docs: DataFrame, path: str, *, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the text of the token ids; bytes that are no UTF-8 become U+FFFD.
 
@@ -294,21 +318,34 @@ def bpe_decode(docs: DataFrame, path: str, *, ids_col: str = "ids", out: str = "
     names, at = base.columns, base.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = np.array([len(x) for x in shared.value], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        labels = np.frombuffer(b"".join(shared.value), np.uint8)
-        for whole in batches:
-            for lo in range(0, len(whole), DECODED_ROWS):
-                batch = whole.slice(lo, DECODED_ROWS)
-                texts = []
-                for row in batch.column(at):
-                    ids = row.values.drop_null().to_numpy() if row.is_valid else np.zeros(0, np.int32)
-                    texts.append(emit_labels(ids, starts, sizes, labels).tobytes().decode("utf-8", "replace"))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, out])
+        yield from _decoded(batches, shared.value, at, names, out)
 
     return small_batches(base).mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(out, T.StringType())]))
 
 
+def bpe_round_trip(
+    docs: DataFrame, path: str, *, text_col: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``bpe_decode(bpe_encode(docs))``, both in one pass.
+
+    A task keeps one Python worker instead of two. Workers stay for some time after
+    their task with the memory they grew to, and the next job's memory adds to it.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(load_gadgets(path)).values()))
+    base = docs.drop(ids, decoded)
+    names, at = base.columns, base.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gadgets = Gadgets(*shared.value)
+        coded = _encoded(batches, gadgets, at, names, ids)
+        yield from _decoded(coded, gadgets.labels, len(names), [*names, ids], decoded)
+
+    schema = T.StructType([
+        *base.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType()),
+    ])
+    return small_batches(base).mapInArrow(run, schema)
+
+
 def default_path(spark: SparkSession) -> str:
     """The vocabulary file named by ``spark.braidwork.bpe.file``, else the installed public one."""
     named = spark.conf.get("spark.braidwork.bpe.file", None)

@@ -32,13 +32,15 @@ LEAST_ROWS = 3
 LEAST_CHI = 20.0
 PREFIXES = (4, 5, 6)
 FACTORS = 8
+# Bytes of text whose words a worker holds at once; their arrays take some 30 times as much.
+TEXT_BYTES = 256 << 10
 _BREAK = np.ones(256, bool)
 _BREAK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 def row_terms(column: pa.Array) -> Iterator[np.ndarray]:
     """Sorted distinct buckets of the terms of each row."""
-    for lo, hi in chunks(column):
+    for lo, hi in chunks(column, TEXT_BYTES):
         buf, at = text_bytes(column.slice(lo, hi - lo))
         start, end = word_limits(buf, at, _BREAK)
         terms, rows = [word_hashes(buf, start, end)], [np.searchsorted(at, start, "right") - 1]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from braidwork.llm.bpe_automaton import bpe_decode, bpe_encode, default_path
+from braidwork.llm.bpe_automaton import bpe_round_trip, default_path
 from braidwork.llm.curriculum_mix import mix_plan, training_order
 from braidwork.llm.ngram_jaccard import jaccard_components, one_per_component
 from braidwork.llm.secret_forest import redact, scan_secrets
@@ -40,8 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether decoding them gives the text back."""
-    path = default_path(spark)
-    coded = bpe_decode(bpe_encode(docs, path), path)
+    coded = bpe_round_trip(docs, default_path(spark))
     return coded.select(
         "doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),

@@ -6,12 +6,14 @@ import itertools
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import SF_SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -94,6 +96,23 @@ def test_round_trip_of_a_table(spark, bpe_path):
     assert [r.decoded for r in bpe.bpe_decode(partial, bpe_path).collect()][1:3] == ["", ""]
 
 
+def test_round_trip_takes_one_worker_of_a_task(spark, bpe_path, plan_of):
+    import corpus_pipeline
+    from braidwork.llm.queries import op2_bpe_automaton
+
+    stage = corpus_pipeline.tokenize(spark, spark.read.parquet(f"{SF_SMALL}/documents.parquet"), SF_SMALL)
+    for df in (stage, op2_bpe_automaton(spark, SF_SMALL)):
+        assert len(re.findall(r"\(\d+\) MapInArrow", plan_of(df))) == 1
+    texts = ["", None, "Hello  world", "<|endoftext|>", "é" * 50, "x" * 20_000, "same", "same", "a\r\n b \n\n c"]
+    rows = [(t, i // 2, [1], "clash") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "text string, doc_id int, ids array<int>, decoded string").repartition(2)
+    once, twice = bpe.bpe_round_trip(docs, bpe_path), bpe.bpe_decode(bpe.bpe_encode(docs, bpe_path), bpe_path)
+    assert once.columns == ["text", "doc_id", "ids", "decoded"]
+    key = lambda r: (r.doc_id, r.text or "", r.text is None)
+    assert sorted(once.collect(), key=key) == sorted(twice.select(*once.columns).collect(), key=key)
+    assert bpe.bpe_round_trip(docs.limit(0), bpe_path).count() == 0
+
+
 def brute_targets(sizes: dict, weights: list[float], share: float, cap: float) -> dict:
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
@@ -536,6 +555,19 @@ def test_terms_count_once_and_have_prefixes():
     assert [len(t) for t in terms] == [5, 0, 0]
 
 
+def test_terms_of_a_large_batch_take_little_memory():
+    texts = pa.array([" ".join(f"word{k * j % 9973}" for k in range(700)) for j in range(1, 401)])
+    want = [list(fm.row_terms(texts.slice(j, 1)))[0] for j in (0, 200, 399)]
+    tracemalloc.start()
+    try:
+        got = list(fm.row_terms(texts))
+        peak = tracemalloc.get_traced_memory()[1] - sum(t.nbytes for t in got)
+    finally:
+        tracemalloc.stop()
+    assert len(got) == 400 and all((got[j] == w).all() for j, w in zip((0, 200, 399), want))
+    assert peak < 40 << 20
+
+
 def test_kept_terms_are_looked_up_without_a_join(spark, plan_of):
     from braidwork.llm.toxicity_fm import kept_terms
 
