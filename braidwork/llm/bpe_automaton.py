@@ -324,24 +324,28 @@ def bpe_decode(docs: DataFrame, path: str, *, ids_col: str = "ids", out: str = "
 
 
 def bpe_round_trip(
-    docs: DataFrame, path: str, *, text_col: str = "text", ids: str = "ids", decoded: str = "decoded"
-) -> DataFrame:
+    docs: DataFrame, path: str, *, text_col: str = "text", ids: str = "ids", decoded: str = "decoded",
+    keep_text: bool = True,
+) -> DataFrame:
     """``bpe_decode(bpe_encode(docs))``, both in one pass.
 
     A task keeps one Python worker instead of two. Workers stay for some time after
     their task with the memory they grew to, and the next job's memory adds to it.
+    Without ``keep_text`` the texts do not come back from the worker and their column goes.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(load_gadgets(path)).values()))
     base = docs.drop(ids, decoded)
     names, at = base.columns, base.columns.index(text_col)
+    kept = [i for i in range(len(names)) if keep_text or i != at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gadgets = Gadgets(*shared.value)
-        coded = _encoded(batches, gadgets, at, names, ids)
-        yield from _decoded(coded, gadgets.labels, len(names), [*names, ids], decoded)
+        coded = (b.select([*kept, len(names)]) for b in _encoded(batches, gadgets, at, names, ids))
+        yield from _decoded(coded, gadgets.labels, len(kept), [*(names[i] for i in kept), ids], decoded)
 
     schema = T.StructType([
-        *base.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType()),
+        *(base.schema.fields[i] for i in kept),
+        T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType()),
     ])
     return small_batches(base).mapInArrow(run, schema)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import random
 import re
@@ -113,6 +114,26 @@ def test_round_trip_takes_one_worker_of_a_task(spark, bpe_path, plan_of):
     assert bpe.bpe_round_trip(docs.limit(0), bpe_path).count() == 0
 
 
+def test_digests_hold_neither_texts_nor_a_string_per_token(spark, bpe_path, library, plan_of, tmp_path):
+    from braidwork.llm.queries import op2_bpe_automaton
+
+    texts = ["", None, "a", "Hello  world, [1,2] \"x\"", "<|endoftext|>", "é" * 50, "[]", "x" * 20_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(2)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = op2_bpe_automaton(spark, str(tmp_path))
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    rows = found.collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        want = len(ids), digest(",".join(map(str, ids))), digest(texts[r.doc_id] or "")
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want
+    plan = plan_of(found)
+    assert "array<string>" not in plan
+    assert re.search(r"MapInArrow\n.*\n.*\[doc_id#\d+, ids#\d+, decoded#\d+\]", plan)
+    assert bpe.bpe_round_trip(docs, bpe_path, keep_text=False).columns == ["doc_id", "ids", "decoded"]
+
+
 def brute_targets(sizes: dict, weights: list[float], share: float, cap: float) -> dict:
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
